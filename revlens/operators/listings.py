@@ -24,6 +24,8 @@ FORMATS = ("python_literal", "json")
 
 _JSON_REVIEWS = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
 _JSON_SCORES = T.MapType(T.StringType(), T.StringType())
+# Plain JSON: Spark would otherwise also accept single-quoted strings.
+_JSON_OPTIONS = {"allowSingleQuotes": "false"}
 
 
 def _check_format(fmt: str) -> None:
@@ -34,7 +36,7 @@ def _check_format(fmt: str) -> None:
 def _strict_json(c: Column, dtype: T.DataType, what: str) -> tuple[Column, Column]:
     """(value, error) for strict JSON parsing: FAILFAST on malformed text,
     an error for a missing value."""
-    value = F.from_json(c, dtype, {"mode": "FAILFAST"})
+    value = F.from_json(c, dtype, {**_JSON_OPTIONS, "mode": "FAILFAST"})
     error = F.when(c.isNull(), F.lit(f"ValueError: missing {what}"))
     return value, error
 
@@ -107,11 +109,11 @@ def parse_listings(
     if fmt == "python_literal":
         parsed = listing_udf()(F.col(reviews_col), F.col(scores_col))
         return df.select(*base, parsed.alias("parsed"))
-    reviews = F.from_json(F.col(reviews_col), _JSON_REVIEWS)
+    reviews = F.from_json(F.col(reviews_col), _JSON_REVIEWS, _JSON_OPTIONS)
     # The key must exist; a JSON null value still counts.
     with_key = F.filter(reviews, lambda m: F.map_contains_key(m, "comments"))
     items = F.transform(with_key, lambda m: F.struct(m["comments"].alias("comments")))
-    score = F.from_json(F.col(scores_col), _JSON_SCORES)["review_scores_value"]
+    score = F.from_json(F.col(scores_col), _JSON_SCORES, _JSON_OPTIONS)["review_scores_value"]
     parsed = F.struct(
         F.coalesce(items, F.array().cast(T.ArrayType(T.StructType([T.StructField("comments", T.StringType())])))).alias("items"),
         score.alias("score_text"),

@@ -25,7 +25,14 @@ from pyspark.sql import types as T
 
 from revlens.functions.text import comma_decimal, missing_to_null
 
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
+CSV_OPTIONS = {
+    "header": "true",
+    "multiLine": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def normalise_missing(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
@@ -105,7 +112,10 @@ def write_csv(
     (
         out.write.mode(mode)
         .options(header="true", quote='"', escape='"', quoteAll=str(quote_all).lower())
-        # an empty string must stay distinguishable from NULL
+        # an empty string must stay distinguishable from NULL, and the
+        # writer must not trim (its default) so '  ' survives
         .option("emptyValue", '""')
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
         .csv(path)
     )
