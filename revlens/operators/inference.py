@@ -35,6 +35,7 @@ from revlens.functions.text import parse_number, strip
 from revlens.operators.prompts import DEFAULT_PROMPTS, TRANSLATE_TEMPLATE, Prompt, with_prompt, with_prompts
 from revlens.operators.sampling import first_rows_flag
 from revlens.schemas import PRED_COL, REVIEW_COL
+from revlens.session import spread
 
 ON_ERROR = ("fail", "null")
 
@@ -217,7 +218,7 @@ def generate(
         )
         out = keyed.join(answers, "__k", "left").drop("__k")
     else:
-        src = df.repartition(concurrency) if concurrency else df
+        src = df.repartition(concurrency) if concurrency else spread(df)
         schema = T.StructType(
             [
                 *src.schema.fields,

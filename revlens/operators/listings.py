@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from revlens.functions.literal import listing_udf, parse_literal
 from revlens.schemas import ADDRESS_TYPE, REVIEW_COL, SCORE_COL
+from revlens.session import spread
 
 FORMATS = ("python_literal", "json")
 
@@ -70,7 +71,7 @@ def filter_nested(
         value, error = _strict_json(F.col(column), value_type, column)
         parsed = df.withColumn(tmp, F.struct(value.alias("value"), error.alias("error")))
     else:
-        parsed = df.withColumn(tmp, parse_literal(column, value_type, strict=True))
+        parsed = spread(df).withColumn(tmp, parse_literal(column, value_type, strict=True))
     err = F.col(f"{tmp}.error")
     keep = F.when(
         err.isNotNull(),
@@ -108,7 +109,7 @@ def parse_listings(
     base = [F.col(id_col), *[F.col(k) for k in keep]]
     if fmt == "python_literal":
         parsed = listing_udf()(F.col(reviews_col), F.col(scores_col))
-        return df.select(*base, parsed.alias("parsed"))
+        return spread(df).select(*base, parsed.alias("parsed"))
     reviews = F.from_json(F.col(reviews_col), _JSON_REVIEWS, _JSON_OPTIONS)
     # The key must exist; a JSON null value still counts.
     with_key = F.filter(reviews, lambda m: F.map_contains_key(m, "comments"))

@@ -69,6 +69,16 @@ def choose_prompt(dev_deviation: DataFrame) -> tuple[int, float]:
     return int(row["prompt_id"]), float(row["mae"])
 
 
+def pick_best(rows) -> tuple[int, float]:
+    """A5 over already collected deviation rows (same rule as
+    :func:`best_prompt`)."""
+    ranked = sorted((r["mae"], r["prompt_id"]) for r in rows if r["mae"] is not None)
+    if not ranked:
+        raise ValueError("no prompt produced a numeric answer; nothing to choose")
+    mae, prompt_id = ranked[0]
+    return int(prompt_id), float(mae)
+
+
 def bad_answers(preds: DataFrame, pred_col: str = PRED_COL) -> DataFrame:
     """A7 side table: answers that are not a number."""
     return preds.where(F.col(pred_col).isNull() & F.col("response").isNotNull())

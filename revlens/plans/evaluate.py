@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from revlens.operators.inference import BackendFactory, score
 from revlens.operators.prompts import DEFAULT_PROMPTS, Prompt, as_prompts
 from revlens.operators.sampling import exact_split, first_rows
-from revlens.operators.scoring import choose_prompt, deviation, summary
+from revlens.operators.scoring import deviation, pick_best, summary
 from revlens.sources.csv import write_csv
 from revlens.sources.stage import materialize
 
@@ -73,9 +73,10 @@ def evaluate(
     test = tagged.where(F.col("__part") == "test").drop("__part")
 
     dev_preds = materialize(score(dev, factory, prompts, **generate_options), "dev-predictions")
-    dev_dev = deviation(dev_preds)
-    deviations = sorted(dev_dev.collect(), key=lambda r: r["prompt_id"])
-    best_id, best_mae = choose_prompt(dev_dev)
+    # at most MAX_PROMPTS rows; A5 (lowest deviation, ties to the lower
+    # id, NULL never wins) is applied to the collected rows
+    deviations = sorted(deviation(dev_preds).collect(), key=lambda r: r["prompt_id"])
+    best_id, best_mae = pick_best(deviations)
     best = next(p for p in prompts if p.prompt_id == best_id)
 
     test_preds = materialize(score(test, factory, best, **generate_options), "test-predictions")

@@ -22,6 +22,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Reviews can be 20,000 words: bound each Arrow batch sent to a
+    # Python worker by bytes as well as by rows.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -90,3 +94,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
     return fs.exists(hadoop_path)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin repartition when ``df`` has fewer partitions than the
+    cluster has task slots, so a Python-heavy stage uses every core.
+
+    Small inputs stored in a few files/row groups otherwise run their
+    Python step in a few tasks; large inputs already have many
+    partitions and are returned untouched (no shuffle).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
