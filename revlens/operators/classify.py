@@ -34,14 +34,14 @@ TOKEN_PATTERN = r"[^\p{L}\p{N}]+"
 
 def _classifier(method: str, label_col: str, n_classes: int, seed: int):
     if method == "svm":
-        svm = LinearSVC(labelCol=label_col, featuresCol="features", maxIter=50, regParam=0.01)
+        svm = LinearSVC(labelCol=label_col, featuresCol="features", maxIter=25, tol=1e-4, regParam=0.01)
         return svm if n_classes <= 2 else OneVsRest(classifier=svm, labelCol=label_col)
     if method == "random_forest":
         return RandomForestClassifier(
             labelCol=label_col, featuresCol="features", numTrees=20, maxDepth=6, seed=seed
         )
     if method == "logistic":
-        return LogisticRegression(labelCol=label_col, featuresCol="features", maxIter=50, regParam=0.01)
+        return LogisticRegression(labelCol=label_col, featuresCol="features", maxIter=25, tol=1e-4, regParam=0.01)
     raise ValueError(f"method must be one of {METHODS}, got {method!r}")
 
 

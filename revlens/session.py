@@ -104,6 +104,8 @@ def spread(df, min_partitions: int | None = None):
     Python step in a few tasks; large inputs already have many
     partitions and are returned untouched (no shuffle).
     """
+    if df.isStreaming:
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
