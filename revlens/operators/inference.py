@@ -6,15 +6,16 @@ per Python worker from a picklable factory (a class, ``functools.partial``
 the texts and no row is sent on its own.
 
 Equal prompt texts are answered once: the texts are reduced to distinct
-sha-256 keys (combined map-side, so a text repeated in a third of the
-rows costs one call and one shuffled row per task), answered, and joined
-back. The join-back is a plain equi-join that AQE can turn into a
-broadcast when the answers turn out small and whose hot keys AQE's
-skew-join handling splits across tasks. Valid because the model runs at
+sha-256 keys with their row counts (combined map-side, so a text
+repeated in a third of the rows costs one call and one shuffled row per
+task), answered, written to the stage folder, and joined back. In the
+join-back a text holding many rows is salted: its answer is copied to
+several buckets and its rows spread over them, so no task receives a
+third of the data. Dedup is valid because the model runs at
 temperature 0.
 
-Retried tasks call the backend again (at-least-once). Callers that reuse
-answers materialise them to Parquet first (see ``revlens.plans``).
+A retried task of the answering stage calls the backend again
+(at-least-once); once written, answers are never recomputed.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ from revlens.operators.prompts import DEFAULT_PROMPTS, TRANSLATE_TEMPLATE, Promp
 from revlens.operators.sampling import first_rows_flag
 from revlens.schemas import PRED_COL, REVIEW_COL
 from revlens.session import spread
+from revlens.sources.stage import materialize
 
 ON_ERROR = ("fail", "null")
 
@@ -171,6 +173,46 @@ def _answer_batches(
     return run
 
 
+# A text is "hot" when it holds more rows than this share of one task's
+# fair load; its answer is replicated over salt buckets for the join-back.
+HOT_SHARE = 4
+MIN_HOT_ROWS = 100_000
+
+
+def _salted_join_back(
+    keyed: DataFrame, answers: DataFrame, hot_rows: int | None
+) -> DataFrame:
+    """Join answers back to the rows, splitting hot texts over tasks.
+
+    ``answers`` is a written table ``(__k, __n, answer columns...)``.
+    Hot keys are those with more than ``threshold`` rows; there can be at
+    most total/threshold of them (a bounded list reaches the driver).
+    Each hot key gets ``ceil(n / threshold)`` salt buckets (at most the
+    number of shuffle partitions): its answer row is copied once per
+    bucket and its rows are spread over the buckets by a row hash.
+    """
+    spark = keyed.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = answers.agg(F.sum("__n")).first()[0] or 0
+    threshold = hot_rows or max(MIN_HOT_ROWS, -(-total // (HOT_SHARE * parts)))
+    hot = answers.where(F.col("__n") > threshold).select("__k", "__n").collect()
+    answers = answers.drop("__n")
+    if not hot:
+        return keyed.join(answers, "__k", "left").drop("__k")
+    salts = {r["__k"]: min(parts, -(-r["__n"] // threshold)) for r in hot}
+    salt_of = F.element_at(
+        F.create_map(*[x for k, n in salts.items() for x in (F.lit(k), F.lit(n))]), F.col("__k")
+    )
+    is_hot = F.col("__k").isin(list(salts))
+    row_hash = F.xxhash64(*[F.col(c) for c in keyed.columns], F.monotonically_increasing_id())
+    left = keyed.withColumn("__salt", F.when(is_hot, F.pmod(row_hash, salt_of)).otherwise(F.lit(0)))
+    right = answers.withColumn(
+        "__salt",
+        F.explode(F.when(is_hot, F.sequence(F.lit(0), salt_of - 1)).otherwise(F.array(F.lit(0)))),
+    )
+    return left.join(right, ["__k", "__salt"], "left").drop("__k", "__salt")
+
+
 def generate(
     df: DataFrame,
     text_col: str,
@@ -182,11 +224,18 @@ def generate(
     on_error: str = "fail",
     concurrency: int | None = None,
     error_col: str | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add ``out_col``: the backend's answer to ``text_col`` (raw text).
 
     * NULL texts are not sent; their answer is NULL.
-    * ``dedup``: equal texts are answered once (see module doc).
+    * ``dedup``: equal texts are answered once. The distinct texts and
+      their row counts come from a map-side-combined aggregate; answers
+      are written to the stage folder right away (model calls are never
+      repeated by a retry downstream), then joined back with hot texts
+      salted over several tasks (``hot_rows`` overrides the threshold).
+      Without dedup the rows go through the model where they are, with
+      no shuffle.
     * ``on_error``: ``"fail"`` fails the task (and the job after Spark's
       retries), ``"null"`` keeps going with a NULL answer and the error
       text in ``error_col``.
@@ -201,22 +250,26 @@ def generate(
         keyed = df.withColumn("__k", F.sha2(F.col(text_col), 256))
         distinct = (
             keyed.where(F.col("__k").isNotNull())
-            .select("__k", F.col(text_col).alias("__text"))
-            .dropDuplicates(["__k"])
+            .groupBy("__k")
+            .agg(F.first(text_col).alias("__text"), F.count(F.lit(1)).alias("__n"))
         )
         if concurrency:
             distinct = distinct.repartition(concurrency, "__k")
         schema = T.StructType(
             [
                 T.StructField("__k", T.StringType()),
+                T.StructField("__n", T.LongType()),
                 T.StructField(out_col, T.StringType()),
                 T.StructField(err_col, T.StringType()),
             ]
         )
-        answers = distinct.mapInPandas(
-            _answer_batches(factory, key, "__text", out_col, err_col, batch_size, on_error, True), schema
+        answers = materialize(
+            distinct.mapInPandas(
+                _answer_batches(factory, key, "__text", out_col, err_col, batch_size, on_error, True), schema
+            ),
+            "answers",
         )
-        out = keyed.join(answers, "__k", "left").drop("__k")
+        out = _salted_join_back(keyed, answers, hot_rows)
     else:
         src = df.repartition(concurrency) if concurrency else spread(df)
         schema = T.StructType(

@@ -61,7 +61,8 @@ def cut_key(
     local_limit: int = LOCAL_LIMIT,
     buckets: int = BUCKETS,
 ) -> tuple:
-    """Exact k-th smallest (1-based) tuple of the integral columns ``keys``.
+    """Exact k-th smallest (1-based) tuple of the integral columns ``keys``,
+    or None when ``df`` has fewer than k rows.
 
     The key tuple must be unique and non-NULL in ``df``.
     """
@@ -71,9 +72,7 @@ def cut_key(
     cur = df.select(*keys)
     if k <= topk_limit:
         rows = cur.orderBy(*keys).limit(k).collect()
-        if len(rows) < k:
-            raise ValueError(f"k={k} is larger than the row count {len(rows)}")
-        return tuple(rows[-1])
+        return tuple(rows[-1]) if len(rows) == k else None
     # several passes follow: scan a narrow written copy of the keys, not
     # the (possibly joined, parsed) source each time
     cur = materialize(cur, "cut-keys")
@@ -84,7 +83,7 @@ def cut_key(
     stats = cur.agg(F.count(F.lit(1)), F.min(first), F.max(first)).first()
     n, lo, hi = stats[0], stats[1], stats[2]
     if k > n:
-        raise ValueError(f"k={k} is larger than the row count {n}")
+        return None
     while True:
         if n <= local_limit:
             rows = cur.where(cond).orderBy(*keys).collect()
@@ -127,7 +126,9 @@ def first_rows(df: DataFrame, n: int, order_by: Sequence[str], **cut_options) ->
 
     ``order_by`` plays the role of file order (for example
     ``listing_id, review_pos``) and must be a unique integral key.
-    Other negative values are rejected.
+    Other negative values are rejected. Only key columns are ranked; the
+    rows themselves are kept by a filter, so wide rows never meet in one
+    task. The result is a set (use ``orderBy`` to display it in order).
     """
     if n == -1:
         return df
@@ -136,13 +137,8 @@ def first_rows(df: DataFrame, n: int, order_by: Sequence[str], **cut_options) ->
     if n == 0:
         return df.limit(0)
     order_by = list(order_by)
-    if n <= cut_options.get("topk_limit", TOPK_LIMIT):
-        return df.orderBy(*order_by).limit(n)
-    total = df.count()
-    if n >= total:
-        return df
     cut = cut_key(df, order_by, n, **cut_options)
-    return df.where(_lex_le(order_by, cut))
+    return df if cut is None else df.where(_lex_le(order_by, cut))
 
 
 def first_rows_flag(df: DataFrame, n: int, order_by: Sequence[str], flag: str = "selected", **cut_options) -> DataFrame:
@@ -154,10 +150,9 @@ def first_rows_flag(df: DataFrame, n: int, order_by: Sequence[str], flag: str =
     if n == 0:
         return df.withColumn(flag, F.lit(False))
     order_by = list(order_by)
-    total = df.count()
-    if n >= total:
-        return df.withColumn(flag, F.lit(True))
     cut = cut_key(df, order_by, n, **cut_options)
+    if cut is None:
+        return df.withColumn(flag, F.lit(True))
     return df.withColumn(flag, _lex_le(order_by, cut))
 
 

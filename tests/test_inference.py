@@ -54,9 +54,12 @@ def test_dedup_equals_direct(spark):
 
 
 def test_inference_is_one_map_in_pandas(spark):
-    scored = score(_reviews(spark), LengthScorer, DEFAULT_PROMPTS)
-    plan = scored._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("MapInPandas") == 1
+    direct = score(_reviews(spark), LengthScorer, DEFAULT_PROMPTS, dedup=False)
+    assert direct._jdf.queryExecution().executedPlan().toString().count("MapInPandas") == 1
+    # with dedup the answers were written once; the result reads them back
+    deduped = score(_reviews(spark), LengthScorer, DEFAULT_PROMPTS)
+    plan = deduped._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan and "answers-" in plan
 
 
 def test_score_parses_answers(spark):
@@ -96,3 +99,16 @@ def test_translate_keeps_nulls(spark):
     rows = {(r.listing_id, r.review_pos): r.Review for r in out.collect()}
     assert rows[(2, 0)] is None and rows[(1, 0)] == "[en] good"
     assert F is not None
+
+
+def test_hot_texts_are_salted(spark):
+    # one text holds most rows: with a tiny threshold it is split over buckets
+    rows = [(i, 0, "same text" if i % 3 else f"t{i}", "5") for i in range(300)]
+    df = spark.createDataFrame(rows, REVIEWS)
+    salted = generate(df, "Review", "out", Counting, hot_rows=10)
+    plain = generate(df, "Review", "out", Counting, dedup=False)
+    a = sorted((r.listing_id, r.out) for r in salted.collect())
+    b = sorted((r.listing_id, r.out) for r in plain.collect())
+    assert a == b and len(a) == 300
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "__salt" in plan
