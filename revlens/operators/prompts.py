@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from revlens.functions.text import SLOT, render
 from revlens.schemas import PROMPTS_SCHEMA, REVIEW_COL
 
-# A prompt set multiplies the rows to score; keep it a short list.
+# A prompt set multiplies the rows to score and travels in the plan as a
+# literal: both its length and each template's size are bounded.
 MAX_PROMPTS = 64
+MAX_TEMPLATE_CHARS = 16_384
 
 
 @dataclass(frozen=True)
@@ -30,6 +32,8 @@ class Prompt:
     def __post_init__(self) -> None:
         if SLOT not in self.template:
             raise ValueError(f"prompt {self.prompt_id} has no {SLOT} slot")
+        if len(self.template) > MAX_TEMPLATE_CHARS:
+            raise ValueError(f"prompt {self.prompt_id} is longer than {MAX_TEMPLATE_CHARS} characters")
 
 
 # Our own wording: two Spanish prompts and one English prompt asking for
