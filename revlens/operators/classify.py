@@ -21,10 +21,11 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.functions.text import abs_diff
+from revlens.session import new_stage_path, spread
 
 METHODS = ("svm", "random_forest", "logistic")
 
@@ -76,7 +77,8 @@ def _labelled(df: DataFrame, text_col: str, label_col: str) -> DataFrame:
 
 
 def train_classifier(train: DataFrame, method: str, text_col: str, label_col: str, **options) -> PipelineModel:
-    return text_classifier(method, text_col, label_col, **options).fit(_labelled(train, text_col, label_col))
+    model = text_classifier(method, text_col, label_col, **options).fit(_labelled(train, text_col, label_col))
+    return scoring_copy(model, train.sparkSession)
 
 
 def metrics_from_predictions(
@@ -119,6 +121,21 @@ def metrics_from_predictions(
     )
 
 
+def scoring_copy(model, spark: SparkSession):
+    """The fitted model without its training summary, read back from the
+    stage folder.
+
+    A summary keeps a reference to the session, and ``transform`` ships
+    the model inside the task closure: once the session has run an
+    ``observe`` (A6), that reference can not be serialised. ``copy``
+    keeps the summary for some models (logistic regression), a loaded
+    model never has one. The written model also outlives the driver.
+    """
+    path = new_stage_path(spark, "model")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def compare_methods(
     dev: DataFrame,
     test: DataFrame,
@@ -133,28 +150,37 @@ def compare_methods(
 ) -> DataFrame:
     """D1 + D2: train each method on ``dev``, score it on ``test``.
 
-    Features are computed once, persisted (recomputable from lineage if
-    an executor is lost) and shared by every method, so the iterative
-    optimisers do not re-tokenise the text on each pass.
+    Text is tokenised and hashed once, for dev and test rows together,
+    and the term frequencies are persisted (recomputable from lineage if
+    an executor is lost). IDF weights come from dev rows only; every
+    method and the held-out scoring reuse the same vectors, so the
+    iterative optimisers never re-tokenise the text.
     """
-    train = _labelled(dev, text_col, label_col)
-    held_out = _labelled(test, text_col, label_col)
-    feats = featurizer(text_col, num_features).fit(train)
-    parallelism = train.sparkSession.sparkContext.defaultParallelism
-    train_x = feats.transform(train).select(label_col, "features")
-    if train_x.rdd.getNumPartitions() < parallelism:
-        train_x = train_x.repartition(parallelism)
-    train_x = train_x.persist(StorageLevel.MEMORY_AND_DISK)
-    test_x = feats.transform(held_out).select(label_col, "features")
+    part = "__part"
+    both = (
+        _labelled(dev, text_col, label_col).select(text_col, label_col, F.lit(0).alias(part))
+        .unionByName(_labelled(test, text_col, label_col).select(text_col, label_col, F.lit(1).alias(part)))
+    )
+    tokens = RegexTokenizer(inputCol=text_col, outputCol="__tokens", pattern=TOKEN_PATTERN, toLowercase=True)
+    tf = HashingTF(inputCol="__tokens", outputCol="__tf", numFeatures=num_features)
+    # tokenising is the heavy step: spread a few large input splits over
+    # every core first (a no-op when the input already has enough)
+    hashed = tf.transform(tokens.transform(spread(both))).select(label_col, part, "__tf")
+    hashed = hashed.persist(StorageLevel.MEMORY_AND_DISK)
     tables = []
     try:
+        idf = IDF(inputCol="__tf", outputCol="features", minDocFreq=2).fit(hashed.where(F.col(part) == 0))
+        weighted = idf.transform(hashed).select(label_col, part, "features")
+        train_x = weighted.where(F.col(part) == 0).drop(part)
+        test_x = weighted.where(F.col(part) == 1).drop(part)
         for method in methods:
-            model = _classifier(method, label_col, n_classes, seed).fit(train_x)
+            model = scoring_copy(_classifier(method, label_col, n_classes, seed).fit(train_x), train_x.sparkSession)
+            # a one-row local table: final before the vectors are released
             tables.append(
                 metrics_from_predictions(model.transform(test_x), method, label_col, label_to_score=label_to_score)
             )
     finally:
-        train_x.unpersist()
+        hashed.unpersist()
     out = tables[0]
     for t in tables[1:]:
         out = out.unionByName(t)
