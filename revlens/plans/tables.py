@@ -19,12 +19,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.schemas import REVIEW_COL, SCORE_COL
+from revlens.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The needed ``documents`` columns, spread over every core when the
+    file has fewer splits than the cluster has slots.
+
+    The text is the heavy part of every query that reads it (splitting,
+    hashing, templating), and the test files hold one row group each, so
+    without this the work runs in one task. On large inputs the scan
+    already has enough splits and nothing moves.
+    """
+    docs = table(spark, sf_dir, "documents")
+    return spread(docs.select(*columns) if columns else docs)
+
+
 def real_score_of(quality: str = "quality"):
     """The real score on a 1-10 scale from a 0/1 quality label."""
     return (F.col(quality) * 9 + 1).cast("double")
@@ -38,7 +52,7 @@ def listings(spark: SparkSession, sf_dir: str, fmt: str = "python_literal") -> D
     JSON escaping, which is also valid Python literal syntax and keeps
     every character of every line. json: the same values as JSON.
     """
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang", "n_chars")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     joined = docs.join(labels, "doc_id", "left")
     items = F.transform(F.split(F.col("text"), "\n"), lambda line: F.struct(line.alias("comments")))
@@ -67,7 +81,7 @@ def labelled_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled document. The join is an equi-join on ``doc_id``; AQE picks
     broadcast or sort-merge from the runtime sizes.
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir, "doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     return docs.join(labels, "doc_id").select(
         F.col("doc_id").alias("listing_id"),
@@ -79,7 +93,7 @@ def labelled_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as one review row (no score)."""
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir, "doc_id", "text")
     return docs.select(
         F.col("doc_id").alias("listing_id"),
         F.lit(0).alias("review_pos"),

@@ -61,11 +61,18 @@ def get_session(
 def stage_root(spark: SparkSession) -> str:
     """Folder for materialised stages: ``spark.checkpoint.dir``.
 
-    When the session has none (local runs, tests) a fresh local folder
-    is created and recorded in the session so later calls agree.
+    When a local-mode session has none (local runs, tests) a fresh local
+    folder is created and recorded in the session so later calls agree.
+    On a cluster a machine-local folder would be invisible to the other
+    executors and lost with them, so the setting is required there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder on shared storage: revlens writes "
+                "model answers and other stages there"
+            )
         root = tempfile.mkdtemp(prefix="revlens-stage-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

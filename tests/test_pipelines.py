@@ -57,3 +57,32 @@ def test_evaluate_and_translate(spark, tmp_path):
     translated = run_translate(spark, reviews, str(tmp_path / "t"), PrefixTranslator, limit=3, template="{review}")
     changed = translated.where(F.col("Review").startswith("[en] ")).count()
     assert changed == 3 and translated.count() == 60
+
+
+def test_stage_root_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from revlens.session import stage_root
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return super().get(key, default)
+
+        def set(self, key, value):
+            self[key] = value
+
+    class Context(SimpleNamespace):
+        def getCheckpointDir(self):
+            return self.ckpt
+
+        def setCheckpointDir(self, path):
+            self.ckpt = path
+
+    cluster = SimpleNamespace(conf=Conf(), sparkContext=Context(master="yarn", ckpt=None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        stage_root(cluster)
+    cluster.conf.set("spark.checkpoint.dir", "hdfs:///shared/stages/")
+    assert stage_root(cluster) == "hdfs:///shared/stages"
+    assert cluster.sparkContext.ckpt == "hdfs:///shared/stages/"
