@@ -213,6 +213,13 @@ def _salted_join_back(
     return left.join(right, ["__k", "__salt"], "left").drop("__k", "__salt")
 
 
+def model_tasks(spark) -> int:
+    """Tasks for a model stage: every slot busy, and never fewer than the
+    shuffle partitions the job is sized for."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(spark.sparkContext.defaultParallelism, shuffle)
+
+
 def generate(
     df: DataFrame,
     text_col: str,
@@ -240,7 +247,8 @@ def generate(
       retries), ``"null"`` keeps going with a NULL answer and the error
       text in ``error_col``.
     * ``concurrency``: spread the prompts over exactly that many tasks
-      (bounds the parallel calls a model server sees).
+      (bounds the parallel calls a model server sees); by default the
+      distinct prompts get :func:`model_tasks` tasks.
     """
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
@@ -253,8 +261,11 @@ def generate(
             .groupBy("__k")
             .agg(F.first(text_col).alias("__text"), F.count(F.lit(1)).alias("__n"))
         )
-        if concurrency:
-            distinct = distinct.repartition(concurrency, "__k")
+        # Model calls cost per prompt, not per byte: AQE would coalesce a
+        # few MB of prompts into one or two tasks. An explicit round-robin
+        # count keeps at least one task per slot (a hash exchange on __k
+        # with the aggregate's own count would be dropped as redundant).
+        distinct = distinct.repartition(concurrency or model_tasks(df.sparkSession))
         schema = T.StructType(
             [
                 T.StructField("__k", T.StringType()),

@@ -112,3 +112,23 @@ def test_hot_texts_are_salted(spark):
     assert a == b and len(a) == 300
     plan = salted._jdf.queryExecution().executedPlan().toString()
     assert "__salt" in plan
+
+
+def test_model_stage_keeps_one_task_per_slot(spark):
+    # a few KB of prompts: AQE alone would coalesce them into one task
+    import glob
+    import os
+
+    from revlens.operators.inference import model_tasks
+    from revlens.session import stage_root
+
+    def answer_dirs():
+        return set(glob.glob(f"{stage_root(spark)}/answers-*"))
+
+    before = answer_dirs()
+    df = spark.createDataFrame([(i, f"text {i}") for i in range(500)], "id long, t string")
+    out = generate(df, "t", "out", Counting)
+    (new,) = answer_dirs() - before
+    parts = [f for f in os.listdir(new) if f.startswith("part-")]
+    assert len(parts) == model_tasks(spark) >= spark.sparkContext.defaultParallelism
+    assert sorted(int(r.out) for r in out.collect()) == sorted(len(f"text {i}") for i in range(500))
