@@ -23,12 +23,13 @@ from __future__ import annotations
 import hashlib
 import json
 import urllib.request
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -180,22 +181,26 @@ MIN_HOT_ROWS = 100_000
 
 
 def _salted_join_back(
-    keyed: DataFrame, answers: DataFrame, hot_rows: int | None
+    keyed: DataFrame, answers: DataFrame, hot_rows: int | None, total: int, top: int
 ) -> DataFrame:
     """Join answers back to the rows, splitting hot texts over tasks.
 
-    ``answers`` is a written table ``(__k, __n, answer columns...)``.
-    Hot keys are those with more than ``threshold`` rows; there can be at
-    most total/threshold of them (a bounded list reaches the driver).
-    Each hot key gets ``ceil(n / threshold)`` salt buckets (at most the
-    number of shuffle partitions): its answer row is copied once per
-    bucket and its rows are spread over the buckets by a row hash.
+    ``answers`` is a written table ``(__k, __n, answer columns...)``;
+    ``total`` and ``top`` are the sum and the largest of ``__n``, observed
+    while it was written. Hot keys are those with more than ``threshold``
+    rows; there can be at most total/threshold of them (a bounded list
+    reaches the driver), and none when ``top`` is below the threshold, so
+    the usual case costs no extra job. Each hot key gets
+    ``ceil(n / threshold)`` salt buckets (at most the number of shuffle
+    partitions): its answer row is copied once per bucket and its rows
+    are spread over the buckets by a row hash.
     """
     spark = keyed.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    total = answers.agg(F.sum("__n")).first()[0] or 0
     threshold = hot_rows or max(MIN_HOT_ROWS, -(-total // (HOT_SHARE * parts)))
-    hot = answers.where(F.col("__n") > threshold).select("__k", "__n").collect()
+    hot = []
+    if top > threshold:
+        hot = answers.where(F.col("__n") > threshold).select("__k", "__n").collect()
     answers = answers.drop("__n")
     if not hot:
         return keyed.join(answers, "__k", "left").drop("__k")
@@ -274,13 +279,15 @@ def generate(
                 T.StructField(err_col, T.StringType()),
             ]
         )
-        answers = materialize(
-            distinct.mapInPandas(
-                _answer_batches(factory, key, "__text", out_col, err_col, batch_size, on_error, True), schema
-            ),
-            "answers",
-        )
-        out = _salted_join_back(keyed, answers, hot_rows)
+        # row counts observed during the write (a retried task may add its
+        # count twice: the figures only steer salting, never the result)
+        counts = Observation(f"answers-{uuid.uuid4().hex[:12]}")
+        answered = distinct.mapInPandas(
+            _answer_batches(factory, key, "__text", out_col, err_col, batch_size, on_error, True), schema
+        ).observe(counts, F.sum("__n").alias("total"), F.max("__n").alias("top"))
+        answers = materialize(answered, "answers")
+        seen = counts.get
+        out = _salted_join_back(keyed, answers, hot_rows, seen.get("total") or 0, seen.get("top") or 0)
     else:
         src = df.repartition(concurrency) if concurrency else spread(df)
         schema = T.StructType(
