@@ -11,6 +11,7 @@ statistics); nothing is collected but model coefficients and metrics.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -173,12 +174,17 @@ def compare_methods(
         weighted = idf.transform(hashed).select(label_col, part, "features")
         train_x = weighted.where(F.col(part) == 0).drop(part)
         test_x = weighted.where(F.col(part) == 1).drop(part)
-        for method in methods:
+
+        def fit_and_score(method: str) -> DataFrame:
             model = scoring_copy(_classifier(method, label_col, n_classes, seed).fit(train_x), train_x.sparkSession)
             # a one-row local table: final before the vectors are released
-            tables.append(
-                metrics_from_predictions(model.transform(test_x), method, label_col, label_to_score=label_to_score)
-            )
+            return metrics_from_predictions(model.transform(test_x), method, label_col, label_to_score=label_to_score)
+
+        # The methods are independent jobs over the same cached vectors;
+        # submitted from separate threads, Spark runs them side by side,
+        # so the many small jobs of one optimiser do not leave slots idle.
+        with ThreadPoolExecutor(max_workers=len(methods)) as pool:
+            tables = list(pool.map(fit_and_score, methods))
     finally:
         hashed.unpersist()
     out = tables[0]

@@ -15,6 +15,7 @@ dedup and join-back, parsing, aggregation), not model quality.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -228,10 +229,18 @@ def q_classifier_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagged = exact_split(labelled, "listing_id", TEST_SIZE, SEED, flag="part")
     dev = tagged.where(F.col("part") == "dev")
     test = tagged.where(F.col("part") == "test")
-    classical = compare_methods(
-        dev, test, REVIEW_COL, "quality", ("svm", "random_forest"), label_to_score=lambda c: c * 9 + 1
-    )
-    ev = evaluate(labelled, LengthScorer, ANCHOR_PROMPTS, limit=-1, test_size=TEST_SIZE, seed=SEED, key=("listing_id",))
+    # classical training and generative scoring are independent jobs:
+    # submitted from two threads, Spark runs them side by side
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        classical_job = pool.submit(
+            compare_methods, dev, test, REVIEW_COL, "quality", ("svm", "random_forest"),
+            label_to_score=lambda c: c * 9 + 1,
+        )
+        ev_job = pool.submit(
+            evaluate, labelled, LengthScorer, ANCHOR_PROMPTS,
+            limit=-1, test_size=TEST_SIZE, seed=SEED, key=("listing_id",),
+        )
+        classical, ev = classical_job.result(), ev_job.result()
     generative = generative_metrics(
         ev.test, SCORE_COL, PRED_COL, "quality",
         score_to_label=lambda c: F.when(c >= 5.5, 1.0).when(c.isNotNull(), 0.0),
