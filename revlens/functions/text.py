@@ -16,8 +16,10 @@ from revlens.schemas import NA_TOKENS
 # digits. Spark's try_cast alone would also accept '8d' / '8f'.
 NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
-# Leading/trailing whitespace as str.strip() sees it (Unicode aware).
-_EDGE_SPACE = r"(?U)^\s+|\s+$"
+# Leading/trailing whitespace as str.strip() sees it: Unicode White_Space
+# (Java's (?U)\s) plus the four separators U+001C..U+001F, which Python
+# also counts as whitespace.
+_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 SLOT = "{review}"
 
@@ -35,10 +37,13 @@ def parse_number(c: Column | str) -> Column:
     """text -> double, NULL when it is not a plain decimal number.
 
     The text is stripped first (the model answer is). No range check:
-    0, 11 and -3 pass. NaN can not come out, so averages stay NULL-aware.
+    0, 11 and -3 pass. Neither NaN nor an infinity can come out (``1e999``
+    overflows to one, as ``inf`` would), so averages stay finite and
+    NULL-aware.
     """
     s = strip(c)
-    return F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
+    value = s.try_cast("double")
+    return F.when(s.rlike(NUMBER_PATTERN) & (F.abs(value) < F.lit(float("inf"))), value)
 
 
 def comma_decimal(c: Column | str) -> Column:
