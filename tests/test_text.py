@@ -11,6 +11,7 @@ ANSWERS = [
     ("8d", None), ("8f", None), ("1D", None),
     ("nan", None), ("inf", None), ("1_0", None), ("８", None), (None, None),
     (" 8 ", 8.0),
+    ("1e999", None), ("-1e400", None), ("\x1c8\x1f", 8.0), ("\u30008\u2003", 8.0),
 ]
 
 
