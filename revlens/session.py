@@ -111,9 +111,24 @@ def spread(df, min_partitions: int | None = None):
     Python step in a few tasks; large inputs already have many
     partitions and are returned untouched (no shuffle).
     """
-    if df.isStreaming:
+    if df.isStreaming or moves_data(df):
         return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+def moves_data(df) -> bool:
+    """Whether the physical plan holds an exchange (shuffle or broadcast).
+
+    Such a frame is already partitioned by a shuffle sized for the job;
+    asking it for its partition count would also run those stages right
+    away (adaptive execution plans stage by stage), and the real job would
+    run them again. Reading the plan only plans it.
+    """
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001 - plan text only
+    except Exception:  # noqa: BLE001 - plan not reachable: do not touch the frame
+        return True
+    return "Exchange" in plan

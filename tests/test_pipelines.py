@@ -86,3 +86,21 @@ def test_stage_root_needs_a_shared_folder_on_a_cluster():
     cluster.conf.set("spark.checkpoint.dir", "hdfs:///shared/stages/")
     assert stage_root(cluster) == "hdfs:///shared/stages"
     assert cluster.sparkContext.ckpt == "hdfs:///shared/stages/"
+
+
+def test_spread_never_runs_upstream_stages(spark):
+    from revlens.session import spread
+
+    sc = spark.sparkContext
+
+    def last_job():
+        return max(sc.statusTracker().getJobIdsForGroup(None) or [-1])
+
+    src = spark.range(0, 1000, numPartitions=3)
+    shuffled = src.groupBy((src.id % 7).alias("k")).count()
+    before = last_job()
+    assert spread(shuffled) is shuffled  # sized by its shuffle already
+    assert last_job() == before  # and nothing ran to find that out
+    spread_src = spread(src)
+    assert last_job() == before
+    assert spread_src.rdd.getNumPartitions() == sc.defaultParallelism
