@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revlens.functions.text import parse_number, strip
-from revlens.operators.prompts import DEFAULT_PROMPTS, TRANSLATE_TEMPLATE, Prompt, with_prompt, with_prompts
+from revlens.operators.prompts import DEFAULT_PROMPTS, TRANSLATE_TEMPLATE, Prompt, as_prompts, with_prompt, with_prompts
 from revlens.operators.sampling import first_rows_flag
 from revlens.schemas import PRED_COL, REVIEW_COL
 from revlens.session import spread
@@ -325,9 +325,12 @@ def score(
     """
     if isinstance(prompts, Prompt):
         prompted = with_prompt(df, prompts, review_col, "__prompt_text")
+        answered = generate(prompted, "__prompt_text", "__answer", factory, **generate_options)
+    elif generate_options.get("dedup", True):
+        answered = _answers_by_review(df, factory, as_prompts(prompts), review_col, **generate_options)
     else:
         prompted = with_prompts(df, prompts, review_col, "__prompt_text")
-    answered = generate(prompted, "__prompt_text", "__answer", factory, **generate_options)
+        answered = generate(prompted, "__prompt_text", "__answer", factory, **generate_options)
     return (
         answered.withColumn("response", strip("__answer"))
         .withColumn(PRED_COL, parse_number("response"))
@@ -335,6 +338,65 @@ def score(
     )
 
 
+def _answers_by_review(
+    df: DataFrame,
+    factory: BackendFactory,
+    prompts: list[Prompt],
+    review_col: str,
+    *,
+    dedup: bool = True,
+    batch_size: int = 16,
+    on_error: str = "fail",
+    concurrency: int | None = None,
+    error_col: str | None = None,
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """Every row under every prompt, answered once per distinct review.
+
+    The prompts are applied after the dedup, not before: the distinct
+    step shuffles each review text once (not once per prompt), and the
+    model sees one row per (distinct review, prompt). The answers table
+    holds one row per prompt for each review, so the join-back moves each
+    input row once and the rows multiply by the prompt count only in the
+    join's output, after the exchange. A NULL review gets the key ``""``:
+    its prompts render NULL, are never sent, and it is salted like any
+    other hot key. Output as :func:`generate` over :func:`with_prompts`:
+    the input columns, ``prompt_id``, ``__answer`` and ``error_col`` when
+    asked for.
+    """
+    if on_error not in ON_ERROR:
+        raise ValueError(f"on_error must be one of {ON_ERROR}")
+    spark = df.sparkSession
+    err_col = error_col or "__answer_error"
+    keyed = df.withColumn("__k", F.coalesce(F.sha2(F.col(review_col), 256), F.lit("")))
+    distinct = keyed.groupBy("__k").agg(F.first(review_col).alias("__review"), F.count(F.lit(1)).alias("__n"))
+    prompted = with_prompts(distinct, prompts, "__review", "__prompt_text").select(
+        "__k", "__n", "prompt_id", "__prompt_text"
+    )
+    # sized by prompts, not bytes (see generate)
+    prompted = prompted.repartition(concurrency or model_tasks(spark))
+    schema = T.StructType(
+        [
+            T.StructField("__k", T.StringType()),
+            T.StructField("__n", T.LongType()),
+            T.StructField("prompt_id", T.IntegerType()),
+            T.StructField("__answer", T.StringType()),
+            T.StructField(err_col, T.StringType()),
+        ]
+    )
+    counts = Observation(f"answers-{uuid.uuid4().hex[:12]}")
+    answered = prompted.mapInPandas(
+        _answer_batches(factory, factory_key(factory), "__prompt_text", "__answer", err_col, batch_size, on_error, True),
+        schema,
+    ).observe(counts, F.sum("__n").alias("total"), F.max("__n").alias("top"))
+    answers = materialize(answered, "answers")
+    seen = counts.get
+    # every review was answered once per prompt
+    total = (seen.get("total") or 0) // len(prompts)
+    out = _salted_join_back(keyed, answers, hot_rows, total, seen.get("top") or 0)
+    return out if error_col else out.drop(err_col)
+
+
 # ---------------------------------------------------------------------------
 # translation
 # ---------------------------------------------------------------------------

@@ -132,3 +132,27 @@ def test_model_stage_keeps_one_task_per_slot(spark):
     parts = [f for f in os.listdir(new) if f.startswith("part-")]
     assert len(parts) == model_tasks(spark) >= spark.sparkContext.defaultParallelism
     assert sorted(int(r.out) for r in out.collect()) == sorted(len(f"text {i}") for i in range(500))
+
+
+def test_score_by_review_equals_direct(spark):
+    # duplicates, NULL reviews and one hot review (salted with hot_rows=5)
+    rows = [(i, 0, None if i % 11 == 0 else ("same" if i % 2 else f"r{i % 9}"), "5") for i in range(60)]
+    df = spark.createDataFrame(rows, REVIEWS)
+    cols = ["listing_id", "review_pos", "prompt_id", "response", "predicho", "err"]
+    by_review = score(df, LengthScorer, DEFAULT_PROMPTS, hot_rows=5, error_col="err", on_error="null")
+    direct = score(df, LengthScorer, DEFAULT_PROMPTS, dedup=False, error_col="err", on_error="null")
+    assert by_review.columns == direct.columns
+    a = sorted(tuple(r) for r in by_review.select(*cols).collect())
+    b = sorted(tuple(r) for r in direct.select(*cols).collect())
+    assert a == b and len(a) == 60 * len(DEFAULT_PROMPTS)
+    assert dict(by_review.dtypes)["prompt_id"] == "int"
+
+
+def test_rows_cross_the_join_back_once(spark):
+    # prompts were applied to the distinct reviews before the model; the
+    # rows are not exploded per prompt anywhere in the final plan, they
+    # multiply only in the join's output
+    scored = score(_reviews(spark), LengthScorer, DEFAULT_PROMPTS)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "Generate" not in plan
+    assert scored.count() == 5 * len(DEFAULT_PROMPTS)
