@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -132,3 +133,39 @@ def moves_data(df) -> bool:
     except Exception:  # noqa: BLE001 - plan not reachable: do not touch the frame
         return True
     return "Exchange" in plan
+
+
+# SparkContexts that already received the package, by their application id.
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> str | None:
+    """Make ``revlens`` importable in the Python workers, as
+    ``spark-submit --py-files revlens.zip`` would.
+
+    Python UDFs and ``mapInPandas`` functions are unpickled in worker
+    processes, which do not see the driver's ``sys.path``. The package is
+    zipped once per application and added with ``addPyFile``; Spark ships
+    it to every executor. Returns the zip, or None when already shipped.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return None
+    target = package_zip(tempfile.mkdtemp(prefix="revlens-pyfiles-"))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
+    return target
+
+
+def package_zip(folder: str) -> str:
+    """``<folder>/revlens.zip`` holding every module of the package."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(folder, "revlens.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _dirs, files in os.walk(package):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(package)))
+    return target

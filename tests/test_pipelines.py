@@ -104,3 +104,20 @@ def test_spread_never_runs_upstream_stages(spark):
     spread_src = spread(src)
     assert last_job() == before
     assert spread_src.rdd.getNumPartitions() == sc.defaultParallelism
+
+
+def test_package_is_shipped_once_with_every_module(spark, tmp_path):
+    import os
+    import zipfile
+
+    from revlens import session
+
+    names = set(zipfile.ZipFile(session.package_zip(str(tmp_path))).namelist())
+    package = os.path.dirname(session.__file__)
+    for folder, _dirs, files in os.walk(package):
+        for name in files:
+            if name.endswith(".py"):
+                assert os.path.relpath(os.path.join(folder, name), os.path.dirname(package)) in names
+    assert "revlens/operators/inference.py" in names
+    session.ship_package(spark)
+    assert session.ship_package(spark) is None  # once per application
