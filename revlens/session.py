@@ -56,6 +56,7 @@ def get_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     stage_root(spark)
+    ship_package(spark)
     return spark
 
 
