@@ -9,6 +9,7 @@ and tests).
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -146,27 +147,43 @@ def ship_package(spark: SparkSession) -> str | None:
 
     Python UDFs and ``mapInPandas`` functions are unpickled in worker
     processes, which do not see the driver's ``sys.path``. The package is
-    zipped once per application and added with ``addPyFile``; Spark ships
-    it to every executor. Returns the zip, or None when already shipped.
+    zipped once per application into the stage folder (shared storage on
+    a cluster) and added with ``addPyFile``; Spark ships it to every
+    executor. Returns the zip's path, or None when already shipped.
     """
     sc = spark.sparkContext
     app = sc.applicationId
     if app in _SHIPPED:
         return None
-    target = package_zip(tempfile.mkdtemp(prefix="revlens-pyfiles-"))
+    target = f"{stage_root(spark)}/pyfiles-{uuid.uuid4().hex[:12]}/revlens.zip"
+    data = package_zip()
+    if is_local_path(target):
+        local = local_fs_path(target)
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        with open(local, "wb") as fh:
+            fh.write(data)
+    else:
+        jvm = sc._jvm  # noqa: SLF001 - Hadoop FS is only reachable here
+        hadoop_path = jvm.org.apache.hadoop.fs.Path(target)
+        fs = hadoop_path.getFileSystem(sc._jsc.hadoopConfiguration())  # noqa: SLF001
+        out = fs.create(hadoop_path, True)
+        try:
+            out.write(bytearray(data))
+        finally:
+            out.close()
     sc.addPyFile(target)
     _SHIPPED.add(app)
     return target
 
 
-def package_zip(folder: str) -> str:
-    """``<folder>/revlens.zip`` holding every module of the package."""
+def package_zip() -> bytes:
+    """A zip holding every module of the package, built in memory."""
     package = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(folder, "revlens.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as zf:
         for root, _dirs, files in os.walk(package):
             for name in files:
                 if name.endswith(".py"):
                     full = os.path.join(root, name)
                     zf.write(full, os.path.relpath(full, os.path.dirname(package)))
-    return target
+    return buffer.getvalue()
