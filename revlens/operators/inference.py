@@ -37,7 +37,7 @@ from revlens.functions.text import parse_number, strip
 from revlens.operators.prompts import DEFAULT_PROMPTS, TRANSLATE_TEMPLATE, Prompt, as_prompts, with_prompt, with_prompts
 from revlens.operators.sampling import first_rows_flag
 from revlens.schemas import PRED_COL, REVIEW_COL
-from revlens.session import spread
+from revlens.session import path_exists, spread
 from revlens.sources.stage import materialize
 
 ON_ERROR = ("fail", "null")
@@ -225,6 +225,72 @@ def model_tasks(spark) -> int:
     return max(spark.sparkContext.defaultParallelism, shuffle)
 
 
+def _call_model(
+    rows: DataFrame,
+    text_col: str,
+    out_col: str,
+    err_col: str,
+    factory: BackendFactory,
+    *,
+    batch_size: int,
+    on_error: str,
+    tasks: int,
+    answer_store: str | None,
+) -> DataFrame:
+    """Answer ``text_col`` for every row: all other columns, ``out_col``
+    and ``err_col``. NULL texts are not sent.
+
+    ``answer_store``: a Parquet folder of earlier answers, keyed by the
+    backend's fingerprint and the prompt's sha-256. Stored prompts are not
+    sent again (left anti join); new answers are written once to the stage
+    folder, then appended to the store, so a re-run after a failed job
+    only pays for what is missing. Failed prompts are reported but not
+    stored, so the next run retries them. The store is read de-duplicated,
+    so concurrent runs that stored the same prompt never duplicate rows.
+    """
+    key = factory_key(factory)
+    kernel = _answer_batches(factory, key, text_col, out_col, err_col, batch_size, on_error, True)
+    if answer_store is None:
+        schema = T.StructType(
+            [
+                *[f for f in rows.schema.fields if f.name != text_col],
+                T.StructField(out_col, T.StringType()),
+                T.StructField(err_col, T.StringType()),
+            ]
+        )
+        return rows.repartition(tasks).mapInPandas(kernel, schema)
+
+    spark = rows.sparkSession
+    with_pk = rows.withColumn("__pk", F.sha2(F.col(text_col), 256))
+    texts = with_pk.where(F.col("__pk").isNotNull()).select("__pk", text_col).dropDuplicates(["__pk"])
+    if path_exists(spark, answer_store):
+        known = spark.read.parquet(answer_store).where(F.col("model") == key).select(F.col("prompt_sha256").alias("__pk"))
+        texts = texts.join(known, "__pk", "left_anti")
+    schema = T.StructType(
+        [
+            T.StructField("__pk", T.StringType()),
+            T.StructField(out_col, T.StringType()),
+            T.StructField(err_col, T.StringType()),
+        ]
+    )
+    fresh = materialize(texts.repartition(tasks).mapInPandas(kernel, schema), "answers-new")
+    (
+        fresh.where(F.col(err_col).isNull())
+        .select(F.lit(key).alias("model"), F.col("__pk").alias("prompt_sha256"), F.col(out_col).alias("answer"))
+        .write.mode("append")
+        .parquet(answer_store)
+    )
+    stored = (
+        spark.read.parquet(answer_store)
+        .where(F.col("model") == key)
+        .groupBy(F.col("prompt_sha256").alias("__pk"))
+        .agg(F.first("answer").alias(out_col))
+        .withColumn(err_col, F.lit(None).cast("string"))
+    )
+    failed = fresh.where(F.col(err_col).isNotNull())
+    return with_pk.drop(text_col).join(stored.unionByName(failed), "__pk", "left").drop("__pk")
+
+
 def generate(
     df: DataFrame,
     text_col: str,
@@ -237,6 +303,7 @@ def generate(
     concurrency: int | None = None,
     error_col: str | None = None,
     hot_rows: int | None = None,
+    answer_store: str | None = None,
 ) -> DataFrame:
     """Add ``out_col``: the backend's answer to ``text_col`` (raw text).
 
@@ -254,6 +321,8 @@ def generate(
     * ``concurrency``: spread the prompts over exactly that many tasks
       (bounds the parallel calls a model server sees); by default the
       distinct prompts get :func:`model_tasks` tasks.
+    * ``answer_store``: reuse and extend a folder of earlier answers
+      (see :func:`_call_model`); dedup path only.
     """
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
@@ -270,20 +339,13 @@ def generate(
         # few MB of prompts into one or two tasks. An explicit round-robin
         # count keeps at least one task per slot (a hash exchange on __k
         # with the aggregate's own count would be dropped as redundant).
-        distinct = distinct.repartition(concurrency or model_tasks(df.sparkSession))
-        schema = T.StructType(
-            [
-                T.StructField("__k", T.StringType()),
-                T.StructField("__n", T.LongType()),
-                T.StructField(out_col, T.StringType()),
-                T.StructField(err_col, T.StringType()),
-            ]
-        )
+        tasks = concurrency or model_tasks(df.sparkSession)
         # row counts observed during the write (a retried task may add its
         # count twice: the figures only steer salting, never the result)
         counts = Observation(f"answers-{uuid.uuid4().hex[:12]}")
-        answered = distinct.mapInPandas(
-            _answer_batches(factory, key, "__text", out_col, err_col, batch_size, on_error, True), schema
+        answered = _call_model(
+            distinct, "__text", out_col, err_col, factory,
+            batch_size=batch_size, on_error=on_error, tasks=tasks, answer_store=answer_store,
         ).observe(counts, F.sum("__n").alias("total"), F.max("__n").alias("top"))
         answers = materialize(answered, "answers")
         seen = counts.get
@@ -350,6 +412,7 @@ def _answers_by_review(
     concurrency: int | None = None,
     error_col: str | None = None,
     hot_rows: int | None = None,
+    answer_store: str | None = None,
 ) -> DataFrame:
     """Every row under every prompt, answered once per distinct review.
 
@@ -373,21 +436,11 @@ def _answers_by_review(
     prompted = with_prompts(distinct, prompts, "__review", "__prompt_text").select(
         "__k", "__n", "prompt_id", "__prompt_text"
     )
-    # sized by prompts, not bytes (see generate)
-    prompted = prompted.repartition(concurrency or model_tasks(spark))
-    schema = T.StructType(
-        [
-            T.StructField("__k", T.StringType()),
-            T.StructField("__n", T.LongType()),
-            T.StructField("prompt_id", T.IntegerType()),
-            T.StructField("__answer", T.StringType()),
-            T.StructField(err_col, T.StringType()),
-        ]
-    )
     counts = Observation(f"answers-{uuid.uuid4().hex[:12]}")
-    answered = prompted.mapInPandas(
-        _answer_batches(factory, factory_key(factory), "__prompt_text", "__answer", err_col, batch_size, on_error, True),
-        schema,
+    # sized by prompts, not bytes (see generate)
+    answered = _call_model(
+        prompted, "__prompt_text", "__answer", err_col, factory,
+        batch_size=batch_size, on_error=on_error, tasks=concurrency or model_tasks(spark), answer_store=answer_store,
     ).observe(counts, F.sum("__n").alias("total"), F.max("__n").alias("top"))
     answers = materialize(answered, "answers")
     seen = counts.get

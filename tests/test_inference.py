@@ -156,3 +156,57 @@ def test_rows_cross_the_join_back_once(spark):
     plan = scored._jdf.queryExecution().executedPlan().toString()
     assert "Join" in plan and "Generate" not in plan
     assert scored.count() == 5 * len(DEFAULT_PROMPTS)
+
+
+ANSWERED_ONCE = {f"text {i}" for i in range(20)}
+
+
+class RefuseKnown:
+    """Answers like Counting but refuses prompts answered by an earlier
+    run: resuming from the store must never send them again."""
+
+    def generate(self, prompts):
+        again = [p for p in prompts if p in ANSWERED_ONCE]
+        if again:
+            raise RuntimeError(f"asked again: {again[:3]}")
+        return [str(len(p)) for p in prompts]
+
+
+def test_answer_store_resumes_without_asking_again(spark, tmp_path):
+    from revlens.operators.inference import factory_key
+
+    # an earlier run answered 20 prompts into a store
+    earlier = str(tmp_path / "earlier")
+    first = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "id long, t string")
+    out1 = generate(first, "t", "out", Counting, answer_store=earlier)
+    assert sorted(int(r.out) for r in out1.collect()) == sorted(len(f"text {i}") for i in range(20))
+    # hand those answers to RefuseKnown, which fails if asked for any of them
+    store = str(tmp_path / "store")
+    spark.read.parquet(earlier).withColumn("model", F.lit(factory_key(RefuseKnown))).write.parquet(store)
+
+    both = spark.createDataFrame([(i, f"text {i}") for i in range(40)] + [(99, None)], "id long, t string")
+    rows = {r.id: r.out for r in generate(both, "t", "out", RefuseKnown, answer_store=store).collect()}
+    assert rows[99] is None
+    assert all(rows[i] == str(len(f"text {i}")) for i in range(40))
+    # the 20 new answers were added once
+    stored = spark.read.parquet(store)
+    assert stored.count() == stored.select("prompt_sha256").distinct().count() == 40
+
+
+def test_answer_store_keeps_failures_out(spark, tmp_path):
+    store = str(tmp_path / "store")
+    df = spark.createDataFrame([(1, "fine"), (2, "boom")], "id long, t string")
+    out = generate(df, "t", "out", Failing, on_error="null", error_col="err", batch_size=1, answer_store=store)
+    rows = {r.id: (r.out, r.err) for r in out.collect()}
+    assert rows[1] == ("FINE", None) and rows[2][0] is None and "model down" in rows[2][1]
+    assert spark.read.parquet(store).count() == 1  # only the success
+
+
+def test_score_with_answer_store_equals_without(spark, tmp_path):
+    store = str(tmp_path / "store")
+    cols = ["listing_id", "review_pos", "prompt_id", "response", "predicho"]
+    plain = sorted(tuple(r) for r in score(_reviews(spark), LengthScorer, DEFAULT_PROMPTS).select(*cols).collect())
+    for _ in range(2):  # second run answers everything from the store
+        stored = score(_reviews(spark), LengthScorer, DEFAULT_PROMPTS, answer_store=store)
+        assert sorted(tuple(r) for r in stored.select(*cols).collect()) == plain
+    assert spark.read.parquet(store).count() == spark.read.parquet(store).select("prompt_sha256").distinct().count()
