@@ -240,8 +240,9 @@ def _call_model(
     """Answer ``text_col`` for every row: all other columns, ``out_col``
     and ``err_col``. NULL texts are not sent.
 
-    ``answer_store``: a Parquet folder of earlier answers, keyed by the
-    backend's fingerprint and the prompt's sha-256. Stored prompts are not
+    ``answer_store``: a Parquet folder of earlier answers (one
+    ``run=<id>`` folder per run), keyed by the backend's fingerprint and
+    the prompt's sha-256. Stored prompts are not
     sent again (left anti join); new answers are written once to the stage
     folder, then appended to the store, so a re-run after a failed job
     only pays for what is missing. Failed prompts are reported but not
@@ -274,11 +275,11 @@ def _call_model(
         ]
     )
     fresh = materialize(texts.repartition(tasks).mapInPandas(kernel, schema), "answers-new")
+    # each run adds its own folder: concurrent writers never share one
     (
         fresh.where(F.col(err_col).isNull())
         .select(F.lit(key).alias("model"), F.col("__pk").alias("prompt_sha256"), F.col(out_col).alias("answer"))
-        .write.mode("append")
-        .parquet(answer_store)
+        .write.parquet(f"{answer_store.rstrip('/')}/run={uuid.uuid4().hex}")
     )
     stored = (
         spark.read.parquet(answer_store)
@@ -287,7 +288,8 @@ def _call_model(
         .agg(F.first("answer").alias(out_col))
         .withColumn(err_col, F.lit(None).cast("string"))
     )
-    failed = fresh.where(F.col(err_col).isNotNull())
+    # a prompt another run stored meanwhile is answered from the store
+    failed = fresh.where(F.col(err_col).isNotNull()).join(stored.select("__pk"), "__pk", "left_anti")
     return with_pk.drop(text_col).join(stored.unionByName(failed), "__pk", "left").drop("__pk")
 
 

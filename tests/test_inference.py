@@ -182,7 +182,8 @@ def test_answer_store_resumes_without_asking_again(spark, tmp_path):
     assert sorted(int(r.out) for r in out1.collect()) == sorted(len(f"text {i}") for i in range(20))
     # hand those answers to RefuseKnown, which fails if asked for any of them
     store = str(tmp_path / "store")
-    spark.read.parquet(earlier).withColumn("model", F.lit(factory_key(RefuseKnown))).write.parquet(store)
+    seed = spark.read.parquet(earlier).drop("run").withColumn("model", F.lit(factory_key(RefuseKnown)))
+    seed.write.parquet(f"{store}/run=seed")
 
     both = spark.createDataFrame([(i, f"text {i}") for i in range(40)] + [(99, None)], "id long, t string")
     rows = {r.id: r.out for r in generate(both, "t", "out", RefuseKnown, answer_store=store).collect()}
