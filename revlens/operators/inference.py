@@ -188,9 +188,9 @@ def _salted_join_back(
     ``answers`` is a written table ``(__k, __n, answer columns...)``;
     ``total`` and ``top`` are the sum and the largest of ``__n``, observed
     while it was written. Hot keys are those with more than ``threshold``
-    rows; there can be at most total/threshold of them (a bounded list
-    reaches the driver), and none when ``top`` is below the threshold, so
-    the usual case costs no extra job. Each hot key gets
+    rows; there can be at most total/threshold of them (a bounded table,
+    broadcast), and none when ``top`` is below the threshold, so the usual
+    case costs no extra work. Each hot key gets
     ``ceil(n / threshold)`` salt buckets (at most the number of shuffle
     partitions): its answer row is copied once per bucket and its rows
     are spread over the buckets by a row hash.
@@ -198,22 +198,27 @@ def _salted_join_back(
     spark = keyed.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     threshold = hot_rows or max(MIN_HOT_ROWS, -(-total // (HOT_SHARE * parts)))
-    hot = []
-    if top > threshold:
-        hot = answers.where(F.col("__n") > threshold).select("__k", "__n").collect()
-    answers = answers.drop("__n")
-    if not hot:
-        return keyed.join(answers, "__k", "left").drop("__k")
-    salts = {r["__k"]: min(parts, -(-r["__n"] // threshold)) for r in hot}
-    salt_of = F.element_at(
-        F.create_map(*[x for k, n in salts.items() for x in (F.lit(k), F.lit(n))]), F.col("__k")
+    if top <= threshold:
+        return keyed.join(answers.drop("__n"), "__k", "left").drop("__k")
+    # Hot keys and their bucket counts stay a table: at most
+    # total/threshold <= HOT_SHARE * parts keys, a proven bound, so it is
+    # broadcast to both sides (nothing reaches the driver, no literals).
+    hot = F.broadcast(
+        answers.where(F.col("__n") > threshold)
+        .groupBy("__k")
+        .agg(F.least(F.lit(parts), F.ceil(F.max("__n") / F.lit(threshold))).cast("int").alias("__salts"))
     )
-    is_hot = F.col("__k").isin(list(salts))
     row_hash = F.xxhash64(*[F.col(c) for c in keyed.columns], F.monotonically_increasing_id())
-    left = keyed.withColumn("__salt", F.when(is_hot, F.pmod(row_hash, salt_of)).otherwise(F.lit(0)))
-    right = answers.withColumn(
-        "__salt",
-        F.explode(F.when(is_hot, F.sequence(F.lit(0), salt_of - 1)).otherwise(F.array(F.lit(0)))),
+    left = (
+        keyed.join(hot, "__k", "left")
+        .withColumn("__salt", F.when(F.col("__salts").isNull(), F.lit(0)).otherwise(F.pmod(row_hash, F.col("__salts"))))
+        .drop("__salts")
+    )
+    right = (
+        answers.drop("__n")
+        .join(hot, "__k", "left")
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)))
+        .drop("__salts")
     )
     return left.join(right, ["__k", "__salt"], "left").drop("__k", "__salt")
 
