@@ -122,3 +122,18 @@ def test_package_is_shipped_once_with_every_module(spark):
     assert "revlens/operators/inference.py" in names
     session.ship_package(spark)
     assert session.ship_package(spark) is None  # once per application
+
+
+def test_evaluate_resumes_from_an_answer_store(spark, tmp_path):
+    rows = [(i, 0, f"review number {i} " + "y" * (i % 7), str(1 + i % 10)) for i in range(40)]
+    reviews = spark.createDataFrame(rows, "listing_id long, review_pos int, Review string, Review_Score string")
+    prompts = [Prompt(0, "en", "Score: {review}"), Prompt(1, "en", "Rate this one: {review}")]
+    store = str(tmp_path / "store")
+    first = evaluate(reviews, LengthScorer, prompts, limit=-1, answer_store=store)
+    n_stored = spark.read.parquet(store).count()
+    # 32 dev reviews x 2 prompts + 8 test reviews x the chosen prompt
+    assert n_stored == 32 * 2 + 8
+    second = evaluate(reviews, LengthScorer, prompts, limit=-1, answer_store=store)
+    assert spark.read.parquet(store).count() == n_stored  # nothing new was asked
+    assert (first.prompt.prompt_id, first.dev_mae) == (second.prompt.prompt_id, second.dev_mae)
+    assert first.summary.first() == second.summary.first()
