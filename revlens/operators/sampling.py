@@ -12,7 +12,9 @@ and once the candidates are few their keys are collected and sorted.
 A single key value that holds a third of all rows is handled by moving
 on to the next key column, never by loading it into one task.
 For small k the cut comes from ``orderBy(keys).limit(k)``, whose per-task
-top-k keeps at most k keys per task.
+top-k keeps at most k keys per task; since every task sends those to the
+driver, that path is taken only while k times the partition count is
+within ``TOPK_BUDGET``.
 """
 
 from __future__ import annotations
@@ -23,10 +25,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revlens.session import moves_data
 from revlens.sources.stage import materialize
 
-# The top-k path is used for k up to this many rows.
+# The top-k path is used for k up to this many rows, and only while k
+# times the number of input partitions stays within TOPK_BUDGET: every
+# task sends its own k smallest keys to the driver for the final merge.
 TOPK_LIMIT = 10_000
+TOPK_BUDGET = 2_000_000
 # Candidates at or below this count are collected and sorted on the driver.
 LOCAL_LIMIT = 50_000
 BUCKETS = 4_096
@@ -52,12 +58,21 @@ def _bucket(c: Column, lo: int, hi: int, buckets: int) -> Column:
     )
 
 
+def _partitions(df: DataFrame) -> int:
+    """Input partitions of ``df`` without running anything: behind an
+    exchange the shuffle partition setting, else the scan's splits."""
+    if moves_data(df):
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.rdd.getNumPartitions()
+
+
 def cut_key(
     df: DataFrame,
     keys: Sequence[str],
     k: int,
     *,
     topk_limit: int = TOPK_LIMIT,
+    topk_budget: int = TOPK_BUDGET,
     local_limit: int = LOCAL_LIMIT,
     buckets: int = BUCKETS,
 ) -> tuple:
@@ -70,7 +85,7 @@ def cut_key(
     if k < 1:
         raise ValueError("k must be at least 1")
     cur = df.select(*keys)
-    if k <= topk_limit:
+    if k <= topk_limit and k * _partitions(cur) <= topk_budget:
         rows = cur.orderBy(*keys).limit(k).collect()
         return tuple(rows[-1]) if len(rows) == k else None
     # several passes follow: scan a narrow written copy of the keys, not

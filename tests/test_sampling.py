@@ -79,3 +79,15 @@ def test_dev_test_composite_key(spark):
     assert test.count() == 8 and dev.count() == 32
     assert dev.join(test, ["listing_id", "review_pos"]).count() == 0
     assert F is not None
+
+
+def test_many_partitions_take_the_histogram_path(spark):
+    # k x partitions over the budget: the distributed refinement is used,
+    # and it finds the same cut as the top-k path
+    from revlens.operators.sampling import cut_key
+
+    df = spark.range(0, 5000, numPartitions=40).withColumnRenamed("id", "k")
+    hashed = df.withColumn("h", (F.col("k") * 7919) % 5003)
+    topk = cut_key(hashed, ["h", "k"], 1000)
+    refined = cut_key(hashed, ["h", "k"], 1000, topk_budget=1000 * 39, local_limit=100, buckets=8)
+    assert topk == refined
