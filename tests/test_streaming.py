@@ -23,3 +23,22 @@ def test_stream_processes_each_file_once(spark, tmp_path):
     reviews = spark.read.parquet(f"{out}/reviews")
     assert sorted(r.Review for r in reviews.collect()) == ["a", "b", "d"]
     assert [r.listing_id for r in spark.read.parquet(f"{out}/errors").collect()] == [3]
+
+
+CSV_FILE = """listing_id,address,reviews,review_scores
+7,"{'country': 'Canada'}","[{'comments': 'two\\nlines, ""quoted""'}, {'comments': 'x'}]","{'review_scores_value': 9.5}"
+8,"{'country': 'Canada'}",NA,"{'review_scores_value': 7}"
+9,"{'country': 'Australia'}","[{'comments': 'y'}]",{}
+"""
+
+
+def test_csv_stream_keeps_quotes_escapes_and_missing_tokens(spark, tmp_path):
+    # doubled CSV quotes, an escaped newline inside the literal, an NA token
+    src = tmp_path / "csv_in"
+    src.mkdir()
+    (src / "part-0.csv").write_text(CSV_FILE)
+    out = str(tmp_path / "out")
+    q = start_extract_stream(spark, str(src), out, ["Canada"], input_format="csv", checkpoint=str(tmp_path / "chk"))
+    q.awaitTermination(120)
+    rows = sorted((r.listing_id, r.review_pos, r.Review, r.Review_Score) for r in spark.read.parquet(f"{out}/reviews").collect())
+    assert rows == [(7, 0, 'two\nlines, "quoted"', "9.5"), (7, 1, "x", "9.5")]
