@@ -42,3 +42,17 @@ def test_csv_stream_keeps_quotes_escapes_and_missing_tokens(spark, tmp_path):
     q.awaitTermination(120)
     rows = sorted((r.listing_id, r.review_pos, r.Review, r.Review_Score) for r in spark.read.parquet(f"{out}/reviews").collect())
     assert rows == [(7, 0, 'two\nlines, "quoted"', "9.5"), (7, 1, "x", "9.5")]
+
+
+def test_json_stream_reads_natively(spark, tmp_path):
+    src = str(tmp_path / "json_in")
+    _drop(spark, src, [
+        (1, '{"country": "Canada"}', '[{"comments": "a"}, {"other": 1}, {"comments": null}]', '{"review_scores_value": 9}'),
+        (2, '{"country": "Australia"}', '[{"comments": "b"}]', '{"review_scores_value": 8}'),
+    ])
+    out = str(tmp_path / "out")
+    q = start_extract_stream(spark, src, out, ["Canada"], fmt="json", checkpoint=str(tmp_path / "chk"))
+    q.awaitTermination(120)
+    rows = sorted((r.listing_id, r.review_pos, r.Review, r.Review_Score) for r in spark.read.parquet(f"{out}/reviews").collect())
+    # A present key with a null value still gives a review
+    assert rows == [(1, 0, "a", "9"), (1, 1, None, "9")]
