@@ -211,3 +211,20 @@ def test_score_with_answer_store_equals_without(spark, tmp_path):
         stored = score(_reviews(spark), LengthScorer, DEFAULT_PROMPTS, answer_store=store)
         assert sorted(tuple(r) for r in stored.select(*cols).collect()) == plain
     assert spark.read.parquet(store).count() == spark.read.parquet(store).select("prompt_sha256").distinct().count()
+
+
+def test_score_concurrency_sets_the_model_tasks(spark):
+    import glob
+    import os
+
+    from revlens.session import stage_root
+
+    def answer_dirs():
+        return set(glob.glob(f"{stage_root(spark)}/answers-*"))
+
+    before = answer_dirs()
+    df = spark.createDataFrame([(i, 0, f"review {i}", "5") for i in range(200)], REVIEWS)
+    rows = score(df, LengthScorer, DEFAULT_PROMPTS, concurrency=3).count()
+    assert rows == 200 * len(DEFAULT_PROMPTS)
+    (new,) = answer_dirs() - before
+    assert len([f for f in os.listdir(new) if f.startswith("part-")]) == 3
