@@ -20,7 +20,7 @@ LISTINGS_CSV = '''id,name,address,reviews,review_scores
 
 
 def test_extract_stage_csv(spark, tmp_path):
-    src = tmp_path / "airbnb.csv"
+    src = tmp_path / "listings.csv"
     src.write_text(LISTINGS_CSV, encoding="utf-8")
     out = str(tmp_path / "reviews")
     result = run_extract(spark, str(src), out, ["Canada"], id_col="id", output_format="csv")
@@ -37,7 +37,7 @@ def test_extract_stage_csv(spark, tmp_path):
 
 
 def test_extract_assigns_ids_once(spark, tmp_path):
-    src = tmp_path / "airbnb.csv"
+    src = tmp_path / "listings.csv"
     src.write_text(LISTINGS_CSV, encoding="utf-8")
     result = run_extract(spark, str(src), str(tmp_path / "r"), ["Canada", "Australia"])
     ids = {r.listing_id for r in result.reviews.collect()}
