@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+
+from revlens.llm.piece_codec import encode_decode
 from revlens.llm.stage import documents
+from revlens.llm.token_blocks import read_blocks, write_blocks
 from revlens.llm.substring_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +26,17 @@ def _query(fn):
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after removing every 35-word window that starts elsewhere too."""
     return remove_repeats(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@_query
+def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of every text and their decoding, as hashes."""
+    return encode_decode(documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_query
+def op4_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts as token blocks in the range coder's format, read back."""
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    path = write_blocks(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return read_blocks(spark, path)
