@@ -5,17 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 
+from revlens.llm import quality_rules, toxicity_chain
+from revlens.llm.best_fit import pack
 from revlens.llm.piece_codec import encode_decode
-from revlens.llm.stage import documents
+from revlens.llm.stage import documents, materialize
+from revlens.plans.tables import table
 from revlens.llm.token_blocks import read_blocks, write_blocks
 from revlens.llm.substring_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+# Chain order: junk form first, then toxic words, then both at once.
+TOXIC_CATEGORIES = {"junk": "quality = 0", "toxic": "toxic = 1", "toxic_junk": "toxic = 1 and quality = 0"}
+
 
 def _query(fn):
     QUERIES[fn.__name__] = fn
@@ -40,3 +47,28 @@ def op4_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
     path = write_blocks(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return read_blocks(spark, path)
+
+
+@_query
+def op6_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts packed into sequences of at most 2,048 tokens."""
+    return pack(documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), end_id=0)
+
+
+@_query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every text and the verdict of the learned decision list."""
+    found = materialize(quality_rules.statistics(documents(spark, sf_dir, "doc_id", "text")), "statistics")
+    return quality_rules.judge(found, quality_rules.fit(found, table(spark, sf_dir, "labels")))
+
+
+@_query
+def op9_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity probabilities of every text by the classifier chain, and the verdict."""
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    chain = toxicity_chain.fit(docs, table(spark, sf_dir, "labels"), TOXIC_CATEGORIES)
+    found = toxicity_chain.with_probabilities(docs, chain)
+    return found.select(
+        "row.doc_id", *(F.col(f"found.{c}").alias(f"p_{c}") for c in chain.categories),
+        (F.col("found.toxic") >= 0.5).alias("toxic"), (F.col("found.toxic") < 0.5).alias("kept"),
+    )

@@ -7,17 +7,14 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from revlens.llm import textscan
 from revlens.plans.tables import table
 from revlens.session import ship_package
 from revlens.sources.stage import materialize
 
-__all__ = ["documents", "materialize", "prepare", "per_batch", "with_uid", "tuned"]
-
-
-def prepare(spark: SparkSession) -> None:
-    """The package on the workers; smaller Arrow batches, as texts are long."""
-    ship_package(spark)
+__all__ = ["appended", "documents", "materialize", "tuned", "with_uid"]
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -30,17 +27,25 @@ def with_uid(df: DataFrame, name: str = "uid") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def per_batch(fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]):
-    """mapInArrow function that hands each batch to ``fn`` on its own."""
+def tuned(df: DataFrame) -> DataFrame:
+    """``df`` unchanged, with the package shipped to the workers first."""
+    ship_package(df.sparkSession)
+    return df
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield from fn(batch)
 
-    return run
+def appended(df: DataFrame, text_col: str, found_of: Callable, fields: T.StructType) -> DataFrame:
+    """(row, found): every row of ``df`` as a struct, with what ``found_of``
+    says of its text. ``found_of`` takes a slice of texts and returns one
+    array a field. As a struct, the row's own names clash with nothing.
+    """
+    source = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = batch.column("row")
+            for text in textscan.slices(row.field(text_col)):
+                found = pa.StructArray.from_arrays([pa.array(x) for x in found_of(text)], names=fields.names)
+                yield pa.RecordBatch.from_arrays([row.slice(text.first, text.rows), found], names=["row", "found"])
 
-def tuned(df: DataFrame) -> DataFrame:
-    """``df`` unchanged, with the package shipped to the workers first."""
-    prepare(df.sparkSession)
-    return df
+    schema = T.StructType([source.schema["row"], T.StructField("found", fields)])
+    return tuned(source).mapInArrow(run, schema)
