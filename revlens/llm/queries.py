@@ -11,6 +11,7 @@ import public_tokenizers
 
 from revlens.llm import quality_rules, toxicity_chain
 from revlens.llm.best_fit import pack
+from revlens.llm.kd_shards import shard
 from revlens.llm.piece_codec import encode_decode
 from revlens.llm.stage import documents, materialize
 from revlens.plans.tables import table
@@ -72,3 +73,10 @@ def op9_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", *(F.col(f"found.{c}").alias(f"p_{c}") for c in chain.categories),
         (F.col("found.toxic") >= 0.5).alias("toxic"), (F.col("found.toxic") < 0.5).alias("kept"),
     )
+
+
+@_query
+def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of near-equal bytes, by a k-d tree over their metadata."""
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang", "source", "n_chars")
+    return shard(docs, ["lang", "source", "n_chars", "doc_id"], shards=40)
