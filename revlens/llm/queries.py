@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from revlens.llm import quality_rules, toxicity_chain
+from revlens.llm import quality_rules, toxicity_chain, url_trust
 from revlens.llm.best_fit import pack
+from revlens.llm.branch_bound_topk import top_k
 from revlens.llm.kd_shards import shard
 from revlens.llm.piece_codec import encode_decode
 from revlens.llm.stage import documents, materialize
@@ -80,3 +81,36 @@ def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near-equal bytes, by a k-d tree over their metadata."""
     docs = documents(spark, sf_dir, "doc_id", "text", "lang", "source", "n_chars")
     return shard(docs, ["lang", "source", "n_chars", "doc_id"], shards=40)
+
+
+@_query
+def op7_branch_bound_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 rows of highest inner product for every 20th vector, against all vectors."""
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+ORACLES["op7_branch_bound_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+URL_RULES = [
+    url_trust.Rule(True, "com", "/"), url_trust.Rule(False, "example.com", "/en/"), url_trust.Rule(True, "www.example.com", "/en/"),
+    url_trust.Rule(False, "net", "/es/"), url_trust.Rule(False, "net", "/fr/"),
+]
+
+
+@_query
+def op8_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url against the rules; hosts without a rule by propagated trust and distrust."""
+    return url_trust.judge(table(spark, sf_dir, "pages"), URL_RULES)
