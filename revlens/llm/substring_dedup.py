@@ -25,6 +25,7 @@ gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +38,8 @@ from revlens.llm.stage import materialize, tuned, with_uid
 
 SIZE = 35
 GRAM = 15
-SKETCH_BITS = 24
-SKETCH_ROWS = 2
+SKETCH_BITS = 27
+SKETCH_ROWS = 3
 
 
 def _slide(values: np.ndarray, size: int, pick) -> np.ndarray:
@@ -98,8 +99,8 @@ def remove_repeats(
             if len(keys):
                 yield keys
 
-    flags = sketch.build(source.select("_text"), keys_of, bits, SKETCH_ROWS, "uint8", sketch.repeated_bits)
-    shared = docs.sparkSession.sparkContext.broadcast(flags)
+    counts_of = sketch.Twice(bits, SKETCH_ROWS)
+    shared = docs.sparkSession.sparkContext.broadcast(sketch.build(source.select("_text"), keys_of, counts_of))
     out_text = "kept_text string" if with_text else ""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,30 +111,33 @@ def remove_repeats(
                 w, at, hashes, _, anchors = _windows(text, size, gram)
                 n = text.rows
                 if len(at):
-                    at = at[sketch.maybe_repeated(shared.value, anchors[at], bits)]
+                    at = at[counts_of.repeated(shared.value, anchors[at])]
                 row = np.searchsorted(w.first, at, side="right") - 1
                 counts = np.bincount(row, minlength=n)
                 windows = textscan.window_hash(hashes, size)[at] if len(at) else np.zeros(0, dtype=np.uint64)
-                local = (at - w.first[row]) if len(at) else at
+                # the places, as runs of neighbouring windows
+                opens = np.flatnonzero((np.diff(at, prepend=-2) != 1) | (np.diff(row, prepend=-1) != 0))
+                runs = np.stack([at[opens] - w.first[row[opens]], np.diff(opens, append=len(at))], axis=1).astype(np.int32)
                 whole = text.data.tobytes()
-                sha, plain, pending = [], [], counts > 0
+                sha, plain, packed, pending = [], [], [], counts > 0
                 for i in range(n):
                     raw = whole[text.offsets[i] : text.offsets[i + 1]]
                     joined = None if pending[i] else b" ".join(raw.split())
                     sha.append(None if joined is None else hashlib.sha256(joined).hexdigest())
-                    plain.append(raw.decode("utf-8", "replace") if joined is None else joined.decode("utf-8", "replace") if with_text else None)
+                    plain.append(joined.decode("utf-8", "replace") if with_text and joined is not None else None)
+                    packed.append(zlib.compress(raw, 3) if joined is None else None)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(text.first, n), kept.slice(text.first, n), pa.array(w.counts, pa.int64()), pa.array(sha, pa.string()),
-                        pa.array(plain, pa.string()), textscan.as_arrow_lists(local.astype(np.int32), counts, pa.int32()),
+                        pa.array(plain, pa.string()), pa.array(packed, pa.binary()), textscan.as_arrow_lists(runs.reshape(-1), 2 * np.bincount(row[opens], minlength=n), pa.int32()),
                         textscan.as_arrow_lists(windows.view(np.int64), counts, pa.int64()),
                     ],
-                    names=["_id", "_keep", "n_words", "kept_sha256", "_text", "starts", "windows"],
+                    names=["_id", "_keep", "n_words", "kept_sha256", "kept_text", "_packed", "runs", "windows"],
                 )
 
     types = {f.name: f.dataType.simpleString() for f in source.schema.fields}
     kept_type = types["_keep"]
-    schema = f"_id {types['_id']}, _keep {kept_type}, n_words bigint, kept_sha256 string, _text string, starts array<int>, windows array<bigint>"
+    schema = f"_id {types['_id']}, _keep {kept_type}, n_words bigint, kept_sha256 string, kept_text string, _packed binary, runs array<int>, windows array<bigint>"
     staged = materialize(with_uid(source.mapInArrow(scan, schema)), "windows")
 
     # Exact counts of the suspected windows, combined in the map tasks.
@@ -142,19 +146,20 @@ def remove_repeats(
         places.groupBy("window").agg(F.count("*").alias("n"), F.min("uid").alias("uid"), F.min("place").alias("place"))
         .filter("n = 1").groupBy("uid").agg(F.collect_list("place").alias("single"))
     )
-    pending = staged.filter("kept_sha256 is null").drop("windows", "kept_sha256").join(once, "uid", "left")
+    pending = staged.filter("kept_sha256 is null").drop("windows", "kept_sha256", "kept_text").join(once, "uid", "left")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            starts, s_off = textscan.from_arrow_lists(batch.column("starts"))
+            runs, s_off = textscan.from_arrow_lists(batch.column("runs"))
             single, x_off = textscan.from_arrow_lists(batch.column("single"))
             n_words, removed, sha, left = batch.column("n_words").to_pylist(), [], [], []
-            for i, value in enumerate(batch.column("_text")):
-                at = np.delete(starts[s_off[i] : s_off[i + 1]], single[x_off[i] : x_off[i + 1]])
+            for i, value in enumerate(batch.column("_packed")):
+                run = runs[s_off[i] : s_off[i + 1]].astype(np.int64)
+                at = np.delete(textscan.gather_ranges(run[::2], run[1::2]), single[x_off[i] : x_off[i + 1]])
                 edge = np.zeros(n_words[i] + 1, dtype=np.int32)
                 np.add.at(edge, at, 1)
                 np.add.at(edge, at + size, -1)
-                gone, words = _kept(value.as_py().encode(), np.cumsum(edge[:-1]) > 0)
+                gone, words = _kept(zlib.decompress(value.as_py()), np.cumsum(edge[:-1]) > 0)
                 joined = b" ".join(words)
                 removed.append(gone)
                 sha.append(hashlib.sha256(joined).hexdigest())
@@ -164,11 +169,11 @@ def remove_repeats(
                 names=["_id", "_keep", "n_words", "n_removed", "kept_sha256", "kept_text"],
             )
 
-    done = pending.select("_id", "_keep", "n_words", "_text", "starts", "single").mapInArrow(
+    done = pending.select("_id", "_keep", "n_words", "_packed", "runs", "single").mapInArrow(
         finish, f"_id {types['_id']}, _keep {kept_type}, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string"
     )
     clean = staged.filter("kept_sha256 is not null").select(
-        "_id", "_keep", "n_words", F.lit(0).cast("bigint").alias("n_removed"), "kept_sha256", F.col("_text").alias("kept_text")
+        "_id", "_keep", "n_words", F.lit(0).cast("bigint").alias("n_removed"), "kept_sha256", "kept_text"
     )
     return clean.unionByName(done).select(
         F.col("_id").alias(id_col), "n_words", "n_removed", "kept_sha256", *(["kept_text"] if out_text else []),
