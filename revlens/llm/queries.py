@@ -12,6 +12,7 @@ import public_tokenizers
 from revlens.llm import quality_rules, toxicity_chain, url_trust
 from revlens.llm.best_fit import pack
 from revlens.llm.branch_bound_topk import top_k
+from revlens.llm.jaccard_join import link
 from revlens.llm.kd_shards import shard
 from revlens.llm.piece_codec import encode_decode
 from revlens.llm.stage import documents, materialize
@@ -114,3 +115,9 @@ URL_RULES = [
 def op8_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url against the rules; hosts without a rule by propagated trust and distrust."""
     return url_trust.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@_query
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose 5-word shingle sets reach Jaccard 0.8, as components."""
+    return link(documents(spark, sf_dir, "doc_id", "text"))
