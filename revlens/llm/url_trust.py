@@ -5,8 +5,9 @@ longest rule that fits decides. For the rest, each host is scored on the
 graph of links between hosts: personalised PageRank from the hosts that
 rules allow, along links, and from the hosts that rules block, against
 them (who links to a bad host is suspect). A host's seed is the share of
-its pages that a rule allows or blocks. Hosts whose distrust reaches
-``threshold`` and exceeds their trust are blocked.
+its pages that a rule allows or blocks; it counts for no less than that,
+whatever it passes on. Hosts whose distrust reaches ``threshold`` and
+exceeds their trust are blocked.
 
 All steps are DataFrame functions. Links are counted by pair of hosts in
 the map tasks, so the graph has a row for each linked pair, however many
@@ -115,9 +116,12 @@ def judge(
     urls = pages.select(F.col(id_col).alias("_id"), host_of(url_col).alias("host"), path_of(url_col).alias("path"))
     ruled = urls.withColumn("rule", longest_rule(rules, lambda r: r.name).cast("string")).withColumn("ruled", longest_rule(rules, lambda r: "allow" if r.allow else "block").cast("string"))
     shares = {"trust": "allow", "distrust": "block"}
-    seeds = ruled.groupBy("host").agg(*(F.avg(F.when(F.col("ruled") == v, 1.0).otherwise(0.0)).alias(c) for c, v in shares.items()))
+    seeds = materialize(ruled.groupBy("host").agg(*(F.avg(F.when(F.col("ruled") == v, 1.0).otherwise(0.0)).alias(c) for c, v in shares.items())), "seeds")
     links = materialize(host_links(pages, url_col, html_col), "links")
-    scores = materialize(propagate(links, seeds), "hosts")
+    own = seeds.select("host", *(F.col(c).alias(f"own_{c}") for c in shares))
+    scores = materialize(
+        propagate(links, seeds).join(own, "host").select("host", *(F.greatest(c, F.round(f"own_{c}", 6)).alias(c) for c in shares)), "hosts"
+    )
     bad = (F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))
     return ruled.join(scores, "host", "left").select(
         F.col("_id").alias(id_col), "host", "path", "rule",
