@@ -16,14 +16,12 @@ are chosen by the caller and never tried one after the other.
 from __future__ import annotations
 
 import ast
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlens.schemas import ADDRESS_TYPE, PARSED_LISTING_TYPE
+from revlens.schemas import ADDRESS_TYPE, TAGGED_LISTING_TYPE
 
 _LONG_MIN, _LONG_MAX = -(2**63), 2**63 - 1
 
@@ -135,70 +133,63 @@ def parse_literal(c: Column | str, dtype: T.StructType = ADDRESS_TYPE, strict: b
 
 
 # ---------------------------------------------------------------------------
-# One listing's review list + score, tolerant per row
+# One listing's score and review list, as tagged literals
 # ---------------------------------------------------------------------------
 
 
-def _read_literal(text):
-    """Tolerant parse: a missing or malformed literal reads as None.
-
-    Only ValueError and SyntaxError are tolerated; anything else (for
-    example an unhashable dict key) propagates and fails the row.
-    """
+def read_literal(text: str | None):
+    """(value, problem): problem is None, "malformed" (text that is no
+    literal, or none at all: read as missing), or another error's message."""
     if text is None:
-        raise ValueError("malformed node or string: nan")
-    return ast.literal_eval(text)
-
-
-def parse_listing(reviews_text: str | None, scores_text: str | None) -> dict:
-    """Parse one listing into ``{items, score_text, error}``.
-
-    * score: ``review_scores_value`` of the score dict, as its own text;
-      a malformed or missing literal gives NULL; a literal that is not a
-      dict fails the whole row (no review is emitted).
-    * reviews: every element that holds the key ``comments`` gives one
-      item, in list order; a present key with value None gives a NULL
-      comment. A malformed or missing list gives no items.
-    * an element that breaks the loop (an int, a string containing
-      'comments', ...) stops the row: the items before it are kept and
-      the error is recorded.
-    """
-    items: list[dict] = []
-    score_text = None
+        return None, "malformed"
     try:
-        try:
-            scores = _read_literal(scores_text)
-            value = scores.get("review_scores_value", None)
-            score_text = as_text(value)
-        except (ValueError, SyntaxError):
-            score_text = None
-        try:
-            reviews = _read_literal(reviews_text)
-        except (ValueError, SyntaxError):
-            reviews = []
-        for element in reviews:
-            if "comments" in element:
-                items.append({"comments": as_text(element["comments"])})
-    except Exception as exc:  # noqa: BLE001 - row-level isolation (N6)
-        return {"items": items, "score_text": score_text, "error": _error(exc)}
-    return {"items": items, "score_text": score_text, "error": None}
-
-
-def _parse_listing_batch(reviews: pd.Series, scores: pd.Series) -> pd.DataFrame:
-    rows = [
-        parse_listing(None if r is None or r is pd.NA else r, None if s is None or s is pd.NA else s)
-        for r, s in zip(reviews, scores, strict=True)
-    ]
-    return pd.DataFrame(rows, columns=["items", "score_text", "error"])
+        return ast.literal_eval(text), None
+    except (ValueError, SyntaxError):
+        return None, "malformed"
+    except Exception as exc:  # noqa: BLE001 - for example an unhashable dict key
+        return None, _error(exc)
 
 
-def listing_udf():
-    """pandas UDF: (reviews text, review_scores text) -> parsed listing."""
-    udf = F.pandas_udf(_parse_listing_batch, PARSED_LISTING_TYPE)
-    return udf.asNondeterministic()
+def tag_element(element) -> dict:
+    """``item`` with its text where the element holds the key, ``none`` where
+    it can be asked and does not, ``error`` where asking or taking fails."""
+    try:
+        if "comments" not in element:
+            return {"tag": "none", "comments": None, "error": None}
+        return {"tag": "item", "comments": as_text(element["comments"]), "error": None}
+    except Exception as exc:  # noqa: BLE001 - reported with the row (N6)
+        return {"tag": "error", "comments": None, "error": _error(exc)}
+
+
+def read_score(text: str | None) -> dict:
+    """The score's own text, NULL when missing or malformed; an error when
+    the literal is no dict."""
+    value, problem = read_literal(text)
+    if problem == "malformed":
+        return {"score_text": None, "score_error": None}
+    if problem is None and isinstance(value, dict):
+        return {"score_text": as_text(value.get("review_scores_value")), "score_error": None}
+    return {"score_text": None, "score_error": problem or f"AttributeError: a {type(value).__name__} has no scores"}
+
+
+def read_reviews(text: str | None) -> dict:
+    """Every element of the review list, tagged; none when the list is
+    missing or malformed; an error when the literal can not be walked."""
+    value, problem = read_literal(text)
+    if problem is not None:
+        return {"elements": [], "list_error": None if problem == "malformed" else problem}
+    try:
+        return {"elements": [tag_element(e) for e in value], "list_error": None}
+    except TypeError as exc:
+        return {"elements": [], "list_error": _error(exc)}
+
 
+def _listing_batch(reviews: pd.Series, scores: pd.Series) -> pd.DataFrame:
+    given = [[None if t is None or t is pd.NA else t for t in side] for side in (reviews, scores)]
+    rows = [{**read_score(s), **read_reviews(r)} for r, s in zip(*given, strict=True)]
+    return pd.DataFrame(rows, columns=[f.name for f in TAGGED_LISTING_TYPE.fields])
 
-def parse_listing_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Helper for unit tests: run the parser over pandas batches."""
-    for pdf in batches:
-        yield _parse_listing_batch(pdf["reviews"], pdf["review_scores"])
+
+def listing_udf():
+    """pandas UDF: (reviews text, review_scores text) -> tagged listing."""
+    return F.pandas_udf(_listing_batch, TAGGED_LISTING_TYPE).asNondeterministic()

@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from revlens.functions.text import parse_number, strip
 from revlens.operators.prompts import DEFAULT_PROMPTS, TRANSLATE_TEMPLATE, Prompt, as_prompts, with_prompt, with_prompts
 from revlens.operators.sampling import first_rows_flag
-from revlens.schemas import PRED_COL, REVIEW_COL
+from revlens.schemas import ERROR_COL, PRED_COL, REVIEW_COL
 from revlens.session import path_exists, spread
 from revlens.sources.stage import materialize
 
@@ -136,6 +136,22 @@ def factory_key(factory: BackendFactory) -> str:
     return hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()[:16]
 
 
+def _answer_all(backend: Backend, texts: list[str], on_error: str) -> list[tuple[str | None, str | None]]:
+    """(answer, error) for every prompt. A batch that fails is asked again
+    one prompt at a time, so one bad prompt costs no other its answer."""
+    try:
+        got = backend.generate(texts)
+        if len(got) != len(texts):
+            raise RuntimeError(f"backend returned {len(got)} answers for {len(texts)} prompts")
+    except Exception as exc:
+        if len(texts) > 1:
+            return [x for t in texts for x in _answer_all(backend, [t], on_error)]
+        if on_error == "fail":
+            raise
+        return [(None, f"{type(exc).__name__}: {exc}")]
+    return [(None if x is None else str(x), None) for x in got]
+
+
 def _answer_batches(
     factory: BackendFactory,
     key: str,
@@ -155,18 +171,8 @@ def _answer_batches(
             todo = [i for i, t in enumerate(texts) if t is not None]
             for start in range(0, len(todo), batch_size):
                 idx = todo[start : start + batch_size]
-                try:
-                    got = backend.generate([texts[i] for i in idx])
-                    if len(got) != len(idx):
-                        raise RuntimeError(f"backend returned {len(got)} answers for {len(idx)} prompts")
-                except Exception as exc:
-                    if on_error == "fail":
-                        raise
-                    for i in idx:
-                        errors[i] = f"{type(exc).__name__}: {exc}"
-                    continue
-                for i, answer in zip(idx, got, strict=True):
-                    answers[i] = None if answer is None else str(answer)
+                for i, (answer, error) in zip(idx, _answer_all(backend, [texts[i] for i in idx], on_error), strict=True):
+                    answers[i], errors[i] = answer, error
             if drop_text:
                 pdf = pdf.drop(columns=[text_col])
             yield pdf.assign(**{out_col: answers, err_col: errors})
@@ -174,48 +180,52 @@ def _answer_batches(
     return run
 
 
-# A text is "hot" when it holds more rows than this share of one task's
-# fair load; its answer is replicated over salt buckets for the join-back.
+# A text is "hot" when its rows hold more bytes than this share of one
+# task's fair load; its answer is replicated over salt buckets for the
+# join-back.
 HOT_SHARE = 4
-MIN_HOT_ROWS = 100_000
+MIN_HOT_BYTES = 64 * 1024 * 1024
+# Most keys that the hot-key table may have to be broadcast.
+MAX_HOT_KEYS = 100_000
 
 
-def _salted_join_back(
-    keyed: DataFrame, answers: DataFrame, hot_rows: int | None, total: int, top: int
-) -> DataFrame:
+def _salted_join_back(keyed: DataFrame, answers: DataFrame, hot_rows: int | None, total: int, top: int) -> DataFrame:
     """Join answers back to the rows, splitting hot texts over tasks.
 
-    ``answers`` is a written table ``(__k, __n, answer columns...)``;
-    ``total`` and ``top`` are the sum and the largest of ``__n``, observed
-    while it was written. Hot keys are those with more than ``threshold``
-    rows; there can be at most total/threshold of them (a bounded table,
-    broadcast), and none when ``top`` is below the threshold, so the usual
-    case costs no extra work. Each hot key gets
-    ``ceil(n / threshold)`` salt buckets (at most the number of shuffle
-    partitions): its answer row is copied once per bucket and its rows
-    are spread over the buckets by a row hash.
+    ``answers`` is a written table ``(__k, __n, __b, answer columns...)``:
+    rows and bytes of each text; ``total`` and ``top`` are the sum and the
+    largest of the measure that decides (bytes, or rows when ``hot_rows``
+    is given), observed while it was written. There are at most
+    total/threshold hot keys; their table is broadcast only when that is
+    within ``MAX_HOT_KEYS``, and joined as any other table beyond. Each hot
+    key gets ``ceil(measure / threshold)`` salt buckets (at most the number
+    of shuffle partitions): its answer row is copied once per bucket and
+    its rows are spread over the buckets by a hash of their own columns,
+    which a re-run of a lost task repeats exactly.
+
+    Rows without a text have no answer and take no part in the join.
     """
     spark = keyed.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    threshold = hot_rows or max(MIN_HOT_ROWS, -(-total // (HOT_SHARE * parts)))
+    measure = F.col("__n" if hot_rows else "__b")
+    threshold = hot_rows or max(MIN_HOT_BYTES, -(-total // (HOT_SHARE * parts)))
     if top <= threshold:
-        return keyed.join(answers.drop("__n"), "__k", "left").drop("__k")
-    # Hot keys and their bucket counts stay a table: at most
-    # total/threshold <= HOT_SHARE * parts keys, a proven bound, so it is
-    # broadcast to both sides (nothing reaches the driver, no literals).
-    hot = F.broadcast(
-        answers.where(F.col("__n") > threshold)
+        return keyed.join(answers.drop("__n", "__b"), "__k", "left").drop("__k")
+    hot = (
+        answers.where(measure > threshold)
         .groupBy("__k")
-        .agg(F.least(F.lit(parts), F.ceil(F.max("__n") / F.lit(threshold))).cast("int").alias("__salts"))
+        .agg(F.least(F.lit(parts), F.ceil(F.max(measure) / F.lit(threshold))).cast("int").alias("__salts"))
     )
-    row_hash = F.xxhash64(*[F.col(c) for c in keyed.columns], F.monotonically_increasing_id())
+    if total // threshold <= MAX_HOT_KEYS:
+        hot = F.broadcast(hot)
+    row_hash = F.xxhash64(*[F.col(c) for c in keyed.columns])
     left = (
         keyed.join(hot, "__k", "left")
         .withColumn("__salt", F.when(F.col("__salts").isNull(), F.lit(0)).otherwise(F.pmod(row_hash, F.col("__salts"))))
         .drop("__salts")
     )
     right = (
-        answers.drop("__n")
+        answers.drop("__n", "__b")
         .join(hot, "__k", "left")
         .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)))
         .drop("__salts")
@@ -223,6 +233,27 @@ def _salted_join_back(
     return left.join(right, ["__k", "__salt"], "left").drop("__k", "__salt")
 
 
+def _distinct_texts(keyed: DataFrame, text_col: str, out: str) -> DataFrame:
+    """(__k, out, __n, __b): each text once, its rows and their bytes. The
+    text is a grouping key, so the count is a hash aggregate with a partial
+    step in the map tasks and no sort."""
+    grouped = keyed.groupBy("__k", F.col(text_col).alias(out)).agg(F.count(F.lit(1)).alias("__n"))
+    return grouped.withColumn("__b", F.col("__n") * F.coalesce(F.octet_length(out), F.lit(0)))
+
+
+def _answered(rows: DataFrame, text_col: str, out_col: str, err_col: str, factory: BackendFactory, hot_rows: int | None, **call) -> tuple[DataFrame, int, int]:
+    """The answers, written once; total and largest of the hot measure. (A
+    retried task may add its share twice: the figures only steer salting.)"""
+    counts = Observation(f"answers-{uuid.uuid4().hex[:12]}")
+    measure = "__n" if hot_rows else "__b"
+    answered = _call_model(rows, text_col, out_col, err_col, factory, **call).observe(
+        counts, F.sum(measure).alias("total"), F.max(measure).alias("top")
+    )
+    answers = materialize(answered, "answers")
+    seen = counts.get
+    return answers, seen.get("total") or 0, seen.get("top") or 0
+
+
 def model_tasks(spark) -> int:
     """Tasks for a model stage: every slot busy, and never fewer than the
     shuffle partitions the job is sized for."""
@@ -230,6 +261,25 @@ def model_tasks(spark) -> int:
     return max(spark.sparkContext.defaultParallelism, shuffle)
 
 
+STORE_SCHEMA = T.StructType(
+    [
+        T.StructField("model", T.StringType()),
+        T.StructField("prompt_sha256", T.StringType()),
+        T.StructField("answer", T.StringType()),
+        T.StructField("run", T.StringType()),
+    ]
+)
+# Prompts asked between two commits to an answer store.
+WAVE_PROMPTS = 50_000
+
+
+def _stored(spark, answer_store: str, model_id: str) -> DataFrame:
+    """The store's answers of one model; a missing or empty folder has none."""
+    if not path_exists(spark, answer_store):
+        return spark.createDataFrame([], STORE_SCHEMA)
+    return spark.read.schema(STORE_SCHEMA).parquet(answer_store).where(F.col("model") == model_id)
+
+
 def _call_model(
     rows: DataFrame,
     text_col: str,
@@ -241,22 +291,26 @@ def _call_model(
     on_error: str,
     tasks: int,
     answer_store: str | None,
+    model_id: str | None,
+    wave_prompts: int,
 ) -> DataFrame:
     """Answer ``text_col`` for every row: all other columns, ``out_col``
     and ``err_col``. NULL texts are not sent.
 
     ``answer_store``: a Parquet folder of earlier answers (one
-    ``run=<id>`` folder per run), keyed by the backend's fingerprint and
-    the prompt's sha-256. Stored prompts are not
-    sent again (left anti join); new answers are written once to the stage
-    folder, then appended to the store, so a re-run after a failed job
-    only pays for what is missing. Failed prompts are reported but not
-    stored, so the next run retries them. The store is read de-duplicated,
-    so concurrent runs that stored the same prompt never duplicate rows.
+    ``run=<id>`` folder per wave), keyed by ``model_id`` and the prompt's
+    sha-256. Stored prompts are not sent again (left anti join). The rest
+    is asked in waves of about ``wave_prompts`` prompts (by hash), and every
+    wave's answers are stored before the next begins: a job that fails or
+    is stopped has to repeat one wave at most. Failed prompts are reported
+    but not stored, so the next run retries them; with ``on_error="fail"``
+    the job fails after the wave's good answers are stored. The store is
+    read de-duplicated, so concurrent runs that stored the same prompt
+    never duplicate rows.
     """
     key = factory_key(factory)
-    kernel = _answer_batches(factory, key, text_col, out_col, err_col, batch_size, on_error, True)
     if answer_store is None:
+        kernel = _answer_batches(factory, key, text_col, out_col, err_col, batch_size, on_error, True)
         schema = T.StructType(
             [
                 *[f for f in rows.schema.fields if f.name != text_col],
@@ -266,12 +320,16 @@ def _call_model(
         )
         return rows.repartition(tasks).mapInPandas(kernel, schema)
 
+    if not model_id:
+        raise ValueError("an answer store needs a model_id: the name under which its answers are kept")
+    kernel = _answer_batches(factory, key, text_col, out_col, err_col, batch_size, "null", True)
     spark = rows.sparkSession
     with_pk = rows.withColumn("__pk", F.sha2(F.col(text_col), 256))
-    texts = with_pk.where(F.col("__pk").isNotNull()).select("__pk", text_col).dropDuplicates(["__pk"])
-    if path_exists(spark, answer_store):
-        known = spark.read.parquet(answer_store).where(F.col("model") == key).select(F.col("prompt_sha256").alias("__pk"))
-        texts = texts.join(known, "__pk", "left_anti")
+    known = _stored(spark, answer_store, model_id).select(F.col("prompt_sha256").alias("__pk"))
+    texts = materialize(
+        with_pk.where(F.col("__pk").isNotNull()).select("__pk", text_col).distinct().join(known, "__pk", "left_anti"), "prompts-new"
+    )
+    waves = -(-texts.count() // wave_prompts)
     schema = T.StructType(
         [
             T.StructField("__pk", T.StringType()),
@@ -279,22 +337,30 @@ def _call_model(
             T.StructField(err_col, T.StringType()),
         ]
     )
-    fresh = materialize(texts.repartition(tasks).mapInPandas(kernel, schema), "answers-new")
-    # each run adds its own folder: concurrent writers never share one
-    (
-        fresh.where(F.col(err_col).isNull())
-        .select(F.lit(key).alias("model"), F.col("__pk").alias("prompt_sha256"), F.col(out_col).alias("answer"))
-        .write.parquet(f"{answer_store.rstrip('/')}/run={uuid.uuid4().hex}")
-    )
+    failed = spark.createDataFrame([], schema)
+    for wave in range(waves):
+        chosen = texts.where(F.pmod(F.xxhash64("__pk"), F.lit(waves)) == wave)
+        fresh = materialize(chosen.repartition(tasks).mapInPandas(kernel, schema), "answers-new")
+        # each wave adds its own folder: concurrent writers never share one
+        (
+            fresh.where(F.col(err_col).isNull())
+            .select(F.lit(model_id).alias("model"), F.col("__pk").alias("prompt_sha256"), F.col(out_col).alias("answer"))
+            .write.parquet(f"{answer_store.rstrip('/')}/run={uuid.uuid4().hex}")
+        )
+        bad = fresh.where(F.col(err_col).isNotNull())
+        first = bad.first()
+        if first is not None:
+            if on_error == "fail":
+                raise RuntimeError(f"the model failed on a prompt (answers so far are stored): {first[err_col]}")
+            failed = failed.unionByName(bad)
     stored = (
-        spark.read.parquet(answer_store)
-        .where(F.col("model") == key)
+        _stored(spark, answer_store, model_id)
         .groupBy(F.col("prompt_sha256").alias("__pk"))
-        .agg(F.first("answer").alias(out_col))
+        .agg(F.min("answer").alias(out_col))
         .withColumn(err_col, F.lit(None).cast("string"))
     )
     # a prompt another run stored meanwhile is answered from the store
-    failed = fresh.where(F.col(err_col).isNotNull()).join(stored.select("__pk"), "__pk", "left_anti")
+    failed = failed.join(stored.select("__pk"), "__pk", "left_anti")
     return with_pk.drop(text_col).join(stored.unionByName(failed), "__pk", "left").drop("__pk")
 
 
@@ -311,6 +377,8 @@ def generate(
     error_col: str | None = None,
     hot_rows: int | None = None,
     answer_store: str | None = None,
+    model_id: str | None = None,
+    wave_prompts: int = WAVE_PROMPTS,
 ) -> DataFrame:
     """Add ``out_col``: the backend's answer to ``text_col`` (raw text).
 
@@ -328,8 +396,8 @@ def generate(
     * ``concurrency``: spread the prompts over exactly that many tasks
       (bounds the parallel calls a model server sees); by default the
       distinct prompts get :func:`model_tasks` tasks.
-    * ``answer_store``: reuse and extend a folder of earlier answers
-      (see :func:`_call_model`); dedup path only.
+    * ``answer_store``: reuse and extend a folder of earlier answers kept
+      under the name ``model_id`` (see :func:`_call_model`); dedup path only.
     """
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
@@ -337,26 +405,20 @@ def generate(
     key = factory_key(factory)
     if dedup:
         keyed = df.withColumn("__k", F.sha2(F.col(text_col), 256))
-        distinct = (
-            keyed.where(F.col("__k").isNotNull())
-            .groupBy("__k")
-            .agg(F.first(text_col).alias("__text"), F.count(F.lit(1)).alias("__n"))
-        )
+        texts = _distinct_texts(keyed.where(F.col("__k").isNotNull()), text_col, "__text")
         # Model calls cost per prompt, not per byte: AQE would coalesce a
         # few MB of prompts into one or two tasks. An explicit round-robin
         # count keeps at least one task per slot (a hash exchange on __k
         # with the aggregate's own count would be dropped as redundant).
-        tasks = concurrency or model_tasks(df.sparkSession)
-        # row counts observed during the write (a retried task may add its
-        # count twice: the figures only steer salting, never the result)
-        counts = Observation(f"answers-{uuid.uuid4().hex[:12]}")
-        answered = _call_model(
-            distinct, "__text", out_col, err_col, factory,
-            batch_size=batch_size, on_error=on_error, tasks=tasks, answer_store=answer_store,
-        ).observe(counts, F.sum("__n").alias("total"), F.max("__n").alias("top"))
-        answers = materialize(answered, "answers")
-        seen = counts.get
-        out = _salted_join_back(keyed, answers, hot_rows, seen.get("total") or 0, seen.get("top") or 0)
+        answers, total, top = _answered(
+            texts, "__text", out_col, err_col, factory, hot_rows, batch_size=batch_size, on_error=on_error,
+            tasks=concurrency or model_tasks(df.sparkSession), answer_store=answer_store, model_id=model_id, wave_prompts=wave_prompts,
+        )
+        # rows without a text are not joined: they would all meet on one NULL key
+        without = keyed.where(F.col("__k").isNull()).drop("__k")
+        out = _salted_join_back(keyed.where(F.col("__k").isNotNull()), answers, hot_rows, total, top).unionByName(
+            without.withColumn(out_col, F.lit(None).cast("string")).withColumn(err_col, F.lit(None).cast("string"))
+        )
     else:
         src = df.repartition(concurrency) if concurrency else spread(df)
         schema = T.StructType(
@@ -389,9 +451,11 @@ def score(
     """Score every review with every prompt.
 
     Adds ``prompt_id``, ``response`` (the stripped answer, F2) and
-    ``predicho`` (F3: the answer as a number, NULL when it is not one).
+    ``predicho`` (F3: the answer as a number, NULL when it is not one), and
+    ``answer_error`` (or ``error_col``): why a call failed, else NULL.
     A single :class:`Prompt` scores with that prompt only (J2).
     """
+    generate_options["error_col"] = generate_options.get("error_col") or ERROR_COL
     if isinstance(prompts, Prompt):
         prompted = with_prompt(df, prompts, review_col, "__prompt_text")
         answered = generate(prompted, "__prompt_text", "__answer", factory, **generate_options)
@@ -420,6 +484,8 @@ def _answers_by_review(
     error_col: str | None = None,
     hot_rows: int | None = None,
     answer_store: str | None = None,
+    model_id: str | None = None,
+    wave_prompts: int = WAVE_PROMPTS,
 ) -> DataFrame:
     """Every row under every prompt, answered once per distinct review.
 
@@ -428,9 +494,8 @@ def _answers_by_review(
     model sees one row per (distinct review, prompt). The answers table
     holds one row per prompt for each review, so the join-back moves each
     input row once and the rows multiply by the prompt count only in the
-    join's output, after the exchange. A NULL review gets the key ``""``:
-    its prompts render NULL, are never sent, and it is salted like any
-    other hot key. Output as :func:`generate` over :func:`with_prompts`:
+    join's output, after the exchange. NULL reviews are set beside the
+    join. Output as :func:`generate` over :func:`with_prompts`:
     the input columns, ``prompt_id``, ``__answer`` and ``error_col`` when
     asked for.
     """
@@ -438,22 +503,21 @@ def _answers_by_review(
         raise ValueError(f"on_error must be one of {ON_ERROR}")
     spark = df.sparkSession
     err_col = error_col or "__answer_error"
-    keyed = df.withColumn("__k", F.coalesce(F.sha2(F.col(review_col), 256), F.lit("")))
-    distinct = keyed.groupBy("__k").agg(F.first(review_col).alias("__review"), F.count(F.lit(1)).alias("__n"))
-    prompted = with_prompts(distinct, prompts, "__review", "__prompt_text").select(
-        "__k", "__n", "prompt_id", "__prompt_text"
+    keyed = df.withColumn("__k", F.sha2(F.col(review_col), 256))
+    with_text = keyed.where(F.col("__k").isNotNull())
+    prompted = with_prompts(_distinct_texts(with_text, review_col, "__review"), prompts, "__review", "__prompt_text").select(
+        "__k", "__n", "__b", "prompt_id", "__prompt_text"
     )
-    counts = Observation(f"answers-{uuid.uuid4().hex[:12]}")
     # sized by prompts, not bytes (see generate)
-    answered = _call_model(
-        prompted, "__prompt_text", "__answer", err_col, factory,
-        batch_size=batch_size, on_error=on_error, tasks=concurrency or model_tasks(spark), answer_store=answer_store,
-    ).observe(counts, F.sum("__n").alias("total"), F.max("__n").alias("top"))
-    answers = materialize(answered, "answers")
-    seen = counts.get
+    answers, total, top = _answered(
+        prompted, "__prompt_text", "__answer", err_col, factory, hot_rows, batch_size=batch_size, on_error=on_error,
+        tasks=concurrency or model_tasks(spark), answer_store=answer_store, model_id=model_id, wave_prompts=wave_prompts,
+    )
     # every review was answered once per prompt
-    total = (seen.get("total") or 0) // len(prompts)
-    out = _salted_join_back(keyed, answers, hot_rows, total, seen.get("top") or 0)
+    out = _salted_join_back(with_text, answers, hot_rows, total // len(prompts), top)
+    # a missing review has no answer under any prompt, and no part in the join
+    without = with_prompts(keyed.where(F.col("__k").isNull()).drop("__k"), prompts, review_col, "__answer")
+    out = out.unionByName(without.withColumn("__answer", F.lit(None).cast("string")).withColumn(err_col, F.lit(None).cast("string")))
     return out if error_col else out.drop(err_col)
 
 

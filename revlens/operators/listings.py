@@ -18,13 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revlens.functions.literal import listing_udf, parse_literal
-from revlens.schemas import ADDRESS_TYPE, REVIEW_COL, SCORE_COL
+from revlens.schemas import ADDRESS_TYPE, REVIEW_COL, SCORE_COL, TAGGED_LISTING_TYPE
 from revlens.session import spread
 
 FORMATS = ("python_literal", "json")
 
-_JSON_REVIEWS = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
-_JSON_SCORES = T.MapType(T.StringType(), T.StringType())
+_JSON_OBJECT = T.MapType(T.StringType(), T.StringType())
 # Plain JSON: Spark would otherwise also accept single-quoted strings.
 _JSON_OPTIONS = {"allowSingleQuotes": "false"}
 
@@ -49,6 +48,7 @@ def filter_nested(
     values: Sequence,
     fmt: str = "python_literal",
     value_type: T.StructType | None = None,
+    parsed_col: str | None = None,
 ) -> DataFrame:
     """P1 + P2: keep rows whose ``column.field`` is one of ``values``.
 
@@ -56,12 +56,14 @@ def filter_nested(
     or a literal that is not a dict, fails the job, as one bad row ended
     the original run. A missing key drops the row. A column that is
     already a struct or map is used as is (P7), so on Parquet the
-    predicate reaches the scan. The column comes back parsed.
+    predicate reaches the scan. The column itself is returned as it came,
+    with every key; ``parsed_col`` adds its parsed ``value_type`` fields.
     """
     values = list(values)
     dtype = df.schema[column].dataType
     if isinstance(dtype, (T.StructType, T.MapType)):
-        return df.where(F.col(column)[field].isin(values))
+        kept = df.where(F.col(column)[field].isin(values))
+        return kept.withColumn(parsed_col, F.col(column)) if parsed_col else kept
     if not isinstance(dtype, T.StringType):
         raise TypeError(f"{column} must be text, struct or map, not {dtype.simpleString()}")
     _check_format(fmt)
@@ -77,7 +79,23 @@ def filter_nested(
         err.isNotNull(),
         F.raise_error(F.concat(F.lit(f"{column} can not be read: "), err)),
     ).otherwise(F.coalesce(F.col(f"{tmp}.value")[field].isin(values), F.lit(False)))
-    return parsed.where(keep).withColumn(column, F.col(f"{tmp}.value")).drop(tmp)
+    kept = parsed.where(keep)
+    return (kept.withColumn(parsed_col, F.col(f"{tmp}.value")) if parsed_col else kept).drop(tmp)
+
+
+PROBLEM_COL = "__address_problem"
+
+
+def address_problems(df: DataFrame, address_col: str = "address", fmt: str = "python_literal") -> DataFrame:
+    """Adds why the address can not be read (NULL when it can): what the
+    strict filter would stop at."""
+    _check_format(fmt)
+    if not isinstance(df.schema[address_col].dataType, T.StringType):
+        return df.withColumn(PROBLEM_COL, F.lit(None).cast("string"))
+    if fmt == "json":
+        value = F.from_json(F.col(address_col), _JSON_OBJECT, _JSON_OPTIONS)
+        return df.withColumn(PROBLEM_COL, F.when(value.isNull(), F.lit("ValueError: missing or malformed address")))
+    return spread(df).withColumn(PROBLEM_COL, parse_literal(address_col, ADDRESS_TYPE, strict=True)["error"])
 
 
 def filter_country(
@@ -86,9 +104,10 @@ def filter_country(
     address_col: str = "address",
     fmt: str = "python_literal",
     address_type: T.StructType = ADDRESS_TYPE,
+    parsed_col: str | None = None,
 ) -> DataFrame:
     """P1 as the original pipeline uses it: ``address.country`` in a list."""
-    return filter_nested(df, address_col, "country", countries, fmt, address_type)
+    return filter_nested(df, address_col, "country", countries, fmt, address_type, parsed_col)
 
 
 def parse_listings(
@@ -99,28 +118,59 @@ def parse_listings(
     fmt: str = "python_literal",
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """N2 + N3 + N6: ``(id, *keep, parsed struct<items, score_text, error>)``.
+    """N2 + N3 + N6 + P3: ``(id, *keep, parsed struct<items, score_text, error>)``.
 
-    python_literal: exact literal semantics in a pandas UDF, one row's
-    failure is isolated (items before the failing element are kept).
-    json: native ``from_json``; malformed text simply yields nothing.
+    Either format is read into tagged elements: python_literal by a pandas
+    UDF with exact literal semantics, json by ``from_json``. What follows
+    is the same for both, in Spark: a score that is no object fails the row
+    (no items); the first element that can not be asked for the key stops
+    it, and the items before stay; elements without the key give nothing.
     """
     _check_format(fmt)
     base = [F.col(id_col), *[F.col(k) for k in keep]]
     if fmt == "python_literal":
-        parsed = listing_udf()(F.col(reviews_col), F.col(scores_col))
-        return spread(df).select(*base, parsed.alias("parsed"))
-    reviews = F.from_json(F.col(reviews_col), _JSON_REVIEWS, _JSON_OPTIONS)
-    # The key must exist; a JSON null value still counts.
-    with_key = F.filter(reviews, lambda m: F.map_contains_key(m, "comments"))
-    items = F.transform(with_key, lambda m: F.struct(m["comments"].alias("comments")))
-    score = F.from_json(F.col(scores_col), _JSON_SCORES, _JSON_OPTIONS)["review_scores_value"]
+        tagged = spread(df).select(*base, listing_udf()(F.col(reviews_col), F.col(scores_col)).alias("__t"))
+    else:
+        tagged = df.select(*base, _tagged_json(F.col(reviews_col), F.col(scores_col)).alias("__t"))
+    score_error = F.col("__t.score_error")
+    bad_at = F.array_position(F.transform("__t.elements", lambda x: x["tag"]), "error").cast("int")
+    walked = F.when(bad_at > 0, F.slice("__t.elements", F.lit(1), F.greatest(bad_at - 1, F.lit(0)))).otherwise(F.col("__t.elements"))
+    items = F.transform(F.filter(walked, lambda x: x["tag"] == "item"), lambda x: F.struct(x["comments"].alias("comments")))
     parsed = F.struct(
-        F.coalesce(items, F.array().cast(T.ArrayType(T.StructType([T.StructField("comments", T.StringType())])))).alias("items"),
-        score.alias("score_text"),
-        F.lit(None).cast("string").alias("error"),
+        F.when(score_error.isNotNull(), F.slice(items, F.lit(1), F.lit(0))).otherwise(items).alias("items"),
+        F.col("__t.score_text").alias("score_text"),
+        F.coalesce(score_error, F.col("__t.list_error"), F.when(bad_at > 0, F.get(F.col("__t.elements"), bad_at - 1)["error"])).alias("error"),
+    )
+    return tagged.select(*base, parsed.alias("parsed"))
+
+
+def _tagged_json(reviews: Column, scores: Column) -> Column:
+    """JSON text as the literal parser's tagged listing. Text that is no JSON
+    counts as missing; valid JSON of the wrong kind is an error."""
+
+    def wrong_kind(c: Column, opening: str, what: str) -> Column:
+        valid = F.get_json_object(c, "$").isNotNull()
+        return F.when(valid & ~F.ltrim(c).startswith(opening), F.lit(f"TypeError: {what}"))
+
+    elements = F.from_json(reviews, T.ArrayType(T.StringType()), _JSON_OPTIONS)
+
+    def tag(x: Column) -> Column:
+        fields = F.from_json(x, _JSON_OBJECT, _JSON_OPTIONS)
+        is_object = F.coalesce(F.ltrim(x).startswith("{"), F.lit(False)) & fields.isNotNull()
+        # The key must exist; a JSON null value still counts.
+        return F.struct(
+            F.when(~is_object, "error").when(F.map_contains_key(fields, "comments"), "item").otherwise("none").alias("tag"),
+            fields["comments"].alias("comments"),
+            F.when(~is_object, F.lit("TypeError: an element is not an object")).alias("error"),
+        )
+
+    list_error = wrong_kind(reviews, "[", "the reviews are not a list")
+    return F.struct(
+        F.from_json(scores, _JSON_OBJECT, _JSON_OPTIONS)["review_scores_value"].alias("score_text"),
+        wrong_kind(scores, "{", "the scores are not an object").alias("score_error"),
+        list_error.alias("list_error"),
+        F.coalesce(F.when(list_error.isNull(), F.transform(elements, tag)), F.array().cast(TAGGED_LISTING_TYPE["elements"].dataType)).alias("elements"),
     )
-    return df.select(*base, parsed.alias("parsed"))
 
 
 def explode_reviews(parsed: DataFrame, id_col: str = "listing_id", keep: Sequence[str] = ()) -> DataFrame:

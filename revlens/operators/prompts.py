@@ -1,9 +1,9 @@
 """Prompt sets and their application to review rows.
 
-A prompt set is a small, size-checked driver-side list. Applying it to
-reviews is a Generate (``explode`` of a literal array) inside the scan's
-pipeline: every review row yields one row per prompt, no join, no
-shuffle, and no table is broadcast.
+A prompt set is a driver-side list. Applying it to reviews is a Generate
+(``explode`` of a literal array) inside the scan's pipeline: every review
+row yields one row per prompt, no join and no shuffle. Only a set too
+large for a literal is joined as a table.
 """
 
 from __future__ import annotations
@@ -11,16 +11,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.functions.text import SLOT, render
-from revlens.schemas import PROMPTS_SCHEMA, REVIEW_COL
+from revlens.schemas import REVIEW_COL
 
-# A prompt set multiplies the rows to score and travels in the plan as a
-# literal: both its length and each template's size are bounded.
-MAX_PROMPTS = 64
-MAX_TEMPLATE_CHARS = 16_384
+# A prompt set travels in the plan as a literal. Above this many
+# characters in all it is joined as a small table instead.
+LITERAL_CHARS = 256 * 1024
+
+
+PROMPT_TABLE = "__at int, __prompt struct<prompt_id: int, template: string>"
 
 
 @dataclass(frozen=True)
@@ -32,37 +34,26 @@ class Prompt:
     def __post_init__(self) -> None:
         if SLOT not in self.template:
             raise ValueError(f"prompt {self.prompt_id} has no {SLOT} slot")
-        if len(self.template) > MAX_TEMPLATE_CHARS:
-            raise ValueError(f"prompt {self.prompt_id} is longer than {MAX_TEMPLATE_CHARS} characters")
 
 
-# Our own wording: two Spanish prompts and one English prompt asking for
-# a 1-10 score and nothing else.
+# Three ways to ask for a score: a rubric, a comparison, and a bare order.
 DEFAULT_PROMPTS: tuple[Prompt, ...] = (
     Prompt(
         0,
         "es",
-        "Eres un evaluador de reseñas con mucha experiencia y tu respuesta importa. "
-        "Puntúa esta reseña del 1 al 10 y contesta solo con el número. Reseña: {review}",
+        "{review}\n---\nLo anterior lo escribió un huésped. Guía de notas: 1-3 queja, 4-6 tibio, 7-8 contento, "
+        "9-10 entusiasmado. ¿Qué nota entera le corresponde? Escribe la cifra sin más.",
     ),
     Prompt(
         1,
         "es",
-        "Como crítico experto, asigna a esta opinión de un usuario una nota del 1 al 10. "
-        "Contesta únicamente con la cifra: {review}",
-    ),
-    Prompt(
-        2,
-        "en",
-        "As an experienced critic, rate this user review on a scale from 1 to 10. "
-        "Reply with the number only: {review}",
+        "Imagina diez comentarios ordenados del más descontento (1) al más feliz (10). "
+        "¿En qué puesto iría este?\n«{review}»\nPuesto:",
     ),
+    Prompt(2, "en", "text: {review}\nsatisfaction (integer, 1 = low, 10 = high):"),
 )
 
-TRANSLATE_TEMPLATE = (
-    "You are a careful translator. Translate the following text into English, keeping "
-    "its original meaning, and reply with the translated text only.\nText: {review}\nTranslation:"
-)
+TRANSLATE_TEMPLATE = "Source (any language):\n{review}\n\nSame message in plain English, nothing added:"
 
 
 def as_prompts(prompts: Sequence[Prompt | str]) -> list[Prompt]:
@@ -70,19 +61,11 @@ def as_prompts(prompts: Sequence[Prompt | str]) -> list[Prompt]:
     out = [p if isinstance(p, Prompt) else Prompt(i, "", p) for i, p in enumerate(prompts)]
     if not out:
         raise ValueError("at least one prompt is needed")
-    if len(out) > MAX_PROMPTS:
-        raise ValueError(f"at most {MAX_PROMPTS} prompts per run, got {len(out)}")
     if len({p.prompt_id for p in out}) != len(out):
         raise ValueError("prompt ids must be unique")
     return out
 
 
-def prompt_frame(spark: SparkSession, prompts: Sequence[Prompt | str] = DEFAULT_PROMPTS) -> DataFrame:
-    """The prompt set as a small DataFrame (for reports and joins)."""
-    rows = [(p.prompt_id, p.lang, p.template) for p in as_prompts(prompts)]
-    return spark.createDataFrame(rows, PROMPTS_SCHEMA)
-
-
 def _prompt_array(prompts: Sequence[Prompt]) -> Column:
     return F.array(
         *[
@@ -104,8 +87,14 @@ def with_prompts(
     """
     prompts = as_prompts(prompts)
     tmp = "__prompt"
+    if sum(len(p.template) for p in prompts) <= LITERAL_CHARS:
+        each = df.withColumn(tmp, F.explode(_prompt_array(prompts)))
+    else:
+        # too large for the plan: rows are numbered by prompt, then matched
+        table = df.sparkSession.createDataFrame([(i, (p.prompt_id, p.template)) for i, p in enumerate(prompts)], PROMPT_TABLE)
+        each = df.withColumn("__at", F.explode(F.sequence(F.lit(0), F.lit(len(prompts) - 1)))).join(table, "__at").drop("__at")
     return (
-        df.withColumn(tmp, F.explode(_prompt_array(prompts)))
+        each
         .withColumn("prompt_id", F.col(f"{tmp}.prompt_id"))
         .withColumn(text_col, render(F.col(f"{tmp}.template"), F.col(review_col)))
         .drop(tmp)

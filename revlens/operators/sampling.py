@@ -24,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revlens.session import moves_data
 from revlens.sources.stage import materialize
@@ -79,12 +80,33 @@ def cut_key(
     """Exact k-th smallest (1-based) tuple of the integral columns ``keys``,
     or None when ``df`` has fewer than k rows.
 
-    The key tuple must be unique and non-NULL in ``df``.
+    Whichever way the cut is found, the same is checked: keys of another
+    type are a TypeError (cast them first: text has another order than the
+    numbers it spells), NULL keys and rows that tie with the cut beyond
+    rank k are a ValueError.
     """
     keys = list(keys)
     if k < 1:
         raise ValueError("k must be at least 1")
-    cur = df.select(*keys)
+    for name in keys:
+        if not isinstance(df.schema[name].dataType, T.IntegralType):
+            raise TypeError(f"key {name} must be integral, not {df.schema[name].dataType.simpleString()}: cast it first")
+    cut = _find_cut(df.select(*keys), keys, k, topk_limit, topk_budget, local_limit, buckets)
+    missing = F.lit(False)
+    for name in keys:
+        missing = missing | F.col(name).isNull()
+    within = _lex_le(keys, cut) if cut is not None else F.lit(False)
+    nulls, selected = df.agg(F.count_if(missing), F.count_if(within)).first()
+    if nulls:
+        raise ValueError(f"{nulls} rows have a NULL in key {tuple(keys)}")
+    if cut is not None and selected != k:
+        raise ValueError(f"key {tuple(keys)} is not unique: {selected} rows up to the cut at rank {k}")
+    return cut
+
+
+def _find_cut(df: DataFrame, keys: list[str], k: int, topk_limit: int, topk_budget: int, local_limit: int, buckets: int) -> tuple | None:
+    """The k-th smallest key, NULLs set aside."""
+    cur = df.dropna()
     if k <= topk_limit and k * _partitions(cur) <= topk_budget:
         rows = cur.orderBy(*keys).limit(k).collect()
         return tuple(rows[-1]) if len(rows) == k else None
@@ -109,8 +131,8 @@ def cut_key(
             # one value holds all candidates: fix it, refine the next key
             cond = cond & (c == F.lit(lo))
             level += 1
-            if level >= len(keys):
-                raise ValueError(f"key {tuple(keys)} is not unique")
+            if level >= len(keys):  # more than local_limit equal keys
+                return tuple(cur.where(cond).first())
             nxt = keys[level]
             stats = cur.where(cond).agg(F.count(F.lit(1)), F.min(nxt), F.max(nxt)).first()
             n, lo, hi = stats[0], stats[1], stats[2]

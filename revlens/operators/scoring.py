@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revlens.functions.text import abs_diff, parse_comma_decimal
-from revlens.schemas import PRED_COL, SCORE_COL
+from revlens.schemas import ERROR_COL, PRED_COL, SCORE_COL
 
 
 def real_score(df: DataFrame, col: str = SCORE_COL) -> Column:
@@ -32,10 +32,11 @@ def deviation(
     by: tuple[str, ...] = ("prompt_id",),
 ) -> DataFrame:
     """A1 + A7: mean absolute deviation per group, pairs with a missing
-    side skipped; plus how many answers were numeric and how many not.
+    side skipped; plus how many answers were numeric, how many were not,
+    and how many calls failed.
 
-    Output ``(*by, mae, n_rows, n_numeric, n_bad)``; ``mae`` is NULL when
-    no pair is complete.
+    Output ``(*by, mae, n_rows, n_numeric, n_bad, n_failed)``; ``mae`` is
+    NULL when no pair is complete.
     """
     real = real_score(preds, real_col)
     pred = F.col(pred_col)
@@ -45,6 +46,7 @@ def deviation(
         F.count(F.lit(1)).alias("n_rows"),
         F.count(pred).alias("n_numeric"),
         F.count_if(pred.isNull() & answered).alias("n_bad"),
+        F.count(F.col(ERROR_COL) if ERROR_COL in preds.columns else F.lit(None)).alias("n_failed"),
     )
 
 
@@ -61,14 +63,6 @@ def best_prompt(dev_deviation: DataFrame) -> DataFrame:
     ).where(F.col("prompt_id").isNotNull())
 
 
-def choose_prompt(dev_deviation: DataFrame) -> tuple[int, float]:
-    """A5 on the driver: the winning (prompt_id, mae); one row collected."""
-    row = best_prompt(dev_deviation).first()
-    if row is None:
-        raise ValueError("no prompt produced a numeric answer; nothing to choose")
-    return int(row["prompt_id"]), float(row["mae"])
-
-
 def pick_best(rows) -> tuple[int, float]:
     """A5 over already collected deviation rows (same rule as
     :func:`best_prompt`)."""

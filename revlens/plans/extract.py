@@ -13,11 +13,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from revlens.operators.listings import count_rows, explode_reviews, extraction_errors, filter_country, parse_listings
 from revlens.schemas import SCORE_COL
-from revlens.sources.csv import read_csv, write_csv
+from revlens.sources.csv import in_file_order, read_csv, write_csv
 from revlens.sources.stage import materialize, write_stage
 
 
@@ -41,12 +40,14 @@ def load_listings(
     table is written, so every later stage sees the same ids.
     """
     if input_format == "csv":
-        df = read_csv(spark, path, partitions=partitions)
+        df = read_csv(spark, path)
     else:
         df = spark.read.parquet(path)
     if id_col:
-        return df.withColumnRenamed(id_col, "listing_id") if id_col != "listing_id" else df
-    return materialize(df.withColumn("listing_id", F.monotonically_increasing_id()), "listings")
+        named = df.withColumnRenamed(id_col, "listing_id") if id_col != "listing_id" else df
+    else:
+        named = materialize(in_file_order(df, "listing_id"), "listings")
+    return named.repartition(partitions) if partitions else named
 
 
 def extract(
@@ -73,11 +74,17 @@ def run_extract(
     output_format: str = "parquet",
     id_col: str | None = None,
     errors_path: str | None = None,
+    filtered_path: str | None = None,
 ) -> Extraction:
-    """Whole stage 1-2 job. CSV output quotes every field (S4) and writes
+    """Whole stage 1-2 job. ``filtered_path``: also write the listings that
+    pass the filter, all columns and all address keys, as CSV (stage 1). CSV output quotes every field (S4) and writes
     the score with a decimal comma (F1); Parquet keeps types (S6)."""
     listings = load_listings(spark, input_path, input_format, id_col)
-    result = extract(listings, countries, fmt)
+    if countries is not None:
+        listings = filter_country(listings, countries, fmt=fmt)
+    if filtered_path:
+        write_csv(listings, filtered_path)
+    result = extract(listings, None, fmt)
     observed, obs = count_rows(result.reviews, "reviews")
     if output_format == "csv":
         write_csv(observed, output_path, quote_all=True, comma_columns={SCORE_COL: SCORE_COL})

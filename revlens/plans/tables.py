@@ -44,46 +44,64 @@ def real_score_of(quality: str = "quality"):
     return (F.col(quality) * 9 + 1).cast("double")
 
 
-def listings(spark: SparkSession, sf_dir: str, fmt: str = "python_literal") -> DataFrame:
+# Elements that the extraction meets besides plain reviews, by listing:
+# one without the key, and one that can not be asked for it.
+ODD_ELEMENTS = {"without key": 3, "not an object": 5}
+
+
+def listings(spark: SparkSession, sf_dir: str, fmt: str = "python_literal", odd: bool = False) -> DataFrame:
     """``(listing_id, address, reviews, review_scores, n_chars)`` as text.
 
     python_literal: ``{'country': 'es'}``, ``{'review_scores_value': 10}``
     (``{}`` for an unlabelled document); the review list is written with
     JSON escaping, which is also valid Python literal syntax and keeps
     every character of every line. json: the same values as JSON.
+
+    The address also holds the source as its market. ``odd``: listings
+    whose id is divisible by 3 have, after their first line, an element
+    without the key; those divisible by 5 end with a number after it and
+    repeat their first line behind that.
     """
-    docs = documents(spark, sf_dir, "doc_id", "text", "lang", "n_chars")
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang", "source", "n_chars")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     joined = docs.join(labels, "doc_id", "left")
     items = F.transform(F.split(F.col("text"), "\n"), lambda line: F.struct(line.alias("comments")))
+    reviews = F.to_json(items)
+    if odd:
+        texts = F.transform(items, lambda x: F.to_json(x))
+        first = F.slice(texts, 1, 1)
+        more = F.when(F.col("doc_id") % ODD_ELEMENTS["without key"] == 0, F.array(F.lit('{"id":1}'))).otherwise(F.array().cast("array<string>"))
+        stop = F.when(F.col("doc_id") % ODD_ELEMENTS["not an object"] == 0, F.concat(F.array(F.lit("7")), first)).otherwise(F.array().cast("array<string>"))
+        reviews = F.concat(F.lit("["), F.concat_ws(",", first, more, F.slice(texts, F.lit(2), F.greatest(F.size(texts) - 1, F.lit(0))), stop), F.lit("]"))
     score = (F.col("quality") * 9 + 1).cast("string")
     if fmt == "python_literal":
-        address = F.format_string("{'country': '%s'}", F.col("lang"))
+        address = F.format_string("{'country': '%s', 'market': '%s'}", F.col("lang"), F.col("source"))
         scores = F.when(score.isNull(), F.lit("{}")).otherwise(
             F.format_string("{'review_scores_value': %s}", score)
         )
     else:
-        address = F.to_json(F.struct(F.col("lang").alias("country")))
+        address = F.to_json(F.struct(F.col("lang").alias("country"), F.col("source").alias("market")))
         scores = F.to_json(F.struct(score.cast("long").alias("review_scores_value")))
     return joined.select(
         F.col("doc_id").alias("listing_id"),
         address.alias("address"),
-        F.to_json(items).alias("reviews"),
+        reviews.alias("reviews"),
         scores.alias("review_scores"),
         "n_chars",
     )
 
 
-def labelled_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews with a real score: labels joined to documents.
+def scored_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as one review, with its real score where a label
+    gives one (else NULL, as a listing may have no score).
 
-    ``(listing_id, review_pos, Review, Review_Score)``, one review per
-    labelled document. The join is an equi-join on ``doc_id``; AQE picks
-    broadcast or sort-merge from the runtime sizes.
+    ``(listing_id, review_pos, Review, Review_Score)``. The join is an
+    equi-join on ``doc_id``; AQE picks broadcast or sort-merge from the
+    runtime sizes.
     """
     docs = documents(spark, sf_dir, "doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    return docs.join(labels, "doc_id").select(
+    return docs.join(labels, "doc_id", "left").select(
         F.col("doc_id").alias("listing_id"),
         F.lit(0).alias("review_pos"),
         F.col("text").alias(REVIEW_COL),

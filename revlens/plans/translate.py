@@ -1,8 +1,8 @@
 """Stage 3: translate reviews to English.
 
 ``read -> flag first n -> distinct texts -> model -> join back -> write``.
-The answers are written with the rows in one job, so a failure before
-the end loses nothing already committed by other tasks of a re-run.
+With an ``answer_store`` the model's answers are committed wave by wave,
+so a run after a failure asks only for what is missing.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from revlens.operators.inference import BackendFactory, translate
 from revlens.operators.prompts import TRANSLATE_TEMPLATE
-from revlens.sources.csv import write_csv
+from revlens.sources.csv import load_reviews, write_csv
 from revlens.sources.stage import write_stage
 
 
@@ -27,9 +27,10 @@ def run_translate(
     template: str = TRANSLATE_TEMPLATE,
     order_by: Sequence[str] = ("listing_id", "review_pos"),
     output_format: str = "parquet",
+    input_format: str = "parquet",
     **generate_options,
 ) -> DataFrame:
-    df = spark.read.parquet(reviews) if isinstance(reviews, str) else reviews
+    df = load_reviews(spark, reviews, input_format) if isinstance(reviews, str) else reviews
     out = translate(df, factory, template=template, limit=limit, order_by=order_by, **generate_options)
     if output_format == "csv":
         write_csv(out, output_path)

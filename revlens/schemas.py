@@ -38,43 +38,29 @@ NA_TOKENS = (
 REVIEW_COL = "Review"
 SCORE_COL = "Review_Score"
 PRED_COL = "predicho"
+ERROR_COL = "answer_error"
 
 ADDRESS_TYPE = T.StructType([T.StructField("country", T.StringType())])
 
-REVIEW_ITEM_TYPE = T.StructType([T.StructField("comments", T.StringType())])
-
-# One parsed listing: the review list (prefix kept up to a failing
-# element), the listing score as written in the literal, and the error
-# that stopped the row, if any.
-PARSED_LISTING_TYPE = T.StructType(
+# What the literal parser says of one listing: the score's text or why
+# the score could not be used, and a tag for every element of the list:
+# "item" (holds the key), "none" (does not), "error".
+TAGGED_LISTING_TYPE = T.StructType(
     [
-        T.StructField("items", T.ArrayType(REVIEW_ITEM_TYPE)),
         T.StructField("score_text", T.StringType()),
-        T.StructField("error", T.StringType()),
-    ]
-)
-
-REVIEWS_SCHEMA = T.StructType(
-    [
-        T.StructField("listing_id", T.LongType()),
-        T.StructField("review_pos", T.IntegerType()),
-        T.StructField(REVIEW_COL, T.StringType()),
-        T.StructField(SCORE_COL, T.StringType()),
-    ]
-)
-
-PROMPTS_SCHEMA = T.StructType(
-    [
-        T.StructField("prompt_id", T.IntegerType(), False),
-        T.StructField("lang", T.StringType()),
-        T.StructField("template", T.StringType()),
-    ]
-)
-
-SUMMARY_SCHEMA = T.StructType(
-    [
-        T.StructField("media_real", T.DoubleType()),
-        T.StructField("media_predicha", T.DoubleType()),
-        T.StructField("desviacion", T.DoubleType()),
+        T.StructField("score_error", T.StringType()),
+        T.StructField("list_error", T.StringType()),
+        T.StructField(
+            "elements",
+            T.ArrayType(
+                T.StructType(
+                    [
+                        T.StructField("tag", T.StringType()),
+                        T.StructField("comments", T.StringType()),
+                        T.StructField("error", T.StringType()),
+                    ]
+                )
+            ),
+        ),
     ]
 )

@@ -88,36 +88,44 @@ def new_stage_path(spark: SparkSession, name: str) -> str:
     return f"{stage_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) as Spark resolves it: a path without a scheme
+    is on the cluster's default file system, not on the driver's disk."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FS is only reachable here
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path  # noqa: SLF001
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check that works for local and cluster file systems."""
-    if is_local_path(path):
-        return os.path.exists(local_fs_path(path))
-    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FS is only reachable here
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    fs, hadoop_path = _file_system(spark, path)
     return fs.exists(hadoop_path)
 
 
+def remove_stage(spark: SparkSession, path: str) -> None:
+    """Delete one stage that ``new_stage_path`` named, when its job is done."""
+    if not path.startswith(stage_root(spark) + "/"):
+        raise ValueError(f"{path} is not below the stage folder")
+    fs, hadoop_path = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+# A frame is spread when it would use under one in this many slots.
+FEW_SPLITS = 4
+
+
 def spread(df, min_partitions: int | None = None):
-    """Round-robin repartition when ``df`` has fewer partitions than the
-    cluster has task slots, so a Python-heavy stage uses every core.
+    """Round-robin repartition when ``df`` would keep most of the cluster
+    idle (under a quarter of the slots), so a Python-heavy stage uses every
+    core.
 
     Small inputs stored in a few files/row groups otherwise run their
-    Python step in a few tasks; large inputs already have many
-    partitions and are returned untouched (no shuffle).
+    Python step in a few tasks; others are returned untouched, as a
+    shuffle of whole rows costs more than some idle slots.
     """
     if df.isStreaming or moves_data(df):
         return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if df.rdd.getNumPartitions() * FEW_SPLITS > target:
         return df
     return df.repartition(target)
 
@@ -157,20 +165,12 @@ def ship_package(spark: SparkSession) -> str | None:
         return None
     target = f"{stage_root(spark)}/pyfiles-{uuid.uuid4().hex[:12]}/revlens.zip"
     data = package_zip()
-    if is_local_path(target):
-        local = local_fs_path(target)
-        os.makedirs(os.path.dirname(local), exist_ok=True)
-        with open(local, "wb") as fh:
-            fh.write(data)
-    else:
-        jvm = sc._jvm  # noqa: SLF001 - Hadoop FS is only reachable here
-        hadoop_path = jvm.org.apache.hadoop.fs.Path(target)
-        fs = hadoop_path.getFileSystem(sc._jsc.hadoopConfiguration())  # noqa: SLF001
-        out = fs.create(hadoop_path, True)
-        try:
-            out.write(bytearray(data))
-        finally:
-            out.close()
+    fs, hadoop_path = _file_system(spark, target)
+    out = fs.create(hadoop_path, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
     sc.addPyFile(target)
     _SHIPPED.add(app)
     return target

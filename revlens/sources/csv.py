@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revlens.functions.text import comma_decimal, missing_to_null
+from revlens.sources.stage import materialize
 
 CSV_OPTIONS = {
     "header": "true",
@@ -72,6 +73,30 @@ def read_csv(
     return df
 
 
+def in_file_order(df: DataFrame, name: str = "position") -> DataFrame:
+    """``name``: a long that follows the order of files and rows. Take it
+    straight from the scan, before any repartition, and write the result
+    before the number is used twice."""
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
+def load_reviews(spark: SparkSession, path: str, input_format: str = "csv", partitions: int | None = None) -> DataFrame:
+    """Reviews as stages 3 and 4 take them: ``(listing_id long, review_pos
+    int, Review, Review_Score, ...)``.
+
+    A file with those two keys keeps them, cast to integers. A file without
+    (the two-column hand-off) gets its rows' positions in file order as
+    ``listing_id``, with ``review_pos`` 0, and is written once so that every
+    later stage sees the same numbers.
+    """
+    df = read_csv(spark, path) if input_format == "csv" else spark.read.parquet(path)
+    if {"listing_id", "review_pos"} <= set(df.columns):
+        out = df.withColumn("listing_id", F.col("listing_id").cast("long")).withColumn("review_pos", F.col("review_pos").cast("int"))
+    else:
+        out = materialize(in_file_order(df, "listing_id").withColumn("review_pos", F.lit(0)), "reviews")
+    return out.repartition(partitions) if partitions else out
+
+
 def _csv_ready(df: DataFrame, comma_columns: dict[str, str] | None) -> DataFrame:
     """S5 + F1: nested columns to JSON text, chosen columns to comma text.
 

@@ -5,7 +5,10 @@ exploded with exactly the batch operators. Each micro-batch parses once
 (persisted for the two writes), then writes its reviews and its error
 rows under ``batch=<id>`` with overwrite: a replayed batch after a
 failure rewrites the same folder, so the output holds every batch
-exactly once. Progress lives in the checkpoint folder on shared storage.
+exactly once. Progress lives in a checkpoint folder beside that output
+(unless another is named), so each output has its own. Listings whose
+address can not be read go to ``bad_addresses/batch=<id>`` instead of
+stopping the stream.
 """
 
 from __future__ import annotations
@@ -14,11 +17,11 @@ from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from revlens.operators.listings import explode_reviews, extraction_errors, filter_country, parse_listings
-from revlens.session import stage_root
+from revlens.operators.listings import PROBLEM_COL, address_problems, explode_reviews, extraction_errors, filter_country, parse_listings
 from revlens.sources.csv import CSV_OPTIONS, normalise_missing
 
 LISTINGS_TEXT_SCHEMA = T.StructType(
@@ -58,13 +61,20 @@ def _write_batch(
     fmt: str,
 ):
     def run(batch: DataFrame, batch_id: int) -> None:
-        listings = filter_country(batch, countries, fmt=fmt) if countries is not None else batch
+        listings = batch
+        if countries is not None:
+            checked = address_problems(batch, fmt=fmt).persist(StorageLevel.MEMORY_AND_DISK)
+            bad = checked.where(F.col(PROBLEM_COL).isNotNull()).withColumnRenamed(PROBLEM_COL, "error")
+            bad.write.mode("overwrite").parquet(f"{output_dir}/bad_addresses/batch={batch_id}")
+            listings = filter_country(checked.where(F.col(PROBLEM_COL).isNull()).drop(PROBLEM_COL), countries, fmt=fmt)
         parsed = parse_listings(listings, fmt=fmt).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             explode_reviews(parsed).write.mode("overwrite").parquet(f"{output_dir}/reviews/batch={batch_id}")
             extraction_errors(parsed).write.mode("overwrite").parquet(f"{output_dir}/errors/batch={batch_id}")
         finally:
             parsed.unpersist()
+            if countries is not None:
+                checked.unpersist()
 
     return run
 
@@ -92,7 +102,7 @@ def start_extract_stream(
     out = output_dir.rstrip("/")
     writer = (
         stream.writeStream.foreachBatch(_write_batch(out, countries, fmt))
-        .option("checkpointLocation", checkpoint or f"{stage_root(spark)}/streams/extract")
+        .option("checkpointLocation", checkpoint or f"{out}/_checkpoint")
     )
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -33,10 +33,31 @@ def test_classifiers_score_after_an_observation(spark):
     assert set(out) == {"random_forest", "logistic"}
     for r in out.values():
         assert r.n_test == 3  # the NULL review is not scored
-        assert 0.0 <= r.accuracy <= 1.0
+        assert r.n_predicted == 2 and r.seconds > 0
     assert out["logistic"].accuracy == 1.0
 
 
+def test_a_rare_class_is_predicted(spark):
+    import random
+
+    rng = random.Random(1)
+    filler = [f"w{i}" for i in range(300)]
+    rows = [(" ".join(rng.choices(filler, k=12) + (["awful", "dirty"] if i % 8 == 0 else [])), int(i % 8 != 0)) for i in range(480)]
+    out = compare_methods(_frame(spark, rows[:400]), _frame(spark, rows[400:]), "Review", "quality", ("logistic", "random_forest"), num_features=4096).collect()
+    for r in out:
+        constant = r.majority * 2 * r.majority / (1 + r.majority)  # weighted F1 of always saying the larger class
+        assert r.n_predicted == 2 and r.f1 > constant, r
+
+
+def test_more_classes_than_told_are_refused(spark):
+    import pytest
+
+    from revlens.operators.classify import with_class_weights
+
+    with pytest.raises(ValueError, match="more than 2"):
+        with_class_weights(_frame(spark, [("a", 0), ("b", 1), ("c", 2)]), "quality", 2)
+
+
 def test_trained_pipeline_transforms_after_an_observation(spark):
     observed, _ = count_rows(spark.range(3), "warm2")
     observed.write.format("noop").mode("overwrite").save()

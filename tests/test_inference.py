@@ -39,7 +39,14 @@ def test_prompt_set_is_checked():
     with pytest.raises(ValueError):
         Prompt(0, "en", "no slot")
     with pytest.raises(ValueError):
-        as_prompts(["{review}"] * 65)
+        as_prompts([Prompt(1, "", "{review}"), Prompt(1, "", "{review}!")])
+
+
+def test_a_large_prompt_set_is_joined(spark):
+    prompts = ["x" * 20_000 + f" {i} {{review}}" for i in range(70)]
+    got = with_prompts(_reviews(spark), prompts, text_col="t").select("listing_id", "review_pos", "prompt_id", "t").collect()
+    assert len(got) == 5 * 70
+    assert all(r.t is None or (r.t.startswith("x" * 20_000) and f" {r.prompt_id} " in r.t) for r in got)
 
 
 def test_dedup_equals_direct(spark):
@@ -85,6 +92,22 @@ def test_on_error_policies(spark):
         generate(df, "t", "out", Failing).collect()
 
 
+@pytest.mark.parametrize("dedup", [True, False])
+def test_one_bad_prompt_costs_no_other_its_answer(spark, dedup):
+    df = spark.createDataFrame([(i, "boom" if i == 7 else f"t{i}") for i in range(65)], "id long, t string").coalesce(1)
+    rows = generate(df, "t", "out", Failing, on_error="null", error_col="err", dedup=dedup).collect()
+    assert {r.id for r in rows if r.out is None} == {7}
+    assert {r.id for r in rows if r.err} == {7}
+
+
+def test_failed_calls_are_counted(spark):
+    from revlens.operators.scoring import deviation
+
+    df = spark.createDataFrame([(i, 0, "boom" if i < 3 else f"t{i}", "5") for i in range(9)], REVIEWS)
+    (row,) = deviation(score(df, Failing, [Prompt(0, "", "{review}")], on_error="null")).collect()
+    assert (row.n_rows, row.n_failed, row.n_bad, row.n_numeric) == (9, 3, 6, 0)
+
+
 def test_translate_limit_changes_only_first_rows(spark):
     df = spark.createDataFrame([(i, 0, f"t{i}", "5") for i in range(5)], REVIEWS)
     out = translate(df, PrefixTranslator, template="{review}", limit=2)
@@ -98,7 +121,6 @@ def test_translate_keeps_nulls(spark):
     out = translate(_reviews(spark), PrefixTranslator, template="{review}")
     rows = {(r.listing_id, r.review_pos): r.Review for r in out.collect()}
     assert rows[(2, 0)] is None and rows[(1, 0)] == "[en] good"
-    assert F is not None
 
 
 def test_hot_texts_are_salted(spark):
@@ -154,7 +176,8 @@ def test_rows_cross_the_join_back_once(spark):
     # multiply only in the join's output
     scored = score(_reviews(spark), LengthScorer, DEFAULT_PROMPTS)
     plan = scored._jdf.queryExecution().executedPlan().toString()
-    assert "Join" in plan and "Generate" not in plan
+    # (only reviews that are missing, which join nothing, are multiplied)
+    assert "Join" in plan and plan.count("Generate explode") == 1 and "isnull(" in plan
     assert scored.count() == 5 * len(DEFAULT_PROMPTS)
 
 
@@ -173,20 +196,18 @@ class RefuseKnown:
 
 
 def test_answer_store_resumes_without_asking_again(spark, tmp_path):
-    from revlens.operators.inference import factory_key
-
     # an earlier run answered 20 prompts into a store
     earlier = str(tmp_path / "earlier")
     first = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "id long, t string")
-    out1 = generate(first, "t", "out", Counting, answer_store=earlier)
+    out1 = generate(first, "t", "out", Counting, answer_store=earlier, model_id="m")
     assert sorted(int(r.out) for r in out1.collect()) == sorted(len(f"text {i}") for i in range(20))
     # hand those answers to RefuseKnown, which fails if asked for any of them
     store = str(tmp_path / "store")
-    seed = spark.read.parquet(earlier).drop("run").withColumn("model", F.lit(factory_key(RefuseKnown)))
+    seed = spark.read.parquet(earlier).drop("run").withColumn("model", F.lit("refuser"))
     seed.write.parquet(f"{store}/run=seed")
 
     both = spark.createDataFrame([(i, f"text {i}") for i in range(40)] + [(99, None)], "id long, t string")
-    rows = {r.id: r.out for r in generate(both, "t", "out", RefuseKnown, answer_store=store).collect()}
+    rows = {r.id: r.out for r in generate(both, "t", "out", RefuseKnown, answer_store=store, model_id="refuser").collect()}
     assert rows[99] is None
     assert all(rows[i] == str(len(f"text {i}")) for i in range(40))
     # the 20 new answers were added once
@@ -197,7 +218,7 @@ def test_answer_store_resumes_without_asking_again(spark, tmp_path):
 def test_answer_store_keeps_failures_out(spark, tmp_path):
     store = str(tmp_path / "store")
     df = spark.createDataFrame([(1, "fine"), (2, "boom")], "id long, t string")
-    out = generate(df, "t", "out", Failing, on_error="null", error_col="err", batch_size=1, answer_store=store)
+    out = generate(df, "t", "out", Failing, on_error="null", error_col="err", batch_size=1, answer_store=store, model_id="m")
     rows = {r.id: (r.out, r.err) for r in out.collect()}
     assert rows[1] == ("FINE", None) and rows[2][0] is None and "model down" in rows[2][1]
     assert spark.read.parquet(store).count() == 1  # only the success
@@ -208,7 +229,7 @@ def test_score_with_answer_store_equals_without(spark, tmp_path):
     cols = ["listing_id", "review_pos", "prompt_id", "response", "predicho"]
     plain = sorted(tuple(r) for r in score(_reviews(spark), LengthScorer, DEFAULT_PROMPTS).select(*cols).collect())
     for _ in range(2):  # second run answers everything from the store
-        stored = score(_reviews(spark), LengthScorer, DEFAULT_PROMPTS, answer_store=store)
+        stored = score(_reviews(spark), LengthScorer, DEFAULT_PROMPTS, answer_store=store, model_id="m")
         assert sorted(tuple(r) for r in stored.select(*cols).collect()) == plain
     assert spark.read.parquet(store).count() == spark.read.parquet(store).select("prompt_sha256").distinct().count()
 
@@ -228,3 +249,64 @@ def test_score_concurrency_sets_the_model_tasks(spark):
     assert rows == 200 * len(DEFAULT_PROMPTS)
     (new,) = answer_dirs() - before
     assert len([f for f in os.listdir(new) if f.startswith("part-")]) == 3
+
+
+def test_answer_store_needs_a_model_id_and_takes_an_empty_folder(spark, tmp_path):
+    df = spark.createDataFrame([(1, "fine")], "id long, t string")
+    with pytest.raises(ValueError, match="model_id"):
+        generate(df, "t", "out", Counting, answer_store=str(tmp_path / "s"))
+    (tmp_path / "made").mkdir()
+    assert generate(df, "t", "out", Counting, answer_store=str(tmp_path / "made"), model_id="m").first().out == "4"
+
+
+RESUME = """
+import sys
+sys.path.insert(0, {root!r})
+from revlens.session import get_session
+
+spark = get_session("local[2]", shuffle_partitions=2, conf={{"spark.checkpoint.dir": {stage!r}}})
+
+
+class Model:
+    \"\"\"Fails on its bad prompt; writes down all it is asked.\"\"\"
+
+    def generate(self, prompts):
+        with open({asked!r}, "a") as f:
+            f.writelines(p + chr(10) for p in prompts)
+        if {bad!r} in prompts:
+            raise RuntimeError("model down")
+        return [p.upper() for p in prompts]
+
+
+from revlens.operators.inference import generate
+
+df = spark.createDataFrame([(i, f"t{{i}}") for i in range(60)], "id long, t string")
+print("ANSWERS", len([r for r in generate(df, "t", "out", Model, answer_store={store!r}, model_id="m", wave_prompts=10, batch_size=4).collect() if r.out]))
+"""
+
+
+def test_a_failed_run_is_resumed_by_another_process(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = []
+    for k, bad in enumerate(("t33", "none")):
+        asked = tmp_path / f"asked{k}"
+        code = RESUME.format(root=root, stage=str(tmp_path / f"stage{k}"), asked=str(asked), bad=bad, store=str(tmp_path / "store"))
+        run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+        out.append((run, set(asked.read_text().split())))
+    (first, asked_first), (second, asked_second) = out
+    assert first.returncode and "model down" in first.stderr
+    assert "ANSWERS 60" in second.stdout
+    # the second asks only what was not answered: the bad one and later waves
+    assert asked_second == ({f"t{i}" for i in range(60)} - asked_first) | {"t33"}
+    assert len(asked_first) > 1
+
+
+def test_distinct_texts_are_counted_without_a_sort(spark):
+    from revlens.operators.inference import _distinct_texts
+
+    plan = _distinct_texts(_reviews(spark).withColumn("__k", F.sha2("Review", 256)), "Review", "__t")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan

@@ -58,7 +58,10 @@ def test_country_filter_keeps_and_drops(spark):
     df = spark.createDataFrame(rows, "listing_id long, address string")
     kept = filter_country(df, ["Canada"])
     assert sorted(r.listing_id for r in kept.collect()) == [1, 5]
-    assert kept.schema["address"].dataType.simpleString() == "struct<country:string>"
+    # the address is returned whole, and parsed only where asked for
+    assert {r.listing_id: r.address for r in kept.collect()}[5] == "{'country': 'Canada', 'city': 'x'}"
+    parsed = filter_country(df, ["Canada"], parsed_col="place")
+    assert parsed.schema["place"].dataType.simpleString() == "struct<country:string>"
     two = filter_country(df, ["Canada", "Australia"])
     assert sorted(r.listing_id for r in two.collect()) == [1, 2, 5]
 
@@ -94,7 +97,7 @@ def test_struct_address_is_pushed_to_parquet(spark, tmp_path):
 
 def test_filter_nested_on_map_and_struct(spark):
     df = spark.createDataFrame([(1, '{"k": 9}'), (2, '{"k": 10}')], "id long, props string")
-    kept = filter_nested(df, "props", "k", [9], fmt="json", value_type="k long")
+    kept = filter_nested(df, "props", "k", [9], fmt="json", value_type="k long", parsed_col="parsed")
     assert [r.id for r in kept.collect()] == [1]
 
 
@@ -120,3 +123,21 @@ def test_compare_countries(spark):
     assert set(rows) == {"Canada", "Australia"}
     assert rows["Canada"].n_rows == 2 and rows["Canada"].mean_value == 9.5
     assert F is not None
+
+
+def test_json_rows_keep_their_prefix_and_report(spark):
+    rows = [
+        (1, '[{"comments": "a"}, 5, {"comments": "z"}]', '{"review_scores_value": 9}'),
+        (2, '[{"comments": "a"}, {"x": 1}, {"comments": null}]', '{"review_scores_value": 9.5}'),
+        (3, '[{"comments": "a"}]', "[1]"),
+        (4, "{bad", "{bad"),
+        (5, None, None),
+        (6, '{"comments": "a"}', "{}"),
+        (7, '["comments"]', "{}"),
+        (8, "[]", "{}"),
+    ]
+    parsed = parse_listings(spark.createDataFrame(rows, "listing_id long, reviews string, review_scores string"), fmt="json")
+    got = sorted((r.listing_id, r.review_pos, r.Review, r.Review_Score) for r in explode_reviews(parsed).collect())
+    assert got == [(1, 0, "a", "9"), (2, 0, "a", "9.5"), (2, 1, None, "9.5")]
+    errors = {r.listing_id: (r.error.split(":")[0], r.reviews_kept) for r in extraction_errors(parsed).collect()}
+    assert errors == {1: ("TypeError", 1), 3: ("TypeError", 0), 6: ("TypeError", 0), 7: ("TypeError", 0)}

@@ -1,6 +1,6 @@
 from pyspark.sql import types as T
 
-from revlens.functions.literal import coerce, parse_listing, parse_struct_literal
+from revlens.functions.literal import coerce, parse_struct_literal, read_reviews, read_score
 from revlens.schemas import ADDRESS_TYPE
 
 # FIXTURES.md §2, "Parse and extract, Python-literal mode"
@@ -20,32 +20,33 @@ CASES = [
 ]
 
 
-def test_parse_listing_edge_rows():
-    for reviews, scores, items, score_text, error in CASES:
-        got = parse_listing(reviews, scores)
-        assert [i["comments"] for i in got["items"]] == items, reviews
-        assert got["score_text"] == score_text, (reviews, scores)
-        if error is None:
-            assert got["error"] is None, (reviews, got["error"])
-        else:
-            assert got["error"].startswith(error), (reviews, got["error"])
+def tags(text):
+    return [(e["tag"], e["comments"]) for e in read_reviews(text)["elements"]]
 
 
-def test_parse_listing_other_shapes():
-    # a string element that contains 'comments' breaks the loop
-    got = parse_listing("[{'comments': 'a'}, 'my comments']", "{}")
-    assert [i["comments"] for i in got["items"]] == ["a"]
-    assert got["error"].startswith("TypeError")
-    # non-string comment values are written as text
-    got = parse_listing("[{'comments': 5}, {'comments': [1, 2]}]", "{'review_scores_value': 'x'}")
-    assert [i["comments"] for i in got["items"]] == ["5", "[1, 2]"]
-    assert got["score_text"] == "x"
-    # an unhashable dict key is not a tolerated parse error: the row fails
-    got = parse_listing("{[1]: 2}", "{}")
-    assert got["items"] == [] and got["error"].startswith("TypeError")
+def test_scores_are_read_as_their_own_text():
+    assert read_score("{'review_scores_value': 9.5}") == {"score_text": "9.5", "score_error": None}
+    for missing in (None, "bad(", "{}", "{'review_scores_value': None}"):
+        assert read_score(missing) == {"score_text": None, "score_error": None}
+    assert read_score("[1]")["score_error"].startswith("AttributeError")
+    assert read_score("{[1]: 2}")["score_error"].startswith("TypeError")
+
+
+def test_every_element_is_tagged():
+    assert tags("[{'comments': 'a'}, {'x': 1}, 5, {'comments': None}]") == [("item", "a"), ("none", None), ("error", None), ("item", None)]
+    # a string can be asked for the key but not give it
+    assert tags("['my comments', 'other']") == [("error", None), ("none", None)]
+    assert tags("{'comments': 'a'}") == [("error", None)]
+    assert tags("[{'comments': 5}, {'comments': [1, 2]}]") == [("item", "5"), ("item", "[1, 2]")]
     # a lone surrogate is made valid for Arrow
-    got = parse_listing("[{'comments': '\\ud800x'}]", "{}")
-    assert got["items"][0]["comments"] == "�x"
+    assert tags("[{'comments': '\\ud800x'}]") == [("item", "\ufffdx")]
+
+
+def test_lists_that_can_not_be_walked():
+    for missing in (None, "bad(", "[]"):
+        assert read_reviews(missing) == {"elements": [], "list_error": None}
+    assert read_reviews("5")["list_error"].startswith("TypeError")
+    assert read_reviews("{[1]: 2}")["list_error"].startswith("TypeError")
 
 
 def test_strict_struct_literal():

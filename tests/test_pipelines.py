@@ -23,8 +23,11 @@ def test_extract_stage_csv(spark, tmp_path):
     src = tmp_path / "listings.csv"
     src.write_text(LISTINGS_CSV, encoding="utf-8")
     out = str(tmp_path / "reviews")
-    result = run_extract(spark, str(src), out, ["Canada"], id_col="id", output_format="csv")
+    filtered = str(tmp_path / "filtered")
+    result = run_extract(spark, str(src), out, ["Canada"], id_col="id", output_format="csv", filtered_path=filtered)
     assert result.rows_written == 3
+    stage1 = {r.listing_id: r for r in read_csv(spark, filtered).collect()}
+    assert set(stage1) == {"1", "3", "4"} and stage1["1"].name == "flat,\nnice" and stage1["1"].address == "{'country': 'Canada'}"
     text = "".join(open(p, encoding="utf-8").read() for p in sorted(glob.glob(out + "/*.csv")))
     assert '"9,5"' in text
     back = read_csv(spark, out).orderBy("listing_id", "review_pos").collect()
@@ -101,9 +104,10 @@ def test_spread_never_runs_upstream_stages(spark):
     before = last_job()
     assert spread(shuffled) is shuffled  # sized by its shuffle already
     assert last_job() == before  # and nothing ran to find that out
-    spread_src = spread(src)
+    assert spread(src) is src  # some idle slots: cheaper than moving the rows
+    few = spread(spark.range(0, 1000, numPartitions=1))
     assert last_job() == before
-    assert spread_src.rdd.getNumPartitions() == sc.defaultParallelism
+    assert few.rdd.getNumPartitions() == sc.defaultParallelism
 
 
 def test_package_is_shipped_once_with_every_module(spark):
@@ -129,11 +133,40 @@ def test_evaluate_resumes_from_an_answer_store(spark, tmp_path):
     reviews = spark.createDataFrame(rows, "listing_id long, review_pos int, Review string, Review_Score string")
     prompts = [Prompt(0, "en", "Score: {review}"), Prompt(1, "en", "Rate this one: {review}")]
     store = str(tmp_path / "store")
-    first = evaluate(reviews, LengthScorer, prompts, limit=-1, answer_store=store)
+    first = evaluate(reviews, LengthScorer, prompts, limit=-1, answer_store=store, model_id="lengths")
     n_stored = spark.read.parquet(store).count()
     # 32 dev reviews x 2 prompts + 8 test reviews x the chosen prompt
     assert n_stored == 32 * 2 + 8
-    second = evaluate(reviews, LengthScorer, prompts, limit=-1, answer_store=store)
+    second = evaluate(reviews, LengthScorer, prompts, limit=-1, answer_store=store, model_id="lengths")
     assert spark.read.parquet(store).count() == n_stored  # nothing new was asked
     assert (first.prompt.prompt_id, first.dev_mae) == (second.prompt.prompt_id, second.dev_mae)
     assert first.summary.first() == second.summary.first()
+
+
+def test_reviews_without_keys_get_file_positions(spark, tmp_path):
+    from revlens.sources.csv import load_reviews
+
+    src = tmp_path / "reviews.csv"
+    src.write_text("Review,Review_Score\n" + "".join(f'"r {i}, ""x""","{i % 10},5"\n' for i in range(40)), encoding="utf-8")
+    reviews = load_reviews(spark, str(src), partitions=5)
+    rows = sorted((r.listing_id, r.review_pos, r.Review) for r in reviews.collect())
+    assert rows == [(i, 0, f'r {i}, "x"') for i in range(40)]
+    translated = run_translate(spark, str(src), str(tmp_path / "t"), PrefixTranslator, limit=3, template="{review}", input_format="csv")
+    assert sorted(r.listing_id for r in translated.where(F.col("Review").startswith("[en]")).collect()) == [0, 1, 2]
+    keyed = tmp_path / "keyed.csv"
+    keyed.write_text("listing_id,review_pos,Review,Review_Score\n12,1,a,5\n3,0,b,4\n", encoding="utf-8")
+    ev = load_reviews(spark, str(keyed))
+    assert dict(ev.dtypes)["listing_id"] == "bigint" and sorted(r.listing_id for r in ev.collect()) == [3, 12]
+
+
+def test_stages_are_removed_only_below_the_stage_folder(spark, tmp_path):
+    import pytest
+
+    from revlens.session import new_stage_path, path_exists, remove_stage
+
+    path = new_stage_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    remove_stage(spark, path)
+    assert not path_exists(spark, path)
+    with pytest.raises(ValueError):
+        remove_stage(spark, str(tmp_path))

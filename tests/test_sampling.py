@@ -78,7 +78,6 @@ def test_dev_test_composite_key(spark):
     dev, test = dev_test(df, ["listing_id", "review_pos"])
     assert test.count() == 8 and dev.count() == 32
     assert dev.join(test, ["listing_id", "review_pos"]).count() == 0
-    assert F is not None
 
 
 def test_many_partitions_take_the_histogram_path(spark):
@@ -91,3 +90,21 @@ def test_many_partitions_take_the_histogram_path(spark):
     topk = cut_key(hashed, ["h", "k"], 1000)
     refined = cut_key(hashed, ["h", "k"], 1000, topk_budget=1000 * 39, local_limit=100, buckets=8)
     assert topk == refined
+
+
+@pytest.mark.parametrize("options", [{}, SMALL_CUT])
+def test_keys_are_checked_alike_on_both_paths(spark, options):
+    text = spark.createDataFrame([(str(i),) for i in range(1, 31)], "k string")
+    with pytest.raises(TypeError, match="integral"):
+        first_rows(text, 5, ["k"], **options)
+    nulls = spark.createDataFrame([(i,) for i in range(30)] + [(None,)], "k long")
+    with pytest.raises(ValueError, match="NULL"):
+        first_rows(nulls, 5, ["k"], **options)
+    with pytest.raises(ValueError, match="NULL"):
+        first_rows(nulls, 500, ["k"], **options)
+    twice = spark.createDataFrame([(i // 2,) for i in range(60)], "k long")
+    with pytest.raises(ValueError, match="not unique"):
+        first_rows(twice, 5, ["k"], **options)
+    hot = spark.createDataFrame([(1,)] * 40 + [(i,) for i in range(2, 9)], "k long")
+    with pytest.raises(ValueError, match="not unique"):
+        first_rows(hot, 5, ["k"], **options)

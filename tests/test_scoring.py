@@ -1,6 +1,6 @@
 import pytest
 
-from revlens.operators.scoring import best_prompt, choose_prompt, deviation, summary
+from revlens.operators.scoring import best_prompt, deviation, pick_best, summary
 
 
 def test_deviation_skips_missing_pairs(spark):
@@ -19,7 +19,7 @@ def test_decimal_comma_real_scores(spark):
 
 def test_all_non_numeric_never_chosen(spark):
     dev = spark.createDataFrame([(0, None), (1, 2.0), (2, 3.0)], "prompt_id int, mae double")
-    assert choose_prompt(dev) == (1, 2.0)
+    assert pick_best(dev.collect()) == (1, 2.0)
 
 
 def test_tie_goes_to_first_prompt(spark):
@@ -31,7 +31,7 @@ def test_every_prompt_null_is_an_error(spark):
     dev = spark.createDataFrame([(0, None), (1, None)], "prompt_id int, mae double")
     assert best_prompt(dev).count() == 0
     with pytest.raises(ValueError):
-        choose_prompt(dev)
+        pick_best(dev.collect())
 
 
 def test_summary_means_over_own_rows(spark):

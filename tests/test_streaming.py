@@ -56,3 +56,16 @@ def test_json_stream_reads_natively(spark, tmp_path):
     rows = sorted((r.listing_id, r.review_pos, r.Review, r.Review_Score) for r in spark.read.parquet(f"{out}/reviews").collect())
     # A present key with a null value still gives a review
     assert rows == [(1, 0, "a", "9"), (1, 1, None, "9")]
+
+
+def test_two_streams_with_default_settings_and_a_bad_address(spark, tmp_path):
+    for name in ("one", "two"):
+        src, out = str(tmp_path / f"{name}_in"), str(tmp_path / f"{name}_out")
+        _drop(spark, src, [
+            (1, "{'country': 'Canada'}", f"[{{'comments': '{name}'}}]", "{}"),
+            (2, "bad(", "[{'comments': 'b'}]", "{}"),
+            (3, None, "[{'comments': 'c'}]", "{}"),
+        ])
+        start_extract_stream(spark, src, out, ["Canada"]).awaitTermination(120)
+        assert [r.Review for r in spark.read.parquet(f"{out}/reviews").collect()] == [name]
+        assert sorted(r.listing_id for r in spark.read.parquet(f"{out}/bad_addresses").collect()) == [2, 3]
