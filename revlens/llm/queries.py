@@ -121,3 +121,40 @@ def op8_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose 5-word shingle sets reach Jaccard 0.8, as components."""
     return link(documents(spark, sf_dir, "doc_id", "text"))
+
+
+_WORDS_SQL = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+
+ORACLES["op5_substring_dedup"] = f"""
+WITH w AS (SELECT doc_id, {_WORDS_SQL.format(text="coalesce(text, '')")} AS ws FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 34], ' ') AS k
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM w WHERE len(ws) >= 35)
+),
+rep AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM win JOIN rep USING (k))),
+every AS (SELECT doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS p FROM w),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t FROM every ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(lost.n, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES["op3_jaccard_join"] = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {_WORDS_SQL.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS s
+  FROM w
+),
+one AS (SELECT doc_id, len(s) AS n, unnest(s) AS e FROM sets),
+near AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM one a JOIN one b ON a.e = b.e AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM sets UNION SELECT r.x, n.y FROM reach r JOIN near n ON r.y = n.x)
+SELECT sets.doc_id, CAST(len(any_value(s)) AS BIGINT) AS n_shingles, min(reach.y) AS component_id
+FROM sets JOIN reach ON sets.doc_id = reach.x GROUP BY sets.doc_id
+"""

@@ -34,11 +34,13 @@ from pyspark.sql import types as T
 from revlens.llm import chunks, textscan
 from revlens.llm.stage import appended
 
-MAX_LABELLED = 12_000
+MAX_LABELLED = 6_000
 WORD_BITS = 20
 MAX_WORDS = 2_048
 FOLDS = 3
 STEMS = (4, 5, 6)
+# Rows that a word must occur in to be chosen.
+LEAST_ROWS = 3
 
 
 def _word_rows(text: textscan.Text) -> tuple[np.ndarray, np.ndarray]:
@@ -182,10 +184,16 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col:
     found = appended(source, "_text", distinct, fields).select("row._id", "found.words")
     rows = found.join(known.filter(chosen), "_id").limit(2 * max_labelled).toPandas()
     rows = rows.assign(_n=[len(w) for w in rows["words"]]).sort_values(["_id", "_n"], kind="stable")
-    n = np.array(rows["_n"], dtype=np.int64)
-    word = np.concatenate([np.asarray(w, dtype=np.int64) for w in rows["words"]]) if len(rows) else np.zeros(0, dtype=np.int64)
     fold = (textscan.mix(np.arange(len(rows), dtype=np.uint64)) % np.uint64(FOLDS)).astype(np.int64)
-    return learn(np.repeat(np.arange(len(rows)), n), word, rows[list(names)].to_numpy(dtype=float), fold, names)
+    y, every = rows[list(names)].to_numpy(dtype=float), rows.pop("words").tolist()
+    del rows
+    # words seen in few rows can not be chosen: set them aside row by row
+    seen = np.zeros(1 << WORD_BITS, dtype=np.int32)
+    for w in every:
+        seen[w] += 1
+    every = [np.asarray(w, dtype=np.int32)[seen[w] >= LEAST_ROWS] for w in every]
+    row = np.repeat(np.arange(len(every), dtype=np.int32), [len(w) for w in every])
+    return learn(row, np.concatenate([*every, np.zeros(0, dtype=np.int32)]), y, fold, names)
 
 
 def with_probabilities(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame:
