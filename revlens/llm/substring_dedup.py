@@ -38,7 +38,7 @@ from revlens.llm.stage import materialize, tuned, with_uid
 
 SIZE = 35
 GRAM = 15
-SKETCH_BITS = 27
+SKETCH_BITS = 26
 SKETCH_ROWS = 3
 
 

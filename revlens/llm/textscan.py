@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Text bytes handled at once (a longer row is handled alone).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
