@@ -73,11 +73,6 @@ def pick_best(rows) -> tuple[int, float]:
     return int(prompt_id), float(mae)
 
 
-def bad_answers(preds: DataFrame, pred_col: str = PRED_COL) -> DataFrame:
-    """A7 side table: answers that are not a number."""
-    return preds.where(F.col(pred_col).isNull() & F.col("response").isNotNull())
-
-
 def summary(test_preds: DataFrame, real_col: str = SCORE_COL, pred_col: str = PRED_COL) -> DataFrame:
     """A2 + A3 + A4 on the test rows: mean real score, mean predicted
     score (each over its own non-missing rows) and mean absolute

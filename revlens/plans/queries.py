@@ -353,7 +353,7 @@ def compare_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     # classical training and generative scoring are independent jobs:
     # submitted from two threads, Spark runs them side by side
     with ThreadPoolExecutor(max_workers=2) as pool:
-        classical = pool.submit(compare_methods, dev, test, REVIEW_COL, "quality", ("svm", "random_forest"), label_to_score=_label_to_score)
+        classical = pool.submit(compare_methods, dev, test, REVIEW_COL, "quality", ("svm", "random_forest"), label_to_score=_label_to_score, min_doc_freq=5)
         generative = pool.submit(_generative, tagged)
         return classical.result().unionByName(generative.result())
 

@@ -83,9 +83,14 @@ def stage_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def run_root(spark: SparkSession) -> str:
+    """This application's own folder below the stage folder."""
+    return f"{stage_root(spark)}/run-{spark.sparkContext.applicationId}"
+
+
 def new_stage_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path for one materialised stage."""
-    return f"{stage_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path for one materialised stage of this application."""
+    return f"{run_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -101,12 +106,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def remove_stage(spark: SparkSession, path: str) -> None:
-    """Delete one stage that ``new_stage_path`` named, when its job is done."""
-    if not path.startswith(stage_root(spark) + "/"):
-        raise ValueError(f"{path} is not below the stage folder")
-    fs, hadoop_path = _file_system(spark, path)
+def remove_run(spark: SparkSession) -> None:
+    """Delete every stage of this application. Call it when all results are
+    written elsewhere: frames that read a stage can not be read after."""
+    fs, hadoop_path = _file_system(spark, run_root(spark))
     fs.delete(hadoop_path, True)
+    _SHIPPED.discard(spark.sparkContext.applicationId)
 
 
 # A frame is spread when it would use under one in this many slots.
@@ -163,7 +168,7 @@ def ship_package(spark: SparkSession) -> str | None:
     app = sc.applicationId
     if app in _SHIPPED:
         return None
-    target = f"{stage_root(spark)}/pyfiles-{uuid.uuid4().hex[:12]}/revlens.zip"
+    target = f"{new_stage_path(spark, 'pyfiles')}/revlens.zip"
     data = package_zip()
     fs, hadoop_path = _file_system(spark, target)
     out = fs.create(hadoop_path, True)

@@ -142,10 +142,10 @@ def test_model_stage_keeps_one_task_per_slot(spark):
     import os
 
     from revlens.operators.inference import model_tasks
-    from revlens.session import stage_root
+    from revlens.session import run_root
 
     def answer_dirs():
-        return set(glob.glob(f"{stage_root(spark)}/answers-*"))
+        return set(glob.glob(f"{run_root(spark)}/answers-*"))
 
     before = answer_dirs()
     df = spark.createDataFrame([(i, f"text {i}") for i in range(500)], "id long, t string")
@@ -238,10 +238,10 @@ def test_score_concurrency_sets_the_model_tasks(spark):
     import glob
     import os
 
-    from revlens.session import stage_root
+    from revlens.session import run_root
 
     def answer_dirs():
-        return set(glob.glob(f"{stage_root(spark)}/answers-*"))
+        return set(glob.glob(f"{run_root(spark)}/answers-*"))
 
     before = answer_dirs()
     df = spark.createDataFrame([(i, 0, f"review {i}", "5") for i in range(200)], REVIEWS)

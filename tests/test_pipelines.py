@@ -159,14 +159,17 @@ def test_reviews_without_keys_get_file_positions(spark, tmp_path):
     assert dict(ev.dtypes)["listing_id"] == "bigint" and sorted(r.listing_id for r in ev.collect()) == [3, 12]
 
 
-def test_stages_are_removed_only_below_the_stage_folder(spark, tmp_path):
-    import pytest
-
-    from revlens.session import new_stage_path, path_exists, remove_stage
+def test_a_run_has_its_own_folder(spark, monkeypatch):
+    from revlens import session
 
-    path = new_stage_path(spark, "gone")
-    spark.range(3).write.parquet(path)
-    remove_stage(spark, path)
-    assert not path_exists(spark, path)
-    with pytest.raises(ValueError):
-        remove_stage(spark, str(tmp_path))
+    path = session.new_stage_path(spark, "kept")
+    assert path.startswith(session.run_root(spark) + "/kept-")
+    with monkeypatch.context() as m:
+        m.setattr(session, "run_root", lambda s: f"{session.stage_root(s)}/run-other")
+        other = session.new_stage_path(spark, "gone")
+        spark.range(3).write.parquet(other)
+        shipped = set(session._SHIPPED)
+        session.remove_run(spark)
+        session._SHIPPED |= shipped
+    assert not session.path_exists(spark, other)
+    assert session.path_exists(spark, session.run_root(spark))
