@@ -9,7 +9,8 @@ the predictions' confidences. An id that neither prediction hits is coded
 by order 0.
 
 The decoder repeats the same updates, so nothing but the code words is
-stored. Blocks are independent of each other and carry a checksum.
+stored. Blocks are independent of each other and carry a checksum over
+ids and code words.
 """
 
 from __future__ import annotations
@@ -96,9 +97,9 @@ def _active(n: int, lanes: int, steps: int, step: int) -> int:
 def encode(ids: np.ndarray, vocab: int) -> bytes:
     """One block: header, checksum and code words."""
     n = len(ids)
-    check = zlib.crc32(ids.astype("<u4").tobytes())
+    plain = zlib.crc32(ids.astype("<u4").tobytes())
     if not n:
-        return _HEAD.pack(_MAGIC, 0, vocab, check, 0)
+        return _HEAD.pack(_MAGIC, 0, vocab, plain, 0)
     lanes, steps = _lanes(n)
     padded = np.zeros(lanes * steps, dtype=np.int64)
     padded[:n] = ids
@@ -136,7 +137,8 @@ def encode(ids: np.ndarray, vocab: int) -> bytes:
     lane, word = np.concatenate(out_lane), np.concatenate(out_word)
     order = np.argsort(lane, kind="stable")
     sizes = np.bincount(lane, minlength=lanes).astype("<u4")
-    return _HEAD.pack(_MAGIC, n, vocab, check, len(word)) + sizes.tobytes() + word[order].astype("<u4").tobytes()
+    body = sizes.tobytes() + word[order].astype("<u4").tobytes()
+    return _HEAD.pack(_MAGIC, n, vocab, zlib.crc32(body, plain), len(word)) + body
 
 
 def decode(block: bytes) -> np.ndarray:
@@ -148,7 +150,7 @@ def decode(block: bytes) -> np.ndarray:
     if magic != _MAGIC or len(block) != _HEAD.size + 4 * (lanes + total):
         raise ValueError("token block: wrong header or length")
     ids = _decode(block, n, vocab, lanes, steps, total) if n else np.zeros(0, dtype=np.int64)
-    if zlib.crc32(ids.astype("<u4").tobytes()) != check:
+    if zlib.crc32(block[_HEAD.size :], zlib.crc32(ids.astype("<u4").tobytes())) != check:
         raise ValueError("token block: checksum does not fit")
     return ids
 

@@ -206,8 +206,9 @@ def test_jaccard_join(spark):
     assert cases.ordered(tuple(r) for r in got) == cases.jaccard_components(cases.plain(spark))
 
 
-def test_jaccard_join_with_long_lists(spark, monkeypatch):
-    """Groups of near copies beyond a list's length: leaders, then blocks."""
+@pytest.mark.parametrize("longest", [6, 1000])
+def test_jaccard_join_with_long_lists(spark, monkeypatch, longest):
+    """Groups of near copies beyond a list's length, in several blocks."""
     import random
 
     rng = random.Random(3)
@@ -220,8 +221,7 @@ def test_jaccard_join_with_long_lists(spark, monkeypatch):
                 w[rng.randrange(len(w))] = f"e{rng.randrange(10**6)}"
             rows.append((at, " ".join(w)))
             at += 1
-    monkeypatch.setattr(jaccard_join, "LIST", 6)
-    monkeypatch.setattr(jaccard_join, "LEADERS", 1)
+    monkeypatch.setattr(jaccard_join, "LIST", longest)
     monkeypatch.setattr(jaccard_join, "CHUNK", 8)
     got = jaccard_join.link(cases.documents(spark, rows)).collect()
     assert cases.ordered(tuple(r) for r in got) == cases.jaccard_components(rows)
@@ -238,6 +238,23 @@ def test_jaccard_join_at_any_boundary(spark, monkeypatch, boundary):
     assert cases.ordered(tuple(r) for r in got) == cases.jaccard_components(rows)
 
 
+def test_blocks_connect_what_all_links_connect():
+    rng = np.random.default_rng(1)
+    sets = [set(range(30)) - set(rng.integers(0, 30, 3).tolist()) for _ in range(40)] + [set(range(100 + k, 140 + k)) for k in range(0, 40, 3)]
+    sizes = np.array([len(s) for s in sets])
+    flat = np.array([x for s in sets for x in sorted(s)], dtype=np.int64)
+    a, b = jaccard_join.linked_in_block(np.arange(len(sets)) * 10, flat, sizes, 80)
+    assert len(a) < len(sets) and all(100 * len(sets[x // 10] & sets[y // 10]) >= 80 * len(sets[x // 10] | sets[y // 10]) for x, y in zip(a, b))
+    group = {x * 10: x for x in range(len(sets))}
+    find = lambda x: x if group[x] == x // 10 else find(group[x] * 10)
+    for x, y in zip(a.tolist(), b.tolist()):
+        group[find(y)] = find(x) // 10
+    for x in range(len(sets)):
+        for y in range(x):
+            if 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]):
+                assert find(10 * x) == find(10 * y)
+
+
 def test_boundary_follows_cost():
     assert jaccard_join.choose_boundary({4: (10, 1e9), 20: (10, 1.0)}, 80) >= 5
     assert jaccard_join.choose_boundary({n: (1000, 0.0) for n in range(1, 30)}, 80) == 0
