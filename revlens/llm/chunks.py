@@ -23,7 +23,7 @@ _EMPTY = np.uint64(0)
 class ChunkTable:
     """chunk hash -> token ids, for one encode function."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], bits: int = 21) -> None:
+    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], bits: int = 22) -> None:
         self.encode, self.bits = encode, bits
         self._clear()
 
@@ -32,7 +32,7 @@ class ChunkTable:
         self.slot_value = np.zeros(1 << self.bits, dtype=np.int32)
         self.begin = np.zeros(1 << (self.bits - 1), dtype=np.int64)
         self.length = np.zeros(1 << (self.bits - 1), dtype=np.int32)
-        self.flat = np.zeros(1 << self.bits, dtype=np.uint16)
+        self.flat = np.zeros(1 << self.bits, dtype=np.uint32)
         self.held = self.used = 0
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
@@ -54,7 +54,7 @@ class ChunkTable:
         total = int(n.sum())
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + total] = np.fromiter((y for x in ids for y in x), dtype=np.uint16, count=total)
+        self.flat[self.used : self.used + total] = np.fromiter((y for x in ids for y in x), dtype=np.uint32, count=total)
         at = np.arange(self.held, self.held + len(ids))
         self.begin[at] = self.used + np.cumsum(n) - n
         self.length[at] = n

@@ -11,16 +11,17 @@ asks for an overlap c(n, m) that depends on their sizes alone.
 * Large sets: inverted lists from shingle to sets, on each set's prefix
   only (its rarest shingles: a set cannot link without sharing one). A
   list up to ``LIST`` long gives its pairs that pass the size and position
-  bounds. Longer lists come from groups of near copies: there a few
-  leaders are compared with all members, twice, and then every member
-  still outside the main component with all the others of the list, in
-  blocks. Pairs within one component need no comparison, so no link
-  between components is lost, and no group is paired off in full.
+  bounds. Longer lists come from groups of near copies; all sets of such a
+  list are candidates of each other, and only its entries are kept.
+
+Candidates are verified on their full sets, in blocks of a bounded number
+of sets: a block counts the overlaps of all its pairs and gives as few
+links as connect the same sets. So a group of near copies is never paired
+off in rows, and every link between different sets has its effect.
 
 The boundary is where the subsets to list outnumber the list entries to
 scan, from the counts of sets by size. Rarity comes from a count-min
-sketch of all shingles; it only orders the prefix. Candidate pairs are
-verified on the full sets.
+sketch of all shingles; it only orders the prefix.
 
 Shingles, sets and subsets are named by 64-bit hashes (sets by two).
 
@@ -37,7 +38,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm import sketch, textscan
@@ -48,8 +49,7 @@ WORDS = 5
 PERCENT = 80
 LIST = 64
 MOST_SMALL = 24
-LEADERS = 8
-CHUNK = 512
+CHUNK = 256
 LEVEL_BITS = 22
 SEEN_BITS = 24
 
@@ -235,51 +235,6 @@ def _lists(reps: DataFrame, boundary: int, percent: int) -> DataFrame:
     return materialize(ordered.mapInArrow(run, "e bigint, a bigint, na int, pa int, b bigint"), "lists")
 
 
-def _sizes_fit(n: str, m: str, percent: int) -> Column:
-    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
-
-
-def _star_pairs(active: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Every member of a long list against a leader of another component. The
-    lists of one group of near copies share ``LEADERS`` leaders."""
-    rank = F.xxhash64("a", F.lit(turn), F.pmod("e", F.lit(LEADERS)))
-    leader = active.groupBy("e").agg(F.min(F.struct(rank.alias("rank"), "a", "na", "comp")).alias("leader"))
-    pairs = active.join(leader.select("e", F.col("leader.a").alias("la"), F.col("leader.na").alias("ln"), F.col("leader.comp").alias("lc")), "e")
-    pairs = pairs.filter((F.col("comp") != F.col("lc")) & _sizes_fit("na", "ln", percent))
-    return pairs.select(F.least("a", "la").alias("a"), F.greatest("a", "la").alias("b")).distinct()
-
-
-def _rest_pairs(active: DataFrame, longest: int, percent: int) -> DataFrame:
-    """Every member outside a long list's main component against all members
-    of other components, in blocks that are the same in all lists."""
-    chunks = max(1, -(-longest // CHUNK))
-    main = active.groupBy("e", "comp").agg(F.count("*").alias("many")).groupBy("e").agg(F.max_by("comp", "many").alias("main"))
-    marked = active.join(main, "e").withColumn("chunk", F.pmod(F.xxhash64("a"), F.lit(chunks)).cast("int"))
-    entry = F.struct("a", "na", "pa", "comp")
-    members = marked.groupBy("e", "chunk").agg(F.collect_list(entry).alias("members"))
-    outside = marked.filter("comp <> main").groupBy("e", F.col("chunk").alias("out_chunk")).agg(F.collect_list(entry).alias("outside"))
-    blocks = outside.join(members, "e").select("chunk", "out_chunk", "outside", "members")
-
-    def meet(table: pa.Table) -> pa.Table:
-        found = [np.zeros((0, 2), dtype=np.int64)]
-        for i in range(table.num_rows):
-            sides = []
-            for name in ("outside", "members"):
-                values = table.column(name)[i].values
-                sides.append([values.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("a", "na", "pa", "comp")])
-            (a, na, ia, ca), (b, nb, ib, cb) = ([x[:, None] for x in sides[0]], [x[None, :] for x in sides[1]])
-            ok = (ca != cb) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (np.minimum(na - ia, nb - ib) >= overlap(na + nb, percent))
-            i0, i1 = np.nonzero(ok)
-            x, y = sides[0][0][i0], sides[1][0][i1]
-            found.append(np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0))
-            if sum(map(len, found)) > 1 << 18:
-                found = [np.unique(np.concatenate(found), axis=0)]
-        pairs = np.unique(np.concatenate(found), axis=0)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return blocks.groupBy("chunk", "out_chunk").applyInArrow(meet, "a bigint, b bigint").distinct()
-
-
 def _full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(sid, shingles) of the wanted (sid, k1, k2), read from the texts again.
     A fixed-size bit set of their names spares the others the shuffle."""
@@ -303,23 +258,85 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(k1[hit]), pa.array(k2[hit]), textscan.as_arrow_lists(flat, n[hit], pa.int64())], names=["k1", "k2", "shingles"])
 
     found = docs.select("_text").mapInArrow(run, "k1 bigint, k2 bigint, shingles array<bigint>")
-    return materialize(found.join(wanted, ["k1", "k2"]).groupBy("sid").agg(F.first("shingles").alias("shingles")), "sets")
+    once = found.groupBy("k1", "k2").agg(F.first("shingles").alias("shingles"))
+    return materialize(once.join(wanted, ["k1", "k2"]).select("sid", "shingles"), "full-sets")
+
+
+def linked_in_block(sids: np.ndarray, flat: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect the sets of a block as all its links do, by exact
+    overlaps of all its pairs (counted shingle by shingle, in slices)."""
+    n = len(sids)
+    owner = np.repeat(np.arange(n), sizes)
+    value, column, many = np.unique(flat, return_inverse=True, return_counts=True)
+    rank = np.cumsum(many > 1) - 1
+    shared = many[column] > 1
+    owner, column = owner[shared], rank[column[shared]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    same = np.zeros((n, n), dtype=np.float32)
+    width = 4096
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        part = slice(*np.searchsorted(column, [at, at + width]))
+        has = np.zeros((n, min(width, int(column[-1]) + 1 - at)), dtype=np.float32)
+        has[owner[part], column[part] - at] = 1
+        same += has @ has.T
+    near = (100 + percent) * same >= percent * (sizes[:, None] + sizes[None, :]).astype(np.float32)
+    np.fill_diagonal(near, False)
+    left, a, b = np.ones(n, dtype=bool), [], []
+    for first in range(n):
+        edge = [first] if left[first] else []
+        left[first] = False
+        while edge:
+            at = edge.pop()
+            new = np.flatnonzero(near[at] & left)
+            left[new] = False
+            a += [at] * len(new)
+            b += new.tolist()
+            edge += new.tolist()
+    return sids[np.array(a, dtype=np.int64)], sids[np.array(b, dtype=np.int64)]
+
+
+def _blocks(pairs: DataFrame, long_lists: DataFrame) -> DataFrame:
+    """(comp, x, y, sid): which sets meet in which block.
+
+    Candidates are joined to groups: by pairs, and by the long lists that
+    hold them. A group is dealt into chunks of about ``CHUNK`` sets by hash;
+    block (x, y) has chunks x and y. Of a group that long lists made, every
+    two chunks meet (all its pairs are candidates); of others, those with a
+    candidate pair between them.
+    """
+    lead = long_lists.groupBy("e").agg(F.min("a").alias("b"))
+    stars = materialize(long_lists.join(lead, "e").filter("a <> b").select("a", "b").distinct(), "stars")
+    comps = components(pairs.unionByName(stars))
+    crowded = stars.select(F.col("b").alias("node")).distinct().join(comps, "node").select("comp", F.lit(True).alias("crowded")).distinct()
+    sizes = comps.groupBy("comp").agg(F.count("*").alias("size")).join(crowded, "comp", "left")
+    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
+    placed = materialize(
+        comps.join(sizes, "comp").select(
+            F.col("node").alias("sid"), "comp", chunks.alias("chunks"), F.coalesce("crowded", F.lit(False)).alias("crowded"),
+            F.pmod(F.xxhash64("node"), chunks).cast("int").alias("chunk"),
+        ),
+        "groups",
+    )
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
+    dealt = placed.filter("chunks = 1 or crowded").select("sid", "comp", "chunk", other)
+    by_pair = placed.filter("chunks > 1 and not crowded").select("sid", "comp", "chunk")
+    met = pairs.join(by_pair.withColumnRenamed("sid", "a"), "a").join(by_pair.select(F.col("sid").alias("b"), F.col("chunk").alias("other")), "b")
+    met = met.select(F.explode(F.array(F.struct(F.col("a").alias("sid"), "comp", "chunk", "other"), F.struct(F.col("b").alias("sid"), "comp", F.col("other").alias("chunk"), F.col("chunk").alias("other")))).alias("m"))
+    every = dealt.unionByName(met.select("m.*").distinct())
+    return every.select("comp", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"), "sid")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    both = pairs.join(sets.select(F.col("sid").alias("b"), F.col("shingles").alias("sb")), "b").join(
-        sets.select(F.col("sid").alias("a"), F.col("shingles").alias("sa")), "a"
-    )
-    same = F.size(F.array_intersect("sa", "sb"))
-    return both.filter((100 + percent) * same >= percent * (F.size("sa") + F.size("sb"))).select("a", "b")
+def _links(pairs: DataFrame, long_lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links among the candidates, as few as connect what all of them connect."""
 
+    def meet(table: pa.Table) -> pa.Table:
+        flat, offsets = textscan.from_arrow_lists(table.column("shingles"))
+        a, b = linked_in_block(table.column("sid").to_numpy(), flat, np.diff(offsets), percent)
+        return pa.table({"a": a, "b": b})
 
-def _spans(long_lists: DataFrame, edges: DataFrame) -> DataFrame:
-    """Entries, with components, of the long lists that span more than one."""
-    comps = components(edges)
-    placed = long_lists.join(comps.withColumnRenamed("node", "a"), "a", "left").withColumn("comp", F.coalesce("comp", "a"))
-    several = placed.groupBy("e").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("e")
-    return materialize(placed.join(several, "e"), "active")
+    members = _blocks(pairs, long_lists).join(sets, "sid")
+    return members.select("comp", "x", "y", "sid", "shingles").groupBy("comp", "x", "y").applyInArrow(meet, "a bigint, b bigint")
 
 
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -341,19 +358,11 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, wor
     by_size = {r["n"]: (r["many"], r["met"]) for r in rows.filter(F.col("n").between(1, 2 * MOST_SMALL)).groupBy("n").agg(F.count("*").alias("many"), F.sum("entries").alias("met")).collect()}
     boundary = choose_boundary(by_size, percent)
     found = _lists(reps, boundary, percent)
-    short, long_lists = found.filter("b is not null").select("a", "b").distinct(), found.filter("b is null").drop("b")
-    first = materialize(short.unionByName(_star_pairs(long_lists.withColumn("comp", F.col("a")), 0, percent)).distinct(), "pairs")
-    sids = first.select(F.explode(F.array("a", "b")).alias("sid")).unionByName(long_lists.select(F.col("a").alias("sid"))).distinct()
-    sets = _full_sets(source, materialize(classes.select("sid", "k1", "k2").join(sids, "sid"), "wanted"), words)
-    edges = materialize(_verified(first, sets, percent).unionByName(_light_edges(reps, boundary, percent)), "links")
-
-    for turn in (1, 2):
-        active = _spans(long_lists, edges)
-        longest = active.groupBy("e").count().agg(F.max("count")).first()[0]
-        if not longest:
-            break
-        pairs = _star_pairs(active, turn, percent) if turn == 1 else _rest_pairs(active, longest, percent)
-        edges = materialize(edges.unionByName(_verified(pairs, sets, percent)), "links")
+    pairs = materialize(found.filter("b is not null").select("a", "b").distinct(), "pairs")
+    long_lists = found.filter("b is null").select("e", "a")
+    sids = pairs.select(F.explode(F.array("a", "b")).alias("sid")).unionByName(long_lists.select(F.col("a").alias("sid"))).distinct()
+    sets = _full_sets(source, materialize(classes.join(sids, "sid").select("sid", "k1", "k2"), "wanted"), words)
+    edges = materialize(_links(pairs, long_lists, sets, percent).unionByName(_light_edges(reps, boundary, percent)), "links")
 
     comps = components(edges)
     of_class = classes.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
