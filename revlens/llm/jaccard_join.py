@@ -47,9 +47,9 @@ from revlens.llm.stage import materialize, tuned, with_uid
 
 WORDS = 5
 PERCENT = 80
-LIST = 64
+LIST = 16
 MOST_SMALL = 24
-CHUNK = 256
+CHUNK = 512
 LEVEL_BITS = 22
 SEEN_BITS = 24
 
