@@ -76,7 +76,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_c
     kind = source.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = chunks.held(chunks.JsonTokenizer, tokenizer, chunks.bare_words, True)
+        coder = chunks.held(chunks.JsonTokenizer, tokenizer, chunks.bare_words, True, True)
         part, met = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
             for text in textscan.slices(batch.column("_text")):

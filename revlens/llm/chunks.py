@@ -11,6 +11,7 @@ bounded whatever the corpus.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -171,14 +172,25 @@ def row_lengths(first: np.ndarray, per_chunk: np.ndarray) -> np.ndarray:
 
 
 class JsonTokenizer:
-    """A file of the ``tokenizers`` library, encoded by distinct chunks."""
+    """A file of the ``tokenizers`` library, encoded by distinct chunks.
 
-    def __init__(self, path: str, chunks: Callable, lower: bool = False) -> None:
+    With ``added`` the ids are those of the library as its file sets it up:
+    an added token written in a text is its one id, and the text on either
+    side is encoded on its own. Without, its string is ordinary text.
+    """
+
+    def __init__(self, path: str, chunks: Callable, lower: bool = False, added: bool = False) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        found = self.library.get_added_tokens_decoder() if added else {}
+        # tokens that take in white space or are looked up in changed text: rows go to the library whole
+        self.whole = any(not t.special or t.normalized or t.lstrip or t.rstrip or t.single_word for t in found.values())
+        self.library.encode_special_tokens = not self.whole  # in a chunk their strings are ordinary text
+        self.added = {t.content.encode(): i for i, t in found.items()}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.pattern = re.compile(b"|".join(map(re.escape, longest))) if longest else None
         self.chunks, self.lower = chunks, lower
         self.table = ChunkTable(self._encode)
 
@@ -190,12 +202,36 @@ class JsonTokenizer:
             out += [e.ids for e in many(part, add_special_tokens=False)]
         return out
 
+    def _added(self, text: textscan.Text) -> np.ndarray:
+        """(start, end, id) of the added tokens in the rows, leftmost and longest first."""
+        raw = text.data.tobytes() if self.pattern else b""
+        found = []
+        if self.pattern and self.pattern.search(raw):
+            for s, e in zip(text.offsets[:-1].tolist(), text.offsets[1:].tolist()):
+                found += [(*m.span(), self.added[m[0]]) for m in self.pattern.finditer(raw, s, e)]
+        return np.array(found, dtype=np.int64).reshape(-1, 3)
+
     def rows(self, text: textscan.Text) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, number of ids of each row)."""
-        start, end, first = self.chunks(text)
+        if self.whole:
+            every = self._encode([text.data[s:e].tobytes() for s, e in zip(text.offsets[:-1].tolist(), text.offsets[1:].tolist())])
+            return np.array([x for ids in every for x in ids], dtype=np.uint32), np.array([len(x) for x in every], dtype=np.int64)
+        added = self._added(text)
+        # what stands between added tokens is chunked like rows of their own
+        start, end, first = self.chunks(text._replace(offsets=np.sort(np.concatenate([text.offsets, added[:, 0], added[:, 1]]))))
+        if len(added):
+            at = np.searchsorted(added[:, 0], start, side="right") - 1
+            between = (at < 0) | (start >= added[at, 1])
+            start, end = start[between], end[between]
+            first = np.searchsorted(start, text.offsets)
         data = textscan.lower_ascii(text).data if self.lower else text.data
         ids, per_chunk = self.table.ids(data, start, end, textscan.span_hash(data, start, end))
-        return ids, row_lengths(first, per_chunk)
+        lengths = row_lengths(first, per_chunk)
+        if len(added):
+            before = np.append(0, np.cumsum(per_chunk))
+            ids = np.insert(ids, before[np.searchsorted(start, added[:, 0])], added[:, 2])
+            lengths = lengths + np.diff(np.searchsorted(added[:, 0], text.offsets))
+        return ids, lengths
 
 
 _HELD: dict[tuple, object] = {}

@@ -56,7 +56,7 @@ def write_blocks(
     path = path or new_stage_path(docs.sparkSession, "token-blocks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = chunks.held(chunks.JsonTokenizer, tokenizer, chunks.spaced_words)
+        coder = chunks.held(chunks.JsonTokenizer, tokenizer, chunks.spaced_words, False, True)
         vocab = max(coder.library.get_vocab_size(), end_id + 1)
         part, at = TaskContext.get().partitionId(), 0
         names, ids, lengths = [], [], []
