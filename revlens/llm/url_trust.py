@@ -6,8 +6,15 @@ graph of links between hosts: personalised PageRank from the hosts that
 rules allow, along links, and from the hosts that rules block, against
 them (who links to a bad host is suspect). A host's seed is the share of
 its pages that a rule allows or blocks; it counts for no less than that,
-whatever it passes on. Hosts whose distrust reaches ``threshold`` and
-exceeds their trust are blocked.
+whatever it passes on.
+
+These scores are split among receivers, so their size falls with the
+number of hosts that link to one place. The verdict goes by two values
+that don't: a host's suspicion is its seed, or the damped mean suspicion
+of the hosts its links lead to, if more; its credit is its seed, or the
+damped mean credit of the hosts its inbound links come from, if more.
+Hosts whose suspicion reaches ``threshold`` and exceeds their credit are
+blocked, however many others link to the same place.
 
 All steps are DataFrame functions. Links are counted by pair of hosts in
 the map tasks, so the graph has a row for each linked pair, however many
@@ -34,6 +41,7 @@ DAMPING = 0.85
 THRESHOLD = 0.5
 ROUNDS = 24
 ROUNDS_A_WRITE = 4
+KINDS = ("trust", "distrust", "credit", "suspicion")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
@@ -73,46 +81,53 @@ def host_links(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
 
 
 def _flows(links: DataFrame, hosts: DataFrame) -> DataFrame:
-    """(kind, src, dst, share): trust along links, distrust against them.
-    Where nothing leaves a host, its score stays."""
-    both = links.select(F.lit("trust").alias("kind"), "src", "dst", "links").unionByName(
-        links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "links")
-    )
+    """(kind, src, dst, share): trust and credit along links, distrust and
+    suspicion against them. Trust and distrust are divided among receivers,
+    and stay where nothing leaves a host; credit and suspicion are means
+    over a receiver's links."""
+    along = links.select("src", "dst", "links")
+    against = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "links")
+    both = along.withColumn("kind", F.lit("trust")).unionByName(against.withColumn("kind", F.lit("distrust")))
     out = both.groupBy("kind", "src").agg(F.sum("links").alias("total"))
     shared = both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("links") / F.col("total")).alias("share"))
+    # a mean over the links of a receiver is the other kind's division, read backwards
+    means = shared.select(F.when(F.col("kind") == "trust", "suspicion").otherwise("credit").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "share")
     every = hosts.select(F.explode(F.array(F.lit("trust"), F.lit("distrust"))).alias("kind"), F.col("host").alias("src"))
     still = every.join(out, ["kind", "src"], "left_anti").select("kind", "src", F.col("src").alias("dst"), F.lit(1.0).alias("share"))
-    return shared.unionByName(still)
+    return shared.unionByName(means).unionByName(still)
 
 
 def propagate(links: DataFrame, seeds: DataFrame, *, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust) from (src, dst, links) and (host, trust, distrust) seeds."""
+    """(host, trust, distrust, credit, suspicion) from (src, dst, links) and (host, trust, distrust) seeds."""
     ends = links.select(F.explode(F.array("src", "dst")).alias("host")).distinct()
     hosts = materialize(
         ends.join(seeds, "host", "full").select("host", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("trust", "distrust"))), "hosts"
     )
     flows = materialize(_flows(links, hosts), "flows")
-    start = hosts.select("host", F.explode(F.map_from_arrays(F.array(F.lit("trust"), F.lit("distrust")), F.array("trust", "distrust"))).alias("kind", "score"))
+    seeded = F.map_from_arrays(F.array(*(F.lit(k) for k in KINDS)), F.array("trust", "distrust", "trust", "distrust"))
+    start = hosts.select("host", F.explode(seeded).alias("kind", "score"))
+    mean = F.col("kind").isin("credit", "suspicion")
     scores = start
     for at in range(0, rounds, ROUNDS_A_WRITE):
         before = scores
         for _ in range(ROUNDS_A_WRITE):
             moved = flows.join(scores.withColumnRenamed("host", "src"), ["kind", "src"]).select(
-                F.col("dst").alias("host"), "kind", (damping * F.col("share") * F.col("score")).alias("score")
+                F.col("dst").alias("host"), "kind", (damping * F.col("share") * F.col("score")).alias("score"), F.lit(0.0).alias("seed")
             )
-            kept = start.select("host", "kind", ((1 - damping) * F.col("score")).alias("score"))
-            scores = moved.unionByName(kept).groupBy("host", "kind").agg(F.sum("score").alias("score"))
+            kept = start.select("host", "kind", F.lit(0.0).alias("score"), F.col("score").alias("seed"))
+            scores = moved.unionByName(kept).groupBy("host", "kind").agg(F.sum("score").alias("got"), F.sum("seed").alias("seed"))
+            scores = scores.select("host", "kind", F.when(mean, F.greatest("got", "seed")).otherwise(F.col("got") + (1 - damping) * F.col("seed")).alias("score"))
         scores = materialize(scores, f"scores-{at}")
         change = scores.join(before.withColumnRenamed("score", "was"), ["host", "kind"]).agg(F.max(F.abs(F.col("score") - F.col("was")))).first()[0]
         if change is None or change < 1e-9:
             break
-    return scores.groupBy("host").agg(*(F.round(F.sum(F.when(F.col("kind") == k, F.col("score")).otherwise(0.0)), 6).alias(k) for k in ("trust", "distrust")))
+    return scores.groupBy("host").agg(*(F.round(F.sum(F.when(F.col("kind") == k, F.col("score")).otherwise(0.0)), 6).alias(k) for k in KINDS))
 
 
 def judge(
     pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", html_col: str = "html", *, threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """(id, host, path, rule, verdict, trust, distrust) for every page."""
+    """(id, host, path, rule, verdict, trust, distrust, credit, suspicion) for every page."""
     urls = pages.select(F.col(id_col).alias("_id"), host_of(url_col).alias("host"), path_of(url_col).alias("path"))
     ruled = urls.withColumn("rule", longest_rule(rules, lambda r: r.name).cast("string")).withColumn("ruled", longest_rule(rules, lambda r: "allow" if r.allow else "block").cast("string"))
     shares = {"trust": "allow", "distrust": "block"}
@@ -120,10 +135,10 @@ def judge(
     links = materialize(host_links(pages, url_col, html_col), "links")
     own = seeds.select("host", *(F.col(c).alias(f"own_{c}") for c in shares))
     scores = materialize(
-        propagate(links, seeds).join(own, "host").select("host", *(F.greatest(c, F.round(f"own_{c}", 6)).alias(c) for c in shares)), "hosts"
+        propagate(links, seeds).join(own, "host").select("host", *(F.greatest(c, F.round(f"own_{c}", 6)).alias(c) for c in shares), "credit", "suspicion"), "hosts"
     )
-    bad = (F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))
+    bad = (F.col("suspicion") >= threshold) & (F.col("suspicion") > F.col("credit"))
     return ruled.join(scores, "host", "left").select(
         F.col("_id").alias(id_col), "host", "path", "rule",
-        F.coalesce(F.col("ruled"), F.when(bad, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"), "trust", "distrust",
+        F.coalesce(F.col("ruled"), F.when(bad, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"), *KINDS,
     )
