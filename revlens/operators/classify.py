@@ -63,7 +63,7 @@ def _classifier(method: str, label_col: str, n_classes: int, seed: int):
             labelCol=label_col, featuresCol="features", numTrees=20, maxDepth=6, seed=seed,
             # hashed text is sparse: of the default square root of all features
             # a split would see almost none that occurs
-            weightCol=WEIGHT_COL, featureSubsetStrategy="0.05", maxBins=16,
+            weightCol=WEIGHT_COL, featureSubsetStrategy="0.05",
         )
     if method == "logistic":
         return LogisticRegression(labelCol=label_col, featuresCol="features", maxIter=50, regParam=0.01, weightCol=WEIGHT_COL)

@@ -87,3 +87,11 @@ def test_metrics_match_brute_force(spark):
     assert abs(row.accuracy - acc) < 1e-12
     assert abs(row.f1 - f1) < 1e-12
     assert abs(row.mae - mae) < 1e-12
+
+
+def test_splits_see_the_librarys_number_of_bins(spark):
+    from pyspark.ml.classification import RandomForestClassifier
+
+    from revlens.operators import classify
+
+    assert classify._classifier("random_forest", "y", 2, 1).getMaxBins() == RandomForestClassifier().getMaxBins()
