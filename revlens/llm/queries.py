@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from revlens.llm import quality_rules, toxicity_chain, url_trust
+from revlens.llm import periodic_runs, quality_rules, setsketch_dedup, toxicity_chain, url_trust
 from revlens.llm.best_fit import pack
 from revlens.llm.branch_bound_topk import top_k
 from revlens.llm.jaccard_join import link
@@ -158,3 +158,35 @@ reach AS (SELECT doc_id AS x, doc_id AS y FROM sets UNION SELECT r.x, n.y FROM r
 SELECT sets.doc_id, CAST(len(any_value(s)) AS BIGINT) AS n_shingles, min(reach.y) AS component_id
 FROM sets JOIN reach ON sets.doc_id = reach.x GROUP BY sets.doc_id
 """
+
+ORACLES["op12_setsketch_dedup"] = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {_WORDS_SQL.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 2 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws)), lambda i: array_to_string(ws[i:i + 1], ' '))) END AS s
+  FROM w
+),
+one AS (SELECT doc_id, len(s) AS n, hash(unnest(s)) AS e FROM sets),
+near AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM one a JOIN one b ON a.e = b.e AND a.doc_id < b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+both_ways AS (SELECT x, y FROM near UNION ALL SELECT y, x FROM near),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM sets UNION SELECT r.x, n.y FROM reach r JOIN both_ways n ON r.y = n.x),
+found AS (SELECT sets.doc_id, CAST(len(any_value(s)) AS BIGINT) AS n_shingles, min(reach.y) AS component_id FROM sets JOIN reach ON sets.doc_id = reach.x GROUP BY sets.doc_id)
+SELECT *, doc_id = component_id AS kept FROM found
+"""
+
+
+@_query
+def op12_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose 2-word shingle sets reach Jaccard 0.8, as groups of which the smallest id stays."""
+    return setsketch_dedup.groups(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@_query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every text, of which every tenth is made to repeat."""
+    return periodic_runs.periodic_runs(documents(spark, sf_dir, "doc_id", "text"), rewrite=periodic_runs.planted)
