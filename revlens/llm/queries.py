@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from revlens.llm import periodic_runs, quality_rules, setsketch_dedup, toxicity_chain, url_trust
+from revlens.llm import periodic_runs, quality_rules, setsketch_dedup, spelling_groups, toxicity_chain, url_trust
 from revlens.llm.best_fit import pack
 from revlens.llm.branch_bound_topk import top_k
 from revlens.llm.jaccard_join import link
@@ -190,3 +190,50 @@ def op12_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words in every text, of which every tenth is made to repeat."""
     return periodic_runs.periodic_runs(documents(spark, sf_dir, "doc_id", "text"), rewrite=periodic_runs.planted)
+
+
+@_query
+def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all texts, of which every 97th loses a letter, with the more frequent form of each and the root of its chain."""
+    return spelling_groups.variants(documents(spark, sf_dir, "doc_id", "text"), mutate=spelling_groups.misspelt)
+
+
+ORACLES["op11_spelling_groups"] = """
+WITH RECURSIVE crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) AS c FROM range(256) r(i))
+),
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS many
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents) GROUP BY ALL
+),
+hashed AS (
+  SELECT run, many, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+      lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [195, CAST(unicode(x) AS BIGINT) - 64] END))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM runs, crc
+),
+words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, CAST(sum(many) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(many) >= 3
+),
+cut AS (SELECT word, n, p, left(word, p - 1) || substr(word, p + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM words)),
+near AS (
+  SELECT a.word AS x, b.word AS y FROM cut a JOIN cut b ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word FROM cut a JOIN words b ON a.rest = b.word
+),
+best AS (
+  SELECT x, count(*) AS n_near, list(struct_pack(less := -n, other := y) ORDER BY -n, y)[1] AS b
+  FROM near JOIN words ON y = word GROUP BY x
+),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.less >= 2 * n THEN b.other END AS form, CASE WHEN -b.less >= 2 * n THEN -b.less END AS form_n
+  FROM words LEFT JOIN best ON word = x
+),
+chain AS (
+  SELECT word, word AS at, form AS next FROM formed
+  UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN formed f ON c.next = f.word
+)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n FROM formed f JOIN chain c ON f.word = c.word AND c.next IS NULL
+"""
