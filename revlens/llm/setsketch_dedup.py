@@ -20,10 +20,17 @@ similarity.
 5. Verification on full sets, as a stream: a leader's set, then the sets that
    are to be compared with it; crowded leaders are dealt over several tasks.
 6. Buckets whose sets are not yet in one component get another star with
-   other leaders; what is then left is compared in blocks of registers, pairs
-   of different components only, each in the first band that it shares.
-   So a group of near copies costs one or two comparisons a set, and no
-   candidate pair that could join two components is left out.
+   other leaders, then one around a hub: the set that most often stands in
+   what is left. Of every set there, the part outside its hub is kept. Two
+   sets u, v of one hub share at most min(|u & hub|, |v & hub|) shingles
+   inside it, so to link they share a known number of shingles outside it:
+   v is looked up by the rarest shingles that u has outside the hub, by size
+   of v. Where no such number follows (sets that the hub contains), pairs
+   are compared directly. Only sets that do not link with their hub look up
+   others, since the rest is one component already.
+   So a group of near copies costs a few comparisons a set, pairs that can't
+   link are never listed, and no candidate pair that could join two
+   components is left out.
 
 Cases: a null or empty text, or one without words, has an empty set, is
 linked with nothing and kept; a text with fewer words than a shingle is one
@@ -57,7 +64,7 @@ RATE = 20.0
 TOP = 255
 CUT = 20.0
 STARS = 2
-SMALL = 16
+# Sets of a crowded bucket that are handed on at once, and members of a leader in one task.
 CHUNK = 512
 MEMBERS = 4096
 # Values hashed at once: their products stay in the processor's cache.
@@ -254,6 +261,12 @@ def _estimated(pairs: DataFrame, reps: DataFrame, m: int, percent: int) -> DataF
     return materialize(joined.mapInArrow(run, ", ".join(f"{c} bigint" for c in names)), "plausible")
 
 
+def _named(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs with the sets' names."""
+    side = lambda c: reps.select(F.col("sid").alias(c), F.col("k1").alias(f"k1_{c}"), F.col("k2").alias(f"k2_{c}"))
+    return materialize(pairs.join(side("b"), "b").join(side("a"), "a"), "named")
+
+
 def _full_sets(source: DataFrame, roles: DataFrame, words: int) -> DataFrame:
     """(k1, k2, shingles) of the sets of ``roles``, and maybe of some more: a
     bit set sized by their number spares most others the shuffle."""
@@ -279,16 +292,15 @@ def _full_sets(source: DataFrame, roles: DataFrame, words: int) -> DataFrame:
     return source.select("_text").mapInArrow(run, "k1 bigint, k2 bigint, shingles array<bigint>")
 
 
-def overlaps(leader: np.ndarray, flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """How many values each set (``counts`` values of ``flat``) shares with the sorted ``leader``."""
-    place = np.minimum(np.searchsorted(leader, flat), len(leader) - 1)
-    total = np.concatenate([[0], np.cumsum(leader[place] == flat)])
-    ends = np.cumsum(counts)
-    return total[ends] - total[ends - counts]
+def held_by(leader: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values the sorted ``leader`` holds."""
+    return leader[np.minimum(np.searchsorted(leader, values), len(leader) - 1)] == values
 
 
-def _verified(pairs: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b) of the pairs that reach the similarity on their full sets."""
+def _compared(pairs: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b, n, same, near, rest) of the pairs (a, b), a the leader: the size of
+    b, how many shingles both share, whether that reaches the similarity, and
+    the shingles that b alone has."""
     crowd = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
     crowded = crowd.filter("parts > 1")  # at most one in MEMBERS pairs
     members = pairs.join(crowded, "a", "left").select(
@@ -307,23 +319,28 @@ def _verified(pairs: DataFrame, source: DataFrame, words: int, percent: int) ->
             flat = flat.view(np.uint64)
             a, part, role, sid = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("a", "part", "role", "sid"))
             start = np.flatnonzero((np.diff(a, prepend=a[0] ^ 1 if len(a) else 0) != 0) | (np.diff(part, prepend=-1) != 0) | (np.diff(role, prepend=-1) != 0))
-            out_a, out_b = [], []
             for i, to in zip(start.tolist(), [*start[1:].tolist(), len(a)]):
                 if role[i] == 0:
                     of, leader = (a[i], part[i]), flat[offsets[i] : offsets[i + 1]].copy()
                     continue
                 if of != (a[i], part[i]):
                     raise ValueError("a leader's set is missing")
-                counts = np.diff(offsets[i : to + 1])
-                same = overlaps(leader, flat[offsets[i] : offsets[to]], counts)
+                counts, own = np.diff(offsets[i : to + 1]), flat[offsets[i] : offsets[to]]
+                shared = held_by(leader, own)
+                same = np.add.reduceat(shared, offsets[i:to] - offsets[i], dtype=np.int64)
                 near = 100 * same >= percent * (len(leader) + counts - same)
-                out_a.append(a[i:to][near])
-                out_b.append(sid[i:to][near])
-            if out_a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a), pa.int64()), pa.array(np.concatenate(out_b), pa.int64())], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a[i:to]), pa.array(sid[i:to]), pa.array(counts), pa.array(same), pa.array(near), textscan.as_arrow_lists(own[~shared].view(np.int64), counts - same, pa.int64())],
+                    names=["a", "b", "n", "same", "near", "rest"],
+                )
 
     ordered = sets.repartition("a", "part").sortWithinPartitions("a", "part", "role")
-    return materialize(ordered.mapInArrow(run, "a bigint, b bigint").distinct(), "verified")
+    return ordered.mapInArrow(run, "a bigint, b bigint, n bigint, same bigint, near boolean, rest array<bigint>")
+
+
+def _verified(pairs: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b) of the pairs that reach the similarity on their full sets."""
+    return materialize(_compared(pairs, source, words, percent).filter("near").select("a", "b").distinct(), "verified")
 
 
 def _open(buckets: DataFrame, links: DataFrame) -> DataFrame:
@@ -334,49 +351,41 @@ def _open(buckets: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(placed.join(mixed, "key", "left_semi"), "open")
 
 
-def _block_pairs(rest: DataFrame, reps: DataFrame, rows: int, bands: int, percent: int) -> DataFrame:
-    """(a, b) of different components that share a bucket. Buckets of up to
-    ``SMALL`` sets give their pairs. Of others, the sets outside the largest
-    component meet all of the bucket's sets, in blocks of about ``CHUNK`` a
-    side, which give the pairs whose registers allow the similarity."""
-    m = rows * bands
-    by_comp = rest.groupBy("key", "comp").agg(F.count("*").alias("many"))
-    of_key = materialize(by_comp.groupBy("key").agg(F.sum("many").alias("size"), F.max(F.struct("many", "comp")).alias("main")), "bucket-sizes")
-    few = rest.join(of_key.filter(F.col("size") <= SMALL), "key", "left_semi")
-    one, two = (few.select("key", F.col("sid").alias(c), F.col("comp").alias(f"of_{c}")) for c in "ab")
-    small = one.join(two, "key").filter("a < b and of_a <> of_b").select("a", "b")
-    of_key = of_key.filter(F.col("size") > SMALL).select(
-        "key", F.col("main.comp").alias("main"), F.ceil(F.col("size") / CHUNK).cast("int").alias("chunks"), F.ceil((F.col("size") - F.col("main.many")) / CHUNK).cast("int").alias("others")
-    )
-    placed = rest.join(of_key, "key").join(reps.select("sid", "n", "registers"), "sid")
-    spot = lambda parts: F.pmod(F.xxhash64("sid", "key"), F.col(parts)).cast("int")
-    columns = ("key", "sid", "comp", "n", "registers")
-    left = placed.filter("comp <> main").select(*columns, spot("others").alias("x"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("y"), F.lit(True).alias("other"))
-    right = placed.select(*columns, F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("x"), spot("chunks").alias("y"), F.lit(False).alias("other"))
-
-    def meet(table: pa.Table) -> pa.Table:
-        other = table.column("other").to_numpy()
-        sid, comp, n = (table.column(c).to_numpy() for c in ("sid", "comp", "n"))
-        matrix = _matrix(table.column("registers").combine_chunks(), m)
-        key = int(table.column("key")[0].as_py())
-        band = key & ((1 << ceil(log2(max(bands, 2)))) - 1)
-        right_at = np.flatnonzero(~other)
-        out_a, out_b = [], []
-        for i in np.flatnonzero(other).tolist():
-            at = right_at[comp[right_at] != comp[i]]
-            same = matrix[at] == matrix[i]
-            shared = same.reshape(len(at), bands, rows).all(axis=2)
-            first = shared.argmax(axis=1) == band
-            at = at[first]
-            larger = (matrix[i] > matrix[at]).sum(axis=1)
-            ok = plausible(larger, m - larger - same[first].sum(axis=1), m, np.full(len(at), n[i]), n[at], percent)
-            out_a.append(np.minimum(sid[i], sid[at[ok]]))
-            out_b.append(np.maximum(sid[i], sid[at[ok]]))
-        join = lambda x: np.concatenate(x) if x else np.zeros(0, dtype=np.int64)
-        return pa.table({"a": pa.array(join(out_a), pa.int64()), "b": pa.array(join(out_b), pa.int64())})
-
-    crowded = left.unionByName(right).groupBy("key", "x", "y").applyInArrow(meet, "a bigint, b bigint")
-    return small.unionByName(crowded).distinct()
+def _hub_pairs(rest: DataFrame) -> DataFrame:
+    """(a, b): a hub for each open bucket, with the bucket's other sets."""
+    sizes = rest.groupBy("key").agg(F.count("*").alias("size"))
+    seen = materialize(rest.join(sizes, "key").groupBy("sid").agg(F.sum("size").alias("seen")), "seen")
+    hubs = rest.join(seen, "sid").groupBy("key").agg(F.max(F.struct("seen", (-F.col("sid")).alias("less"))).alias("hub")).select("key", (-F.col("hub.less")).alias("a"))
+    return rest.join(hubs, "key").select("a", F.col("sid").alias("b")).filter("a <> b").distinct()
+
+
+def need(n_a, n_b, percent: int):
+    """Least overlap of two sets of these sizes that link."""
+    return F.ceil(F.lit(percent) * (n_a + n_b) / F.lit(100 + percent))
+
+
+def _outside_pairs(around: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of different components that may link although one of them does
+    not link with their common hub. ``around`` is (a, b, n, same, near, rest)
+    for each hub a and set b."""
+    members = materialize(around.join(comp.withColumnRenamed("sid", "b"), "b").withColumnRenamed("a", "hub"), "members")
+    entries = members.select("hub", "b", "n", "comp", F.explode("rest").alias("e"))
+    common = entries.groupBy("hub", "e").agg(F.count("*").alias("many")).filter("many > 1")
+    # what only one set has outside the hub can't be shared, but counts for the number that must be
+    listed = materialize(entries.join(common, ["hub", "e"]), "outside")
+    sizes = members.select("hub", F.col("n").alias("size")).distinct()
+    asked = members.filter("not near").select("hub", F.col("b").alias("u"), F.col("n").alias("n_u"), F.col("comp").alias("comp_u"), "same", F.size("rest").alias("outside"))
+    fits = (100 * F.least("n_u", "size") >= percent * F.greatest("n_u", "size"))
+    asked = asked.join(sizes, "hub").filter(fits).withColumn("least", need(F.col("n_u"), F.col("size"), percent)).withColumn("more", F.col("least") - F.col("same"))
+    rarest = listed.groupBy("hub", "b").agg(F.sort_array(F.collect_list(F.struct("many", "e"))).alias("found")).withColumnRenamed("b", "u")
+    asked = materialize(asked.filter("more <= outside").join(rarest, ["hub", "u"], "left"), "asked")
+    # to share ``more`` of its shared-by-some shingles a set has to share one of all but the ``more`` - 1 commonest
+    probes = asked.filter("more > 0").select("hub", "u", "comp_u", "size", F.explode(F.slice("found", F.lit(1), F.greatest(F.size("found") - F.col("more") + 1, F.lit(0)).cast("int"))).alias("f"))
+    lists = listed.select("hub", F.col("n").alias("size"), "e", F.col("b").alias("v"), F.col("comp").alias("comp_v"))
+    by_list = probes.select("hub", "u", "comp_u", "size", "f.e").join(lists, ["hub", "size", "e"]).filter("u <> v and comp_u <> comp_v")
+    inside = members.select("hub", F.col("n").alias("size"), F.col("b").alias("v"), F.col("comp").alias("comp_v"), F.col("same").alias("same_v"))
+    directly = asked.filter("more <= 0").join(inside, ["hub", "size"]).filter("u <> v and comp_u <> comp_v and same_v >= least")
+    return by_list.select("u", "v").unionByName(directly.select("u", "v")).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, words: int = WORDS, percent: int = PERCENT, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
@@ -389,23 +398,23 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, w
     classes = materialize(every.filter("n > 0").groupBy("k1", "k2").agg(F.min("uid").alias("sid"), F.min("_id").alias("low")), "classes")
     reps = materialize(every.join(classes.select(F.col("sid").alias("uid")), "uid", "left_semi").select(F.col("uid").alias("sid"), "n", "k1", "k2", "registers"), "sets")
 
-    links, tested, open_buckets = None, None, _buckets(reps, rows, bands)
+    links, open_buckets = None, _buckets(reps, rows, bands)
     for turn in range(STARS):
         stars = materialize(_stars(open_buckets, turn), "stars")
         pairs = _star_pairs(stars)
         if turn:
             comp = open_buckets.select("sid", "comp").distinct()
             pairs = pairs.join(comp.select(F.col("sid").alias("a"), F.col("comp").alias("of_a")), "a").join(comp.select(F.col("sid").alias("b"), F.col("comp").alias("of_b")), "b").filter("of_a <> of_b").select("a", "b")
-        pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")) if turn else pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = _verified(_estimated(pairs, reps, m, percent), source, words, percent)
+        found = _verified(_estimated(materialize(pairs, "pairs"), reps, m, percent), source, words, percent)
         links = found if links is None else links.unionByName(found)
         open_buckets = _open(stars.select("key", "sid"), links)
         if open_buckets.isEmpty():
             break
     else:
-        pairs = materialize(_block_pairs(open_buckets, reps, rows, bands, percent).join(tested, ["a", "b"], "left_anti"), "block-pairs")
-        links = links.unionByName(_verified(_estimated(pairs, reps, m, percent), source, words, percent))
+        hubs = _named(materialize(_hub_pairs(open_buckets), "hubs"), reps)
+        around = materialize(_compared(hubs, source, words, percent).distinct(), "around")
+        pairs = materialize(_outside_pairs(around, open_buckets.select("sid", "comp").distinct(), percent), "outside-pairs")
+        links = links.unionByName(around.filter("near").select("a", "b")).unionByName(_verified(_estimated(pairs, reps, m, percent), source, words, percent))
 
     comps = components(materialize(links.distinct(), "links"))
     of_class = classes.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
