@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revlens.functions.literal import listing_udf, parse_literal
-from revlens.schemas import ADDRESS_TYPE, REVIEW_COL, SCORE_COL, TAGGED_LISTING_TYPE
+from revlens.schemas import ADDRESS_TYPE, REVIEW_COL, SCORE_COL
 from revlens.session import spread
 
 FORMATS = ("python_literal", "json")
@@ -55,7 +55,7 @@ def filter_nested(
     A text column is parsed strictly (N1): a missing or malformed value,
     or a literal that is not a dict, fails the job, as one bad row ended
     the original run. A missing key drops the row. A column that is
-    already a struct or map is used as is (P7), so on Parquet the
+    already a struct, map or VARIANT is used as is (P7), so on Parquet the
     predicate reaches the scan. The column itself is returned as it came,
     with every key; ``parsed_col`` adds its parsed ``value_type`` fields.
     """
@@ -64,8 +64,13 @@ def filter_nested(
     if isinstance(dtype, (T.StructType, T.MapType)):
         kept = df.where(F.col(column)[field].isin(values))
         return kept.withColumn(parsed_col, F.col(column)) if parsed_col else kept
+    if isinstance(dtype, T.VariantType):
+        from revlens.operators.variants import is_in
+
+        kept = df.where(is_in(column, field, values))
+        return kept.withColumn(parsed_col, F.col(column)) if parsed_col else kept
     if not isinstance(dtype, T.StringType):
-        raise TypeError(f"{column} must be text, struct or map, not {dtype.simpleString()}")
+        raise TypeError(f"{column} must be text, struct, map or variant, not {dtype.simpleString()}")
     _check_format(fmt)
     value_type = value_type or T.StructType([T.StructField(field, T.StringType())])
     tmp = "__nested_parsed"
@@ -130,47 +135,54 @@ def parse_listings(
     base = [F.col(id_col), *[F.col(k) for k in keep]]
     if fmt == "python_literal":
         tagged = spread(df).select(*base, listing_udf()(F.col(reviews_col), F.col(scores_col)).alias("__t"))
+        read = tagged.select(*base, *(F.col(f"__t.{c}").alias(f"__{c}") for c in ("elements", "score_text", "score_error", "list_error")))
+        walked = read.withColumn("__bad_at", F.array_position(F.transform("__elements", lambda x: x["tag"]), "error").cast("int"))
+        bad = F.get("__elements", F.col("__bad_at") - 1)["error"]
+        holds, text = (lambda x: x["tag"] == "item"), (lambda x: x["comments"])
     else:
-        tagged = df.select(*base, _tagged_json(F.col(reviews_col), F.col(scores_col)).alias("__t"))
-    score_error = F.col("__t.score_error")
-    bad_at = F.array_position(F.transform("__t.elements", lambda x: x["tag"]), "error").cast("int")
-    walked = F.when(bad_at > 0, F.slice("__t.elements", F.lit(1), F.greatest(bad_at - 1, F.lit(0)))).otherwise(F.col("__t.elements"))
-    items = F.transform(F.filter(walked, lambda x: x["tag"] == "item"), lambda x: F.struct(x["comments"].alias("comments")))
-    parsed = F.struct(
-        F.when(score_error.isNotNull(), F.slice(items, F.lit(1), F.lit(0))).otherwise(items).alias("items"),
-        F.col("__t.score_text").alias("score_text"),
-        F.coalesce(score_error, F.col("__t.list_error"), F.when(bad_at > 0, F.get(F.col("__t.elements"), bad_at - 1)["error"])).alias("error"),
+        walked = _read_json(df.select(*base, F.col(reviews_col).alias("__reviews"), F.col(scores_col).alias("__scores")), base)
+        bad = F.lit("TypeError: an element is not an object")
+        # The key must exist; a JSON null value still counts.
+        holds, text = (lambda x: F.map_contains_key(x, "comments")), (lambda x: x["comments"])
+    stopped = F.col("__bad_at") > 0
+    before = F.when(stopped, F.slice("__elements", F.lit(1), F.greatest(F.col("__bad_at") - 1, F.lit(0)))).otherwise(F.col("__elements"))
+    items = F.transform(F.filter(before, holds), lambda x: F.struct(text(x).alias("comments")))
+    return walked.select(
+        *base,
+        F.struct(
+            F.when(F.col("__score_error").isNotNull(), F.slice(items, F.lit(1), F.lit(0))).otherwise(items).alias("items"),
+            F.col("__score_text").alias("score_text"),
+            F.coalesce(F.col("__score_error"), F.col("__list_error"), F.when(stopped, bad)).alias("error"),
+        ).alias("parsed"),
     )
-    return tagged.select(*base, parsed.alias("parsed"))
 
 
-def _tagged_json(reviews: Column, scores: Column) -> Column:
-    """JSON text as the literal parser's tagged listing. Text that is no JSON
-    counts as missing; valid JSON of the wrong kind is an error."""
+def _read_json(df: DataFrame, base: list[Column]) -> DataFrame:
+    """``(*base, __elements, __bad_at, __score_text, __score_error, __list_error)``
+    of JSON text: every element as a map, NULL where it is no object.
 
-    def wrong_kind(c: Column, opening: str, what: str) -> Column:
-        valid = F.get_json_object(c, "$").isNotNull()
-        return F.when(valid & ~F.ltrim(c).startswith(opening), F.lit(f"TypeError: {what}"))
-
-    elements = F.from_json(reviews, T.ArrayType(T.StringType()), _JSON_OPTIONS)
+    Text that is no JSON counts as missing; valid JSON of the wrong kind is
+    an error, looked for only where the opening mark is another. Each parse
+    is a column of its own that later steps read: a struct made in one
+    projection and taken apart in the next would be copied, parse and all,
+    into every use.
+    """
 
-    def tag(x: Column) -> Column:
-        fields = F.from_json(x, _JSON_OBJECT, _JSON_OPTIONS)
-        is_object = F.coalesce(F.ltrim(x).startswith("{"), F.lit(False)) & fields.isNotNull()
-        # The key must exist; a JSON null value still counts.
-        return F.struct(
-            F.when(~is_object, "error").when(F.map_contains_key(fields, "comments"), "item").otherwise("none").alias("tag"),
-            fields["comments"].alias("comments"),
-            F.when(~is_object, F.lit("TypeError: an element is not an object")).alias("error"),
-        )
-
-    list_error = wrong_kind(reviews, "[", "the reviews are not a list")
-    return F.struct(
-        F.from_json(scores, _JSON_OBJECT, _JSON_OPTIONS)["review_scores_value"].alias("score_text"),
-        wrong_kind(scores, "{", "the scores are not an object").alias("score_error"),
-        list_error.alias("list_error"),
-        F.coalesce(F.when(list_error.isNull(), F.transform(elements, tag)), F.array().cast(TAGGED_LISTING_TYPE["elements"].dataType)).alias("elements"),
+    def wrong_kind(c: str, opening: str, what: str) -> Column:
+        other = ~F.ltrim(c).startswith(opening)
+        return F.when(other, F.when(F.get_json_object(c, "$").isNotNull(), F.lit(f"TypeError: {what}")))
+
+    as_list = F.coalesce(F.ltrim("__reviews").startswith("["), F.lit(False))
+    read = df.select(
+        *base,
+        F.when(as_list, F.from_json("__reviews", T.ArrayType(T.StringType()), _JSON_OPTIONS)).alias("__texts"),
+        F.from_json("__scores", _JSON_OBJECT, _JSON_OPTIONS)["review_scores_value"].alias("__score_text"),
+        wrong_kind("__scores", "{", "the scores are not an object").alias("__score_error"),
+        wrong_kind("__reviews", "[", "the reviews are not a list").alias("__list_error"),
     )
+    objects = F.transform("__texts", lambda x: F.when(F.ltrim(x).startswith("{"), F.from_json(x, _JSON_OBJECT, _JSON_OPTIONS)))
+    found = read.withColumn("__elements", F.coalesce(objects, F.array().cast(T.ArrayType(_JSON_OBJECT))))
+    return found.withColumn("__bad_at", F.array_position(F.transform("__elements", lambda x: x.isNull()), True).cast("int"))
 
 
 def explode_reviews(parsed: DataFrame, id_col: str = "listing_id", keep: Sequence[str] = ()) -> DataFrame:
@@ -178,14 +190,16 @@ def explode_reviews(parsed: DataFrame, id_col: str = "listing_id", keep: Sequenc
 
     Output ``(id, *keep, review_pos, Review, Review_Score)``; the score is
     the listing's, copied to each of its reviews, as the text the literal
-    held. An empty list gives no row.
+    held. An empty list gives no row: those rows are dropped after an outer
+    explode, since Spark would push the filter that it infers for an inner
+    one below the projections, and parse every text once more for it.
     """
     exploded = parsed.select(
         F.col(id_col),
         *[F.col(k) for k in keep],
-        F.posexplode(F.col("parsed.items")).alias("review_pos", "item"),
+        F.posexplode_outer(F.col("parsed.items")).alias("review_pos", "item"),
         F.col("parsed.score_text").alias(SCORE_COL),
-    )
+    ).where(F.col("review_pos").isNotNull())
     return exploded.select(
         id_col,
         *keep,
@@ -196,12 +210,14 @@ def explode_reviews(parsed: DataFrame, id_col: str = "listing_id", keep: Sequenc
 
 
 def extraction_errors(parsed: DataFrame, id_col: str = "listing_id") -> DataFrame:
-    """N6 side table: rows whose parse stopped, with the reviews kept."""
-    return parsed.where(F.col("parsed.error").isNotNull()).select(
-        id_col,
-        F.col("parsed.error").alias("error"),
-        F.size("parsed.items").alias("reviews_kept"),
-    )
+    """N6 side table: rows whose parse stopped, with the reviews kept.
+
+    The rows are picked behind an outer explode of at most one element, for
+    the reason given in :func:`explode_reviews`.
+    """
+    stopped = F.struct(F.col("parsed.error").alias("error"), F.size("parsed.items").alias("reviews_kept"))
+    found = parsed.select(id_col, F.explode_outer(F.when(F.col("parsed.error").isNotNull(), F.array(stopped))).alias("__stopped"))
+    return found.where(F.col("__stopped").isNotNull()).select(id_col, "__stopped.error", "__stopped.reviews_kept")
 
 
 def count_rows(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:

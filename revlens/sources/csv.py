@@ -109,7 +109,7 @@ def _csv_ready(df: DataFrame, comma_columns: dict[str, str] | None) -> DataFrame
         name = field.name
         if name in comma_columns:
             cols.append(comma_decimal(F.col(comma_columns[name])).alias(name))
-        elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+        elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
             cols.append(F.to_json(F.col(name)).alias(name))
         else:
             cols.append(F.col(name))

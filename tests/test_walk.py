@@ -1,0 +1,86 @@
+import os
+import subprocess
+import sys
+import textwrap
+
+import pytest
+
+from revlens.operators.listings import explode_reviews, extraction_errors, parse_listings
+from revlens.operators.walk import Malformed, elements, walk, walk_listings, walked_errors, walked_reviews
+from tests.test_literal import CASES
+from tests.test_variants import JSON, ODD
+
+SCHEMA = "listing_id long, address string, reviews string, review_scores string"
+
+TRICKY = [
+    "[{'comments': 'a, [b] {c'}, {'comments': \"it's\"}]", "[{'comments': 'a\\'b,'}, {'comments': r'\\d,'},]", "[{'comments': '''x\n'y', ]'''}, {'comments': 'a' 'b'}]",
+    "[{'comments': 'a'}, # one, two ]\n {'comments': 'b'}\n]", "[{'comments': 'a'}", "[{'comments': 'a'}]]", "[{'comments': 'a'}] + []", "[,]", "[{'comments': 'a'},,]", "[{'comments': 'a}]",
+    "[]", "[ # nothing\n]", " \n[{'comments': 'a'}]\n", "[{'comments': 'a'}, *x]", "[{'comments': 'a'}, f(1)]", "[{'comments': 'a'}, {[1]: 2}]", "[({'comments': 'a'},), {'comments': 'b'})",
+    "[{'comments': 'é…', 'deep': [{'comments': 'no'}, (1, 2)]}]", "[{'comments': b'x'}, {'comments': 1.5}, {'comments': {'k': [1]}}]", "[1 if True else 2]", "[x for x in y]", "[(1, 2), {'comments': 'a'}]",
+]
+TRICKY_JSON = ['[{"comments": "a, [b] {c"}, {"comments": "\\"x"}]', '[{"comments": "a"},]', '[{"comments": "a"}, NaN]', '[{"comments": 5}, {"comments": true}, {"comments": {"k": [1, "x"]}}]', "[{'comments': 'a'}]", '[# c\n{"comments": "a"}]', "[1 2]", "[]", " [ ] "]
+
+
+def whole(text, fmt):
+    return list(walk(memoryview(text.encode()), fmt, 1 << 30))
+
+
+@pytest.mark.parametrize("text", [r for r, *_ in (*CASES, *ODD) if r] + TRICKY)
+def test_walking_a_literal_gives_what_reading_it_gives(text):
+    if text.lstrip()[:1] == "[":
+        assert list(walk(memoryview(text.encode()), "python_literal", 0)) == whole(text, "python_literal")
+
+
+@pytest.mark.parametrize("text", [r for r, _ in JSON if r] + TRICKY_JSON)
+def test_walking_json_gives_what_reading_it_gives(text):
+    if text.lstrip()[:1] == "[":
+        assert list(walk(memoryview(text.encode()), "json", 0)) == whole(text, "json")
+
+
+def test_elements_of_a_list():
+    assert list(elements(memoryview(b"[1, [2, 3], 'a,b',]"))) == [b"1", b" [2, 3]", b" 'a,b'"]
+    for bad in (b"[1", b"1", b"[1]]", b"[1) ", b"['a]", b"[,1]", b"x[1]"):
+        with pytest.raises(Malformed):
+            list(elements(memoryview(bad)))
+    assert list(walk(memoryview(b"{'a': 1} "), "python_literal", 3)) == [(None, "ValueError: more than 3 bytes that are no list")]
+
+
+@pytest.mark.parametrize("small", [0, 1 << 20])
+@pytest.mark.parametrize("fmt, rows", [("python_literal", [c[:2] for c in CASES]), ("json", [r for r in JSON if r[0] is None or r[0].lstrip()[:1] == "["])])
+def test_table_function_against_parse_listings(spark, fmt, rows, small):
+    rows = [r for r in rows if small or r[0] is None or r[0].lstrip()[:1] == "["]
+    df = spark.createDataFrame([(i, f"place {i}", *r) for i, r in enumerate(rows)], SCHEMA).repartition(3)
+    walked = walk_listings(df, fmt=fmt, keep=["address"], small=small)
+    parsed = parse_listings(df, fmt=fmt, keep=["address"])
+    assert sorted(map(tuple, walked_reviews(walked).collect()), key=repr) == sorted(map(tuple, explode_reviews(parsed, keep=["address"]).collect()), key=repr)
+    kind = lambda rows: sorted((r.listing_id, r.error.split(":")[0], r.reviews_kept) for r in rows)
+    assert kind(walked_errors(walked).collect()) == kind(extraction_errors(parsed).collect())
+    assert walked_reviews(walked).schema == explode_reviews(parsed, keep=["address"]).schema
+
+
+BIG = """
+import sys, time
+sys.path.insert(0, {root!r})
+from pyspark.sql import functions as F
+from revlens.session import get_session
+from revlens.operators.walk import walk_listings, walked_reviews
+spark = get_session("local[1]", conf={{"spark.checkpoint.dir": {stage!r}, "spark.driver.memory": "5g", "spark.executor.pyspark.memory": "1g"}})
+line = "{{'comments': '" + "a line, with [brackets] and it\\\\'s text " * 25 + "', 'stars': 4}}, "
+n = {size} // len(line)
+df = spark.range(1).select(
+    F.col("id").alias("listing_id"),
+    F.concat(F.lit("["), F.repeat(F.lit(line), (F.col("id") + n).cast("int")), F.lit("]")).alias("reviews"),
+    F.lit("{{'review_scores_value': 9}}").alias("review_scores"),
+)
+got = walked_reviews(walk_listings(df)).agg(F.count("*").alias("n"), F.max("review_pos").alias("last"), F.min(F.length("Review")).alias("chars")).first()
+assert (got.n, got.last) == (n, n - 1) and got.chars == 38 * 25, (got, n)
+print("walked", got.n)
+"""
+
+
+def test_cell_of_300_mb_in_a_worker_of_1_gb(tmp_path):
+    """A process of its own: the limit holds for all of a session's workers."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = textwrap.dedent(BIG).format(root=root, stage=str(tmp_path), size=300 * 1024 * 1024)
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=600)
+    assert "walked" in done.stdout, done.stderr[-3000:]
