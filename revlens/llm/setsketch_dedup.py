@@ -19,9 +19,9 @@ similarity.
    than the best fit.
 5. Verification on full sets, as a stream: a leader's set, then the sets that
    are to be compared with it; crowded leaders are dealt over several tasks.
-6. Buckets whose sets are not yet in one component get another star with
-   other leaders, then one around a hub: the set that most often stands in
-   what is left. Of every set there, the part outside its hub is kept. Two
+6. Buckets whose sets are not yet in one component get another star, around
+   a hub: the set that most often stands in what is left. Of every set
+   there, the part outside its hub is kept. Two
    sets u, v of one hub share at most min(|u & hub|, |v & hub|) shingles
    inside it, so to link they share a known number of shingles outside it:
    v is looked up by the rarest shingles that u has outside the hub, by size
@@ -63,7 +63,7 @@ BASE = 1.1
 RATE = 20.0
 TOP = 255
 CUT = 20.0
-STARS = 2
+STARS = 1
 # Sets of a crowded bucket that are handed on at once, and members of a leader in one task.
 CHUNK = 512
 MEMBERS = 4096
@@ -364,17 +364,23 @@ def need(n_a, n_b, percent: int):
     return F.ceil(F.lit(percent) * (n_a + n_b) / F.lit(100 + percent))
 
 
-def _outside_pairs(around: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of different components that may link although one of them does
-    not link with their common hub. ``around`` is (a, b, n, same, near, rest)
+def _outside_pairs(around: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of different components that may link although one of them is not
+    of their common hub's component. ``around`` is (a, b, n, same, near, rest)
     for each hub a and set b."""
-    members = materialize(around.join(comp.withColumnRenamed("sid", "b"), "b").withColumnRenamed("a", "hub"), "members")
+    comps = components(links)
+    of = lambda c, name: comps.select(F.col("node").alias(c), F.col("comp").alias(name))
+    placed = around.join(of("b", "comp"), "b", "left").join(of("a", "comp_hub"), "a", "left")
+    placed = placed.select(F.col("a").alias("hub"), "b", "n", "same", "rest", F.coalesce("comp", "b").alias("comp"), F.coalesce("comp_hub", "a").alias("comp_hub"))
+    # a hub whose sets are all of its component has no more to ask
+    mixed = placed.filter("comp <> comp_hub").select("hub").distinct()
+    members = materialize(placed.join(mixed, "hub", "left_semi"), "members")
     entries = members.select("hub", "b", "n", "comp", F.explode("rest").alias("e"))
     common = entries.groupBy("hub", "e").agg(F.count("*").alias("many")).filter("many > 1")
     # what only one set has outside the hub can't be shared, but counts for the number that must be
     listed = materialize(entries.join(common, ["hub", "e"]), "outside")
     sizes = members.select("hub", F.col("n").alias("size")).distinct()
-    asked = members.filter("not near").select("hub", F.col("b").alias("u"), F.col("n").alias("n_u"), F.col("comp").alias("comp_u"), "same", F.size("rest").alias("outside"))
+    asked = members.filter("comp <> comp_hub").select("hub", F.col("b").alias("u"), F.col("n").alias("n_u"), F.col("comp").alias("comp_u"), "same", F.size("rest").alias("outside"))
     fits = (100 * F.least("n_u", "size") >= percent * F.greatest("n_u", "size"))
     asked = asked.join(sizes, "hub").filter(fits).withColumn("least", need(F.col("n_u"), F.col("size"), percent)).withColumn("more", F.col("least") - F.col("same"))
     rarest = listed.groupBy("hub", "b").agg(F.sort_array(F.collect_list(F.struct("many", "e"))).alias("found")).withColumnRenamed("b", "u")
@@ -412,9 +418,10 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, w
             break
     else:
         hubs = _named(materialize(_hub_pairs(open_buckets), "hubs"), reps)
-        around = materialize(_compared(hubs, source, words, percent).distinct(), "around")
-        pairs = materialize(_outside_pairs(around, open_buckets.select("sid", "comp").distinct(), percent), "outside-pairs")
-        links = links.unionByName(around.filter("near").select("a", "b")).unionByName(_verified(_estimated(pairs, reps, m, percent), source, words, percent))
+        around = materialize(_compared(hubs, source, words, percent).dropDuplicates(["a", "b"]), "around")
+        links = materialize(links.unionByName(around.filter("near").select("a", "b")).distinct(), "links")
+        pairs = materialize(_outside_pairs(around, links, percent), "outside-pairs")
+        links = links.unionByName(_verified(_estimated(pairs, reps, m, percent), source, words, percent))
 
     comps = components(materialize(links.distinct(), "links"))
     of_class = classes.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
