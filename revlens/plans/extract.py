@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from revlens.operators.listings import count_rows, explode_reviews, extraction_errors, filter_country, parse_listings
 from revlens.schemas import SCORE_COL
 from revlens.sources.csv import in_file_order, read_csv, write_csv
+from revlens.sources.split_csv import read_csv_ranges
 from revlens.sources.stage import materialize, write_stage
 
 
@@ -33,12 +34,18 @@ def load_listings(
     input_format: str = "csv",
     id_col: str | None = None,
     partitions: int | None = None,
+    split_bytes: int | None = None,
 ) -> DataFrame:
     """Read listings and make sure they carry a ``listing_id``.
 
     Without a caller-named key the id is assigned once at ingest and the
-    table is written, so every later stage sees the same ids.
+    table is written, so every later stage sees the same ids. ``split_bytes``
+    reads CSV files in byte ranges of that size, which many tasks share.
     """
+    if input_format == "csv" and split_bytes:
+        df = read_csv_ranges(spark, path, split_bytes=split_bytes, position=None if id_col else "listing_id")
+        named = df.withColumnRenamed(id_col, "listing_id") if id_col else df
+        return named.repartition(partitions) if partitions else named
     if input_format == "csv":
         df = read_csv(spark, path)
     else:
@@ -75,11 +82,13 @@ def run_extract(
     id_col: str | None = None,
     errors_path: str | None = None,
     filtered_path: str | None = None,
+    split_bytes: int | None = None,
 ) -> Extraction:
     """Whole stage 1-2 job. ``filtered_path``: also write the listings that
     pass the filter, all columns and all address keys, as CSV (stage 1). CSV output quotes every field (S4) and writes
-    the score with a decimal comma (F1); Parquet keeps types (S6)."""
-    listings = load_listings(spark, input_path, input_format, id_col)
+    the score with a decimal comma (F1); Parquet keeps types (S6).
+    ``split_bytes``: see :func:`load_listings`."""
+    listings = load_listings(spark, input_path, input_format, id_col, split_bytes=split_bytes)
     if countries is not None:
         listings = filter_country(listings, countries, fmt=fmt)
     if filtered_path:

@@ -1,4 +1,5 @@
-"""More registered queries, with SQL oracles: typed copies, walked lists."""
+"""More registered queries, with SQL oracles: typed copies, walked lists,
+CSV in byte ranges."""
 
 from __future__ import annotations
 
@@ -9,8 +10,12 @@ from revlens.operators.listings import explode_reviews, extraction_errors, filte
 from revlens.operators.variants import at_path, parse_variants, with_variants
 from revlens.operators.walk import walk_listings
 from revlens.plans.queries import _LINES_SQL, _ODD_SQL, COUNTRIES, QueryFn
-from revlens.plans.tables import listings
+from revlens.plans.queries import ORACLES as BASE_ORACLES
+from revlens.plans.tables import listings, table
 from revlens.schemas import REVIEW_COL
+from revlens.session import new_stage_path
+from revlens.sources.csv import write_csv
+from revlens.sources.split_csv import read_csv_ranges
 from revlens.sources.stage import materialize
 
 QUERIES: dict[str, QueryFn] = {}
@@ -93,3 +98,21 @@ _WALKED_SQL = _ODD_SQL + """
 """
 ORACLES["walked_listings"] = _WALKED_SQL.format(error="'TypeError: an element is not an object'")
 ORACLES["walked_literals"] = _WALKED_SQL.format(error="'TypeError'")
+
+
+# ---------------------------------------------------------------------------
+# Quoted CSV in byte ranges
+# ---------------------------------------------------------------------------
+
+
+@_query
+def q_csv_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S2 + S4: every document through one quoted CSV file each task, read
+    back in byte ranges of 256 KB, which cut through texts and their quotes."""
+    path = new_stage_path(spark, "ranged-csv")
+    write_csv(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), path, quote_all=True)
+    back = read_csv_ranges(spark, path, split_bytes=256 * 1024)
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+
+
+ORACLES["csv_ranges"] = BASE_ORACLES["csv_roundtrip"]

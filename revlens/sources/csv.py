@@ -7,8 +7,9 @@ rows, so the escape is always set. No type inference: every column is a
 string until a stage parses it. The pandas missing-value tokens become
 NULL afterwards (Spark's ``nullValue`` takes a single token only).
 
-A multi-line CSV file is read by one task, so files are repartitioned
-right after the scan and every later stage works on Parquet.
+A multi-line CSV file is read by one task here, so files are repartitioned
+right after the scan and every later stage works on Parquet; large files
+are read in byte ranges by ``sources.split_csv``.
 
 Writing: a directory of part files. Nested columns become JSON text
 (CSV can not hold a struct); numbers can be written with a decimal comma
@@ -80,16 +81,26 @@ def in_file_order(df: DataFrame, name: str = "position") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def load_reviews(spark: SparkSession, path: str, input_format: str = "csv", partitions: int | None = None) -> DataFrame:
+def load_reviews(
+    spark: SparkSession, path: str, input_format: str = "csv", partitions: int | None = None, split_bytes: int | None = None
+) -> DataFrame:
     """Reviews as stages 3 and 4 take them: ``(listing_id long, review_pos
     int, Review, Review_Score, ...)``.
 
     A file with those two keys keeps them, cast to integers. A file without
     (the two-column hand-off) gets its rows' positions in file order as
     ``listing_id``, with ``review_pos`` 0, and is written once so that every
-    later stage sees the same numbers.
+    later stage sees the same numbers. ``split_bytes`` reads CSV files in byte
+    ranges of that size (``sources.split_csv``).
     """
-    df = read_csv(spark, path) if input_format == "csv" else spark.read.parquet(path)
+    if split_bytes and input_format == "csv":
+        from revlens.sources.split_csv import read_csv_ranges
+
+        df = read_csv_ranges(spark, path, split_bytes=split_bytes, position="__position")
+        named = {"listing_id", "review_pos"} <= set(df.columns)
+        df = df.drop("__position") if named else df.withColumnRenamed("__position", "listing_id").withColumn("review_pos", F.lit(0))
+    else:
+        df = read_csv(spark, path) if input_format == "csv" else spark.read.parquet(path)
     if {"listing_id", "review_pos"} <= set(df.columns):
         out = df.withColumn("listing_id", F.col("listing_id").cast("long")).withColumn("review_pos", F.col("review_pos").cast("int"))
     else:
