@@ -25,19 +25,23 @@ import json
 import urllib.request
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 from typing import Protocol
 
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revlens.functions.text import parse_number, strip
+from revlens.operators import answers as answers_store
 from revlens.operators.prompts import DEFAULT_PROMPTS, TRANSLATE_TEMPLATE, Prompt, as_prompts, with_prompt, with_prompts
 from revlens.operators.sampling import first_rows_flag
+from revlens.operators.window import Windowed
 from revlens.schemas import ERROR_COL, PRED_COL, REVIEW_COL
-from revlens.session import path_exists, spread
+from revlens.session import new_stage_path, path_exists, spread
 from revlens.sources.stage import materialize
 
 ON_ERROR = ("fail", "null")
@@ -136,9 +140,20 @@ def factory_key(factory: BackendFactory) -> str:
     return hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()[:16]
 
 
+def _windowed(factory: BackendFactory, in_flight: int, retries: int) -> BackendFactory:
+    return factory if in_flight == 1 and not retries else partial(Windowed, factory, in_flight, retries)
+
+
 def _answer_all(backend: Backend, texts: list[str], on_error: str) -> list[tuple[str | None, str | None]]:
     """(answer, error) for every prompt. A batch that fails is asked again
-    one prompt at a time, so one bad prompt costs no other its answer."""
+    one prompt at a time, so one bad prompt costs no other its answer; a
+    windowed backend tells each prompt's failure itself."""
+    if isinstance(backend, Windowed):
+        found = backend.generate_each(texts)
+        for _, error in found:
+            if error is not None and on_error == "fail":
+                raise error
+        return [(None if x is None else str(x), None if e is None else f"{type(e).__name__}: {e}") for x, e in found]
     try:
         got = backend.generate(texts)
         if len(got) != len(texts):
@@ -169,8 +184,10 @@ def _answer_batches(
             answers: list[str | None] = [None] * len(texts)
             errors: list[str | None] = [None] * len(texts)
             todo = [i for i, t in enumerate(texts) if t is not None]
-            for start in range(0, len(todo), batch_size):
-                idx = todo[start : start + batch_size]
+            # a window slides over all of them: no batch waits for its slowest call
+            step = len(todo) or 1 if isinstance(backend, Windowed) else batch_size
+            for start in range(0, len(todo), step):
+                idx = todo[start : start + step]
                 for i, (answer, error) in zip(idx, _answer_all(backend, [texts[i] for i in idx], on_error), strict=True):
                     answers[i], errors[i] = answer, error
             if drop_text:
@@ -261,25 +278,10 @@ def model_tasks(spark) -> int:
     return max(spark.sparkContext.defaultParallelism, shuffle)
 
 
-STORE_SCHEMA = T.StructType(
-    [
-        T.StructField("model", T.StringType()),
-        T.StructField("prompt_sha256", T.StringType()),
-        T.StructField("answer", T.StringType()),
-        T.StructField("run", T.StringType()),
-    ]
-)
 # Prompts asked between two commits to an answer store.
 WAVE_PROMPTS = 50_000
 
 
-def _stored(spark, answer_store: str, model_id: str) -> DataFrame:
-    """The store's answers of one model; a missing or empty folder has none."""
-    if not path_exists(spark, answer_store):
-        return spark.createDataFrame([], STORE_SCHEMA)
-    return spark.read.schema(STORE_SCHEMA).parquet(answer_store).where(F.col("model") == model_id)
-
-
 def _call_model(
     rows: DataFrame,
     text_col: str,
@@ -293,20 +295,19 @@ def _call_model(
     answer_store: str | None,
     model_id: str | None,
     wave_prompts: int,
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """Answer ``text_col`` for every row: all other columns, ``out_col``
     and ``err_col``. NULL texts are not sent.
 
-    ``answer_store``: a Parquet folder of earlier answers (one
-    ``run=<id>`` folder per wave), keyed by ``model_id`` and the prompt's
-    sha-256. Stored prompts are not sent again (left anti join). The rest
-    is asked in waves of about ``wave_prompts`` prompts (by hash), and every
-    wave's answers are stored before the next begins: a job that fails or
-    is stopped has to repeat one wave at most. Failed prompts are reported
-    but not stored, so the next run retries them; with ``on_error="fail"``
-    the job fails after the wave's good answers are stored. The store is
-    read de-duplicated, so concurrent runs that stored the same prompt
-    never duplicate rows.
+    ``answer_store``: a store of earlier answers (``operators.answers``), keyed by
+    ``model_id`` and the prompt's sha-256. The prompts are looked up once, in
+    the buckets that they fall in; known ones are not sent again. The rest
+    is asked in waves of about ``wave_prompts`` prompts, each read from a folder
+    of its own, and every wave's answers are stored before the next begins:
+    a job that fails or is stopped has to repeat one wave at most. Failed
+    prompts are reported but not stored, so the next run retries them; with
+    ``on_error="fail"`` the job fails after the wave's good answers are stored.
     """
     key = factory_key(factory)
     if answer_store is None:
@@ -318,50 +319,31 @@ def _call_model(
                 T.StructField(err_col, T.StringType()),
             ]
         )
-        return rows.repartition(tasks).mapInPandas(kernel, schema)
+        return rows.repartition(tasks).mapInPandas(kernel, schema, profile=profile)
 
     if not model_id:
         raise ValueError("an answer store needs a model_id: the name under which its answers are kept")
     kernel = _answer_batches(factory, key, text_col, out_col, err_col, batch_size, "null", True)
     spark = rows.sparkSession
-    with_pk = rows.withColumn("__pk", F.sha2(F.col(text_col), 256))
-    known = _stored(spark, answer_store, model_id).select(F.col("prompt_sha256").alias("__pk"))
-    texts = materialize(
-        with_pk.where(F.col("__pk").isNotNull()).select("__pk", text_col).distinct().join(known, "__pk", "left_anti"), "prompts-new"
-    )
-    waves = -(-texts.count() // wave_prompts)
-    schema = T.StructType(
-        [
-            T.StructField("__pk", T.StringType()),
-            T.StructField(out_col, T.StringType()),
-            T.StructField(err_col, T.StringType()),
-        ]
-    )
-    failed = spark.createDataFrame([], schema)
-    for wave in range(waves):
-        chosen = texts.where(F.pmod(F.xxhash64("__pk"), F.lit(waves)) == wave)
-        fresh = materialize(chosen.repartition(tasks).mapInPandas(kernel, schema), "answers-new")
-        # each wave adds its own folder: concurrent writers never share one
-        (
-            fresh.where(F.col(err_col).isNull())
-            .select(F.lit(model_id).alias("model"), F.col("__pk").alias("prompt_sha256"), F.col(out_col).alias("answer"))
-            .write.parquet(f"{answer_store.rstrip('/')}/run={uuid.uuid4().hex}")
-        )
-        bad = fresh.where(F.col(err_col).isNotNull())
-        first = bad.first()
-        if first is not None:
-            if on_error == "fail":
-                raise RuntimeError(f"the model failed on a prompt (answers so far are stored): {first[err_col]}")
-            failed = failed.unionByName(bad)
-    stored = (
-        _stored(spark, answer_store, model_id)
-        .groupBy(F.col("prompt_sha256").alias("__pk"))
-        .agg(F.min("answer").alias(out_col))
-        .withColumn(err_col, F.lit(None).cast("string"))
-    )
-    # a prompt another run stored meanwhile is answered from the store
-    failed = failed.join(stored.select("__pk"), "__pk", "left_anti")
-    return with_pk.drop(text_col).join(stored.unionByName(failed), "__pk", "left").drop("__pk")
+    with_pk = rows.withColumn("prompt_sha256", F.sha2(F.col(text_col), 256))
+    asked = materialize(with_pk.where(F.col("prompt_sha256").isNotNull()).select("prompt_sha256", text_col).distinct(), "prompts")
+    answers_store.upgrade(spark, answer_store)
+    seen = materialize(answers_store.look_up(spark, answer_store, model_id, asked), "prompts-seen")
+    new = seen.where(~F.col("known")).select("prompt_sha256", text_col)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("prompt_sha256", out_col, err_col)])
+    answered = [seen.where("known").select("prompt_sha256", F.col("answer").alias(out_col), F.lit(None).cast("string").alias(err_col))]
+    given = new_stage_path(spark, "answers-new")
+    for wave, chosen in enumerate(answers_store.by_wave(new, -(-new.count() // wave_prompts))):
+        fresh = materialize(chosen.repartition(tasks).mapInPandas(kernel, schema, profile=profile), "", f"{given}/wave={wave}")
+        good = fresh.where(F.col(err_col).isNull()).select("prompt_sha256", F.col(out_col).alias("answer"))
+        answers_store.add(good, answer_store, model_id)
+        if on_error == "fail" and (first := fresh.where(F.col(err_col).isNotNull()).first()) is not None:
+            raise RuntimeError(f"the model failed on a prompt (answers so far are stored): {first[err_col]}")
+    if path_exists(spark, given):
+        # every wave's answers and failures, as one table
+        answered.append(spark.read.schema(schema).parquet(f"{given}/wave=*"))
+    known = answered[0] if len(answered) == 1 else answered[0].unionByName(answered[1])
+    return with_pk.drop(text_col).join(known, "prompt_sha256", "left").drop("prompt_sha256")
 
 
 def generate(
@@ -379,6 +361,9 @@ def generate(
     answer_store: str | None = None,
     model_id: str | None = None,
     wave_prompts: int = WAVE_PROMPTS,
+    in_flight: int = 1,
+    retries: int = 0,
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """Add ``out_col``: the backend's answer to ``text_col`` (raw text).
 
@@ -398,9 +383,15 @@ def generate(
       distinct prompts get :func:`model_tasks` tasks.
     * ``answer_store``: reuse and extend a folder of earlier answers kept
       under the name ``model_id`` (see :func:`_call_model`); dedup path only.
+    * ``in_flight``: single-prompt calls that a task keeps running at once, with
+      ``retries`` more attempts at each and a shared back-off (``operators.window``).
+      The server sees at most tasks x ``in_flight``.
+    * ``profile``: a ``ResourceProfile`` for the model stage alone, so that it runs
+      with other cores, memory or devices a task than the stages around it.
     """
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
+    factory = _windowed(factory, in_flight, retries)
     err_col = error_col or f"__{out_col}_error"
     key = factory_key(factory)
     if dedup:
@@ -412,7 +403,7 @@ def generate(
         # with the aggregate's own count would be dropped as redundant).
         answers, total, top = _answered(
             texts, "__text", out_col, err_col, factory, hot_rows, batch_size=batch_size, on_error=on_error,
-            tasks=concurrency or model_tasks(df.sparkSession), answer_store=answer_store, model_id=model_id, wave_prompts=wave_prompts,
+            tasks=concurrency or model_tasks(df.sparkSession), answer_store=answer_store, model_id=model_id, wave_prompts=wave_prompts, profile=profile,
         )
         # rows without a text are not joined: they would all meet on one NULL key
         without = keyed.where(F.col("__k").isNull()).drop("__k")
@@ -429,7 +420,7 @@ def generate(
             ]
         )
         out = src.mapInPandas(
-            _answer_batches(factory, key, text_col, out_col, err_col, batch_size, on_error, False), schema
+            _answer_batches(factory, key, text_col, out_col, err_col, batch_size, on_error, False), schema, profile=profile
         )
     if error_col is None:
         out = out.drop(err_col)
@@ -486,6 +477,9 @@ def _answers_by_review(
     answer_store: str | None = None,
     model_id: str | None = None,
     wave_prompts: int = WAVE_PROMPTS,
+    in_flight: int = 1,
+    retries: int = 0,
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """Every row under every prompt, answered once per distinct review.
 
@@ -502,6 +496,7 @@ def _answers_by_review(
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
     spark = df.sparkSession
+    factory = _windowed(factory, in_flight, retries)
     err_col = error_col or "__answer_error"
     keyed = df.withColumn("__k", F.sha2(F.col(review_col), 256))
     with_text = keyed.where(F.col("__k").isNotNull())
@@ -511,7 +506,7 @@ def _answers_by_review(
     # sized by prompts, not bytes (see generate)
     answers, total, top = _answered(
         prompted, "__prompt_text", "__answer", err_col, factory, hot_rows, batch_size=batch_size, on_error=on_error,
-        tasks=concurrency or model_tasks(spark), answer_store=answer_store, model_id=model_id, wave_prompts=wave_prompts,
+        tasks=concurrency or model_tasks(spark), answer_store=answer_store, model_id=model_id, wave_prompts=wave_prompts, profile=profile,
     )
     # every review was answered once per prompt
     out = _salted_join_back(with_text, answers, hot_rows, total // len(prompts), top)

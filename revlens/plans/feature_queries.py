@@ -1,17 +1,20 @@
 """More registered queries, with SQL oracles: typed copies, walked lists,
-CSV in byte ranges."""
+CSV in byte ranges, stored answers, calls in flight."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revlens.operators.answers import compact
+from revlens.operators.inference import LengthScorer, PrefixTranslator, score, translate
 from revlens.operators.listings import explode_reviews, extraction_errors, filter_country
+from revlens.operators.scoring import deviation
 from revlens.operators.variants import at_path, parse_variants, with_variants
 from revlens.operators.walk import walk_listings
-from revlens.plans.queries import _LINES_SQL, _ODD_SQL, COUNTRIES, QueryFn
+from revlens.plans.queries import _LINES_SQL, _ODD_SQL, ANCHOR_PROMPTS, COUNTRIES, QueryFn
 from revlens.plans.queries import ORACLES as BASE_ORACLES
-from revlens.plans.tables import listings, table
+from revlens.plans.tables import document_reviews, listings, scored_reviews, table
 from revlens.schemas import REVIEW_COL
 from revlens.session import new_stage_path
 from revlens.sources.csv import write_csv
@@ -116,3 +119,38 @@ def q_csv_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["csv_ranges"] = BASE_ORACLES["csv_roundtrip"]
+
+
+# ---------------------------------------------------------------------------
+# The answer store, calls in flight
+# ---------------------------------------------------------------------------
+
+
+class NoModel:
+    """A backend that must not be asked: every answer is to come from the store."""
+
+    def generate(self, prompts: list[str]) -> list[str]:
+        raise RuntimeError(f"asked for {len(prompts)} answers that are stored")
+
+
+@_query
+def q_stored_translate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I1 + P5 with a store: all documents translated in waves, the store
+    compacted, and the same again from its buckets alone."""
+    store = new_stage_path(spark, "store")
+    docs = document_reviews(spark, sf_dir)
+    options = {"template": "{review}", "answer_store": store, "model_id": "prefix"}
+    translate(docs, PrefixTranslator, wave_prompts=2000, **options).write.format("noop").mode("overwrite").save()
+    compact(spark, store)
+    out = translate(docs, NoModel, **options)
+    return out.select(F.col("listing_id").alias("doc_id"), REVIEW_COL)
+
+
+@_query
+def q_windowed_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I2 + A1 + A7: every document under every prompt, eight calls in flight a task."""
+    return deviation(score(scored_reviews(spark, sf_dir), LengthScorer, ANCHOR_PROMPTS, in_flight=8, retries=2))
+
+
+ORACLES["stored_translate"] = BASE_ORACLES["dedup_translate"]
+ORACLES["windowed_deviation"] = BASE_ORACLES["prompt_deviation"]

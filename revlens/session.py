@@ -106,11 +106,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path`` (none if it is missing)."""
+    fs, hadoop_path = _file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def remove_run(spark: SparkSession) -> None:
     """Delete every stage of this application. Call it when all results are
     written elsewhere: frames that read a stage can not be read after."""
-    fs, hadoop_path = _file_system(spark, run_root(spark))
-    fs.delete(hadoop_path, True)
+    remove_folder(spark, run_root(spark))
     _SHIPPED.discard(spark.sparkContext.applicationId)
 
 
