@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm import sketch, textscan
-from revlens.llm.components import components
+from revlens.llm.components import contracted, joined_by
 from revlens.llm.jaccard_join import _names, shingles
 from revlens.llm.stage import materialize, tuned, with_uid
 
@@ -63,7 +63,6 @@ BASE = 1.1
 RATE = 20.0
 TOP = 255
 CUT = 20.0
-STARS = 1
 # Sets of a crowded bucket that are handed on at once, and members of a leader in one task.
 CHUNK = 512
 MEMBERS = 4096
@@ -182,11 +181,10 @@ def _buckets(reps: DataFrame, rows: int, bands: int) -> DataFrame:
     return reps.select("sid", "registers").mapInArrow(run, "key bigint, sid bigint")
 
 
-def _stars(buckets: DataFrame, turn: int) -> DataFrame:
+def _stars(buckets: DataFrame) -> DataFrame:
     """(key, sid, lead, edge) of the buckets with two sets or more. ``lead`` is
-    the first set of the bucket's part in a task, by an order that each turn
-    deals anew. ``edge`` marks a bucket that may go on in another task."""
-    order = F.col("sid") if turn == 0 else F.xxhash64("sid", F.lit(turn))
+    the first set of the bucket's part in a task. ``edge`` marks a bucket that
+    may go on in another task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((2, 0), dtype=np.int64)
@@ -232,8 +230,8 @@ def _stars(buckets: DataFrame, turn: int) -> DataFrame:
         if held.shape[1]:
             yield from scan(held, True)
 
-    dealt = buckets.select("key", "sid", order.alias("place")).repartitionByRange("key", "place").sortWithinPartitions("key", "place")
-    return dealt.select("key", "sid").mapInArrow(run, "key bigint, sid bigint, lead bigint, edge boolean")
+    dealt = buckets.select("key", "sid").repartitionByRange("key", "sid").sortWithinPartitions("key", "sid")
+    return dealt.mapInArrow(run, "key bigint, sid bigint, lead bigint, edge boolean")
 
 
 def _star_pairs(stars: DataFrame) -> DataFrame:
@@ -343,9 +341,8 @@ def _verified(pairs: DataFrame, source: DataFrame, words: int, percent: int) ->
     return materialize(_compared(pairs, source, words, percent).filter("near").select("a", "b").distinct(), "verified")
 
 
-def _open(buckets: DataFrame, links: DataFrame) -> DataFrame:
+def _open(buckets: DataFrame, comps: DataFrame) -> DataFrame:
     """(key, sid, comp) of the buckets that hold more than one component."""
-    comps = components(links)
     placed = materialize(buckets.join(comps.withColumnRenamed("node", "sid"), "sid", "left").select("key", "sid", F.coalesce("comp", "sid").alias("comp")), "placed")
     mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("key")
     return materialize(placed.join(mixed, "key", "left_semi"), "open")
@@ -364,11 +361,10 @@ def need(n_a, n_b, percent: int):
     return F.ceil(F.lit(percent) * (n_a + n_b) / F.lit(100 + percent))
 
 
-def _outside_pairs(around: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+def _outside_pairs(around: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     """(a, b) of different components that may link although one of them is not
     of their common hub's component. ``around`` is (a, b, n, same, near, rest)
     for each hub a and set b."""
-    comps = components(links)
     of = lambda c, name: comps.select(F.col("node").alias(c), F.col("comp").alias(name))
     placed = around.join(of("b", "comp"), "b", "left").join(of("a", "comp_hub"), "a", "left")
     placed = placed.select(F.col("a").alias("hub"), "b", "n", "same", "rest", F.coalesce("comp", "b").alias("comp"), F.coalesce("comp_hub", "a").alias("comp_hub"))
@@ -404,26 +400,15 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, w
     classes = materialize(every.filter("n > 0").groupBy("k1", "k2").agg(F.min("uid").alias("sid"), F.min("_id").alias("low")), "classes")
     reps = materialize(every.join(classes.select(F.col("sid").alias("uid")), "uid", "left_semi").select(F.col("uid").alias("sid"), "n", "k1", "k2", "registers"), "sets")
 
-    links, open_buckets = None, _buckets(reps, rows, bands)
-    for turn in range(STARS):
-        stars = materialize(_stars(open_buckets, turn), "stars")
-        pairs = _star_pairs(stars)
-        if turn:
-            comp = open_buckets.select("sid", "comp").distinct()
-            pairs = pairs.join(comp.select(F.col("sid").alias("a"), F.col("comp").alias("of_a")), "a").join(comp.select(F.col("sid").alias("b"), F.col("comp").alias("of_b")), "b").filter("of_a <> of_b").select("a", "b")
-        found = _verified(_estimated(materialize(pairs, "pairs"), reps, m, percent), source, words, percent)
-        links = found if links is None else links.unionByName(found)
-        open_buckets = _open(stars.select("key", "sid"), links)
-        if open_buckets.isEmpty():
-            break
-    else:
+    stars = materialize(_stars(_buckets(reps, rows, bands)), "stars")
+    comps = contracted(_verified(_estimated(materialize(_star_pairs(stars), "pairs"), reps, m, percent), source, words, percent))
+    open_buckets = _open(stars.select("key", "sid"), comps)
+    if not open_buckets.isEmpty():
         hubs = _named(materialize(_hub_pairs(open_buckets), "hubs"), reps)
         around = materialize(_compared(hubs, source, words, percent).dropDuplicates(["a", "b"]), "around")
-        links = materialize(links.unionByName(around.filter("near").select("a", "b")).distinct(), "links")
-        pairs = materialize(_outside_pairs(around, links, percent), "outside-pairs")
-        links = links.unionByName(_verified(_estimated(pairs, reps, m, percent), source, words, percent))
-
-    comps = components(materialize(links.distinct(), "links"))
+        comps = joined_by(comps, around.filter("near").select("a", "b"))
+        pairs = materialize(_outside_pairs(around, comps, percent), "outside-pairs")
+        comps = joined_by(comps, _verified(_estimated(pairs, reps, m, percent), source, words, percent))
     of_class = classes.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     lowest = of_class.groupBy("comp").agg(F.min("low").alias("component_id"))
     named = of_class.join(lowest, "comp").select("k1", "k2", "component_id")

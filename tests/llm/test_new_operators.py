@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from revlens.llm import periodic_runs, queries, setsketch_dedup, spelling_groups, textscan
+from revlens.llm.components import contracted, joined_by
 from tests.llm import cases
 
 # --- 11 ------------------------------------------------------------------------
@@ -184,6 +185,40 @@ def test_sets_that_link_apart_from_their_hub(spark):
     assert cases.ordered(map(tuple, setsketch_dedup.groups(cases.documents(spark, rows)).collect())) == pair_components(rows)
 
 
+@pytest.mark.parametrize("shape", ["path", "stars", "random", "none"])
+def test_contracted_components(spark, shape):
+    rng = random.Random(6)
+    if shape == "path":
+        edges = [(i, i + 1) for i in range(60)] + [(300 - i, 299 - i) for i in range(40)]
+    elif shape == "stars":
+        edges = [(c, 1000 * c + i) for c in (7, 3, 5) for i in range(30)] + [(5007, 7000), (9, 9)]
+    elif shape == "random":
+        edges = [(rng.randrange(150), rng.randrange(150)) for _ in range(110)]
+    else:
+        edges = []
+
+    def plain(edges):
+        parent = {x: x for e in edges for x in e}
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in edges:
+            a, b = sorted((find(a), find(b)))
+            parent[b] = a
+        return {x: find(x) for x in parent}
+
+    df = spark.createDataFrame(edges, "a long, b long")
+    got = contracted(df)
+    assert {r.node: r.comp for r in got.collect()} == {x: c for x, c in plain(edges).items() if any(x in e and e[0] != e[1] for e in edges)}
+    more = [(rng.randrange(400), rng.randrange(400)) for _ in range(30)]
+    both = {r.node: r.comp for r in joined_by(got, spark.createDataFrame(more, "a long, b long")).collect()}
+    want = {x: c for x, c in plain(edges + more).items() if any(x in e and e[0] != e[1] for e in edges + more)}
+    assert {x: c for x, c in both.items() if x in want} == want and all(c == x for x, c in both.items() if x not in want)
+
+
 def test_groups_of_nothing(spark):
     assert setsketch_dedup.groups(cases.documents(spark, [])).collect() == []
     rows = [(1, None), (2, ""), (3, " ")]
