@@ -9,7 +9,10 @@ The cut is found by histogram refinement over integral key columns: one
 aggregate per step counts rows per value bucket (at most ``buckets``
 rows reach the driver), the bucket holding rank k becomes the new range,
 and once the candidates are few their keys are collected and sorted.
-A single key value that holds a third of all rows is handled by moving
+Keys of other sortable types (text, timestamps, doubles ...) are narrowed
+by splitters instead: a sample of the candidates, in Spark's own order, cuts
+them into as many intervals, one aggregate counts them, and the interval of
+rank k is next. A single key value that holds a third of all rows is handled by moving
 on to the next key column, never by loading it into one task.
 For small k the cut comes from ``orderBy(keys).limit(k)``, whose per-task
 top-k keeps at most k keys per task; since every task sends those to the
@@ -37,14 +40,49 @@ TOPK_BUDGET = 2_000_000
 # Candidates at or below this count are collected and sorted on the driver.
 LOCAL_LIMIT = 50_000
 BUCKETS = 4_096
+# Intervals that one pass over keys of other types counts.
+SPLITTERS = 32
+
+_PLAIN = (T.IntegralType, T.FloatType, T.DoubleType, T.DecimalType, T.DateType, T.BooleanType, T.BinaryType)
+
+
+def sortable(df: DataFrame, name: str) -> Column:
+    """A key column as a value that Python and SQL literals carry exactly, in
+    the same order: timestamps as microseconds, others as they are."""
+    kind = df.schema[name].dataType
+    c = F.col(f"`{name}`")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    if isinstance(kind, T.StringType) and kind.simpleString() == "string":
+        return c
+    if isinstance(kind, T.FloatType):
+        return c.cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c)
+    if isinstance(kind, _PLAIN):
+        return c
+    raise TypeError(f"key {name} of type {kind.simpleString()} has no order that is the same for all (cast it first)")
+
+
+def _all_integral(df: DataFrame, keys: Sequence[str]) -> bool:
+    return all(isinstance(df.schema[k].dataType, T.IntegralType) for k in keys)
+
+
+def _lex_le(keys: Sequence[str | Column], cut: Sequence, equal: bool = True) -> Column:
+    """``(k1, k2, ...) <= (c1, c2, ...)`` in lexicographic order; ``equal``
+    False: ``<``."""
+    keys = [F.col(k) if isinstance(k, str) else k for k in keys]
+    expr = keys[-1] <= F.lit(cut[-1]) if equal else keys[-1] < F.lit(cut[-1])
+    for c, value in zip(reversed(keys[:-1]), reversed(cut[:-1]), strict=True):
+        expr = (c < F.lit(value)) | ((c == F.lit(value)) & expr)
+    return expr
 
 
-def _lex_le(keys: Sequence[str], cut: Sequence) -> Column:
-    """``(k1, k2, ...) <= (c1, c2, ...)`` in lexicographic order."""
-    expr = F.col(keys[-1]) <= F.lit(cut[-1])
-    for name, value in zip(reversed(keys[:-1]), reversed(cut[:-1]), strict=True):
-        expr = (F.col(name) < F.lit(value)) | ((F.col(name) == F.lit(value)) & expr)
-    return expr
+def _up_to(df: DataFrame, keys: Sequence[str], cut: Sequence) -> Column:
+    """The rows of ``df`` up to a cut that :func:`cut_key` gave."""
+    return _lex_le([sortable(df, k) for k in keys], cut)
 
 
 def _bucket(c: Column, lo: int, hi: int, buckets: int) -> Column:
@@ -77,21 +115,21 @@ def cut_key(
     local_limit: int = LOCAL_LIMIT,
     buckets: int = BUCKETS,
 ) -> tuple:
-    """Exact k-th smallest (1-based) tuple of the integral columns ``keys``,
-    or None when ``df`` has fewer than k rows.
-
-    Whichever way the cut is found, the same is checked: keys of another
-    type are a TypeError (cast them first: text has another order than the
-    numbers it spells), NULL keys and rows that tie with the cut beyond
-    rank k are a ValueError.
+    """Exact k-th smallest (1-based) tuple of the sortable columns ``keys``
+    (each as :func:`sortable` has it), or None when ``df`` has fewer than k rows.
+
+    Order is Spark's: text by its UTF-8 bytes (so '10' comes before '9': cast
+    numbers first), NaN after all other doubles. Whichever way the cut is
+    found, the same is checked: keys without an order (maps, intervals,
+    collated text) are a TypeError, NULL keys and rows that tie with the cut
+    beyond rank k are a ValueError.
     """
     keys = list(keys)
     if k < 1:
         raise ValueError("k must be at least 1")
-    for name in keys:
-        if not isinstance(df.schema[name].dataType, T.IntegralType):
-            raise TypeError(f"key {name} must be integral, not {df.schema[name].dataType.simpleString()}: cast it first")
-    cut = _find_cut(df.select(*keys), keys, k, topk_limit, topk_budget, local_limit, buckets)
+    integral = _all_integral(df, keys)
+    df = df.select(*(sortable(df, name).alias(name) for name in keys))
+    cut = _find_cut(df, keys, k, topk_limit, topk_budget, local_limit, buckets, integral)
     missing = F.lit(False)
     for name in keys:
         missing = missing | F.col(name).isNull()
@@ -104,15 +142,20 @@ def cut_key(
     return cut
 
 
-def _find_cut(df: DataFrame, keys: list[str], k: int, topk_limit: int, topk_budget: int, local_limit: int, buckets: int) -> tuple | None:
+def _find_cut(df: DataFrame, keys: list[str], k: int, topk_limit: int, topk_budget: int, local_limit: int, buckets: int, integral: bool = True) -> tuple | None:
     """The k-th smallest key, NULLs set aside."""
-    cur = df.dropna()
+    some = F.lit(True)
+    for name in keys:
+        some = some & F.col(name).isNotNull()
+    cur = df.where(some)  # not dropna(): that drops NaN too, which is a value here
     if k <= topk_limit and k * _partitions(cur) <= topk_budget:
         rows = cur.orderBy(*keys).limit(k).collect()
         return tuple(rows[-1]) if len(rows) == k else None
     # several passes follow: scan a narrow written copy of the keys, not
     # the (possibly joined, parsed) source each time
     cur = materialize(cur, "cut-keys")
+    if not integral:
+        return _find_cut_by_splitters(cur, keys, k, local_limit)
 
     cond = F.lit(True)
     level = 0
@@ -153,6 +196,58 @@ def _find_cut(df: DataFrame, keys: list[str], k: int, topk_limit: int, topk_budg
         cond = cond & (c >= F.lit(lo)) & (c <= F.lit(hi))
 
 
+def _interval(keys: Sequence[str], splitters: list[tuple]) -> Column:
+    """2i for keys between splitters i - 1 and i, 2i + 1 for keys equal to
+    splitter i: a binary search, as nested conditions."""
+
+    def within(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(2 * low)
+        mid = (low + high) // 2
+        equal = F.lit(True)
+        for name, value in zip(keys, splitters[mid], strict=True):
+            equal = equal & (F.col(name) == F.lit(value))
+        return F.when(_lex_le(keys, splitters[mid], equal=False), within(low, mid)).when(equal, F.lit(2 * mid + 1)).otherwise(within(mid + 1, high))
+
+    return within(0, len(splitters))
+
+
+def _find_cut_by_splitters(cur: DataFrame, keys: list[str], k: int, local_limit: int) -> tuple | None:
+    """The k-th smallest key of a written table, for keys of any order.
+
+    Each pass samples rows (so a key that holds a third of them is a
+    splitter, and its equals are counted apart), sorts the sample in Spark,
+    and counts the intervals. Only counts and splitters reach the driver.
+    """
+    cond, n, turn = F.lit(True), cur.count(), 0
+    if k > n:
+        return None
+    while True:
+        if n <= local_limit:
+            return tuple(cur.where(cond).orderBy(*keys).limit(k).collect()[-1])
+        turn += 1
+        share = min(1.0, 4 * SPLITTERS / n)
+        sample = cur.where(cond).sample(fraction=share, seed=turn).distinct().orderBy(*keys).limit(64 * SPLITTERS).collect()
+        if not sample:
+            sample = cur.where(cond).limit(1).collect()
+        step = max(1, len(sample) // SPLITTERS)
+        splitters = [tuple(r) for r in sample[step // 2 :: step]]
+        counts = cur.where(cond).groupBy(_interval(keys, splitters).alias("i")).count().collect()
+        seen = 0
+        for row in sorted(counts, key=lambda r: r["i"]):
+            if seen + row["count"] >= k:
+                break
+            seen += row["count"]
+        i, at = row["i"], row["i"] // 2
+        if i % 2:
+            return splitters[at]
+        k, n = k - seen, row["count"]
+        if at > 0:
+            cond = cond & ~_lex_le(keys, splitters[at - 1])
+        if at < len(splitters):
+            cond = cond & _lex_le(keys, splitters[at], equal=False)
+
+
 # ---------------------------------------------------------------------------
 # L1: first n rows
 # ---------------------------------------------------------------------------
@@ -162,7 +257,8 @@ def first_rows(df: DataFrame, n: int, order_by: Sequence[str], **cut_options) ->
     """L1: the first ``n`` rows in ``order_by`` order; ``n = -1`` keeps all.
 
     ``order_by`` plays the role of file order (for example
-    ``listing_id, review_pos``) and must be a unique integral key.
+    ``listing_id, review_pos``, or a timestamp and a name) and must be a
+    unique key of sortable columns (see :func:`cut_key`).
     Other negative values are rejected. Only key columns are ranked; the
     rows themselves are kept by a filter, so wide rows never meet in one
     task. The result is a set (use ``orderBy`` to display it in order).
@@ -175,7 +271,7 @@ def first_rows(df: DataFrame, n: int, order_by: Sequence[str], **cut_options) ->
         return df.limit(0)
     order_by = list(order_by)
     cut = cut_key(df, order_by, n, **cut_options)
-    return df if cut is None else df.where(_lex_le(order_by, cut))
+    return df if cut is None else df.where(_up_to(df, order_by, cut))
 
 
 def first_rows_flag(df: DataFrame, n: int, order_by: Sequence[str], flag: str = "selected", **cut_options) -> DataFrame:
@@ -190,7 +286,7 @@ def first_rows_flag(df: DataFrame, n: int, order_by: Sequence[str], flag: str =
     cut = cut_key(df, order_by, n, **cut_options)
     if cut is None:
         return df.withColumn(flag, F.lit(True))
-    return df.withColumn(flag, _lex_le(order_by, cut))
+    return df.withColumn(flag, _up_to(df, order_by, cut))
 
 
 # ---------------------------------------------------------------------------
@@ -198,10 +294,10 @@ def first_rows_flag(df: DataFrame, n: int, order_by: Sequence[str], flag: str =
 # ---------------------------------------------------------------------------
 
 
-def split_hash(keys: str | Sequence[str], seed: int) -> Column:
+def split_hash(keys: str | Sequence[str | Column], seed: int) -> Column:
     """Order of the split: the first 60 bits of md5('<seed>:<k1>[:<k2>...]')."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    text = F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    text = F.concat_ws(":", F.lit(str(seed)), *[(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys])
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
@@ -222,21 +318,21 @@ def exact_split(
 ) -> DataFrame:
     """Tag every row 'test' or 'dev'; exactly ceil(test_size*n) test.
 
-    Rows are ordered by a seeded hash of the unique integral ``key``; the
-    smallest ceil(test_size*n) are test. Membership depends only on key
+    Rows are ordered by a seeded hash of the unique ``key`` (sortable columns,
+    timestamps by their microseconds); the smallest ceil(test_size*n) are test. Membership depends only on key
     and seed, so it is the same after any repartition, and a re-run
     gives the same split. Spark's ``randomSplit`` is neither exact nor
     partition-independent, so it is not used. ``key`` may be several
     columns (for example ``listing_id, review_pos``).
     """
     keys = [key] if isinstance(key, str) else list(key)
-    hashed = df.withColumn("_split_h", split_hash(keys, seed))
+    hashed = df.withColumn("_split_h", split_hash([sortable(df, k) for k in keys], seed))
     n = hashed.count()
     if n == 0:
         return df.withColumn(flag, F.lit(None).cast("string"))
     k = n_test_rows(n, test_size)
     cut = cut_key(hashed, ["_split_h", *keys], k, **cut_options)
-    is_test = _lex_le(["_split_h", *keys], cut)
+    is_test = _up_to(hashed, ["_split_h", *keys], cut)
     return hashed.withColumn(flag, F.when(is_test, F.lit("test")).otherwise(F.lit("dev"))).drop("_split_h")
 
 

@@ -5,7 +5,8 @@ test x best -> model -> write -> A2..A4``.
 
 Two inference jobs, each written once to the stage folder; every later
 step reads those files, so no model call is repeated when a result is
-used twice or an executor is lost. The only driver round-trip between
+used twice or an executor is lost. Reviews and predictions are written in
+buckets of the review key, so joining them moves no rows. The only driver round-trip between
 them is the per-prompt deviation table (a row a prompt).
 """
 
@@ -24,7 +25,7 @@ from revlens.operators.sampling import exact_split, first_rows
 from revlens.operators.scoring import deviation, pick_best, summary
 from revlens.schemas import REVIEW_COL, SCORE_COL
 from revlens.sources.csv import write_csv
-from revlens.sources.stage import materialize
+from revlens.sources.stage import materialize, materialize_bucketed
 
 
 @dataclass
@@ -70,21 +71,20 @@ def evaluate(
     # after reads (key, Review, Review_Score) or less from that copy.
     rows = materialize(reviews, "reviews")
     rows = first_rows(rows, limit, keys)
-    split = exact_split(rows.select(*keys), keys, test_size, seed, flag="__part")
-    tagged = materialize(rows.join(split, keys), "tagged")
+    tagged = materialize_bucketed(exact_split(rows, keys, test_size, seed, flag="__part"), "tagged", keys)
     narrow = tagged.select(*keys, REVIEW_COL, SCORE_COL, "__part")
     dev = narrow.where(F.col("__part") == "dev").drop("__part")
     test = narrow.where(F.col("__part") == "test").drop("__part")
 
     # predictions carry the key, not the text: it is the same for each prompt
-    dev_preds = materialize(score(dev, factory, prompts, **generate_options).drop(REVIEW_COL), "dev-predictions")
+    dev_preds = materialize_bucketed(score(dev, factory, prompts, **generate_options).drop(REVIEW_COL), "dev-predictions", keys)
     # a row a prompt; A5 (lowest deviation, ties to the lower id, NULL
     # never wins) is applied to the collected rows
     deviations = sorted(deviation(dev_preds).collect(), key=lambda r: r["prompt_id"])
     best_id, best_mae = pick_best(deviations)
     best = next(p for p in prompts if p.prompt_id == best_id)
 
-    test_preds = materialize(score(test, factory, best, **generate_options).drop(REVIEW_COL), "test-predictions")
+    test_preds = materialize_bucketed(score(test, factory, best, **generate_options).drop(REVIEW_COL), "test-predictions", keys)
     whole = tagged.drop(SCORE_COL, "__part")
     dev_best = whole.join(dev_preds.where(F.col("prompt_id") == best_id), keys)
     test_preds = whole.join(test_preds, keys)

@@ -6,6 +6,9 @@ a lost executor re-reads files instead of re-running model calls.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from revlens.session import new_stage_path
@@ -33,3 +36,32 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     target = path or new_stage_path(spark, name)
     write_stage(df, target)
     return read_stage(spark, target)
+
+
+# Catalog entries of bucketed stages begin with this.
+TABLE_PREFIX = "revlens_stage_"
+
+
+def materialize_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """As :func:`materialize`, dealt into buckets by ``keys``: one file a bucket,
+    sorted. Joins of such stages on these keys move no rows, as both sides
+    lie in the same buckets (by default as many as shuffle partitions).
+
+    Spark knows of buckets through its catalog only, so the stage is a table
+    there (over files of the stage folder) until :func:`forget_bucketed`.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{TABLE_PREFIX}{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    writer.option("path", new_stage_path(spark, name)).saveAsTable(table)
+    return spark.table(table)
+
+
+def forget_bucketed(spark: SparkSession) -> int:
+    """Take the bucketed stages out of the catalog (their files stay with the
+    stage folder); returns how many there were."""
+    names = [t.name for t in spark.catalog.listTables() if t.name.startswith(TABLE_PREFIX)]
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return len(names)
