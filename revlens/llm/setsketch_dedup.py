@@ -63,6 +63,8 @@ BASE = 1.1
 RATE = 20.0
 TOP = 255
 CUT = 20.0
+# Ratio of the sizes that are looked up together.
+SIZES = 1.04
 # Sets of a crowded bucket that are handed on at once, and members of a leader in one task.
 CHUNK = 512
 MEMBERS = 4096
@@ -371,21 +373,23 @@ def _outside_pairs(around: DataFrame, comps: DataFrame, percent: int) -> DataFra
     # a hub whose sets are all of its component has no more to ask
     mixed = placed.filter("comp <> comp_hub").select("hub").distinct()
     members = materialize(placed.join(mixed, "hub", "left_semi"), "members")
-    entries = members.select("hub", "b", "n", "comp", F.explode("rest").alias("e"))
+    # sets of nearly one size are looked up together, by the least of them
+    band = F.floor(F.log(F.col("n").cast("double")) / log(SIZES)).cast("int").alias("size")
+    entries = members.select("hub", "b", band, "comp", F.explode("rest").alias("e"))
     common = entries.groupBy("hub", "e").agg(F.count("*").alias("many")).filter("many > 1")
     # what only one set has outside the hub can't be shared, but counts for the number that must be
     listed = materialize(entries.join(common, ["hub", "e"]), "outside")
-    sizes = members.select("hub", F.col("n").alias("size")).distinct()
+    sizes = members.groupBy("hub", band).agg(F.min("n").alias("low"), F.max("n").alias("high"))
     asked = members.filter("comp <> comp_hub").select("hub", F.col("b").alias("u"), F.col("n").alias("n_u"), F.col("comp").alias("comp_u"), "same", F.size("rest").alias("outside"))
-    fits = (100 * F.least("n_u", "size") >= percent * F.greatest("n_u", "size"))
-    asked = asked.join(sizes, "hub").filter(fits).withColumn("least", need(F.col("n_u"), F.col("size"), percent)).withColumn("more", F.col("least") - F.col("same"))
+    fits = (100 * F.col("high") >= percent * F.col("n_u")) & (100 * F.col("n_u") >= percent * F.col("low"))
+    asked = asked.join(sizes, "hub").filter(fits).withColumn("least", need(F.col("n_u"), F.col("low"), percent)).withColumn("more", F.col("least") - F.col("same"))
     rarest = listed.groupBy("hub", "b").agg(F.sort_array(F.collect_list(F.struct("many", "e"))).alias("found")).withColumnRenamed("b", "u")
     asked = materialize(asked.filter("more <= outside").join(rarest, ["hub", "u"], "left"), "asked")
     # to share ``more`` of its shared-by-some shingles a set has to share one of all but the ``more`` - 1 commonest
     probes = asked.filter("more > 0").select("hub", "u", "comp_u", "size", F.explode(F.slice("found", F.lit(1), F.greatest(F.size("found") - F.col("more") + 1, F.lit(0)).cast("int"))).alias("f"))
-    lists = listed.select("hub", F.col("n").alias("size"), "e", F.col("b").alias("v"), F.col("comp").alias("comp_v"))
+    lists = listed.select("hub", "size", "e", F.col("b").alias("v"), F.col("comp").alias("comp_v"))
     by_list = probes.select("hub", "u", "comp_u", "size", "f.e").join(lists, ["hub", "size", "e"]).filter("u <> v and comp_u <> comp_v")
-    inside = members.select("hub", F.col("n").alias("size"), F.col("b").alias("v"), F.col("comp").alias("comp_v"), F.col("same").alias("same_v"))
+    inside = members.select("hub", band, F.col("b").alias("v"), F.col("comp").alias("comp_v"), F.col("same").alias("same_v"))
     directly = asked.filter("more <= 0").join(inside, ["hub", "size"]).filter("u <> v and comp_u <> comp_v and same_v >= least")
     return by_list.select("u", "v").unionByName(directly.select("u", "v")).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
 
