@@ -10,8 +10,6 @@ import pytest
 
 from revlens.streaming.translate import REVIEWS_SCHEMA, start_translate_stream
 
-ASKED = os.environ.get("REVLENS_TEST_ASKED")
-
 
 class Noting:
     """Writes down every text it is asked."""
@@ -124,9 +122,10 @@ def test_killed_and_started_again_each_text_is_asked_once(spark, tmp_path, files
         offsets = {c.name for c in (tmp_path / "out" / "_checkpoint" / "offsets").iterdir() if c.name.isdigit()}
         done = {c.name for c in commits.iterdir() if c.name.isdigit()}
         if offsets == done:
-            os.killpg(first.pid, signal.SIGKILL)
             break
-    first.wait()
+        time.sleep(0.02)
+    os.killpg(first.pid, signal.SIGKILL)
+    first.communicate(timeout=60)
     write(spark, source, 1000, [f"text {i}" for i in range(30)])
     second = start(True)
     said, errors = second.communicate(timeout=180)
