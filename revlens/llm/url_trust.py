@@ -9,17 +9,21 @@ its pages that a rule allows or blocks; it counts for no less than that,
 whatever it passes on.
 
 These scores are split among receivers, so their size falls with the
-number of hosts that link to one place. The verdict goes by two values
-that don't: a host's suspicion is its seed, or the damped mean suspicion
-of the hosts its links lead to, if more; its credit is its seed, or the
-damped mean credit of the hosts its inbound links come from, if more.
-Hosts whose suspicion reaches ``threshold`` and exceeds their credit are
-blocked, however many others link to the same place.
+number of hosts that link to one place. What tells a host is the share of
+the walk's mass there that came from such seeds: both walks are also run
+from all their ends (hosts with a rule, and hosts that no link leaves or
+none enters, where a walk of surfers begins), over the same links. A host's
+suspicion is its seed, or the damped share of distrust in the second walk
+against links, if more; its credit is the same of trust along links. A
+host that leads nowhere but to blocked ones has a share of 1, at one linker
+or a million, directly or over others. Hosts whose suspicion reaches
+``threshold`` and exceeds their credit are blocked.
 
 All steps are DataFrame functions. Links are counted by pair of hosts in
 the map tasks, so the graph has a row for each linked pair, however many
 pages a host has; every few rounds the scores are written, which cuts the
-lineage, and the rounds end once they stand still. A host without links
+lineage, and the rounds end once they stand still to ``TOLERANCE`` (what is
+left of a change falls by the damping each round). A host without links
 (links within a host count for nothing) keeps its seed.
 
 Cases: a null url, or one without ``://``, has empty host and path; it
@@ -30,6 +34,7 @@ extra columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from math import ceil, log
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -39,8 +44,10 @@ from revlens.sources.stage import materialize
 
 DAMPING = 0.85
 THRESHOLD = 0.5
-ROUNDS = 24
+TOLERANCE = 1e-9
 ROUNDS_A_WRITE = 4
+# Walks: along links from trusted hosts and from all ends, against them from distrusted ones and from all ends.
+WALKS = ("trust", "distrust", "along", "against")
 KINDS = ("trust", "distrust", "credit", "suspicion")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
@@ -81,47 +88,61 @@ def host_links(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
 
 
 def _flows(links: DataFrame, hosts: DataFrame) -> DataFrame:
-    """(kind, src, dst, share): trust and credit along links, distrust and
-    suspicion against them. Trust and distrust are divided among receivers,
-    and stay where nothing leaves a host; credit and suspicion are means
-    over a receiver's links."""
-    along = links.select("src", "dst", "links")
-    against = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "links")
-    both = along.withColumn("kind", F.lit("trust")).unionByName(against.withColumn("kind", F.lit("distrust")))
-    out = both.groupBy("kind", "src").agg(F.sum("links").alias("total"))
-    shared = both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("links") / F.col("total")).alias("share"))
-    # a mean over the links of a receiver is the other kind's division, read backwards
-    means = shared.select(F.when(F.col("kind") == "trust", "suspicion").otherwise("credit").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "share")
-    every = hosts.select(F.explode(F.array(F.lit("trust"), F.lit("distrust"))).alias("kind"), F.col("host").alias("src"))
-    still = every.join(out, ["kind", "src"], "left_anti").select("kind", "src", F.col("src").alias("dst"), F.lit(1.0).alias("share"))
-    return shared.unionByName(means).unionByName(still)
-
-
-def propagate(links: DataFrame, seeds: DataFrame, *, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust, credit, suspicion) from (src, dst, links) and (host, trust, distrust) seeds."""
-    ends = links.select(F.explode(F.array("src", "dst")).alias("host")).distinct()
+    """(back, src, dst, share): where a host's score goes, along links or back
+    against them, divided among the receivers; it stays where nothing leaves."""
+    along = links.select(F.lit(False).alias("back"), "src", "dst", "links")
+    against = links.select(F.lit(True).alias("back"), F.col("dst").alias("src"), F.col("src").alias("dst"), "links")
+    both = along.unionByName(against)
+    out = both.groupBy("back", "src").agg(F.sum("links").alias("total"))
+    shared = both.join(out, ["back", "src"]).select("back", "src", "dst", (F.col("links") / F.col("total")).alias("share"))
+    every = hosts.select(F.explode(F.array(F.lit(False), F.lit(True))).alias("back"), F.col("host").alias("src"))
+    still = every.join(out, ["back", "src"], "left_anti").select("back", "src", F.col("src").alias("dst"), F.lit(1.0).alias("share"))
+    return shared.unionByName(still)
+
+
+def propagate(links: DataFrame, seeds: DataFrame, *, damping: float = DAMPING, rounds: int | None = None) -> DataFrame:
+    """(host, trust, distrust, along, against) from (src, dst, links) and (host, trust, distrust) seeds."""
+    if rounds is None:
+        rounds = ceil(log(TOLERANCE) / log(damping))
+    ends = links.select(F.col("src").alias("host"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(links.select(F.col("dst").alias("host"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    degree = ends.groupBy("host").agg(F.max("out").alias("out"), F.max("into").alias("into"))
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    given = degree.join(seeds, "host", "full").select("host", zero("trust").alias("trust"), zero("distrust").alias("distrust"), zero("out").alias("out"), zero("into").alias("into"))
+    ruled = (F.col("trust") > 0) | (F.col("distrust") > 0)
     hosts = materialize(
-        ends.join(seeds, "host", "full").select("host", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("trust", "distrust"))), "hosts"
+        given.select("host", "trust", "distrust", (ruled | (F.col("into") == 0)).cast("double").alias("along"), (ruled | (F.col("out") == 0)).cast("double").alias("against")), "hosts"
     )
     flows = materialize(_flows(links, hosts), "flows")
-    seeded = F.map_from_arrays(F.array(*(F.lit(k) for k in KINDS)), F.array("trust", "distrust", "trust", "distrust"))
-    start = hosts.select("host", F.explode(seeded).alias("kind", "score"))
-    mean = F.col("kind").isin("credit", "suspicion")
+    seeded = F.map_from_arrays(F.array(*(F.lit(k) for k in WALKS)), F.array(*WALKS))
+    back = F.col("kind").isin("distrust", "against").alias("back")
+    start = hosts.select("host", F.explode(seeded).alias("kind", "score")).select("host", "kind", back, "score")
     scores = start
     for at in range(0, rounds, ROUNDS_A_WRITE):
         before = scores
         for _ in range(ROUNDS_A_WRITE):
-            moved = flows.join(scores.withColumnRenamed("host", "src"), ["kind", "src"]).select(
-                F.col("dst").alias("host"), "kind", (damping * F.col("share") * F.col("score")).alias("score"), F.lit(0.0).alias("seed")
+            moved = flows.join(scores.withColumnRenamed("host", "src"), ["back", "src"]).select(
+                F.col("dst").alias("host"), "kind", "back", (damping * F.col("share") * F.col("score")).alias("score")
             )
-            kept = start.select("host", "kind", F.lit(0.0).alias("score"), F.col("score").alias("seed"))
-            scores = moved.unionByName(kept).groupBy("host", "kind").agg(F.sum("score").alias("got"), F.sum("seed").alias("seed"))
-            scores = scores.select("host", "kind", F.when(mean, F.greatest("got", "seed")).otherwise(F.col("got") + (1 - damping) * F.col("seed")).alias("score"))
+            kept = start.select("host", "kind", "back", ((1 - damping) * F.col("score")).alias("score"))
+            scores = moved.unionByName(kept).groupBy("host", "kind", "back").agg(F.sum("score").alias("score"))
         scores = materialize(scores, f"scores-{at}")
         change = scores.join(before.withColumnRenamed("score", "was"), ["host", "kind"]).agg(F.max(F.abs(F.col("score") - F.col("was")))).first()[0]
-        if change is None or change < 1e-9:
+        if change is None or change < TOLERANCE:
             break
-    return scores.groupBy("host").agg(*(F.round(F.sum(F.when(F.col("kind") == k, F.col("score")).otherwise(0.0)), 6).alias(k) for k in KINDS))
+    return scores.groupBy("host").agg(*(F.sum(F.when(F.col("kind") == k, F.col("score")).otherwise(0.0)).alias(k) for k in WALKS))
+
+
+def weigh(scores: DataFrame, seeds: DataFrame, damping: float = DAMPING) -> DataFrame:
+    """(host, trust, distrust, credit, suspicion): scores no less than a host's
+    own seeds, and the damped shares of the walks, to six places."""
+    own = seeds.select("host", F.col("trust").alias("own_trust"), F.col("distrust").alias("own_distrust"))
+    share = lambda part, whole: damping * F.coalesce(F.col(part) / F.nullif(F.col(whole), F.lit(0.0)), F.lit(0.0))
+    found = scores.join(own, "host", "left")
+    at_least = lambda value, c: F.round(F.greatest(value, F.coalesce(f"own_{c}", F.lit(0.0))), 6)
+    return found.select(
+        "host", at_least(F.col("trust"), "trust").alias("trust"), at_least(F.col("distrust"), "distrust").alias("distrust"),
+        at_least(share("trust", "along"), "trust").alias("credit"), at_least(share("distrust", "against"), "distrust").alias("suspicion"),
+    )
 
 
 def judge(
@@ -133,10 +154,7 @@ def judge(
     shares = {"trust": "allow", "distrust": "block"}
     seeds = materialize(ruled.groupBy("host").agg(*(F.avg(F.when(F.col("ruled") == v, 1.0).otherwise(0.0)).alias(c) for c, v in shares.items())), "seeds")
     links = materialize(host_links(pages, url_col, html_col), "links")
-    own = seeds.select("host", *(F.col(c).alias(f"own_{c}") for c in shares))
-    scores = materialize(
-        propagate(links, seeds).join(own, "host").select("host", *(F.greatest(c, F.round(f"own_{c}", 6)).alias(c) for c in shares), "credit", "suspicion"), "hosts"
-    )
+    scores = materialize(weigh(propagate(links, seeds), seeds), "hosts")
     bad = (F.col("suspicion") >= threshold) & (F.col("suspicion") > F.col("credit"))
     return ruled.join(scores, "host", "left").select(
         F.col("_id").alias(id_col), "host", "path", "rule",
