@@ -21,7 +21,7 @@ off in rows, and every link between different sets has its effect.
 
 The boundary is where the subsets to list outnumber the list entries to
 scan, from the counts of sets by size. Rarity comes from a count-min
-sketch of all shingles; it only orders the prefix.
+sketch of all shingles, sized by the text; it only orders the prefix.
 
 Shingles, sets and subsets are named by 64-bit hashes (sets by two).
 
@@ -34,7 +34,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import comb
+from math import ceil, comb, log2
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +50,9 @@ PERCENT = 80
 LIST = 16
 MOST_SMALL = 24
 CHUNK = 512
-LEVEL_BITS = 22
+# Cells of the rarity sketch: one for so many bytes of text, within bounds.
+BYTES_A_CELL = 32
+LEVEL_BITS = (22, 25)
 SEEN_BITS = 24
 
 
@@ -273,14 +275,14 @@ def linked_in_block(sids: np.ndarray, flat: np.ndarray, sizes: np.ndarray, perce
     owner, column = owner[shared], rank[column[shared]]
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    same = np.zeros((n, n), dtype=np.float32)
+    same = np.zeros((n, n), dtype=np.int64)
     width = 4096
     for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
         part = slice(*np.searchsorted(column, [at, at + width]))
         has = np.zeros((n, min(width, int(column[-1]) + 1 - at)), dtype=np.float32)
         has[owner[part], column[part] - at] = 1
-        same += has @ has.T
-    near = (100 + percent) * same >= percent * (sizes[:, None] + sizes[None, :]).astype(np.float32)
+        same += (has @ has.T).astype(np.int64)  # whole numbers up to the width: exact
+    near = (100 + percent) * same >= percent * (sizes[:, None] + sizes[None, :]).astype(np.int64)
     np.fill_diagonal(near, False)
     left, a, b = np.ones(n, dtype=bool), [], []
     for first in range(n):
@@ -344,7 +346,8 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, wor
     the smallest id that links reach."""
     tuned(docs)
     source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    order = sketch.Levels(LEVEL_BITS)
+    size = source.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    order = sketch.Levels(min(max(ceil(log2(size / BYTES_A_CELL + 1)), LEVEL_BITS[0]), LEVEL_BITS[1]))
 
     def all_shingles(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for text in textscan.slices(batch.column("_text")):

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from revlens.llm import periodic_runs, queries, setsketch_dedup, spelling_groups, textscan
+from revlens.llm import jaccard_join, periodic_runs, queries, setsketch_dedup, spelling_groups, textscan
 from revlens.llm.components import contracted, joined_by
 from tests.llm import cases
 
@@ -340,3 +340,14 @@ def test_queries_cover_their_tables(spark, sf_small):
     short = {i for i, t in docs if len(cases.words(t)) < 600}
     got = [tuple(r) for r in queries.op13_periodic_runs(spark, sf_small).filter(F.col("doc_id").isin(list(short))).collect()]
     assert cases.ordered(got) == brute_periodic([r for r in docs if r[0] in short])
+
+
+# --- 3: exact in very large sets --------------------------------------------------
+
+
+@pytest.mark.parametrize("more, linked", [(375_002, True), (375_003, False)])
+def test_block_links_are_exact_in_very_large_sets(more, linked):
+    shared = np.arange(1_500_011, dtype=np.int64)
+    larger = np.concatenate([shared, np.arange(10**7, 10**7 + more, dtype=np.int64)])
+    a, b = jaccard_join.linked_in_block(np.array([1, 2]), np.concatenate([shared, larger]), np.array([len(shared), len(larger)]), 80)
+    assert (100 * len(shared) >= 80 * len(larger)) == linked == (list(zip(a.tolist(), b.tolist())) == [(1, 2)])
