@@ -92,6 +92,8 @@ def run_extract(
     if countries is not None:
         listings = filter_country(listings, countries, fmt=fmt)
     if filtered_path:
+        # read by two jobs: written once, so that no address is parsed twice
+        listings = materialize(listings, "filtered-listings")
         write_csv(listings, filtered_path)
     result = extract(listings, None, fmt)
     observed, obs = count_rows(result.reviews, "reviews")

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -159,7 +160,8 @@ def moves_data(df) -> bool:
         plan = df._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001 - plan text only
     except Exception:  # noqa: BLE001 - plan not reachable: do not touch the frame
         return True
-    return "Exchange" in plan
+    # by the names of the plan's nodes alone: a column may hold the word too
+    return re.search(r"(?m)^[\s:+*\-()\d]*\w*Exchange\b", plan) is not None
 
 
 # SparkContexts that already received the package, by their application id.
