@@ -91,16 +91,20 @@ def filter_nested(
 PROBLEM_COL = "__address_problem"
 
 
-def address_problems(df: DataFrame, address_col: str = "address", fmt: str = "python_literal") -> DataFrame:
+def address_problems(df: DataFrame, address_col: str = "address", fmt: str = "python_literal", parsed_col: str | None = None) -> DataFrame:
     """Adds why the address can not be read (NULL when it can): what the
-    strict filter would stop at."""
+    strict filter would stop at; ``parsed_col`` adds what the same parse read."""
     _check_format(fmt)
+    parsed = lambda out, value: out.withColumn(parsed_col, value) if parsed_col else out
     if not isinstance(df.schema[address_col].dataType, T.StringType):
-        return df.withColumn(PROBLEM_COL, F.lit(None).cast("string"))
+        return parsed(df.withColumn(PROBLEM_COL, F.lit(None).cast("string")), F.col(address_col))
+    tmp = "__address_read"
     if fmt == "json":
-        value = F.from_json(F.col(address_col), _JSON_OBJECT, _JSON_OPTIONS)
-        return df.withColumn(PROBLEM_COL, F.when(value.isNull(), F.lit("ValueError: missing or malformed address")))
-    return spread(df).withColumn(PROBLEM_COL, parse_literal(address_col, ADDRESS_TYPE, strict=True)["error"])
+        read = df.withColumn(tmp, F.from_json(F.col(address_col), _JSON_OBJECT, _JSON_OPTIONS))
+        out = read.withColumn(PROBLEM_COL, F.when(F.col(tmp).isNull(), F.lit("ValueError: missing or malformed address")))
+        return parsed(out, F.col(tmp)).drop(tmp)
+    read = spread(df).withColumn(tmp, parse_literal(address_col, ADDRESS_TYPE, strict=True))
+    return parsed(read.withColumn(PROBLEM_COL, F.col(tmp)["error"]), F.col(tmp)["value"]).drop(tmp)
 
 
 def filter_country(

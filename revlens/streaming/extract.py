@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from revlens.operators.listings import PROBLEM_COL, address_problems, explode_reviews, extraction_errors, filter_country, parse_listings
+from revlens.operators.listings import PROBLEM_COL, address_problems, explode_reviews, extraction_errors, parse_listings
 from revlens.sources.csv import CSV_OPTIONS, normalise_missing
 
+_PLACE = "__place"
+
 LISTINGS_TEXT_SCHEMA = T.StructType(
     [
         T.StructField("listing_id", T.LongType()),
@@ -63,10 +65,11 @@ def _write_batch(
     def run(batch: DataFrame, batch_id: int) -> None:
         listings = batch
         if countries is not None:
-            checked = address_problems(batch, fmt=fmt).persist(StorageLevel.MEMORY_AND_DISK)
-            bad = checked.where(F.col(PROBLEM_COL).isNotNull()).withColumnRenamed(PROBLEM_COL, "error")
+            checked = address_problems(batch, fmt=fmt, parsed_col=_PLACE).persist(StorageLevel.MEMORY_AND_DISK)
+            bad = checked.where(F.col(PROBLEM_COL).isNotNull()).drop(_PLACE).withColumnRenamed(PROBLEM_COL, "error")
             bad.write.mode("overwrite").parquet(f"{output_dir}/bad_addresses/batch={batch_id}")
-            listings = filter_country(checked.where(F.col(PROBLEM_COL).isNull()).drop(PROBLEM_COL), countries, fmt=fmt)
+            # by what the check read: no address is parsed twice
+            listings = checked.where(F.col(PROBLEM_COL).isNull() & F.col(_PLACE)["country"].isin(list(countries))).drop(PROBLEM_COL, _PLACE)
         parsed = parse_listings(listings, fmt=fmt).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             explode_reviews(parsed).write.mode("overwrite").parquet(f"{output_dir}/reviews/batch={batch_id}")
