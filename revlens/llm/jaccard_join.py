@@ -341,13 +341,14 @@ def _links(pairs: DataFrame, long_lists: DataFrame, sets: DataFrame, percent: in
     return members.select("comp", "x", "y", "sid", "shingles").groupBy("comp", "x", "y").applyInArrow(meet, "a bigint, b bigint")
 
 
-def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, words: int = WORDS, percent: int = PERCENT, level_bits: tuple[int, int] = LEVEL_BITS) -> DataFrame:
     """(id, n_shingles, component_id) for every row: the size of its set, and
-    the smallest id that links reach."""
+    the smallest id that links reach. ``level_bits`` bounds the rarity sketch (four
+    bytes a cell in a task): smaller ones cost shuffle, not results."""
     tuned(docs)
     source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     size = source.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    order = sketch.Levels(min(max(ceil(log2(size / BYTES_A_CELL + 1)), LEVEL_BITS[0]), LEVEL_BITS[1]))
+    order = sketch.Levels(min(max(ceil(log2(size / BYTES_A_CELL + 1)), level_bits[0]), level_bits[1]))
 
     def all_shingles(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for text in textscan.slices(batch.column("_text")):
