@@ -125,10 +125,15 @@ def _merge(spark: SparkSession, path: str, runs: dict[int, list[str]], buckets:
 
 def by_wave(prompts: DataFrame, waves: int, name: str = "prompts-new") -> list[DataFrame]:
     """The prompts of each wave, from a folder of its own: written once, and
-    each wave's read once. Waves are ranges of places, as buckets are."""
+    each wave's read once. Waves are ranges of places, as buckets are.
+
+    The prompts are dealt by waves, or by equal parts of them when there are
+    fewer than shuffle partitions, so there is a file a part and not one for
+    every wave in every task."""
     spark = prompts.sparkSession
     waves = max(1, waves)
-    dealt = prompts.withColumn("__wave", part_of("prompt_sha256", waves))
+    parts = waves * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // waves)
+    dealt = prompts.withColumn("__wave", part_of("prompt_sha256", waves)).repartition(part_of("prompt_sha256", parts))
     written = write_stage(dealt, new_stage_path(spark, name), partition_by=["__wave"])
     present = set(child_folders(spark, written))
     schema = prompts.schema

@@ -42,7 +42,7 @@ from revlens.operators.sampling import first_rows_flag
 from revlens.operators.window import Windowed
 from revlens.schemas import ERROR_COL, PRED_COL, REVIEW_COL
 from revlens.session import new_stage_path, path_exists, spread
-from revlens.sources.stage import materialize
+from revlens.sources.stage import materialize, write_stage
 
 ON_ERROR = ("fail", "null")
 
@@ -280,6 +280,16 @@ def model_tasks(spark) -> int:
 
 # Prompts asked between two commits to an answer store.
 WAVE_PROMPTS = 50_000
+# Batches that a task of a wave is to have before more tasks share the wave.
+TASK_BATCHES = 32
+
+
+def wave_tasks(spark, wave_prompts: int, batch_size: int) -> int:
+    """Tasks for one wave: every slot busy, and more (up to :func:`model_tasks`)
+    only if each has ``TASK_BATCHES`` batches. A small wave in as many tasks as
+    a whole job would spend its time on starting them."""
+    share = -(-wave_prompts // (TASK_BATCHES * batch_size))
+    return min(model_tasks(spark), max(spark.sparkContext.defaultParallelism, share))
 
 
 def _call_model(
@@ -291,7 +301,7 @@ def _call_model(
     *,
     batch_size: int,
     on_error: str,
-    tasks: int,
+    concurrency: int | None,
     answer_store: str | None,
     model_id: str | None,
     wave_prompts: int,
@@ -319,7 +329,11 @@ def _call_model(
                 T.StructField(err_col, T.StringType()),
             ]
         )
-        return rows.repartition(tasks).mapInPandas(kernel, schema, profile=profile)
+        # Model calls cost per prompt, not per byte: AQE would coalesce a
+        # few MB of prompts into one or two tasks. An explicit round-robin
+        # count keeps at least one task per slot (a hash exchange on __k
+        # with the aggregate's own count would be dropped as redundant).
+        return rows.repartition(concurrency or model_tasks(rows.sparkSession)).mapInPandas(kernel, schema, profile=profile)
 
     if not model_id:
         raise ValueError("an answer store needs a model_id: the name under which its answers are kept")
@@ -333,11 +347,15 @@ def _call_model(
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ("prompt_sha256", out_col, err_col)])
     answered = [seen.where("known").select("prompt_sha256", F.col("answer").alias(out_col), F.lit(None).cast("string").alias(err_col))]
     given = new_stage_path(spark, "answers-new")
+    tasks = concurrency or wave_tasks(spark, wave_prompts, batch_size)
     for wave, chosen in enumerate(answers_store.by_wave(new, -(-new.count() // wave_prompts))):
-        fresh = materialize(chosen.repartition(tasks).mapInPandas(kernel, schema, profile=profile), "", f"{given}/wave={wave}")
+        # there may be very many waves: a wave takes no jobs beyond its two writes
+        failed = Observation(f"failed-{uuid.uuid4().hex[:12]}")
+        asked_now = chosen.repartition(tasks).mapInPandas(kernel, schema, profile=profile).observe(failed, F.count(err_col).alias("n"))
+        fresh = spark.read.schema(schema).parquet(write_stage(asked_now, f"{given}/wave={wave}"))
         good = fresh.where(F.col(err_col).isNull()).select("prompt_sha256", F.col(out_col).alias("answer"))
         answers_store.add(good, answer_store, model_id)
-        if on_error == "fail" and (first := fresh.where(F.col(err_col).isNotNull()).first()) is not None:
+        if on_error == "fail" and failed.get.get("n") and (first := fresh.where(F.col(err_col).isNotNull()).first()) is not None:
             raise RuntimeError(f"the model failed on a prompt (answers so far are stored): {first[err_col]}")
     if path_exists(spark, given):
         # every wave's answers and failures, as one table
@@ -380,7 +398,8 @@ def generate(
       text in ``error_col``.
     * ``concurrency``: spread the prompts over exactly that many tasks
       (bounds the parallel calls a model server sees); by default the
-      distinct prompts get :func:`model_tasks` tasks.
+      distinct prompts get :func:`model_tasks` tasks, and each wave of an
+      answer store :func:`wave_tasks`.
     * ``answer_store``: reuse and extend a folder of earlier answers kept
       under the name ``model_id`` (see :func:`_call_model`); dedup path only.
     * ``in_flight``: single-prompt calls that a task keeps running at once, with
@@ -397,13 +416,9 @@ def generate(
     if dedup:
         keyed = df.withColumn("__k", F.sha2(F.col(text_col), 256))
         texts = _distinct_texts(keyed.where(F.col("__k").isNotNull()), text_col, "__text")
-        # Model calls cost per prompt, not per byte: AQE would coalesce a
-        # few MB of prompts into one or two tasks. An explicit round-robin
-        # count keeps at least one task per slot (a hash exchange on __k
-        # with the aggregate's own count would be dropped as redundant).
         answers, total, top = _answered(
             texts, "__text", out_col, err_col, factory, hot_rows, batch_size=batch_size, on_error=on_error,
-            tasks=concurrency or model_tasks(df.sparkSession), answer_store=answer_store, model_id=model_id, wave_prompts=wave_prompts, profile=profile,
+            concurrency=concurrency, answer_store=answer_store, model_id=model_id, wave_prompts=wave_prompts, profile=profile,
         )
         # rows without a text are not joined: they would all meet on one NULL key
         without = keyed.where(F.col("__k").isNull()).drop("__k")
@@ -503,10 +518,9 @@ def _answers_by_review(
     prompted = with_prompts(_distinct_texts(with_text, review_col, "__review"), prompts, "__review", "__prompt_text").select(
         "__k", "__n", "__b", "prompt_id", "__prompt_text"
     )
-    # sized by prompts, not bytes (see generate)
     answers, total, top = _answered(
         prompted, "__prompt_text", "__answer", err_col, factory, hot_rows, batch_size=batch_size, on_error=on_error,
-        tasks=concurrency or model_tasks(spark), answer_store=answer_store, model_id=model_id, wave_prompts=wave_prompts, profile=profile,
+        concurrency=concurrency, answer_store=answer_store, model_id=model_id, wave_prompts=wave_prompts, profile=profile,
     )
     # every review was answered once per prompt
     out = _salted_join_back(with_text, answers, hot_rows, total // len(prompts), top)

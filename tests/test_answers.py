@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from revlens.operators import answers
-from revlens.operators.inference import generate, score
+from revlens.operators.inference import generate, model_tasks, score, wave_tasks
 from revlens.operators.prompts import DEFAULT_PROMPTS
 from revlens.operators.window import Busy, Gate, Windowed
 
@@ -57,6 +57,28 @@ def test_waves_are_written_by_range_and_read_once(spark, tmp_path):
     assert answers.by_wave(df.limit(0), 0) == []
 
 
+def test_waves_have_a_file_each_and_not_one_for_every_task(spark):
+    df = prompts(spark, 400).repartition(8).select(F.sha2("t", 256).alias("prompt_sha256"), "t")
+    waves = answers.by_wave(df, 6)
+    assert sum(w.count() for w in waves) == 400 and max(len(w.inputFiles()) for w in waves) == 1
+    # fewer waves than shuffle partitions: equal parts of them
+    assert sum(len(w.inputFiles()) for w in answers.by_wave(df, 1)) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_a_wave_takes_few_jobs_and_few_tasks(spark, tmp_path):
+    def jobs(n):
+        spark.sparkContext.setJobGroup(f"waves-{n}", "")
+        try:
+            ask(spark, 60, str(tmp_path / f"s{n}"), wave_prompts=n)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"waves-{n}"))
+
+    assert jobs(5) - jobs(30) <= 4 * (60 // 5 - 60 // 30)
+    assert wave_tasks(spark, 1, 16) == spark.sparkContext.defaultParallelism
+    assert wave_tasks(spark, 10**6, 16) == model_tasks(spark)
+
+
 def test_second_run_asks_only_what_is_new(spark, tmp_path):
     path = str(tmp_path / "s")
     ask(spark, 50, path, wave_prompts=20)
