@@ -91,6 +91,8 @@ class ChunkTable:
         return self.flat[textscan.gather_ranges(self.begin[found], length)], length
 
 
+# Kinds of bytes, as bits, so that one pass over the bytes tells them all.
+_IS_SPACE, _IS_SPACELIKE, _IS_LETTER, _IS_MARK, _IS_HIGH = 1, 2, 4, 8, 16
 _SPACELIKE = np.zeros(256, dtype=bool)
 _SPACELIKE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
 _LETTER = np.zeros(256, dtype=bool)
@@ -101,6 +103,11 @@ _TAIL_85_A0 = np.zeros(256, dtype=bool)
 _TAIL_85_A0[[0x85, 0xA0]] = True
 
 
+_KINDS = (
+    textscan._SPACE * _IS_SPACE + _SPACELIKE * _IS_SPACELIKE + _LETTER * _IS_LETTER + _MARK * _IS_MARK + (np.arange(256) >= 0x80) * _IS_HIGH
+).astype(np.uint8).tobytes()
+
+
 def _back(data: np.ndarray, by: int) -> np.ndarray:
     out = np.zeros_like(data)
     out[by:] = data[:-by]
@@ -130,10 +137,15 @@ def spaced_words(text: textscan.Text):
     something else, and between an ASCII letter and an ASCII mark. The
     splitting pattern starts anew at both, wherever they stand."""
     data = text.data
-    before = _back(data, 1)
-    cut = textscan._SPACE[data] & ~_SPACELIKE[before]
-    cut &= ~_wide_space_before(data)
-    cut |= _LETTER[before] & _MARK[data]
+    kind = np.frombuffer(data.tobytes().translate(_KINDS), dtype=np.uint8)
+    before = _back(kind, 1)
+    opens = ((kind & _IS_SPACE) != 0) & ((before & _IS_SPACELIKE) == 0)
+    cut = opens | (((before & _IS_LETTER) != 0) & ((kind & _IS_MARK) != 0))
+    # only a byte outside ASCII can end a wider white-space character
+    at = np.flatnonzero(opens & ((before & _IS_HIGH) != 0))
+    if len(at):
+        three = np.stack([data[np.maximum(at - by, 0)] * (at >= by) for by in (3, 2, 1)] + [data[at]], axis=1).astype(np.uint8)
+        cut[at] = ~_wide_space_before(three.reshape(-1)).reshape(-1, 4)[:, 3]
     return _spans(text, cut)
 
 

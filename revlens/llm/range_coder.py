@@ -35,10 +35,9 @@ _MAGIC = b"CMR1"
 class _Model:
     def __init__(self, vocab: int, lanes: int) -> None:
         self.vocab = vocab
-        self.guess2 = np.zeros(1 << _TABLE_BITS, dtype=np.int64)
-        self.sure2 = np.zeros(1 << _TABLE_BITS, dtype=np.int64)
-        self.guess1 = np.zeros(vocab + 1, dtype=np.int64)
-        self.sure1 = np.zeros(vocab + 1, dtype=np.int64)
+        # a cell holds the guess and, in its lowest three bits, how sure it is
+        self.table2 = np.zeros(1 << _TABLE_BITS, dtype=np.int64)
+        self.table1 = np.zeros(vocab + 1, dtype=np.int64)
         self.shares = np.tile(np.array([4, 2, 8], dtype=np.int64), (128, 1))
         self.counts = np.zeros(vocab, dtype=np.int64)
         self.seen: list[np.ndarray] = []
@@ -51,26 +50,40 @@ class _Model:
         free = (1 << _ORDER0_BITS) - self.vocab
         self.freq0 = 1 + self.counts * free // max(int(self.counts.sum()), 1)
         self.cum0 = np.concatenate([[0], np.cumsum(self.freq0)])
+        self.at0 = None
+
+    def find0(self, spot: np.ndarray) -> np.ndarray:
+        """The id at each place of the order-0 frequencies (beyond them: the last id)."""
+        if self.at0 is None:
+            self.at0 = np.full(1 << _ORDER0_BITS, self.vocab - 1, dtype=np.int32)
+            self.at0[: self.cum0[-1]] = np.repeat(np.arange(self.vocab, dtype=np.int32), self.freq0)
+        return self.at0.take(spot).astype(np.int64)
 
     def _weights(self) -> None:
         free = (1 << _CLASS_BITS) - 3
         self.freq = 1 + self.shares * free // self.shares.sum(axis=1, keepdims=True)
-        self.begin = np.concatenate([np.zeros((128, 1), dtype=np.int64), np.cumsum(self.freq, axis=1)], axis=1)
+        ends = np.cumsum(self.freq, axis=1)
+        self.end0, self.end1 = np.ascontiguousarray(ends[:, 0]), np.ascontiguousarray(ends[:, 1])
+        # by cell: context * 3 + kind
+        self.cell_begin = (ends - self.freq).reshape(-1).astype(U)
+        self.cell_freq = self.freq.reshape(-1).astype(U)
 
     def predict(self, k: int):
-        """(slot, order-2 guess, order-1 guess, mixing context) of the first k lanes."""
+        """(slot, order-2 cell and guess, order-1 cell and guess, mixing context) of the first k lanes."""
         one, two = self.before1[:k], self.before2[:k]
         slot = ((one * 0x9E3779B1 + two * 0x85EBCA77) >> 7) & ((1 << _TABLE_BITS) - 1)
-        g2, g1 = self.guess2[slot], self.guess1[one]
-        return slot, g2, g1, self.sure2[slot] * 8 + self.sure1[one] + 64 * (g2 == g1)
+        c2, c1 = self.table2.take(slot), self.table1.take(one)
+        g2, g1 = c2 >> 3, c1 >> 3
+        return slot, c2, g2, c1, g1, ((c2 & 7) << 3) + (c1 & 7) + ((g2 == g1).view(np.int8) * np.int64(64))
 
-    def update(self, k: int, step: int, ids, slot, g2, g1, context, kind) -> None:
+    def update(self, k: int, step: int, ids, slot, c2, g2, c1, g1, cell) -> None:
         one = self.before1[:k]
-        for guess, sure, at, said in ((self.guess2, self.sure2, slot, g2), (self.guess1, self.sure1, one, g1)):
-            hit, was = said == ids, sure[at]
-            guess[at] = np.where(hit | (was > 1), said, ids)
-            sure[at] = np.where(hit, np.minimum(was + 1, 7), was >> 1)
-        self.shares += 32 * np.bincount(context * 3 + kind, minlength=384).reshape(128, 3)
+        for table, at, was, said in ((self.table2, slot, c2, g2), (self.table1, one, c1, g1)):
+            sure = was & 7
+            # a hit is surer by one (7 at most), a miss half as sure; an unsure guess gives way
+            missed = (np.where(sure > 1, said, ids) << 3) + (sure >> 1)
+            table[at] = np.where(said == ids, was + (sure < 7), missed)
+        self.shares += 32 * np.bincount(cell, minlength=384).reshape(128, 3)
         if step < 16 or step % 8 == 0:
             np.right_shift(self.shares, 1, out=self.shares, where=(self.shares.sum(axis=1) > 1 << 20)[:, None])
             np.maximum(self.shares, 1, out=self.shares)
@@ -110,8 +123,8 @@ def encode(ids: np.ndarray, vocab: int) -> bytes:
 
     def put(at, begin, freq, bits: int) -> None:
         r = rng[at] >> U(bits)
-        lo = low[at] + begin.astype(U) * r
-        r = r * freq.astype(U)
+        lo = low[at] + begin * r
+        r = r * freq
         small = np.flatnonzero(r <= _LOW32)
         if len(small):
             a, b = lo[small], r[small]
@@ -124,13 +137,16 @@ def encode(ids: np.ndarray, vocab: int) -> bytes:
     for step in range(steps):
         k = _active(n, lanes, steps, step)
         now = grid[step, :k]
-        slot, g2, g1, context = model.predict(k)
-        kind = np.where(now == g2, 0, np.where(now == g1, 1, 2))
-        put(slice(0, k), model.begin[context, kind], model.freq[context, kind], _CLASS_BITS)
-        miss = np.flatnonzero(kind == 2)
+        slot, c2, g2, c1, g1, context = model.predict(k)
+        not2 = now != g2
+        both = not2 & (now != g1)
+        cell = context * 3 + not2 + both
+        put(slice(0, k), model.cell_begin.take(cell), model.cell_freq.take(cell), _CLASS_BITS)
+        miss = np.flatnonzero(both)
         if len(miss):
-            put(miss, model.cum0[now[miss]], model.freq0[now[miss]], _ORDER0_BITS)
-        model.update(k, step, now, slot, g2, g1, context, kind)
+            said = now[miss]
+            put(miss, model.cum0.take(said).astype(U), model.freq0.take(said).astype(U), _ORDER0_BITS)
+        model.update(k, step, now, slot, c2, g2, c1, g1, cell)
     every = np.arange(lanes)
     out_lane += [every, every]
     out_word += [(low >> U(32)).astype(np.uint32), (low & _LOW32).astype(np.uint32)]
@@ -167,12 +183,12 @@ def _decode(block: bytes, n: int, vocab: int, lanes: int, steps: int, total: int
     grid = np.zeros((steps, lanes), dtype=np.int64)
 
     def place(at, bits: int) -> np.ndarray:
-        return np.minimum((code[at] - low[at]) // (rng[at] >> U(bits)), U((1 << bits) - 1)).astype(np.int64)
+        return np.minimum((code[at] - low[at]) // (rng[at] >> U(bits)), U((1 << bits) - 1)).view(np.int64)
 
     def take(at, begin, freq, bits: int) -> None:
         r = rng[at] >> U(bits)
-        lo = low[at] + begin.astype(U) * r
-        r = r * freq.astype(U)
+        lo = low[at] + begin * r
+        r = r * freq
         small = np.flatnonzero(r <= _LOW32)
         if len(small):
             a, b = lo[small], r[small]
@@ -185,17 +201,17 @@ def _decode(block: bytes, n: int, vocab: int, lanes: int, steps: int, total: int
 
     for step in range(steps):
         k = _active(n, lanes, steps, step)
-        slot, g2, g1, context = model.predict(k)
-        spot, begin = place(slice(0, k), _CLASS_BITS), model.begin[context]
-        kind = (spot >= begin[:, 1]).astype(np.int64) + (spot >= begin[:, 2])
-        take(slice(0, k), model.begin[context, kind], model.freq[context, kind], _CLASS_BITS)
-        now = np.where(kind == 0, g2, g1)
-        miss = np.flatnonzero(kind == 2)
+        slot, c2, g2, c1, g1, context = model.predict(k)
+        spot = place(slice(0, k), _CLASS_BITS)
+        not2, both = spot >= model.end0.take(context), spot >= model.end1.take(context)
+        cell = context * 3 + not2 + both
+        take(slice(0, k), model.cell_begin.take(cell), model.cell_freq.take(cell), _CLASS_BITS)
+        now = np.where(not2, g1, g2)
+        miss = np.flatnonzero(both)
         if len(miss):
-            found = np.minimum(np.searchsorted(model.cum0, place(miss, _ORDER0_BITS), side="right") - 1, vocab - 1)
+            found = model.find0(place(miss, _ORDER0_BITS))
             now[miss] = found
-            take(miss, model.cum0[found], model.freq0[found], _ORDER0_BITS)
-        np.clip(now, 0, vocab - 1, out=now)
+            take(miss, model.cum0.take(found).astype(U), model.freq0.take(found).astype(U), _ORDER0_BITS)
         grid[step, :k] = now
-        model.update(k, step, now, slot, g2, g1, context, kind)
+        model.update(k, step, now, slot, c2, g2, c1, g1, cell)
     return np.ascontiguousarray(grid.T).reshape(-1)[:n]

@@ -1,6 +1,7 @@
 """Token blocks, piece codec, packing, substring dedup, Jaccard join, quality rules: against brute force."""
 
 import hashlib
+import random
 import zlib
 from collections import defaultdict
 
@@ -71,6 +72,37 @@ def test_range_coder_round_trip(n, vocab):
         assert (range_coder.decode(range_coder.encode(ids.astype(np.int64), vocab)) == ids).all()
 
 
+def test_range_coder_finds_ids_by_place_and_keeps_its_format():
+    model = range_coder._Model(300, 4)
+    model.counts[:] = np.arange(300) ** 2
+    model._order0()
+    spots = np.concatenate([np.arange(0, model.cum0[-1], 97), model.cum0[:-1], model.cum0[1:] - 1])
+    assert (model.find0(spots) == np.searchsorted(model.cum0, spots, side="right") - 1).all()
+    assert model.find0(np.array([(1 << 20) - 1]))[0] == 299
+    # the code words of blocks that are already written
+    ids = (np.arange(20000, dtype=np.int64) ** 2) % 251
+    assert zlib.crc32(range_coder.encode(ids, 300)) == 2007901337
+
+
+def test_spaced_words_cuts_at_every_kind_of_space():
+    # (a zero-width space, which is none, is told apart by no byte that is looked at: no cut is the safe side)
+    wide = "\x85\xa0\u1680\u2003\u200a\u200b\u2028\u202f\u205f\u3000"
+    rng = random.Random(5)
+    for _ in range(200):
+        rows = ["".join(rng.choice("aB .<\t\n\x1c\u00e9\u6f22" + wide) for _ in range(rng.randrange(12))) for _ in range(3)]
+        for text in textscan.slices(pa.array(rows)):
+            start, _end, _first = chunks.spaced_words(text)
+            expected, at = set(), 0
+            for row in rows:
+                for i, char in enumerate(row):
+                    before = row[i - 1] if i else ""
+                    spaced = char in " \t\n" and before and before not in " \t\n\x1c" + wide
+                    if i == 0 or spaced or (before in ("a", "B") and char in ".<"):
+                        expected.add(at)
+                    at += len(char.encode())
+            assert set(start.tolist()) == expected
+
+
 def test_range_coder_uses_order_two_and_finds_damage():
     ids = np.tile(np.random.default_rng(1).integers(0, 50000, 500), 60)
     block = range_coder.encode(ids, 50257)
