@@ -26,6 +26,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revlens.operators import forest
 from revlens.schemas import REVIEW_COL
 from revlens.session import new_stage_path, spread
 
@@ -209,7 +210,12 @@ def compare_methods(
 
         def fit_and_score(method: str) -> DataFrame:
             began = time.perf_counter()
-            model = scoring_copy(_classifier(method, label_col, n_classes, seed).fit(train_x), train_x.sparkSession)
+            classifier = _classifier(method, label_col, n_classes, seed)
+            if method == "random_forest":
+                # MLlib's lays out every feature for every row
+                model = forest.fit(train_x, classifier)
+            else:
+                model = scoring_copy(classifier.fit(train_x), train_x.sparkSession)
             # a one-row local table: final before the vectors are released
             found = metrics_from_predictions(model.transform(test_x), method, label_col, label_to_score=label_to_score)
             return found.withColumn("seconds", F.lit(time.perf_counter() - began))

@@ -95,3 +95,72 @@ def test_splits_see_the_librarys_number_of_bins(spark):
     from revlens.operators import classify
 
     assert classify._classifier("random_forest", "y", 2, 1).getMaxBins() == RandomForestClassifier().getMaxBins()
+
+
+def _vectors(rows):
+    import pyarrow as pa
+
+    from revlens.operators.forest import Rows
+
+    kind = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
+    return Rows.of(pa.array([{"type": 0, "size": 8, "indices": list(r), "values": list(r.values())} for r in rows], kind))
+
+
+def test_forest_takes_the_best_split_of_all_values(spark):
+    import numpy as np
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.linalg import Vectors
+
+    from revlens.operators import forest
+
+    rng = np.random.default_rng(3)
+    rows = [{f: float(rng.integers(1, 4)) for f in range(8) if rng.random() < 0.4} for _ in range(120)]
+    y = [float(r.get(2, 0.0) > 1 or (r.get(5, 0.0) == 3 and rng.random() < 0.5)) for r in rows]
+    train = spark.createDataFrame([(a, 1.0 + a, Vectors.sparse(8, r)) for a, r in zip(y, rows)], ["label", "w", "features"])
+    options = RandomForestClassifier(numTrees=3, maxDepth=2, weightCol="w", featureSubsetStrategy="1.0", seed=5)
+    model = forest.fit(train, options)
+
+    # by brute force over the written numbers, a root's split has the largest gain
+    numbers = [r["number"] for r in train.select(F.monotonically_increasing_id().alias("number")).collect()]
+    draws = forest._draws(np.array(numbers), 3, 5)
+    x = np.array([[r.get(f, 0.0) for f in range(8)] for r in rows])
+    label, weight = np.array(y), 1.0 + np.array(y)
+
+    def gini(w, a):
+        p = np.array([w[a == c].sum() for c in (0, 1)]) / max(w.sum(), 1e-300)
+        return w.sum() * (1 - (p**2).sum())
+
+    for tree in range(3):
+        w = weight * draws[:, tree]
+        f, t = int(model.forest.feature[tree, 1]), model.forest.threshold[tree, 1]
+
+        def worth(f, t):
+            left = x[:, f] <= t
+            return gini(w, label) - gini(w[left], label[left]) - gini(w[~left], label[~left])
+
+        assert f >= 0 and abs(worth(f, t) - max(worth(g, c) for g in range(8) for c in (0.5, 1.5, 2.5))) < 1e-6
+    pred = model.transform(train.select("label", "features")).collect()
+    assert sum(r.label == r.prediction for r in pred) > 100
+
+
+def test_forest_of_very_many_features(spark):
+    # at 2^20 features a row of MLlib's forest is 4 MB: here it is the row's words
+    assert len(_vectors([{1: 2.0, 7: 0.0}, {}]).feature) == 1
+    train, test = _train_test(spark)
+    out = compare_methods(train, test, "Review", "quality", ("random_forest",), num_features=1 << 20).first()
+    assert out.n_test == 3 and out.accuracy is not None
+
+
+def test_forest_of_dense_vectors_and_of_one_class(spark):
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.linalg import Vectors
+
+    from revlens.operators import forest
+
+    options = RandomForestClassifier(numTrees=5, maxDepth=2, weightCol="w", featureSubsetStrategy="1.0", seed=1)
+    rows = [(float(i >= 30), 1.0, Vectors.dense([float(i) - 50, 1.0])) for i in range(60)]  # 60 values: more than bins
+    model = forest.fit(spark.createDataFrame(rows, ["label", "w", "features"]), options)
+    found = model.transform(spark.createDataFrame(rows, ["label", "w", "features"])).collect()
+    assert sum(r.label == r.prediction for r in found) >= 58
+    one = forest.fit(spark.createDataFrame([(1.0, 1.0, Vectors.sparse(3, {0: 1.0}))] * 4, ["label", "w", "features"]), options)
+    assert (one.forest.feature == -1).all()
