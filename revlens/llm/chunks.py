@@ -4,8 +4,9 @@ worker and its ids are joined back by position.
 A tokeniser treats a text as a row of chunks that no piece crosses (a
 marked word, a word). ``ChunkTable`` maps chunk hashes to id lists in a
 vectorised open-addressing table; only chunks not met before reach the
-tokeniser library. The table is emptied when half full, so its memory is
-bounded whatever the corpus.
+tokeniser library. The table starts small and grows with the chunks met; at
+its full size it is emptied when half full, so its memory is bounded
+whatever the corpus.
 """
 
 from __future__ import annotations
@@ -22,10 +23,13 @@ _EMPTY = np.uint64(0)
 
 
 class ChunkTable:
-    """chunk hash -> token ids, for one encode function."""
+    """chunk hash -> token ids, for one encode function; ``bits`` is its full size."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], bits: int = 22) -> None:
-        self.encode, self.bits = encode, bits
+    FIRST_BITS = 14
+
+    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], bits: int = 20) -> None:
+        self.encode, self.full = encode, bits
+        self.bits = min(bits, self.FIRST_BITS)
         self._clear()
 
     def _clear(self) -> None:
@@ -36,6 +40,17 @@ class ChunkTable:
         self.flat = np.zeros(1 << self.bits, dtype=np.uint32)
         self.held = self.used = 0
 
+    def _grow(self) -> None:
+        """Twice the slots; what is held stays."""
+        taken = np.flatnonzero(self.keys != _EMPTY)
+        hashes, at = self.keys[taken], self.slot_value[taken]
+        self.bits += 1
+        self.keys = np.zeros(1 << self.bits, dtype=np.uint64)
+        self.slot_value = np.zeros(1 << self.bits, dtype=np.int32)
+        self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
+        self.length = np.concatenate([self.length, np.zeros_like(self.length)])
+        self._place(hashes, at)
+
     def _find(self, hashes: np.ndarray) -> np.ndarray:
         """Index of each hash, -1 where absent."""
         out = np.full(len(hashes), -1, dtype=np.int64)
@@ -61,6 +76,10 @@ class ChunkTable:
         self.length[at] = n
         self.held += len(ids)
         self.used += total
+        self._place(hashes, at)
+
+    def _place(self, hashes: np.ndarray, at: np.ndarray) -> None:
+        """Slots for hashes that the table does not hold."""
         mask = (1 << self.bits) - 1
         slot = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
         while len(at):
@@ -77,12 +96,15 @@ class ChunkTable:
         missing = np.flatnonzero(found < 0)
         if len(missing):
             new, at = np.unique(hashes[missing], return_index=True)
+            while self.held + len(new) > len(self.begin) and self.bits < self.full:
+                self._grow()
             if self.held + len(new) > len(self.begin):
                 self._clear()
                 new, at = np.unique(hashes, return_index=True)
                 missing = np.arange(len(hashes))
                 while len(new) > len(self.begin):  # one slice with more chunks than the table holds
                     self.bits += 1
+                    self.full = max(self.full, self.bits)
                     self._clear()
             first = missing[at]
             self._insert(new, self.encode([data[s:e].tobytes() for s, e in zip(start[first].tolist(), end[first].tolist())]))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from revlens.llm import textscan
 from revlens.plans.tables import table
-from revlens.session import ship_package
+from revlens.session import bound_batches, ship_package
 from revlens.sources.stage import materialize
 
 __all__ = ["appended", "documents", "materialize", "tuned", "with_uid"]
@@ -28,8 +28,9 @@ def with_uid(df: DataFrame, name: str = "uid") -> DataFrame:
 
 
 def tuned(df: DataFrame) -> DataFrame:
-    """``df`` unchanged, with the package shipped to the workers first."""
+    """``df`` unchanged, with the package shipped to the workers first and batches of a bounded size."""
     ship_package(df.sparkSession)
+    bound_batches(df.sparkSession)
     return df
 
 

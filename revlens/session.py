@@ -62,6 +62,23 @@ def get_session(
     return spark
 
 
+# Most bytes of an Arrow batch of texts, and the ways to write Spark's own bound.
+BATCH_BYTES = 4 * 1024 * 1024
+_SPARKS_BATCH_BYTES = {"67108864b", "67108864", "64m", "64mb"}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of ``BATCH_BYTES`` in a session that has Spark's bound of 64 MB.
+
+    A batch lies in the executor's direct memory and again in its Python
+    worker, once for each running task. A session with a bound of its own
+    keeps it.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, "64m").lower() in _SPARKS_BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def stage_root(spark: SparkSession) -> str:
     """Folder for materialised stages: ``spark.checkpoint.dir``.
 
