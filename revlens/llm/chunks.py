@@ -4,13 +4,16 @@ worker and its ids are joined back by position.
 A tokeniser treats a text as a row of chunks that no piece crosses (a
 marked word, a word). ``ChunkTable`` maps chunk hashes to id lists in a
 vectorised open-addressing table; only chunks not met before reach the
-tokeniser library. The table starts small and grows with the chunks met; at
-its full size it is emptied when half full, so its memory is bounded
-whatever the corpus.
+tokeniser library. The table starts small and grows with the chunks met. When
+half full at its full size it keeps the chunks met again since the last time,
+at most half of what it may hold and those met last, and forgets the others:
+its memory is bounded whatever the corpus, and frequent chunks stay.
 """
 
 from __future__ import annotations
 
+import itertools
+import json
 import os
 import re
 from collections.abc import Callable
@@ -38,7 +41,9 @@ class ChunkTable:
         self.begin = np.zeros(1 << (self.bits - 1), dtype=np.int64)
         self.length = np.zeros(1 << (self.bits - 1), dtype=np.int32)
         self.flat = np.zeros(1 << self.bits, dtype=np.uint32)
-        self.held = self.used = 0
+        # the call at which a chunk was met again, 0 if never
+        self.met = np.zeros(1 << (self.bits - 1), dtype=np.int32)
+        self.held = self.used = self.calls = 0
 
     def _grow(self) -> None:
         """Twice the slots; what is held stays."""
@@ -49,33 +54,51 @@ class ChunkTable:
         self.slot_value = np.zeros(1 << self.bits, dtype=np.int32)
         self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
         self.length = np.concatenate([self.length, np.zeros_like(self.length)])
+        self.met = np.concatenate([self.met, np.zeros_like(self.met)])
         self._place(hashes, at)
 
+    def _forget(self) -> None:
+        """Keep the chunks met again, at most half of what the table may hold."""
+        taken = np.flatnonzero(self.keys != _EMPTY)
+        at = self.slot_value[taken]
+        again = np.flatnonzero(self.met[at])
+        again = again[np.argsort(-self.met[at[again]], kind="stable")[: len(self.begin) // 2]]
+        hashes, at = self.keys[taken[again]], at[again]
+        length = self.length[at].astype(np.int64)
+        flat = self.flat[textscan.gather_ranges(self.begin[at], length)]
+        self._clear()
+        self._add(hashes, flat, length)
+
     def _find(self, hashes: np.ndarray) -> np.ndarray:
         """Index of each hash, -1 where absent."""
-        out = np.full(len(hashes), -1, dtype=np.int64)
         mask = (1 << self.bits) - 1
-        open_ = np.arange(len(hashes))
         slot = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+        key = self.keys.take(slot)
+        hit = key == hashes
+        out = np.where(hit, self.slot_value.take(slot), -1).astype(np.int64)
+        open_ = np.flatnonzero(~hit & (key != _EMPTY))
+        hashes, slot = hashes.take(open_), (slot.take(open_) + 1) & mask
         while len(open_):
-            key = self.keys[slot]
-            hit = key == hashes[open_]
+            key = self.keys.take(slot)
+            hit = key == hashes
             out[open_[hit]] = self.slot_value[slot[hit]]
-            more = ~hit & (key != _EMPTY)
-            open_, slot = open_[more], (slot[more] + 1) & mask
+            more = np.flatnonzero(~hit & (key != _EMPTY))
+            open_, hashes, slot = open_.take(more), hashes.take(more), (slot.take(more) + 1) & mask
         return out
 
     def _insert(self, hashes: np.ndarray, ids: list[list[int]]) -> None:
         n = np.array([len(x) for x in ids], dtype=np.int64)
-        total = int(n.sum())
-        while self.used + total > len(self.flat):
+        self._add(hashes, np.fromiter(itertools.chain.from_iterable(ids), dtype=np.uint32, count=int(n.sum())), n)
+
+    def _add(self, hashes: np.ndarray, flat: np.ndarray, n: np.ndarray) -> None:
+        while self.used + len(flat) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + total] = np.fromiter((y for x in ids for y in x), dtype=np.uint32, count=total)
-        at = np.arange(self.held, self.held + len(ids))
+        self.flat[self.used : self.used + len(flat)] = flat
+        at = np.arange(self.held, self.held + len(n))
         self.begin[at] = self.used + np.cumsum(n) - n
         self.length[at] = n
-        self.held += len(ids)
-        self.used += total
+        self.held += len(n)
+        self.used += len(flat)
         self._place(hashes, at)
 
     def _place(self, hashes: np.ndarray, at: np.ndarray) -> None:
@@ -94,10 +117,16 @@ class ChunkTable:
         hashes = np.where(hashes == _EMPTY, np.uint64(1), hashes)
         found = self._find(hashes)
         missing = np.flatnonzero(found < 0)
+        self.calls += 1
+        self.met[found[found >= 0] if len(missing) else found] = self.calls
         if len(missing):
             new, at = np.unique(hashes[missing], return_index=True)
             while self.held + len(new) > len(self.begin) and self.bits < self.full:
                 self._grow()
+            if self.held + len(new) > len(self.begin):
+                self._forget()
+                missing = np.flatnonzero(self._find(hashes) < 0)
+                new, at = np.unique(hashes[missing], return_index=True)
             if self.held + len(new) > len(self.begin):
                 self._clear()
                 new, at = np.unique(hashes, return_index=True)
@@ -198,6 +227,24 @@ def marked_words(text: textscan.Text):
     return _spans(text, cut)
 
 
+# One piece of the byte-level splitting pattern: letters that every version of Unicode counts as such.
+_PLAIN = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+").fullmatch
+# The character by which byte-level BPE names each byte: the printed ones by themselves. (A line end stands between chunks.)
+_BYTE_NAMES = np.arange(256, dtype="<u4")
+_UNPRINTED = np.array([*range(33), *range(127, 161), 173])
+_BYTE_NAMES[_UNPRINTED] = 256 + np.arange(len(_UNPRINTED))
+_BYTE_NAMES[10] = 10
+
+
+def _byte_level(library) -> bool:
+    """Whether the library splits by the byte-level pattern and changes nothing else."""
+    if any(x is not None for x in (library.normalizer, library.truncation, library.padding)) or library.pre_tokenizer is None:
+        return False
+    split = json.loads(library.pre_tokenizer.__getstate__())
+    plain = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+    return plain and all(t.special for t in library.get_added_tokens_decoder().values())
+
+
 def row_lengths(first: np.ndarray, per_chunk: np.ndarray) -> np.ndarray:
     """Ids of each row, from the ids of each chunk."""
     total = np.zeros(len(per_chunk) + 1, dtype=np.int64)
@@ -226,9 +273,21 @@ class JsonTokenizer:
         longest = sorted(self.added, key=len, reverse=True)
         self.pattern = re.compile(b"|".join(map(re.escape, longest))) if longest else None
         self.chunks, self.lower = chunks, lower
+        # a chunk that is one piece goes to the library's model at once
+        self.pieces = self.library.model.tokenize if not self.whole and _byte_level(self.library) else None
         self.table = ChunkTable(self._encode)
 
     def _encode(self, found: list[bytes]) -> list[list[int]]:
+        if not self.pieces:
+            return self._library(found)
+        plain = [_PLAIN(x.decode("utf-8", "replace")) is not None for x in found]
+        joined = np.frombuffer(b"\n".join(itertools.compress(found, plain)), dtype=np.uint8)
+        names = _BYTE_NAMES[joined].tobytes().decode("utf-32-le").split("\n")
+        others = iter(self._library([x for x, p in zip(found, plain) if not p]))
+        named, pieces = iter(names), self.pieces
+        return [[t.id for t in pieces(next(named))] if p else next(others) for p in plain]
+
+    def _library(self, found: list[bytes]) -> list[list[int]]:
         many = getattr(self.library, "encode_batch_fast", self.library.encode_batch)
         out: list[list[int]] = []
         for at in range(0, len(found), 4096):

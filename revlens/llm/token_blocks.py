@@ -76,7 +76,7 @@ def write_blocks(
                 flat, length = coder.rows(text)
                 ends = np.cumsum(length)
                 names += batch.column("_id").slice(text.first, text.rows).to_pylist()
-                ids.append(np.insert(flat.astype(np.int64), ends, end_id))
+                ids.append(np.insert(flat.astype(np.uint32, copy=False), ends, end_id))
                 lengths.append(length + 1)
                 held_ids += len(ids[-1])
                 if held_ids >= block_ids:
@@ -110,7 +110,7 @@ def read_blocks(spark: SparkSession, path: str, id_col: str = "doc_id", *, with_
         for batch in batches:
             for part, start, packed, payload in zip(*(batch.column(c) for c in ("part", "part_start", "directory", "payload"))):
                 names, lengths = _read_directory(packed.as_py())
-                ids = range_coder.decode(payload.as_py()).astype("<u4")
+                ids = range_coder.decode(payload.as_py()).astype("<u4", copy=False)
                 ends = np.cumsum(lengths)
                 if len(ids) != (ends[-1] if len(ends) else 0):
                     raise ValueError("token block: directory does not fit")
@@ -118,7 +118,7 @@ def read_blocks(spark: SparkSession, path: str, id_col: str = "doc_id", *, with_
                 rows = [ids[a:b] for a, b in zip((ends - lengths).tolist(), ends.tolist())]
                 columns = {
                     id_col: pa.array(names, pa.int64()), "start": pa.array(starts, pa.int64()), "n_tokens": pa.array(lengths, pa.int64()),
-                    "ids_crc32": pa.array([zlib.crc32(r.tobytes()) for r in rows], pa.int64()),
+                    "ids_crc32": pa.array([zlib.crc32(r) for r in rows], pa.int64()),
                 }
                 if with_ids:
                     columns["ids"] = textscan.as_arrow_lists(ids.astype(np.int32), lengths, pa.int32())

@@ -133,6 +133,66 @@ def test_token_blocks_of_an_empty_table(spark):
     assert token_blocks.read_blocks(spark, path).collect() == []
 
 
+def words_of(rng, n):
+    return ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(n)]
+
+
+def test_chunk_table_keeps_the_frequent_chunks_when_full():
+    asked = []
+
+    def encode(found):
+        asked.extend(found)
+        return [list(x) for x in found]
+
+    table, rng = chunks.ChunkTable(encode, bits=10), random.Random(4)
+    often = words_of(rng, 100)
+    for _ in range(40):
+        line = [*often, *words_of(rng, 100)]
+        text = next(textscan.slices(pa.array([" ".join(line)])))
+        w = textscan.words(text)
+        ids, n = table.ids(text.data, w.start, w.end, textscan.span_hash(text.data, w.start, w.end))
+        assert ids.tolist() == list("".join(line).encode()) and set(n.tolist()) == {8}
+        assert table.held <= 512 and table.bits == 10
+    # emptied when full, the table asked again for every frequent chunk
+    assert sum(x.decode() in set(often) for x in asked) == 100 and len(asked) == 4100
+
+
+def test_chunk_table_with_more_frequent_chunks_than_it_may_keep():
+    table, rng = chunks.ChunkTable(lambda found: [list(x) for x in found], bits=6), random.Random(5)
+    often = words_of(rng, 30)
+    for size in (5, 20, 32, 3, 90, 1):
+        for _ in range(3):
+            line = [*often, *words_of(rng, size)]
+            text = next(textscan.slices(pa.array([" ".join(line)])))
+            w = textscan.words(text)
+            ids, _n = table.ids(text.data, w.start, w.end, textscan.span_hash(text.data, w.start, w.end))
+            assert ids.tolist() == list("".join(line).encode())
+
+
+def test_chunks_that_are_one_piece_go_to_the_model_at_once():
+    rng, coder = random.Random(6), chunks.JsonTokenizer(BYTE, chunks.spaced_words, False, True)
+    letters = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(0xC0, 0x180))]
+    found = [rng.choice(["", " "]) + "".join(rng.choice(letters) for _ in range(rng.randrange(1, 12))) for _ in range(3000)]
+    found += ["\u00d7", " \u00f7a", "a\nb", "\nab", " ", "  a", "a.", "'s", "a1", "\u00b5", "\u4e00", "<|endoftext|>", " \u0130\u0149\u017f"]
+    many = []
+    plain_library, coder._library = coder._library, lambda x: (many.extend(x), plain_library(x))[1]
+    encode = library(BYTE)
+    assert coder._encode([x.encode() for x in found]) == [encode(x) for x in found]
+    assert {x.decode() for x in many} <= {x for x in found if not x.strip(" ").isalpha() or x in ("  a", "\u00b5", "\u4e00")}
+    assert coder._encode([]) == [] and coder._encode([b"\n"]) == [encode("\n")]
+    # another way of splitting or changing text leaves all to the library
+    assert chunks.JsonTokenizer(WORD, chunks.bare_words, True).pieces is None
+
+
+def test_range_coder_keeps_the_words_of_wide_blocks():
+    rng, ids = np.random.default_rng(7), []
+    for n in (1500, 70001):
+        ids.append(np.concatenate([np.minimum(rng.zipf(1.2, n), 50000) - 1, np.tile(rng.integers(0, 50257, 300), 40)]))
+    blocks = [range_coder.encode(x.astype(kind), 50257) for x in ids for kind in (np.int64, np.uint32)]
+    assert [zlib.crc32(b) for b in blocks] == [149063016, 149063016, 3803761627, 3803761627]  # as coded before
+    assert all((range_coder.decode(b) == x).all() for b, x in zip(blocks[::2], ids))
+
+
 # --- 10 ------------------------------------------------------------------------
 
 
