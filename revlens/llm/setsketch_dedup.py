@@ -65,7 +65,7 @@ TOP = 255
 CUT = 20.0
 # Ratio of the sizes that are looked up together.
 SIZES = 1.04
-# Sets of a crowded bucket that are handed on at once, and members of a leader in one task.
+# Sets of a crowded bucket that are handed on at once and sets estimated beside one leader, and members of a leader in one task.
 CHUNK = 512
 MEMBERS = 4096
 # Values hashed at once: their products stay in the processor's cache.
@@ -242,35 +242,48 @@ def _star_pairs(stars: DataFrame) -> DataFrame:
     return stars.select(F.col("lead").alias("a"), F.col("sid").alias("b")).unionByName(heads).filter("a <> b").distinct()
 
 
+def _roles(pairs: DataFrame, reps: DataFrame, most: int, *columns: str) -> DataFrame:
+    """(sid, a, part, role, columns): every leader a (role 0) and the sets that it
+    is paired with (role 1), at most about ``most`` a part, with the sets' columns."""
+    heads = materialize(pairs.groupBy("a").agg(F.ceil(F.count("*") / most).cast("int").alias("parts")), "heads")
+    crowded = F.broadcast(heads.filter("parts > 1"))  # at most one in ``most`` pairs
+    part = F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int").alias("part")
+    members = pairs.join(crowded, "a", "left").select(F.col("b").alias("sid"), "a", part, F.lit(1).alias("role"))
+    leaders = heads.select(F.col("a").alias("sid"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"))
+    return leaders.unionByName(members).join(reps.select("sid", *columns), "sid")
+
+
 def _estimated(pairs: DataFrame, reps: DataFrame, m: int, percent: int) -> DataFrame:
-    """The pairs whose registers allow the similarity, with the sets' names."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    known = materialize(reps.join(ends, "sid"), "candidates")
-    side = lambda c: known.select(F.col("sid").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("n", "k1", "k2", "registers")))
-    joined = pairs.join(side("b"), "b").filter("b is not null").join(side("a"), "a").filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    names = ["a", "b", "k1_a", "k2_a", "k1_b", "k2_b"]
+    """The pairs (a, b) whose registers allow the similarity. Each leader's
+    registers pass once a part, before those of its sets."""
+    kinds = ["sid", "a", "part", "role", "n", "registers"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last leader: its sets may go on in the next batch
         for batch in batches:
-            if batch.num_rows:
-                a, b = (_matrix(batch.column(f"registers_{c}"), m) for c in "ab")
-                n_a, n_b = (batch.column(f"n_{c}").to_numpy(zero_copy_only=False) for c in "ab")
-                ok = plausible((a > b).sum(axis=1), (a < b).sum(axis=1), m, n_a, n_b, percent)
-                yield pa.RecordBatch.from_arrays([batch.column(c) for c in names], names=names).filter(pa.array(ok))
-
-    return materialize(joined.mapInArrow(run, ", ".join(f"{c} bigint" for c in names)), "plausible")
-
-
-def _named(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """The pairs with the sets' names."""
-    side = lambda c: reps.select(F.col("sid").alias(c), F.col("k1").alias(f"k1_{c}"), F.col("k2").alias(f"k2_{c}"))
-    return materialize(pairs.join(side("b"), "b").join(side("a"), "a"), "named")
+            if not batch.num_rows:
+                continue
+            rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in kinds[:-1]] + [_matrix(batch.column("registers"), m)]
+            if held is not None:
+                rows = [np.concatenate([x, y]) for x, y in zip(held, rows)]
+            sid, a, part, role, n, table = rows
+            lead = np.maximum.accumulate(np.where(role == 0, np.arange(len(a)), -1))
+            held = [x[lead[-1]][None] for x in rows]
+            if (lead < 0).any() or (a[lead] != a).any() or (part[lead] != part).any():
+                raise ValueError("a leader's registers are missing")
+            b = np.flatnonzero((role == 1) & (100 * np.minimum(n[lead], n) >= percent * np.maximum(n[lead], n)))
+            of = lead[b]
+            ok = plausible((table[of] > table[b]).sum(axis=1), (table[of] < table[b]).sum(axis=1), m, n[of], n[b], percent)
+            yield pa.RecordBatch.from_arrays([pa.array(a[b][ok]), pa.array(sid[b][ok])], names=["a", "b"])
+
+    ordered = _roles(pairs, reps, CHUNK, "n", "registers").select(kinds).repartition("a", "part").sortWithinPartitions("a", "part", "role")
+    return materialize(ordered.mapInArrow(run, "a bigint, b bigint"), "plausible")
 
 
 def _full_sets(source: DataFrame, roles: DataFrame, words: int) -> DataFrame:
     """(k1, k2, shingles) of the sets of ``roles``, and maybe of some more: a
-    bit set sized by their number spares most others the shuffle."""
-    kind = sketch.Seen(min(27, max(20, ceil(log2(16 * (roles.select("k1").distinct().count() + 1))))))
+    bit set sized by about their number spares most others the shuffle."""
+    kind = sketch.Seen(min(27, max(20, ceil(log2(16 * (roles.agg(F.approx_count_distinct("k1")).first()[0] + 1))))))
 
     def keys_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield batch.column("k1").to_numpy(zero_copy_only=False).view(np.uint64)
@@ -297,19 +310,11 @@ def held_by(leader: np.ndarray, values: np.ndarray) -> np.ndarray:
     return leader[np.minimum(np.searchsorted(leader, values), len(leader) - 1)] == values
 
 
-def _compared(pairs: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
+def _compared(pairs: DataFrame, reps: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
     """(a, b, n, same, near, rest) of the pairs (a, b), a the leader: the size of
     b, how many shingles both share, whether that reaches the similarity, and
-    the shingles that b alone has."""
-    crowd = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
-    crowded = crowd.filter("parts > 1")  # at most one in MEMBERS pairs
-    members = pairs.join(crowded, "a", "left").select(
-        F.col("k1_b").alias("k1"), F.col("k2_b").alias("k2"), "a", F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"), F.col("b").alias("sid"), F.lit(1).alias("role")
-    )
-    leaders = pairs.groupBy("a").agg(F.first("k1_a").alias("k1"), F.first("k2_a").alias("k2"), F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts")).select(
-        "k1", "k2", "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("sid"), F.lit(0).alias("role")
-    )
-    roles = materialize(leaders.unionByName(members.select(leaders.columns)), "roles")
+    the shingles that b alone has. A pair may come more than once."""
+    roles = materialize(_roles(pairs, reps, MEMBERS, "k1", "k2"), "roles")
     sets = _full_sets(source, roles, words).join(roles, ["k1", "k2"]).select("a", "part", "role", "sid", "shingles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,9 +343,9 @@ def _compared(pairs: DataFrame, source: DataFrame, words: int, percent: int) ->
     return ordered.mapInArrow(run, "a bigint, b bigint, n bigint, same bigint, near boolean, rest array<bigint>")
 
 
-def _verified(pairs: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, reps: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
     """(a, b) of the pairs that reach the similarity on their full sets."""
-    return materialize(_compared(pairs, source, words, percent).filter("near").select("a", "b").distinct(), "verified")
+    return _compared(pairs, reps, source, words, percent).filter("near").select("a", "b")
 
 
 def _open(buckets: DataFrame, comps: DataFrame) -> DataFrame:
@@ -405,14 +410,14 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, w
     reps = materialize(every.join(classes.select(F.col("sid").alias("uid")), "uid", "left_semi").select(F.col("uid").alias("sid"), "n", "k1", "k2", "registers"), "sets")
 
     stars = materialize(_stars(_buckets(reps, rows, bands)), "stars")
-    comps = contracted(_verified(_estimated(materialize(_star_pairs(stars), "pairs"), reps, m, percent), source, words, percent))
+    comps = contracted(_verified(_estimated(materialize(_star_pairs(stars), "pairs"), reps, m, percent), reps, source, words, percent))
     open_buckets = _open(stars.select("key", "sid"), comps)
     if not open_buckets.isEmpty():
-        hubs = _named(materialize(_hub_pairs(open_buckets), "hubs"), reps)
-        around = materialize(_compared(hubs, source, words, percent).dropDuplicates(["a", "b"]), "around")
+        hubs = materialize(_hub_pairs(open_buckets), "hubs")
+        around = materialize(_compared(hubs, reps, source, words, percent).dropDuplicates(["a", "b"]), "around")
         comps = joined_by(comps, around.filter("near").select("a", "b"))
         pairs = materialize(_outside_pairs(around, comps, percent), "outside-pairs")
-        comps = joined_by(comps, _verified(_estimated(pairs, reps, m, percent), source, words, percent))
+        comps = joined_by(comps, _verified(_estimated(pairs, reps, m, percent), reps, source, words, percent))
     of_class = classes.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     lowest = of_class.groupBy("comp").agg(F.min("low").alias("component_id"))
     named = of_class.join(lowest, "comp").select("k1", "k2", "component_id")

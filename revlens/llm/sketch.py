@@ -162,6 +162,6 @@ def build(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray
     done = df.mapInArrow(partial, _SCHEMA).repartition(F.col("shard")).mapInArrow(merge, _SCHEMA)
     blank = kind.kept(kind.new().reshape(kind.rows * SHARDS, -1)[0].view(np.uint8))
     out = np.tile(blank, (kind.rows * SHARDS, 1))
-    for r in done.toLocalIterator():
+    for r in done.collect():  # one job; an iterator would run a job a partition, one after another
         out[r["shard"]] = np.frombuffer(zlib.decompress(bytes(r["cells"])), dtype=np.uint8)
     return out.reshape(kind.rows, -1)
