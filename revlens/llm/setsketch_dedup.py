@@ -242,42 +242,49 @@ def _star_pairs(stars: DataFrame) -> DataFrame:
     return stars.select(F.col("lead").alias("a"), F.col("sid").alias("b")).unionByName(heads).filter("a <> b").distinct()
 
 
-def _roles(pairs: DataFrame, reps: DataFrame, most: int, *columns: str) -> DataFrame:
-    """(sid, a, part, role, columns): every leader a (role 0) and the sets that it
-    is paired with (role 1), at most about ``most`` a part, with the sets' columns."""
-    heads = materialize(pairs.groupBy("a").agg(F.ceil(F.count("*") / most).cast("int").alias("parts")), "heads")
-    crowded = F.broadcast(heads.filter("parts > 1"))  # at most one in ``most`` pairs
-    part = F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int").alias("part")
-    members = pairs.join(crowded, "a", "left").select(F.col("b").alias("sid"), "a", part, F.lit(1).alias("role"))
-    leaders = heads.select(F.col("a").alias("sid"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"))
-    return leaders.unionByName(members).join(reps.select("sid", *columns), "sid")
+def _parts(pairs: DataFrame, most: int) -> DataFrame:
+    """(a, b, part): the pairs of a leader a dealt over parts of about ``most``."""
+    crowded = pairs.groupBy("a").agg(F.ceil(F.count("*") / most).cast("int").alias("parts")).filter("parts > 1")
+    # at most one leader in ``most`` pairs
+    return pairs.join(F.broadcast(crowded), "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"))
+
+
+def _roles(parts: DataFrame, reps: DataFrame, *columns: str) -> DataFrame:
+    """(sid, a, part, role, columns): for every part its leader a (role 0) and
+    the sets that it is paired with (role 1), with the sets' columns."""
+    leaders = parts.select(F.col("a").alias("sid"), "a", "part", F.lit(0).alias("role")).distinct()
+    members = parts.select(F.col("b").alias("sid"), "a", "part", F.lit(1).alias("role"))
+    return leaders.unionByName(members).join(reps.select("sid", *columns), "sid").select("sid", "a", "part", "role", *columns)
 
 
 def _estimated(pairs: DataFrame, reps: DataFrame, m: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose registers allow the similarity. Each leader's
-    registers pass once a part, before those of its sets."""
-    kinds = ["sid", "a", "part", "role", "n", "registers"]
+    """The roles, with the sets' names, of the pairs whose registers allow the
+    similarity. Each leader's registers pass once a part, before those of its
+    sets; a leader may come more than once."""
+    names = ["sid", "a", "part", "role", "k1", "k2"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the last leader: its sets may go on in the next batch
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in kinds[:-1]] + [_matrix(batch.column("registers"), m)]
+            rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in [*names, "n"]] + [_matrix(batch.column("registers"), m)]
             if held is not None:
                 rows = [np.concatenate([x, y]) for x, y in zip(held, rows)]
-            sid, a, part, role, n, table = rows
+            a, part, role, n, table = rows[1], rows[2], rows[3], rows[6], rows[7]
             lead = np.maximum.accumulate(np.where(role == 0, np.arange(len(a)), -1))
             held = [x[lead[-1]][None] for x in rows]
             if (lead < 0).any() or (a[lead] != a).any() or (part[lead] != part).any():
                 raise ValueError("a leader's registers are missing")
             b = np.flatnonzero((role == 1) & (100 * np.minimum(n[lead], n) >= percent * np.maximum(n[lead], n)))
             of = lead[b]
-            ok = plausible((table[of] > table[b]).sum(axis=1), (table[of] < table[b]).sum(axis=1), m, n[of], n[b], percent)
-            yield pa.RecordBatch.from_arrays([pa.array(a[b][ok]), pa.array(sid[b][ok])], names=["a", "b"])
+            b = b[plausible((table[of] > table[b]).sum(axis=1), (table[of] < table[b]).sum(axis=1), m, n[of], n[b], percent)]
+            go_on = np.concatenate([np.unique(lead[b]), b])
+            yield pa.RecordBatch.from_arrays([pa.array(x[go_on]) for x in rows[:6]], names=names)
 
-    ordered = _roles(pairs, reps, CHUNK, "n", "registers").select(kinds).repartition("a", "part").sortWithinPartitions("a", "part", "role")
-    return materialize(ordered.mapInArrow(run, "a bigint, b bigint"), "plausible")
+    roles = _roles(materialize(_parts(pairs, CHUNK), "parts"), reps, "k1", "k2", "n", "registers")
+    ordered = roles.repartition("a", "part").sortWithinPartitions("a", "part", "role")
+    return materialize(ordered.mapInArrow(run, "sid bigint, a bigint, part int, role int, k1 bigint, k2 bigint"), "plausible")
 
 
 def _full_sets(source: DataFrame, roles: DataFrame, words: int) -> DataFrame:
@@ -310,11 +317,10 @@ def held_by(leader: np.ndarray, values: np.ndarray) -> np.ndarray:
     return leader[np.minimum(np.searchsorted(leader, values), len(leader) - 1)] == values
 
 
-def _compared(pairs: DataFrame, reps: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b, n, same, near, rest) of the pairs (a, b), a the leader: the size of
-    b, how many shingles both share, whether that reaches the similarity, and
-    the shingles that b alone has. A pair may come more than once."""
-    roles = materialize(_roles(pairs, reps, MEMBERS, "k1", "k2"), "roles")
+def _compared(roles: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b, n, same, near, rest) of the pairs (a, b) of ``roles``, a the leader:
+    the size of b, how many shingles both share, whether that reaches the
+    similarity, and the shingles that b alone has. A pair may come more than once."""
     sets = _full_sets(source, roles, words).join(roles, ["k1", "k2"]).select("a", "part", "role", "sid", "shingles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,9 +349,9 @@ def _compared(pairs: DataFrame, reps: DataFrame, source: DataFrame, words: int,
     return ordered.mapInArrow(run, "a bigint, b bigint, n bigint, same bigint, near boolean, rest array<bigint>")
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
+def _verified(roles: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
     """(a, b) of the pairs that reach the similarity on their full sets."""
-    return _compared(pairs, reps, source, words, percent).filter("near").select("a", "b")
+    return _compared(roles, source, words, percent).filter("near").select("a", "b")
 
 
 def _open(buckets: DataFrame, comps: DataFrame) -> DataFrame:
@@ -410,14 +416,15 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, w
     reps = materialize(every.join(classes.select(F.col("sid").alias("uid")), "uid", "left_semi").select(F.col("uid").alias("sid"), "n", "k1", "k2", "registers"), "sets")
 
     stars = materialize(_stars(_buckets(reps, rows, bands)), "stars")
-    comps = contracted(_verified(_estimated(materialize(_star_pairs(stars), "pairs"), reps, m, percent), reps, source, words, percent))
+    comps = contracted(_verified(_estimated(materialize(_star_pairs(stars), "pairs"), reps, m, percent), source, words, percent))
     open_buckets = _open(stars.select("key", "sid"), comps)
     if not open_buckets.isEmpty():
-        hubs = materialize(_hub_pairs(open_buckets), "hubs")
-        around = materialize(_compared(hubs, reps, source, words, percent).dropDuplicates(["a", "b"]), "around")
+        hubs = materialize(_parts(materialize(_hub_pairs(open_buckets), "hubs"), MEMBERS), "parts")
+        roles = materialize(_roles(hubs, reps, "k1", "k2"), "roles")
+        around = materialize(_compared(roles, source, words, percent).dropDuplicates(["a", "b"]), "around")
         comps = joined_by(comps, around.filter("near").select("a", "b"))
         pairs = materialize(_outside_pairs(around, comps, percent), "outside-pairs")
-        comps = joined_by(comps, _verified(_estimated(pairs, reps, m, percent), reps, source, words, percent))
+        comps = joined_by(comps, _verified(_estimated(pairs, reps, m, percent), source, words, percent))
     of_class = classes.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     lowest = of_class.groupBy("comp").agg(F.min("low").alias("component_id"))
     named = of_class.join(lowest, "comp").select("k1", "k2", "component_id")

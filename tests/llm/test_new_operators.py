@@ -279,19 +279,21 @@ def test_estimate_of_a_crowded_leader_over_many_batches(spark, monkeypatch):
     n = rng.integers(40, 60, 80)
     value = textscan.mix(np.concatenate([np.concatenate([np.arange(1, k - 3), 10**6 * i + np.arange(4)]) for i, k in enumerate(n)]).astype(np.uint64))
     table = setsketch_dedup.registers(value, n, m)
-    reps = spark.createDataFrame([(i, int(n[i]), bytes(table[i])) for i in range(80)], "sid bigint, n bigint, registers binary")
+    reps = spark.createDataFrame([(i, i + 100, i + 200, int(n[i]), bytes(table[i])) for i in range(80)], "sid bigint, k1 bigint, k2 bigint, n bigint, registers binary")
     pairs = sorted({(0, b) for b in range(1, 80)} | {(int(a), int(b)) for a, b in rng.integers(0, 80, (60, 2)) if a != b})
     size = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(size)
     spark.conf.set(size, "3")
     try:
-        got = {tuple(r) for r in setsketch_dedup._estimated(spark.createDataFrame(pairs, "a bigint, b bigint"), reps, m, 80).collect()}
+        got = setsketch_dedup._estimated(spark.createDataFrame(pairs, "a bigint, b bigint"), reps, m, 80).collect()
     finally:
         spark.conf.set(size, before)
     a, b = np.array(pairs).T
     ok = setsketch_dedup.plausible((table[a] > table[b]).sum(axis=1), (table[a] < table[b]).sum(axis=1), m, n[a], n[b], 80)
     assert 0 < ok.sum() < len(pairs)
-    assert got == {p for p, good in zip(pairs, ok) if good}
+    assert {(r.a, r.sid) for r in got if r.role} == {p for p, good in zip(pairs, ok) if good}
+    assert {(r.a, r.part) for r in got if r.role} == {(r.sid, r.part) for r in got if not r.role}
+    assert all((r.k1, r.k2) == (r.sid + 100, r.sid + 200) for r in got)
 
 
 def test_chance_of_no_common_band():
