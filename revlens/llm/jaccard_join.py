@@ -12,7 +12,10 @@ asks for an overlap c(n, m) that depends on their sizes alone.
   only (its rarest shingles: a set cannot link without sharing one). A
   list up to ``LIST`` long gives its pairs that pass the size and position
   bounds. Longer lists come from groups of near copies; all sets of such a
-  list are candidates of each other, and only its entries are kept.
+  list are candidates of each other, and only its entries are kept. Lists
+  that are long only because the sketch is too coarse for the text would
+  chain sets without likeness into groups: their shingles then go last in
+  the order, and the sets are listed again (``_listed``).
 
 Candidates are verified on their full sets, in blocks of a bounded number
 of sets: a block counts the overlaps of all its pairs and gives as few
@@ -21,7 +24,8 @@ off in rows, and every link between different sets has its effect.
 
 The boundary is where the subsets to list outnumber the list entries to
 scan, from the counts of sets by size. Rarity comes from a count-min
-sketch of all shingles, sized by the text; it only orders the prefix.
+sketch of all shingles, sized by the text; it only orders the prefix, with
+the shingles that proved to be common after all others.
 
 Shingles, sets and subsets are named by 64-bit hashes (sets by two).
 
@@ -44,12 +48,16 @@ from pyspark.sql import functions as F
 from revlens.llm import sketch, textscan
 from revlens.llm.components import components
 from revlens.llm.stage import materialize, tuned, with_uid
+from revlens.session import new_stage_path, remove_folder
 
 WORDS = 5
 PERCENT = 80
 LIST = 16
 MOST_SMALL = 24
 CHUNK = 512
+# Shingles of a chunk of sets, and subsets or links held before they are passed on.
+CHUNK_SHINGLES = 1 << 18
+HELD = 1 << 18
 # Cells of the rarity sketch: one for so many bytes of text, within bounds.
 BYTES_A_CELL = 32
 LEVEL_BITS = (22, 25)
@@ -95,12 +103,15 @@ def _names(value: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _sets(docs: DataFrame, order: sketch.Levels, rarity, words: int, percent: int) -> DataFrame:
+def _sets(docs: DataFrame, order: sketch.Levels, rarity, words: int, percent: int, common=None) -> DataFrame:
     """(_id, n, k1, k2, prefix, entries): each row's set by name and rarest shingles.
 
     ``entries`` estimates the list entries that its prefix meets. Sets up to
-    ``MOST_SMALL`` keep all their shingles.
+    ``MOST_SMALL`` keep all their shingles. Shingles of the bit set ``common``
+    count as the most frequent ones; that it may hold others too does no harm,
+    as the order is the same for every set.
     """
+    seen = sketch.Seen(SEEN_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,7 +119,8 @@ def _sets(docs: DataFrame, order: sketch.Levels, rarity, words: int, percent: in
                 value, n = shingles(text, words)
                 k1, k2 = _names(value, n)
                 row, level = np.repeat(np.arange(text.rows), n), order.level(rarity.value, value)
-                place = np.lexsort((value, level, row))
+                last = seen.holds(common.value, value) if common is not None else np.zeros(len(value), dtype=bool)
+                place = np.lexsort((value, level, last, row))
                 at = np.arange(len(value)) - np.repeat(np.cumsum(n) - n, n)
                 length = np.where(n > 0, prefix_length(n, percent), 0)
                 listed = at < length[row]
@@ -146,10 +158,13 @@ def choose_boundary(by_size: dict[int, tuple[int, float]], percent: int) -> int:
 def _light_edges(reps: DataFrame, boundary: int, percent: int) -> DataFrame:
     """Links between small sets: a star for every subset that is shared."""
 
+    def part(keys, sids, smaller) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, sids, smaller)], names=["key", "sid", "smaller"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, sids, smaller, held = [], [], [], 0
         for batch in batches:
             flat, offsets = textscan.from_arrow_lists(batch.column("prefix"))
-            sids, keys, smaller = [], [], []
             for i, sid in enumerate(batch.column("sid").to_pylist()):
                 value = np.sort(flat[offsets[i] : offsets[i + 1]].view(np.uint64))
                 n = len(value)
@@ -161,8 +176,13 @@ def _light_edges(reps: DataFrame, boundary: int, percent: int) -> DataFrame:
                     keys.append(key.view(np.int64))
                     sids.append(np.full(len(key), sid))
                     smaller.append(np.full(len(key), n == a))
-            join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, dtype=kind)
-            yield pa.RecordBatch.from_arrays([pa.array(join(keys, np.int64)), pa.array(join(sids, np.int64)), pa.array(join(smaller, bool))], names=["key", "sid", "smaller"])
+                    held += len(key)
+                # a set has thousands of subsets: a batch of sets is passed on in parts
+                if held >= HELD:
+                    yield part(keys, sids, smaller)
+                    keys, sids, smaller, held = [], [], [], 0
+        if held:
+            yield part(keys, sids, smaller)
 
     rows = materialize(reps.filter(F.col("n").between(1, boundary)).select("sid", "prefix").mapInArrow(run, "key bigint, sid bigint, smaller boolean"), "subsets")
     # larger sets of a subset share enough with the smaller ones, not always with each other
@@ -298,24 +318,29 @@ def linked_in_block(sids: np.ndarray, flat: np.ndarray, sizes: np.ndarray, perce
     return sids[np.array(a, dtype=np.int64)], sids[np.array(b, dtype=np.int64)]
 
 
-def _blocks(pairs: DataFrame, long_lists: DataFrame) -> DataFrame:
+def _stars(long_lists: DataFrame) -> DataFrame:
+    """(a, b): the sets of each long list, tied to its smallest one."""
+    lead = long_lists.groupBy("e").agg(F.min("a").alias("b"))
+    return materialize(long_lists.join(lead, "e").filter("a <> b").select("a", "b").distinct(), "stars")
+
+
+def _blocks(pairs: DataFrame, stars: DataFrame, sizes: DataFrame) -> DataFrame:
     """(comp, x, y, sid): which sets meet in which block.
 
-    Candidates are joined to groups: by pairs, and by the long lists that
-    hold them. A group is dealt into chunks of about ``CHUNK`` sets by hash;
+    Candidates are joined to groups: by pairs, and by the ``stars`` of the long
+    lists that hold them. A group is dealt into chunks by hash, of about ``CHUNK``
+    sets and at most about ``CHUNK_SHINGLES`` shingles by ``sizes`` (sid, n);
     block (x, y) has chunks x and y. Of a group that long lists made, every
     two chunks meet (all its pairs are candidates); of others, those with a
     candidate pair between them.
     """
-    lead = long_lists.groupBy("e").agg(F.min("a").alias("b"))
-    stars = materialize(long_lists.join(lead, "e").filter("a <> b").select("a", "b").distinct(), "stars")
-    comps = components(pairs.unionByName(stars))
+    comps = components(pairs.unionByName(stars)).join(sizes.withColumnRenamed("sid", "node"), "node")
     crowded = stars.select(F.col("b").alias("node")).distinct().join(comps, "node").select("comp", F.lit(True).alias("crowded")).distinct()
-    sizes = comps.groupBy("comp").agg(F.count("*").alias("size")).join(crowded, "comp", "left")
-    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
+    groups = comps.groupBy("comp").agg(F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("int").alias("chunks"))
+    chunks = F.col("chunks")
     placed = materialize(
-        comps.join(sizes, "comp").select(
-            F.col("node").alias("sid"), "comp", chunks.alias("chunks"), F.coalesce("crowded", F.lit(False)).alias("crowded"),
+        comps.join(groups.join(crowded, "comp", "left"), "comp").select(
+            F.col("node").alias("sid"), "comp", chunks, F.coalesce("crowded", F.lit(False)).alias("crowded"),
             F.pmod(F.xxhash64("node"), chunks).cast("int").alias("chunk"),
         ),
         "groups",
@@ -329,7 +354,7 @@ def _blocks(pairs: DataFrame, long_lists: DataFrame) -> DataFrame:
     return every.select("comp", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"), "sid")
 
 
-def _links(pairs: DataFrame, long_lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, stars: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links among the candidates, as few as connect what all of them connect."""
 
     def meet(table: pa.Table) -> pa.Table:
@@ -337,10 +362,61 @@ def _links(pairs: DataFrame, long_lists: DataFrame, sets: DataFrame, percent: in
         a, b = linked_in_block(table.column("sid").to_numpy(), flat, np.diff(offsets), percent)
         return pa.table({"a": a, "b": b})
 
-    members = _blocks(pairs, long_lists).join(sets, "sid")
+    members = _blocks(pairs, stars, sizes).join(sets, "sid")
     return members.select("comp", "x", "y", "sid", "shingles").groupBy("comp", "x", "y").applyInArrow(meet, "a bigint, b bigint")
 
 
+def _representatives(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    return rows.join(classes.select(F.col("sid").alias("uid")), "uid", "left_semi").withColumnRenamed("uid", "sid")
+
+
+def _copies(stars: DataFrame, many: int) -> int:
+    """Copies of sets that the blocks of the groups of ``stars`` take: a set meets
+    every chunk of its group. 0 where even a single group would take fewer
+    than ``many``, the number of sets."""
+    nodes = stars.select("a").unionByName(stars.select(F.col("b").alias("a"))).distinct().count()
+    if nodes * ceil(nodes / CHUNK) <= many:
+        return 0
+    return components(stars).groupBy("comp").agg(F.count("*").alias("size")).agg(F.sum(F.col("size") * F.ceil(F.col("size") / CHUNK))).first()[0]
+
+
+def _listed(source: DataFrame, order: sketch.Levels, rarity, words: int, percent: int) -> tuple[DataFrame, DataFrame, int, DataFrame, DataFrame]:
+    """(rows, classes, boundary, lists, stars of the long lists).
+
+    A sketch with many shingles a cell can't tell which of a set's shingles
+    are common, so lists of sets that have little else in common grow long
+    and chain up into groups, whose blocks grow with the square. What the
+    lists show to be common goes last in the order, and the sets are listed
+    by it again, as long as that halves the copies: a group of near copies
+    stays, whatever the order.
+    """
+    kind = sketch.Seen(SEEN_BITS)
+
+    def keys_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        yield batch.column("e").to_numpy(zero_copy_only=False).view(np.uint64)
+
+    known, common, before = None, None, None
+    while True:
+        path = new_stage_path(source.sparkSession, "sets")
+        rows = materialize(with_uid(_sets(source, order, rarity, words, percent, common)), "sets", path)
+        classes = materialize(rows.filter("n > 0").groupBy("k1", "k2").agg(F.min("uid").alias("sid"), F.min("_id").alias("low"), F.min("n").alias("n")), "classes")
+        by_size = {r["n"]: (r["many"], r["met"]) for r in rows.filter(F.col("n").between(1, 2 * MOST_SMALL)).groupBy("n").agg(F.count("*").alias("many"), F.sum("entries").alias("met")).collect()}
+        boundary = choose_boundary(by_size, percent)
+        found = _lists(_representatives(rows, classes), boundary, percent)
+        long_lists = found.filter("b is null").select("e", "a")
+        stars = _stars(long_lists)
+        many = classes.count()
+        copies = _copies(stars, many)
+        if copies <= many or (before is not None and 2 * copies > before):
+            return rows, classes, boundary, found, stars
+        before = copies
+        # a shingle that was known stays known: it may no longer be in any prefix
+        new = long_lists.select("e").distinct()
+        known = materialize(new if known is None else known.unionByName(new), "common")
+        common = source.sparkSession.sparkContext.broadcast(sketch.build(known, keys_of, kind))
+        remove_folder(source.sparkSession, path)
+
+
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, words: int = WORDS, percent: int = PERCENT, level_bits: tuple[int, int] = LEVEL_BITS) -> DataFrame:
     """(id, n_shingles, component_id) for every row: the size of its set, and
     the smallest id that links reach. ``level_bits`` bounds the rarity sketch (four
@@ -355,18 +431,14 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, wor
             yield shingles(text, words)[0]
 
     rarity = docs.sparkSession.sparkContext.broadcast(sketch.build(source.select("_text"), all_shingles, order))
-    rows = materialize(with_uid(_sets(source, order, rarity, words, percent)), "sets")
-    classes = materialize(rows.filter("n > 0").groupBy("k1", "k2").agg(F.min("uid").alias("sid"), F.min("_id").alias("low")), "classes")
-    reps = rows.join(classes.select(F.col("sid").alias("uid")), "uid", "left_semi").withColumnRenamed("uid", "sid")
-
-    by_size = {r["n"]: (r["many"], r["met"]) for r in rows.filter(F.col("n").between(1, 2 * MOST_SMALL)).groupBy("n").agg(F.count("*").alias("many"), F.sum("entries").alias("met")).collect()}
-    boundary = choose_boundary(by_size, percent)
-    found = _lists(reps, boundary, percent)
+    rows, classes, boundary, found, stars = _listed(source, order, rarity, words, percent)
+    reps = _representatives(rows, classes)
     pairs = materialize(found.filter("b is not null").select("a", "b").distinct(), "pairs")
     long_lists = found.filter("b is null").select("e", "a")
     sids = pairs.select(F.explode(F.array("a", "b")).alias("sid")).unionByName(long_lists.select(F.col("a").alias("sid"))).distinct()
-    sets = _full_sets(source, materialize(classes.join(sids, "sid").select("sid", "k1", "k2"), "wanted"), words)
-    edges = materialize(_links(pairs, long_lists, sets, percent).unionByName(_light_edges(reps, boundary, percent)), "links")
+    wanted = materialize(classes.join(sids, "sid").select("sid", "n", "k1", "k2"), "wanted")
+    sets = _full_sets(source, wanted.drop("n"), words)
+    edges = materialize(_links(pairs, stars, wanted.select("sid", "n"), sets, percent).unionByName(_light_edges(reps, boundary, percent)), "links")
 
     comps = components(edges)
     of_class = classes.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
