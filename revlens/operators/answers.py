@@ -31,6 +31,8 @@ from revlens.sources.stage import write_stage
 # Places of keys; a bucket or a wave is a range of them.
 PLACES = 1 << 20
 BUCKETS = 256
+# Prompts and answers are written once and read once or twice: smaller files before faster ones.
+COMPRESSION = "zstd"
 
 _FIELDS = [T.StructField(c, T.StringType()) for c in ("model", "prompt_sha256", "answer")]
 FILE_SCHEMA = T.StructType(_FIELDS)
@@ -47,12 +49,15 @@ def part_of(key: str, parts: int) -> Column:
 
 
 def _runs(spark: SparkSession, path: str) -> dict[int, list[str]]:
-    """The store's run folders by their number of buckets (0: none)."""
+    """The store's run folders by their number of buckets (0: none). Runs
+    without an answer, as of a wave whose prompts all failed, are left out."""
     found: dict[int, list[str]] = {}
     for name in child_folders(spark, path):
         if name.startswith("run="):
-            form = name.removeprefix("run=").split("-")[0]
-            found.setdefault(int(form[1:]) if form[:1] == "b" and form[1:].isdigit() else 0, []).append(f"{path.rstrip('/')}/{name}")
+            form, folder = name.removeprefix("run=").split("-")[0], f"{path.rstrip('/')}/{name}"
+            buckets = int(form[1:]) if form[:1] == "b" and form[1:].isdigit() else 0
+            if not buckets or child_folders(spark, folder):
+                found.setdefault(buckets, []).append(folder)
     return found
 
 
@@ -92,8 +97,7 @@ def _write(answers: DataFrame, path: str, buckets: int) -> str:
     target = f"{path.rstrip('/')}/run=b{buckets}-{uuid.uuid4().hex}"
     placed = answers.withColumn("bucket", part_of("prompt_sha256", buckets)).select(*STORE_SCHEMA.fieldNames())
     dealt = placed.repartition("bucket").sortWithinPartitions("bucket", "prompt_sha256")
-    dealt.write.partitionBy("bucket").parquet(target)
-    return target
+    return write_stage(dealt, target, mode="error", partition_by=["bucket"], compression=COMPRESSION)
 
 
 def upgrade(spark: SparkSession, path: str) -> None:
@@ -123,9 +127,9 @@ def _merge(spark: SparkSession, path: str, runs: dict[int, list[str]], buckets:
         remove_folder(spark, folder)
 
 
-def by_wave(prompts: DataFrame, waves: int, name: str = "prompts-new") -> list[DataFrame]:
-    """The prompts of each wave, from a folder of its own: written once, and
-    each wave's read once. Waves are ranges of places, as buckets are.
+def wave_folders(prompts: DataFrame, waves: int, name: str = "prompts-new") -> list[str]:
+    """A folder of prompts for each wave that has any. Waves are ranges of places,
+    as buckets are.
 
     The prompts are dealt by waves, or by equal parts of them when there are
     fewer than shuffle partitions, so there is a file a part and not one for
@@ -134,7 +138,11 @@ def by_wave(prompts: DataFrame, waves: int, name: str = "prompts-new") -> list[D
     waves = max(1, waves)
     parts = waves * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // waves)
     dealt = prompts.withColumn("__wave", part_of("prompt_sha256", waves)).repartition(part_of("prompt_sha256", parts))
-    written = write_stage(dealt, new_stage_path(spark, name), partition_by=["__wave"])
+    written = write_stage(dealt, new_stage_path(spark, name), partition_by=["__wave"], compression=COMPRESSION)
     present = set(child_folders(spark, written))
-    schema = prompts.schema
-    return [spark.read.schema(schema).parquet(f"{written}/__wave={w}") for w in range(waves) if f"__wave={w}" in present]
+    return [f"{written}/__wave={w}" for w in range(waves) if f"__wave={w}" in present]
+
+
+def by_wave(prompts: DataFrame, waves: int, name: str = "prompts-new") -> list[DataFrame]:
+    """The prompts of each wave, from its folder: written once, and each wave's read once."""
+    return [prompts.sparkSession.read.schema(prompts.schema).parquet(folder) for folder in wave_folders(prompts, waves, name)]

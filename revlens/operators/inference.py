@@ -41,7 +41,7 @@ from revlens.operators.prompts import DEFAULT_PROMPTS, TRANSLATE_TEMPLATE, Promp
 from revlens.operators.sampling import first_rows_flag
 from revlens.operators.window import Windowed
 from revlens.schemas import ERROR_COL, PRED_COL, REVIEW_COL
-from revlens.session import new_stage_path, path_exists, spread
+from revlens.session import new_stage_path, path_exists, remove_folder, spread
 from revlens.sources.stage import materialize, write_stage
 
 ON_ERROR = ("fail", "null")
@@ -266,7 +266,7 @@ def _answered(rows: DataFrame, text_col: str, out_col: str, err_col: str, factor
     answered = _call_model(rows, text_col, out_col, err_col, factory, **call).observe(
         counts, F.sum(measure).alias("total"), F.max(measure).alias("top")
     )
-    answers = materialize(answered, "answers")
+    answers = materialize(answered, "answers", compression=answers_store.COMPRESSION)
     seen = counts.get
     return answers, seen.get("total") or 0, seen.get("top") or 0
 
@@ -311,11 +311,13 @@ def _call_model(
     and ``err_col``. NULL texts are not sent.
 
     ``answer_store``: a store of earlier answers (``operators.answers``), keyed by
-    ``model_id`` and the prompt's sha-256. The prompts are looked up once, in
+    ``model_id`` and the prompt's sha-256. The prompts are looked up by key, in
     the buckets that they fall in; known ones are not sent again. The rest
     is asked in waves of about ``wave_prompts`` prompts, each read from a folder
     of its own, and every wave's answers are stored before the next begins:
-    a job that fails or is stopped has to repeat one wave at most. Failed
+    a job that fails or is stopped has to repeat one wave at most. What a wave
+    read and wrote beside the store is then removed, and the answers are taken
+    from the store at the end, so the texts lie there about once. Failed
     prompts are reported but not stored, so the next run retries them; with
     ``on_error="fail"`` the job fails after the wave's good answers are stored.
     """
@@ -339,29 +341,50 @@ def _call_model(
         raise ValueError("an answer store needs a model_id: the name under which its answers are kept")
     kernel = _answer_batches(factory, key, text_col, out_col, err_col, batch_size, "null", True)
     spark = rows.sparkSession
-    with_pk = rows.withColumn("prompt_sha256", F.sha2(F.col(text_col), 256))
-    asked = materialize(with_pk.where(F.col("prompt_sha256").isNotNull()).select("prompt_sha256", text_col).distinct(), "prompts")
+    # The texts lie in one stage at a time: here, then in the waves' folders, which
+    # go one by one as their answers are stored. All else works on keys.
+    path = new_stage_path(spark, "prompts")
+    written = materialize(rows.withColumn("prompt_sha256", F.sha2(F.col(text_col), 256)), "prompts", path, compression=answers_store.COMPRESSION)
+    keyed = materialize(written.drop(text_col), "prompt-keys")
+    asked = keyed.where(F.col("prompt_sha256").isNotNull()).select("prompt_sha256")
+    every = asked.count()
     answers_store.upgrade(spark, answer_store)
-    seen = materialize(answers_store.look_up(spark, answer_store, model_id, asked), "prompts-seen")
-    new = seen.where(~F.col("known")).select("prompt_sha256", text_col)
+    seen = materialize(answers_store.look_up(spark, answer_store, model_id, asked.distinct()).select("prompt_sha256", "known"), "prompts-seen")
+    counted = seen.groupBy("known").count().collect()
+    unknown = sum(r["count"] for r in counted if not r["known"])
+    new = written.where(F.col("prompt_sha256").isNotNull()).select("prompt_sha256", text_col)
+    if unknown < sum(r["count"] for r in counted):
+        new = new.join(seen.where(~F.col("known")), "prompt_sha256", "left_semi")
+    if every > sum(r["count"] for r in counted):
+        new = new.distinct()
+    waves = answers_store.wave_folders(new, -(-unknown // wave_prompts)) if unknown else []
+    remove_folder(spark, path)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ("prompt_sha256", out_col, err_col)])
-    answered = [seen.where("known").select("prompt_sha256", F.col("answer").alias(out_col), F.lit(None).cast("string").alias(err_col))]
-    given = new_stage_path(spark, "answers-new")
+    given, failures = new_stage_path(spark, "answers-new"), new_stage_path(spark, "answers-failed")
     tasks = concurrency or wave_tasks(spark, wave_prompts, batch_size)
-    for wave, chosen in enumerate(answers_store.by_wave(new, -(-new.count() // wave_prompts))):
+    for wave, folder in enumerate(waves):
         # there may be very many waves: a wave takes no jobs beyond its two writes
         failed = Observation(f"failed-{uuid.uuid4().hex[:12]}")
+        chosen = spark.read.schema(new.schema).parquet(folder)
         asked_now = chosen.repartition(tasks).mapInPandas(kernel, schema, profile=profile).observe(failed, F.count(err_col).alias("n"))
-        fresh = spark.read.schema(schema).parquet(write_stage(asked_now, f"{given}/wave={wave}"))
+        fresh = spark.read.schema(schema).parquet(write_stage(asked_now, f"{given}/wave={wave}", compression=answers_store.COMPRESSION))
         good = fresh.where(F.col(err_col).isNull()).select("prompt_sha256", F.col(out_col).alias("answer"))
         answers_store.add(good, answer_store, model_id)
-        if on_error == "fail" and failed.get.get("n") and (first := fresh.where(F.col(err_col).isNotNull()).first()) is not None:
-            raise RuntimeError(f"the model failed on a prompt (answers so far are stored): {first[err_col]}")
-    if path_exists(spark, given):
-        # every wave's answers and failures, as one table
-        answered.append(spark.read.schema(schema).parquet(f"{given}/wave=*"))
-    known = answered[0] if len(answered) == 1 else answered[0].unionByName(answered[1])
-    return with_pk.drop(text_col).join(known, "prompt_sha256", "left").drop("prompt_sha256")
+        if failed.get.get("n"):
+            bad = fresh.where(F.col(err_col).isNotNull())
+            if on_error == "fail" and (first := bad.first()) is not None:
+                raise RuntimeError(f"the model failed on a prompt (answers so far are stored): {first[err_col]}")
+            write_stage(bad.select("prompt_sha256", err_col), f"{failures}/wave={wave}")
+        remove_folder(spark, f"{given}/wave={wave}")
+        remove_folder(spark, folder)
+    # every answer is in the store now, except for those that failed
+    stored = answers_store.look_up(spark, answer_store, model_id, asked.distinct()).select("prompt_sha256", F.col("answer").alias(out_col), "known")
+    if path_exists(spark, failures):
+        bad = spark.read.schema(T.StructType([schema["prompt_sha256"], schema[err_col]])).parquet(f"{failures}/wave=*")
+        stored = stored.join(bad, "prompt_sha256", "left").withColumn(err_col, F.when(~F.col("known"), F.col(err_col)))
+    else:
+        stored = stored.withColumn(err_col, F.lit(None).cast("string"))
+    return keyed.join(stored.drop("known"), "prompt_sha256", "left").drop("prompt_sha256").select(*(c for c in rows.columns if c != text_col), out_col, err_col)
 
 
 def generate(

@@ -20,10 +20,10 @@ from revlens.plans.queries import _LINES_SQL, _ODD_SQL, _SCORED_SQL, ANCHOR_PROM
 from revlens.plans.queries import ORACLES as BASE_ORACLES
 from revlens.plans.tables import document_reviews, listings, scored_reviews, table
 from revlens.schemas import PRED_COL, REVIEW_COL, SCORE_COL
-from revlens.session import new_stage_path
+from revlens.session import new_stage_path, temporary_stages
 from revlens.sources.csv import write_csv
 from revlens.sources.split_csv import read_csv_ranges
-from revlens.sources.stage import materialize
+from revlens.sources.stage import materialize, shuffles_dropped
 
 QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
@@ -144,7 +144,8 @@ def q_stored_translate(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = new_stage_path(spark, "store")
     docs = document_reviews(spark, sf_dir)
     options = {"template": "{review}", "answer_store": store, "model_id": "prefix"}
-    translate(docs, PrefixTranslator, wave_prompts=2000, **options).write.format("noop").mode("overwrite").save()
+    with temporary_stages(spark), shuffles_dropped(spark):  # what stays of it is the store
+        translate(docs, PrefixTranslator, wave_prompts=2000, **options).write.format("noop").mode("overwrite").save()
     compact(spark, store)
     out = translate(docs, NoModel, **options)
     return out.select(F.col("listing_id").alias("doc_id"), REVIEW_COL)

@@ -13,8 +13,11 @@ import io
 import os
 import re
 import tempfile
+import threading
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -106,9 +109,28 @@ def run_root(spark: SparkSession) -> str:
     return f"{stage_root(spark)}/run-{spark.sparkContext.applicationId}"
 
 
+# The stages made so far in each open ``temporary_stages`` block of a thread.
+_TEMPORARY = threading.local()
+
+
 def new_stage_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path for one materialised stage of this application."""
-    return f"{run_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{run_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    if getattr(_TEMPORARY, "made", None) and name != PACKAGE_STAGE:
+        _TEMPORARY.made[-1].append(path)
+    return path
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """Stages that this thread makes within it are removed at its end: for work
+    whose result is written elsewhere by then."""
+    _TEMPORARY.made = [*getattr(_TEMPORARY, "made", []), []]
+    try:
+        yield
+    finally:
+        for path in _TEMPORARY.made.pop():
+            remove_folder(spark, path)
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -181,6 +203,8 @@ def moves_data(df) -> bool:
     return re.search(r"(?m)^[\s:+*\-()\d]*\w*Exchange\b", plan) is not None
 
 
+# The stage that holds the package's zip: it is read as long as the application runs.
+PACKAGE_STAGE = "pyfiles"
 # SparkContexts that already received the package, by their application id.
 _SHIPPED: set[str] = set()
 
@@ -199,7 +223,7 @@ def ship_package(spark: SparkSession) -> str | None:
     app = sc.applicationId
     if app in _SHIPPED:
         return None
-    target = f"{new_stage_path(spark, 'pyfiles')}/revlens.zip"
+    target = f"{new_stage_path(spark, PACKAGE_STAGE)}/revlens.zip"
     data = package_zip()
     fs, hadoop_path = _file_system(spark, target)
     out = fs.create(hadoop_path, True)

@@ -6,19 +6,49 @@ a lost executor re-reads files instead of re-running model calls.
 
 from __future__ import annotations
 
+import threading
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from revlens.session import new_stage_path
 
-
-def write_stage(df: DataFrame, path: str, *, mode: str = "overwrite", partition_by: list[str] | None = None) -> str:
+# Spark's switch, and how many of the blocks that set it are open.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_OPEN: dict[str, int] = {}
+_LOCK = threading.Lock()
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Actions begun within it drop their shuffle files when they end. Else
+    these stay until the driver collects its garbage, so a job of many stages
+    would hold the shuffles of all of them."""
+    key = spark.sparkContext.applicationId
+    with _LOCK:
+        if not _OPEN.get(key):
+            _OPEN[f"{key} before"] = spark.conf.get(_DROP_SHUFFLES, "false")
+            spark.conf.set(_DROP_SHUFFLES, "true")
+        _OPEN[key] = _OPEN.get(key, 0) + 1
+    try:
+        yield
+    finally:
+        with _LOCK:
+            _OPEN[key] -= 1
+            if not _OPEN[key]:
+                spark.conf.set(_DROP_SHUFFLES, _OPEN.pop(f"{key} before"))
+
+
+def write_stage(df: DataFrame, path: str, *, mode: str = "overwrite", partition_by: list[str] | None = None, compression: str | None = None) -> str:
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    if compression:
+        writer = writer.option("compression", compression)
+    with shuffles_dropped(df.sparkSession):
+        writer.parquet(path)
     return path
 
 
@@ -26,7 +56,7 @@ def read_stage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, path: str | None = None, *, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the stage folder and return a scan of it.
 
     Use before a result feeds more than one consumer, so expensive work
@@ -34,7 +64,7 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     target = path or new_stage_path(spark, name)
-    write_stage(df, target)
+    write_stage(df, target, compression=compression)
     return read_stage(spark, target)
 
 
